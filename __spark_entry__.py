@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 from seasonmart import oracle
 from seasonmart.operators import checks
 from seasonmart.operators.totals import season_totals
-from seasonmart.plans import intermediate, marts, quality
-from seasonmart.plans.metrics import Marts, metric_query
-from seasonmart.plans.project import Settings, staging_models
+from seasonmart.plans import intermediate, marts, quality, staging
+from seasonmart.plans.metrics import metric_query
+from seasonmart.plans.project import Settings, build
 from seasonmart.plans.saved_queries import SAVED_QUERIES, saved_query
 from seasonmart.sources import retail, sinks, tables
 
@@ -39,16 +40,37 @@ PERFORMANCE_METRICS = (
 PAYROLL_EXPORT = "salary_by_league_and_season"
 
 
-class Models:
-    """The models on the tables of one folder, each built when asked for."""
+class Models(Mapping[str, DataFrame]):
+    """The models on the tables of one folder by name, each built when first asked for."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
-        self.raw = retail.raw_tables(spark, folder)
-        self.staged = staging_models(self.raw, SETTINGS)
+        self.spark, self.folder = spark, folder
+        self.built: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.staged[name] if name in self.staged else getattr(self, name)()
+        if name not in self.built:
+            self.built[name] = getattr(self, name)()
+        return self.built[name]
+
+    def __iter__(self):
+        return iter(oracle.MODELS)
+
+    def __len__(self) -> int:
+        return len(oracle.MODELS)
+
+    def stg_players(self) -> DataFrame:
+        return staging.stg_players(retail.players(self.spark, self.folder))
+
+    def stg_teams(self) -> DataFrame:
+        return staging.stg_teams(retail.teams(self.spark, self.folder))
+
+    def stg_salaries(self) -> DataFrame:
+        return staging.stg_salaries(
+            retail.salaries(self.spark, self.folder), SETTINGS.flag_year
+        )
+
+    def stg_game_stats(self) -> DataFrame:
+        return staging.stg_game_stats(retail.game_stats(self.spark, self.folder))
 
     def int_pitcher_performance_trends(self) -> DataFrame:
         return intermediate.int_pitcher_performance_trends(
@@ -78,14 +100,9 @@ class Models:
         )
 
     def pitcher_salary_analysis(self) -> DataFrame:
-        return marts.pitcher_salary_analysis(
-            self.fct_player_salaries(), SETTINGS.first_report_year
-        )
-
-    def marts(self) -> Marts:
-        return Marts(
-            self.fct_player_salaries(), self.player_performance_analysis(), self.dim_roster()
-        )
+        # The report reads the salary facts as a table, once for the rows and once for the payroll.
+        facts = sinks.stage(self["fct_player_salaries"], "fct_player_salaries")
+        return marts.pitcher_salary_analysis(facts, SETTINGS.first_report_year)
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -105,18 +122,18 @@ def _model(name: str, spark: SparkSession, folder: str) -> DataFrame:
 def _metrics(
     metrics: tuple[str, ...], group_by: tuple[str, ...], spark: SparkSession, folder: str
 ) -> DataFrame:
-    return portable(metric_query(Models(spark, folder).marts(), metrics, group_by, SETTINGS.spine))
+    return portable(metric_query(Models(spark, folder), metrics, group_by, SETTINGS.spine))
 
 
 def _saved(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    return portable(saved_query(Models(spark, folder).marts(), name, SETTINGS.spine))
+    return portable(saved_query(Models(spark, folder), name, SETTINGS.spine))
 
 
 def _entity_keys(spark: SparkSession, folder: str) -> DataFrame:
     models = Models(spark, folder)
     facts = {
-        "player_salary": models.fct_player_salaries(),
-        "player_season": models.player_performance_analysis(),
+        "player_salary": models["fct_player_salaries"],
+        "player_season": models["player_performance_analysis"],
     }
     keyed = [
         marts.with_season_key(fact.select("player_id", "year"), name).select(
@@ -139,7 +156,7 @@ def _check_unique(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _check_not_null(spark: SparkSession, folder: str) -> DataFrame:
-    seasons = Models(spark, folder).int_player_value_analysis()
+    seasons = Models(spark, folder)["int_player_value_analysis"]
     return checks.null_rows(seasons, "era").select("player_id", "year")
 
 
@@ -149,13 +166,16 @@ def _check_accepted_values(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _check_relationships(spark: SparkSession, folder: str) -> DataFrame:
-    raw = Models(spark, folder).raw
-    return checks.orphans(raw.game_stats, "player_id", raw.salaries, "player_id")
+    games, salaries = retail.game_stats(spark, folder), retail.salaries(spark, folder)
+    return checks.orphans(games, "player_id", salaries, "player_id")
 
 
 def _check_summary(spark: SparkSession, folder: str) -> DataFrame:
-    models = Models(spark, folder)
-    return quality.run_checks({name: models[name] for name in oracle.MODELS})
+    """All models built in order, marts as tables, then every declared check run on them."""
+    raw = retail.raw_tables(spark, folder)
+    raw = replace(raw, game_stats=sinks.stage(raw.game_stats, "raw_game_stats"))
+    target = sinks.Target(folder=sinks.scratch_path(spark, "marts"))
+    return quality.run_checks(build(spark, raw, target, SETTINGS))
 
 
 def _source_freshness(spark: SparkSession, folder: str) -> DataFrame:
@@ -170,7 +190,7 @@ def _view_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 def _table_export(spark: SparkSession, folder: str) -> DataFrame:
     """A saved query written as a table and read back."""
-    result = saved_query(Models(spark, folder).marts(), PAYROLL_EXPORT, SETTINGS.spine)
+    result = saved_query(Models(spark, folder), PAYROLL_EXPORT, SETTINGS.spine)
     target = sinks.Target(folder=sinks.scratch_path(spark, "export"))
     return sinks.publish_table(result, PAYROLL_EXPORT, target, sinks.EXPORT_SCHEMA)
 

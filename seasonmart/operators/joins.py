@@ -2,32 +2,35 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def join_group_values(
-    detail: DataFrame, groups: DataFrame, keys: list[str], values: list[str], how: str = "left"
+    detail: DataFrame,
+    groups: DataFrame,
+    keys: list[str],
+    open_key: str,
+    values: list[str],
+    how: str = "left",
 ) -> DataFrame:
-    """Attach per-group ``values`` to detail rows; a row with a null in its key gets nulls.
+    """Attach ``values`` of a row's group to detail rows, with nulls where a key is null.
 
-    The keys are compared null-safe and the values are blanked for null keys afterwards, instead
-    of comparing with ``=``. That keeps null-key rows in an inner join, and it changes the physical
-    plan: Spark shuffles *both* sides anew for the null-safe key, where with ``=`` it would reuse
-    the partitioning the aggregate already has. A shuffle directly below the join is what AQE needs
-    to split a hot group over many tasks; it does so from the measured partition sizes. No side is
-    marked for broadcast: AQE switches to it once the aggregate is written and measured as small.
+    ``groups`` has the groups' ``keys`` and ``open_key``, which may be null in a row to be kept.
+    Null open keys are matched too, and the values blanked afterwards. Besides keeping such rows
+    in an inner join, this changes the physical plan: for a null-safe key Spark shuffles *both*
+    sides anew, where with plain equality it would reuse the partitioning the aggregate already
+    has. A shuffle directly below the join is what AQE needs to split a hot group over many tasks,
+    by measured sizes. No side is marked for broadcast either: AQE switches to that once the
+    aggregate is written and measured as small.
     """
-    side = groups.select(
-        *(F.col(k).alias(f"_group_{k}") for k in keys),
-        *(c for c in groups.columns if c not in keys),
-    )
-    same: Column = reduce(
-        Column.__and__, (F.col(k).eqNullSafe(F.col(f"_group_{k}")) for k in keys)
-    )
-    known: Column = reduce(Column.__and__, (F.col(k).isNotNull() for k in keys))
+    side = groups.withColumnRenamed(open_key, "_group_key")
+    for key in keys:
+        side = side.withColumnRenamed(key, f"_group_{key}")
+    same = F.col(open_key).eqNullSafe(F.col("_group_key"))
+    for key in keys:
+        same &= F.col(key) == F.col(f"_group_{key}")
     joined = detail.join(side, same, how)
-    kept = [c for c in joined.columns if c not in values and not c.startswith("_group_")]
-    return joined.select(*kept, *(F.when(known, F.col(v)).alias(v) for v in values))
+    known = F.col(open_key).isNotNull()
+    blanked = {v: F.when(known, F.col(v)) for v in values}
+    return joined.drop("_group_key", *(f"_group_{k}" for k in keys)).withColumns(blanked)

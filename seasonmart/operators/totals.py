@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +41,6 @@ def season_totals(games: DataFrame) -> DataFrame:
     return games.groupBy("player_id", F.year("game_date").alias("year")).agg(*sums(SEASON_TOTALS))
 
 
-def multiplied(df: DataFrame, names: Mapping[str, str] | list[str], copies: str) -> list[Column]:
+def multiplied(names: Iterable[str], copies: str) -> list[Column]:
     """Sums over rows that a join would have repeated ``copies`` times, without repeating them."""
-    kinds = dict(df.dtypes)
-    return [(F.col(n) * F.col(copies)).cast(kinds[n]).alias(n) for n in names]
+    return [(F.col(name) * F.col(copies)).alias(name) for name in names]

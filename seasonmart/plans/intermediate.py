@@ -51,7 +51,7 @@ def _pitcher_seasons(outings: DataFrame, pitchers: DataFrame) -> DataFrame:
     listings = pitchers.groupBy("player_id").agg(F.count(F.lit(1)).alias("listings"))
     seasons = outings.groupBy("player_id", "season").agg(*sums(OUTING_TOTALS))
     totals = seasons.join(listings, "player_id").select(
-        "player_id", "season", *multiplied(seasons, OUTING_TOTALS, "listings")
+        "player_id", "season", *multiplied(OUTING_TOTALS, "listings")
     )
     era = earned_run_average(F.col("season_earned_runs"), F.col("season_innings"))
     return totals.withColumn("season_era", era).join(
@@ -72,7 +72,7 @@ def int_pitcher_performance_trends(
     strikeouts = F.col("strikeouts_pitched")
     quality = F.when((innings >= 6) & (earned <= 3), 1).otherwise(0)
     score = F.lit(50) + innings * 2 + strikeouts - hits * 2 - walks * 2 - earned * 4
-    outings = games.where((innings > 0) & F.col("player_id").isNotNull()).select(
+    outings = games.where(innings > 0).select(
         "player_id", "game_date", F.year("game_date").alias("season"), *OUTING_COLUMNS,
         quality.alias("quality_start"),
     )
@@ -81,7 +81,8 @@ def int_pitcher_performance_trends(
     trends = join_group_values(
         outings,
         _pitcher_seasons(outings, pitchers),
-        ["player_id", "season"],
+        ["player_id"],
+        "season",
         season_columns,
         how="inner",
     ).select(
@@ -106,7 +107,7 @@ def _player_seasons(totals: DataFrame, players: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("listings")
     )
     seasons = totals.join(people, "player_id").select(
-        "player_id", "full_name", "position", "year", *multiplied(totals, VALUE_TOTALS, "listings")
+        "player_id", "full_name", "position", "year", *multiplied(VALUE_TOTALS, "listings")
     )
     return seasons.select(
         "*",
@@ -139,7 +140,7 @@ def int_player_value_analysis(
         ["player_id", "year"],
         "left",
     )
-    rated = join_group_values(paid, averages, ["year", "position"], list(LEAGUE_AVERAGES))
+    rated = join_group_values(paid, averages, ["position"], "year", list(LEAGUE_AVERAGES))
 
     pitching = F.col("position") == PITCHER
     batting = F.col("position") != PITCHER

@@ -130,7 +130,7 @@ def pitcher_salary_analysis(
         F.max("salary").alias("max_salary"),
     )
     values = [c for c in by_year.columns if c != "year"]
-    report = join_group_values(rows, by_year, ["year"], values)
+    report = join_group_values(rows, by_year, [], "year", values)
     return report.orderBy(F.desc("year"), F.desc("salary")) if ordered else report
 
 

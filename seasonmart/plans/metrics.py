@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -91,7 +91,10 @@ def _registry() -> dict[str, Metric]:
 
 METRICS = _registry()
 
-# Each fact's entity with the columns declared as its dimensions, and the roster's.
+# The model behind each source, each fact's entity with the columns declared as its
+# dimensions, and the roster's.
+FACT_MODELS = {SALARIES: "fct_player_salaries", PERFORMANCE: "player_performance_analysis"}
+ROSTER_MODEL = "dim_roster"
 FACT_ENTITIES = {SALARIES: "player_salary", PERFORMANCE: "player_season"}
 FACT_DIMENSIONS = {
     SALARIES: ("team_name", "league", "division", "position", "is_pitcher"),
@@ -107,18 +110,6 @@ SEASON_DATE = "season_date"
 TIME_DIMENSIONS = ("metric_time", *(f"{e}__{SEASON_DATE}" for e in FACT_ENTITIES.values()))
 
 
-@dataclass(frozen=True)
-class Marts:
-    """The tables metrics are computed from."""
-
-    salaries: DataFrame
-    performance: DataFrame
-    roster: DataFrame
-
-    def fact(self, source: str) -> DataFrame:
-        return self.salaries if source == SALARIES else self.performance
-
-
 def _measures(names: Sequence[str]) -> list[Metric]:
     """The plain aggregates that the named metrics need, each once."""
     found: dict[str, Metric] = {}
@@ -153,14 +144,14 @@ def _output_name(dimension: str) -> str:
 
 
 def _measure_rows(
-    marts: Marts, source: str, measures: list[Metric], group_by: Sequence[str]
+    models: Mapping[str, DataFrame], source: str, measures: list[Metric], group_by: Sequence[str]
 ) -> DataFrame:
     """One fact's rows, reduced to the group-by dimensions and the inputs of its measures."""
-    rows = marts.fact(source)
+    rows = models[FACT_MODELS[source]]
     roster = [c for c in map(_roster_column, group_by) if c]
     dimensions = [_fact_column(d, source).alias(_output_name(d)) for d in group_by]
     if roster:
-        attributes = marts.roster.select(
+        attributes = models[ROSTER_MODEL].select(
             "player_id", *(F.col(c).alias(f"roster_{c}") for c in roster)
         )
         rows = rows.join(attributes, "player_id", "left")
@@ -185,13 +176,14 @@ def _value(metric: Metric) -> Column:
 
 
 def metric_query(
-    marts: Marts,
+    models: Mapping[str, DataFrame],
     metrics: Sequence[str],
     group_by: Sequence[str] = (),
     spine: Spine = Spine(),
 ) -> DataFrame:
     """Metrics by dimensions, one row per combination found in any of the facts involved.
 
+    ``models`` holds the two facts and the roster by model name, as ``build`` returns them.
     Dimensions are named ``entity__column``; the yearly time is ``metric_time`` or the
     ``season_date`` of either fact and comes out as ``<name>__year``.
 
@@ -210,7 +202,7 @@ def metric_query(
     rows = reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True),
         (
-            _measure_rows(marts, source, measures, group_by)
+            _measure_rows(models, source, measures, group_by)
             for source in FACT_ENTITIES
             if any(m.source == source for m in measures)
         ),
@@ -232,7 +224,7 @@ def metric_query(
             .groupBy(*keys)
             .agg(
                 *(
-                    F.any_value(name, F.lit(True)).alias(name)
+                    F.any_value(name, ignoreNulls=True).alias(name)
                     for name in [*(m.name for m in measures), *running]
                 )
             )

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from seasonmart.operators.spine import Spine, time_spine_yearly
 from seasonmart.operators.totals import season_totals
 from seasonmart.plans import intermediate, marts, staging
-from seasonmart.plans.metrics import Marts
 from seasonmart.sources.sinks import (
     LAYER_SCHEMAS,
     LAYER_STORAGE,
@@ -38,23 +37,6 @@ class Settings:
         return Spine(self.as_of, self.spine_first, self.spine_end)
 
 
-def staging_models(raw: RawTables, settings: Settings = Settings()) -> dict[str, DataFrame]:
-    return {
-        "stg_players": staging.stg_players(raw.players),
-        "stg_teams": staging.stg_teams(raw.teams),
-        "stg_salaries": staging.stg_salaries(raw.salaries, settings.flag_year),
-        "stg_game_stats": staging.stg_game_stats(raw.game_stats),
-    }
-
-
-def metric_tables(models: dict[str, DataFrame]) -> Marts:
-    return Marts(
-        models["fct_player_salaries"],
-        models["player_performance_analysis"],
-        models["dim_roster"],
-    )
-
-
 def build(
     spark: SparkSession,
     raw: RawTables,
@@ -75,10 +57,12 @@ def build(
             built[name] = publish_table(df, name, target, LAYER_SCHEMAS[layer])
         return built[name]
 
-    for name, df in staging_models(raw, settings).items():
-        publish("staging", name, df)
-    players, teams = built["stg_players"], built["stg_teams"]
-    salaries, games = built["stg_salaries"], built["stg_game_stats"]
+    players = publish("staging", "stg_players", staging.stg_players(raw.players))
+    teams = publish("staging", "stg_teams", staging.stg_teams(raw.teams))
+    salaries = publish(
+        "staging", "stg_salaries", staging.stg_salaries(raw.salaries, settings.flag_year)
+    )
+    games = publish("staging", "stg_game_stats", staging.stg_game_stats(raw.game_stats))
     totals = stage(season_totals(games), "season_totals")
 
     publish(

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from seasonmart.operators.spine import Spine
-from seasonmart.plans.metrics import Marts, metric_query
+from seasonmart.plans.metrics import metric_query
 from seasonmart.sources.sinks import EXPORT_SCHEMA, Target, publish_table
 
 
@@ -43,13 +44,18 @@ SAVED_QUERIES = {
 }
 
 
-def saved_query(marts: Marts, name: str, spine: Spine = Spine()) -> DataFrame:
+def saved_query(
+    models: Mapping[str, DataFrame], name: str, spine: Spine = Spine()
+) -> DataFrame:
     query = SAVED_QUERIES[name]
-    return metric_query(marts, query.metrics, query.group_by, spine)
+    return metric_query(models, query.metrics, query.group_by, spine)
 
 
 def export_saved_query(
-    marts: Marts, name: str, target: Target = Target(), spine: Spine = Spine()
+    models: Mapping[str, DataFrame],
+    name: str,
+    target: Target = Target(),
+    spine: Spine = Spine(),
 ) -> DataFrame:
     """Run a saved query and rebuild its export table, named like the query."""
-    return publish_table(saved_query(marts, name, spine), name, target, EXPORT_SCHEMA)
+    return publish_table(saved_query(models, name, spine), name, target, EXPORT_SCHEMA)

@@ -15,8 +15,21 @@ from seasonmart.functions.columns import POSITION_CODES
 from seasonmart.sources.tables import RawTables
 
 
+# The columns used of each table. Naming them saves the pass that infers a schema.
+_COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, "
+              "o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_shipdate timestamp_ntz",
+}
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(_COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _label(prefix: str, number: Column) -> Column:
