@@ -52,11 +52,12 @@ def guarded_ratio(
 ) -> Column:
     """``numerator / denominator`` cut to a whole number, or null where the guard fails.
 
-    The guard is ``denominator > 0`` unless given. The numerator passes through 32-bit floating
-    point and the quotient is computed in 64 bits. ``scale`` multiplies the numerator, or the
+    The guard is ``denominator > 0`` unless given. ``scale`` multiplies the numerator, or the
     quotient if ``scale_quotient``; the two differ in the last bit, which truncation can expose.
+    The quotient is a double: where SQL divides ``x::float`` by an integer or a decimal, Catalyst
+    folds the two widening casts into one, and a 32-bit value never occurs.
     """
-    top = numerator.cast("float").cast("double")
+    top = numerator.cast("double")
     if scale is not None and not scale_quotient:
         top = top * F.lit(scale)
     value = top / denominator

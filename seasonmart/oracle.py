@@ -18,10 +18,10 @@ def _case(column: str, codes: dict[str, str]) -> str:
 
 
 def _rate(guard: str, top: str, bottom: str, before: str = "", after: str = "") -> str:
-    """Whole part of a guarded quotient; the numerator goes through 32-bit float."""
+    """Whole part of a guarded quotient."""
     return (
         f"case when {guard} then "
-        f"trunc((({top})::float::double{before} / ({bottom})::double){after})::int end"
+        f"trunc((({top})::double{before} / ({bottom})::double){after})::int end"
     )
 
 

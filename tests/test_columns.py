@@ -1,0 +1,81 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from seasonmart.functions import columns as c
+
+
+KINDS = {"a": "int", "b": "int", "s": "string", "d": "date", "n": "bigint"}
+
+
+def one(spark, expression, **values):
+    """The value of an expression on one row."""
+    schema = ", ".join(f"{name} {KINDS[name]}" for name in values)
+    df = spark.createDataFrame([tuple(values.values())], schema)
+    return df.select(expression.alias("x")).first().x
+
+
+def ratio(spark, a, b, **more):
+    return one(spark, c.guarded_ratio(F.col("a"), F.col("b"), **more), a=a, b=b)
+
+
+def test_ratio_truncates_toward_zero(spark):
+    assert ratio(spark, 7, 4) == 1
+    assert ratio(spark, 8, 4) == 2
+    assert ratio(spark, 7999, 1000) == 7
+    assert ratio(spark, -7, 4) == -1
+
+
+def test_ratio_guard(spark):
+    assert ratio(spark, 7, 0) is None
+    assert ratio(spark, 7, -1) is None
+    assert ratio(spark, 7, None) is None
+    assert ratio(spark, None, 4) is None
+    assert ratio(spark, 7, 2, guard=F.col("a") > 7) is None
+
+
+def test_ratio_scales_numerator_or_quotient(spark):
+    assert ratio(spark, 2, 3, scale=9) == 6
+    # 1 / 49 * 49 falls just short of 1 in floating point; 1 * 49 / 49 does not.
+    assert ratio(spark, 1, 49, scale=49) == 1
+    assert ratio(spark, 1, 49, scale=49, scale_quotient=True) == 0
+
+
+def test_ratio_equals_float_division_in_sql(spark):
+    # 2**24 + 1 has no 32-bit float, yet dividing it as one keeps it.
+    df = spark.createDataFrame([(2**24 + 1, 1)], "a int, b int")
+    got = df.select(
+        F.expr("cast(cast(a as float) / b as int)"), c.guarded_ratio(F.col("a"), F.col("b"))
+    ).first()
+    assert tuple(got) == (2**24 + 1, 2**24 + 1)
+
+
+def test_decode(spark):
+    def decode(value):
+        return one(spark, c.decode(F.col("s"), c.POSITION_CODES), s=value)
+
+    assert [decode(p) for p in c.POSITION_CODES] == list(c.POSITION_CODES.values())
+    assert decode("Coach") == "Coach"
+    assert decode(None) is None
+
+
+def test_flag_is_never_null(spark):
+    assert one(spark, c.flag(F.col("a") >= 2020), a=2020) is True
+    assert one(spark, c.flag(F.col("a") >= 2020), a=2019) is False
+    assert one(spark, c.flag(F.col("a") >= 2020), a=None) is False
+
+
+def test_season_start_and_key(spark):
+    assert one(spark, c.season_start(F.col("a")), a=2021) == dt.date(2021, 1, 1)
+    assert one(spark, c.season_start(F.col("a")), a=None) is None
+    assert one(spark, c.season_key(F.col("s"), F.col("a")), s="P1", a=2021) == "P1_2021"
+    assert one(spark, c.season_key(F.col("s"), F.col("a")), s="P1", a=None) is None
+
+
+def test_age_ignores_the_birthday(spark):
+    as_of = F.lit(dt.date(2020, 1, 1))
+    assert one(spark, c.calendar_age(F.col("d"), as_of), d=dt.date(1990, 12, 31)) == 30
+
+
+def test_millions_is_a_double(spark):
+    assert one(spark, c.millions(F.col("n")), n=2_500_000) == 2.5
