@@ -33,13 +33,13 @@ def decode(column: Column, codes: Mapping[str, str]) -> Column:
     return branches.otherwise(column)
 
 
-def flag(condition: Column) -> Column:
-    """A boolean that is never null: an unknown condition counts as false.
+def flag(condition: Column, operand: Column) -> Column:
+    """A boolean that is never null: false where the operand of the condition is null.
 
-    Written as CASE, not ``coalesce``, because Catalyst reduces this form to the bare condition in
-    a filter and pushes that to the scan.
+    Written as a conjunction, not with CASE or ``coalesce``: used as a filter it falls apart into
+    two predicates that Catalyst pushes through the joins into the scan.
     """
-    return F.when(condition, F.lit(True)).otherwise(F.lit(False))
+    return condition & operand.isNotNull()
 
 
 def guarded_ratio(

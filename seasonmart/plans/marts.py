@@ -47,7 +47,7 @@ def dim_roster(
         "player_id", "full_name", "position", "position_abbreviation", "birth_date", "height",
         "weight", "throws", "bats", *team.columns,
         calendar_age(F.col("birth_date"), today).alias("age"),
-        flag(F.col("position") == PITCHER).alias("is_pitcher"),
+        flag(F.col("position") == PITCHER, F.col("position")).alias("is_pitcher"),
     )
 
 
@@ -67,7 +67,7 @@ def fct_player_salaries(
         .select(
             "player_id", "full_name", "position", "position_abbreviation", "year", "salary",
             "salary_millions", "team_name", "league", "division",
-            flag(F.col("position") == PITCHER).alias("is_pitcher"),
+            flag(F.col("position") == PITCHER, F.col("position")).alias("is_pitcher"),
             season_start(F.col("year")).alias("season_date"),
         )
     )

@@ -45,7 +45,7 @@ def stg_salaries(raw: DataFrame, flag_year: int = FLAG_YEAR) -> DataFrame:
     return raw.select(
         *RAW_SCHEMAS["raw_salaries"].names,
         millions(F.col("salary")).alias("salary_millions"),
-        flag(F.col("year") >= flag_year).alias("is_post_covid"),
+        flag(F.col("year") >= flag_year, F.col("year")).alias("is_post_covid"),
     )
 
 

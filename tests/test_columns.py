@@ -60,9 +60,9 @@ def test_decode(spark):
 
 
 def test_flag_is_never_null(spark):
-    assert one(spark, c.flag(F.col("a") >= 2020), a=2020) is True
-    assert one(spark, c.flag(F.col("a") >= 2020), a=2019) is False
-    assert one(spark, c.flag(F.col("a") >= 2020), a=None) is False
+    assert one(spark, c.flag(F.col("a") >= 2020, F.col("a")), a=2020) is True
+    assert one(spark, c.flag(F.col("a") >= 2020, F.col("a")), a=2019) is False
+    assert one(spark, c.flag(F.col("a") >= 2020, F.col("a")), a=None) is False
 
 
 def test_season_start_and_key(spark):
