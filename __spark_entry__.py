@@ -188,6 +188,10 @@ def _view_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table("stg_players")
 
 
+def _pass_through(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.pass_through(Models(spark, folder)["stg_teams"])
+
+
 def _table_export(spark: SparkSession, folder: str) -> DataFrame:
     """A saved query written as a table and read back."""
     result = saved_query(Models(spark, folder), PAYROLL_EXPORT, SETTINGS.spine)
@@ -251,6 +255,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_summary": _check_summary,
         "source_freshness": _source_freshness,
         "view_roundtrip": _view_roundtrip,
+        "pass_through": _pass_through,
         "table_export": _table_export,
         "csv_scan": _csv_scan,
     }

@@ -447,6 +447,7 @@ def statements() -> dict[str, str]:
             "when epoch_us(timestamp '2024-02-01') - epoch_us(max(ts)) > 86400000000 then 'warn' "
             "else 'pass' end as status from events",
         "view_roundtrip": _model("stg_players"),
+        "pass_through": _model("stg_teams"),
         "table_export": _pay({"player_salary__league": "league", **pay_year}, payroll),
         "csv_scan": _with("select * from raw_salaries", "raw_salaries"),
     }

@@ -52,15 +52,15 @@ def publish_table(
 ) -> DataFrame:
     """Rebuild a table in full and return it as read back.
 
-    The ``rebalance`` hint lets AQE cut the output into files of the advisory partition size, so
-    a hot key does not become one huge file. Bucketed tables keep their own layout: a later join on
-    ``bucket_by`` between tables with the same bucket count needs no shuffle.
+    Files follow the partitions of the last shuffle, which AQE merges to its advisory size and, in
+    a skewed join, splits. A later join on ``bucket_by`` between tables with the same number of
+    buckets needs no shuffle.
     """
     spark = df.sparkSession
     schema, full_name = target.schema_for(custom_schema), target.table_name(custom_schema, name)
     if schema != "default":
         spark.sql(f"create database if not exists `{schema}`")
-    writer = (df if buckets else df.hint("rebalance")).write.mode("overwrite").format("parquet")
+    writer = df.write.mode("overwrite").format("parquet")
     if buckets:
         writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     if target.folder:
