@@ -6,6 +6,8 @@ rounds where Spark truncates, and widens sums.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from seasonmart.functions.columns import LEAGUE_CODES, POSITION_CODES
 
 AS_OF, FLAG_YEAR, FIRST_YEAR = "2001-12-31", 1998, 1995
@@ -27,6 +29,25 @@ def _rate(guard: str, top: str, bottom: str, before: str = "", after: str = "")
 
 _POSITIONS = " ".join(f"when {i} then '{p}'" for i, p in enumerate(POSITION_CODES))
 
+# Summed game columns where the total is not named total_<column>.
+_NAMED = {"win": "total_wins", "loss": "total_losses", "save": "total_saves"}
+_SUMS = ", ".join(
+    f"sum({c})::{'double' if c == 'innings_pitched' else 'bigint'} "
+    f"as {_NAMED.get(c, f'total_{c}')}"
+    for c in (
+        "at_bats", "hits", "runs", "home_runs", "rbi", "stolen_bases", "walks", "strikeouts",
+        "innings_pitched", "earned_runs", "hits_allowed", "walks_allowed", "strikeouts_pitched",
+        "win", "loss", "save",
+    )
+)
+_SEASON_RATES = ", ".join(
+    _rate(f"{bottom} > 0", top, bottom, scale) + " as {}"
+    for top, bottom, scale in (
+        ("total_hits", "total_at_bats", ""),
+        ("total_earned_runs", "total_innings_pitched", " * 9"),
+    )
+)
+
 _RELATIONS = {
     "raw_teams": ("""
         select 'TEAM' || (s_suppkey + 1)::varchar as team_id, s_name as team_name, n_name as city,
@@ -91,7 +112,7 @@ _RELATIONS = {
     "outings": (f"""
         select g.player_id, full_name, game_date, year(game_date) as season,
           innings_pitched as ip, earned_runs, hits_allowed, walks_allowed, strikeouts_pitched,
-          win, loss, save, (innings_pitched >= 6 and earned_runs <= 3)::int as quality_start,
+          win, loss, save, coalesce(innings_pitched >= 6 and earned_runs <= 3, false)::int as quality_start,
           {_rate("true", "strikeouts_pitched", "innings_pitched", "", " * 9")} as k_per_9,
           {_rate("true", "walks_allowed", "innings_pitched", "", " * 9")} as bb_per_9,
           {_rate("true", "hits_allowed", "innings_pitched", "", " * 9")} as h_per_9,
@@ -112,29 +133,17 @@ _RELATIONS = {
           {_rate("ips > 0", "ers", "ips", " * 9")} as season_era
         from outings o left join season_sums s
           on o.player_id = s.player_id and o.season = s.season""", ("outings",)),
-    "totals": ("""
-        select player_id, year(game_date)::int as year, sum(at_bats)::bigint as total_at_bats,
-          sum(hits)::bigint as total_hits, sum(runs)::bigint as total_runs,
-          sum(home_runs)::bigint as total_home_runs, sum(rbi)::bigint as total_rbi,
-          sum(stolen_bases)::bigint as total_stolen_bases, sum(walks)::bigint as total_walks,
-          sum(strikeouts)::bigint as total_strikeouts,
-          sum(innings_pitched)::double as total_innings_pitched,
-          sum(earned_runs)::bigint as total_earned_runs,
-          sum(hits_allowed)::bigint as total_hits_allowed,
-          sum(walks_allowed)::bigint as total_walks_allowed,
-          sum(strikeouts_pitched)::bigint as total_strikeouts_pitched,
-          sum(win)::bigint as total_wins, sum(loss)::bigint as total_losses,
-          sum(save)::bigint as total_saves
+    "totals": (f"""
+        select player_id, year(game_date)::int as year, {_SUMS}
         from raw_game_stats group by all""", ("raw_game_stats",)),
-    "rates": (f"""
-        select *, {_rate("total_at_bats > 0", "total_hits", "total_at_bats")} as ba,
-          {_rate("total_innings_pitched > 0", "total_earned_runs", "total_innings_pitched", " * 9")}
-            as ra
-        from totals""", ("totals",)),
-    "people": ("""
-        select r.* exclude (total_runs, total_hits_allowed, total_walks_allowed, ba, ra),
-          full_name, position, ba as batting_average, ra as era
-        from rates r join stg_players using (player_id)""", ("rates", "stg_players")),
+    "rates": (f"select *, {_SEASON_RATES.format('ba', 'ra')} from totals", ("totals",)),
+    "listed": (f"""
+        select g.player_id, full_name, position, year(game_date)::int as year, {_SUMS}
+        from raw_game_stats g join stg_players p on p.player_id = g.player_id
+        group by all""", ("raw_game_stats", "stg_players")),
+    "people": (f"""
+        select * exclude (total_runs, total_hits_allowed, total_walks_allowed),
+          {_SEASON_RATES.format("batting_average", "era")} from listed""", ("listed",)),
     "league": ("""
         select year, position, avg(batting_average) as league_avg_batting,
           avg(era) as league_avg_era, avg(total_home_runs) as league_avg_home_runs,
@@ -159,7 +168,8 @@ _RELATIONS = {
           trunc((league_avg_era - era) / (league_avg_era * 100 + 1))::int as era_vs_league_pct,
           case when position = 'Pitcher'
             then {_rate("total_wins > 0", "salary", "total_wins + 1")}
-            else {_rate("total_home_runs > 0", "salary", "total_home_runs + 1")}
+            when position <> 'Pitcher'
+            then {_rate("total_home_runs > 0", "salary", "total_home_runs + 1")}
           end as cost_per_primary_stat,
           {_rate("salary_millions > 0", "value_score", "salary_millions")} as value_efficiency
         from valued""", ("valued",)),
@@ -207,6 +217,7 @@ _RELATIONS = {
         where y between year(date '{AS_OF}') - 10 and year(date '{AS_OF}')""", ()),
 }
 
+RAW = ("raw_players", "raw_teams", "raw_salaries", "raw_game_stats")
 MODELS = (
     "stg_players", "stg_teams", "stg_salaries", "stg_game_stats",
     "int_pitcher_performance_trends", "int_player_value_analysis", "dim_roster",
@@ -214,11 +225,13 @@ MODELS = (
 )
 
 
-def _with(query: str, *needed: str) -> str:
-    """Prefix a query with the relations it needs, in dependency order."""
+def _with(query: str, *needed: str, given: Collection[str] = ()) -> str:
+    """Prefix a query with the relations it needs, in dependency order, but for those given."""
     order: list[str] = []
 
     def add(name: str) -> None:
+        if name in given:
+            return
         for parent in _RELATIONS[name][1]:
             add(parent)
         if name not in order:
@@ -233,6 +246,11 @@ def _model(name: str) -> str:
     return _with(f"select * from {name}", name)
 
 
+def on_raw_tables(name: str) -> str:
+    """A model's SQL on the four raw tables themselves instead of the retail tables."""
+    return _with(f"select * from {name}", name, given=RAW)
+
+
 # Measures of each fact: metric name -> aggregate.
 _PAY = {
     "total_salary": "coalesce(sum(salary), 0)::bigint",
