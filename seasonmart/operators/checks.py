@@ -78,10 +78,14 @@ def _observation(check: Check) -> Column:
 
 
 def _observations(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Value counts of all checks of one model from a single pass over it."""
-    said = F.array_compact(F.array(*map(_observation, checks)))
+    """Value counts of all checks of one model from a single pass over it.
+
+    Nulls are dropped after unnesting: doing it inside the array takes a lambda, which runs outside
+    generated code and more than doubles the time.
+    """
     return (
-        df.select(F.inline(said))
+        df.select(F.inline(F.array(*map(_observation, checks))))
+        .where(F.col("check_name").isNotNull())
         .groupBy("check_name", "value")
         .agg(F.count(F.lit(1)).alias("n_records"))
     )
@@ -164,9 +168,12 @@ def source_freshness(
 
     A source without rows has no age and counts as stale.
     """
-    now = F.current_timestamp() if as_of is None else F.lit(as_of)
-    newest = source.agg(F.max(F.col(loaded_at).cast("timestamp")).alias("max_loaded_at"))
-    age = F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("max_loaded_at"))
+    # A literal would turn a naive time into an instant of the Python process's time zone; text is
+    # read in the session's, like a source column without a zone.
+    now = F.current_timestamp() if as_of is None else F.lit(as_of.isoformat()).cast("timestamp")
+    newest = source.agg(F.max(loaded_at).alias("max_loaded_at"))
+    loaded = F.col("max_loaded_at").cast("timestamp")
+    age = F.unix_micros(now) - F.unix_micros(loaded)
 
     def older_than(hours: int) -> Column:
         return F.col("age_micros") > hours * 3_600_000_000

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from seasonmart.functions.columns import season_start
+
 
 @dataclass(frozen=True)
 class Spine:
@@ -36,9 +38,8 @@ class Spine:
     def dates(self, now: Column | None = None) -> Column:
         """The axis as an array of dates, one per year (1 January)."""
         low, high = self.bounds(now)
-        return F.when(
-            low <= high, F.transform(F.sequence(low, high), lambda y: F.make_date(y, F.lit(1), F.lit(1)))
-        )
+        years = F.sequence(season_start(low), season_start(high), F.expr("interval 1 year"))
+        return F.when(low <= high, years)
 
 
 def time_spine_yearly(spark: SparkSession, spine: Spine = Spine()) -> DataFrame:
@@ -74,6 +75,6 @@ def running_totals(
             F.explode(F.sequence("from_year", "to_year")).alias("at_year"),
             *values,
         )
-        .withColumn(year, F.make_date("at_year", F.lit(1), F.lit(1)))
+        .withColumn(year, season_start(F.col("at_year")))
         .select(*groups, year, *values)
     )
