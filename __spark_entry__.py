@@ -166,8 +166,11 @@ def _check_accepted_values(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _check_relationships(spark: SparkSession, folder: str) -> DataFrame:
-    games, salaries = retail.game_stats(spark, folder), retail.salaries(spark, folder)
-    return checks.orphans(games, "player_id", salaries, "player_id")
+    """Player seasons without a salary record."""
+    models = Models(spark, folder)
+    seasons = marts.with_season_key(models["player_performance_analysis"], "player_season")
+    paid = marts.with_season_key(models["fct_player_salaries"], "player_salary")
+    return checks.orphans(seasons, "player_season", paid, "player_salary")
 
 
 def _check_summary(spark: SparkSession, folder: str) -> DataFrame:

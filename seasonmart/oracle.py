@@ -67,7 +67,7 @@ _RELATIONS = {
         select 'P' || o_custkey::varchar as player_id, year(o_orderdate)::int as year,
           (sum(round(o_totalprice * 100)::bigint) // 100)::bigint as salary,
           'TEAM' || (o_custkey % 10 + 1)::varchar as team_id
-        from orders where o_custkey % 11 <> 0 group by o_custkey, year(o_orderdate)""", ()),
+        from orders group by o_custkey, year(o_orderdate)""", ()),
     "lines": ("""
         select 'G' || l_orderkey::varchar || '_' || l_linenumber::varchar as game_id,
           'P' || o_custkey::varchar as player_id, l_shipdate::date as game_date,
@@ -452,9 +452,10 @@ def statements() -> dict[str, str]:
             "stg_players",
         ),
         "check_relationships": _with(
-            "select player_id as value, count(*) as n_records from raw_game_stats "
-            "where player_id not in (select player_id from raw_salaries) group by 1",
-            "raw_game_stats", "raw_salaries",
+            "select player_id || '_' || year::varchar as value, count(*) as n_records "
+            "from player_performance_analysis p where not exists (select * from raw_salaries s "
+            "where s.player_id = p.player_id and s.year = p.year) group by 1",
+            "player_performance_analysis", "raw_salaries",
         ),
         "check_summary": _with("\nunion all ".join(_declared()), *MODELS),
         "source_freshness":
