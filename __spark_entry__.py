@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from seasonmart import oracle
 from seasonmart.operators import checks
-from seasonmart.operators.totals import season_totals
 from seasonmart.plans import intermediate, marts, quality, staging
 from seasonmart.plans.metrics import metric_query
 from seasonmart.plans.project import Settings, build
@@ -74,14 +73,13 @@ class Models(Mapping[str, DataFrame]):
 
     def int_pitcher_performance_trends(self) -> DataFrame:
         return intermediate.int_pitcher_performance_trends(
-            self["stg_game_stats"], self["stg_players"]
+            self["stg_game_stats"], self["stg_players"], materialize=sinks.stage
         )
 
     def int_player_value_analysis(self) -> DataFrame:
-        # Both the seasons and the averages over them start from the totals of the games.
-        totals = sinks.stage(season_totals(self["stg_game_stats"]), "season_totals")
         return intermediate.int_player_value_analysis(
-            None, self["stg_players"], self["stg_salaries"], totals=totals
+            self["stg_game_stats"], self["stg_players"], self["stg_salaries"],
+            materialize=sinks.stage,
         )
 
     def dim_roster(self) -> DataFrame:
@@ -102,7 +100,9 @@ class Models(Mapping[str, DataFrame]):
     def pitcher_salary_analysis(self) -> DataFrame:
         # The report reads the salary facts as a table, once for the rows and once for the payroll.
         facts = sinks.stage(self["fct_player_salaries"], "fct_player_salaries")
-        return marts.pitcher_salary_analysis(facts, SETTINGS.first_report_year)
+        return marts.pitcher_salary_analysis(
+            facts, SETTINGS.first_report_year, materialize=sinks.stage
+        )
 
 
 def portable(df: DataFrame) -> DataFrame:

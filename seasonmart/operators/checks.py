@@ -92,21 +92,16 @@ def _observations(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
 
 def _parent_keys(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """The keys each relationships check may refer to, labelled with the check."""
-    referring: dict[tuple[str, str], list[str]] = {}
-    for check in checks:
-        if check.kind == RELATIONSHIPS:
-            referring.setdefault(check.parent, []).append(check.name)
+    """The keys that relationships checks refer to, each labelled with its (model, column)."""
     return reduce(
         DataFrame.union,
         (
-            models[model].select(F.col(column).cast("string").alias("value")).distinct()
-            .select(
-                F.explode(F.array(*map(F.lit, names))).alias("check_name"),
-                "value",
-                F.lit(True).alias("has_parent"),
-            )
-            for (model, column), names in referring.items()
+            models[model]
+            .select(F.lit(f"{model}.{column}").alias("parent"),
+                    F.col(column).cast("string").alias("value"))
+            .distinct()
+            .withColumn("has_parent", F.lit(True))
+            for model, column in dict.fromkeys(c.parent for c in checks)
         ),
     )
 
@@ -124,14 +119,21 @@ def check_failures(models: Mapping[str, DataFrame], checks: Sequence[Check]) ->
         DataFrame.union, (_observations(models[m], own) for m, own in by_model.items())
     )
 
-    def of_kind(kind: str) -> Column:
-        return F.col("check_name").startswith(f"{kind}_")
-
-    failing = of_kind(NOT_NULL) | of_kind(ACCEPTED_VALUES)
-    failing |= of_kind(UNIQUE) & (F.col("n_records") > 1)
-    if any(c.kind == RELATIONSHIPS for c in checks):
-        seen = seen.join(_parent_keys(models, checks), ["check_name", "value"], "left")
-        failing |= of_kind(RELATIONSHIPS) & F.col("has_parent").isNull()
+    def of_kind(*kinds: str) -> Column:
+        return F.col("check_name").isin([c.name for c in checks if c.kind in kinds])
+
+    failing = of_kind(NOT_NULL, ACCEPTED_VALUES) | of_kind(UNIQUE) & (F.col("n_records") > 1)
+    referring = [c for c in checks if c.kind == RELATIONSHIPS]
+    if referring:
+        parent = F.lit(None).cast("string")
+        for model, column in dict.fromkeys(c.parent for c in referring):
+            names = [c.name for c in referring if c.parent == (model, column)]
+            own = F.col("check_name").isin(names)
+            parent = F.when(own, F.lit(f"{model}.{column}")).otherwise(parent)
+        seen = seen.withColumn("parent", parent).join(
+            _parent_keys(models, referring), ["parent", "value"], "left"
+        )
+        failing |= F.col("parent").isNotNull() & F.col("has_parent").isNull()
     return seen.where(failing).select("check_name", "value", "n_records")
 
 

@@ -17,12 +17,13 @@ def join_group_values(
     """Attach ``values`` of a row's group to detail rows, with nulls where a key is null.
 
     ``groups`` has the groups' ``keys`` and ``open_key``, which may be null in a row to be kept.
-    Null open keys are matched too, and the values blanked afterwards. Besides keeping such rows
-    in an inner join, this changes the physical plan: for a null-safe key Spark shuffles *both*
-    sides anew, where with plain equality it would reuse the partitioning the aggregate already
-    has. A shuffle directly below the join is what AQE needs to split a hot group over many tasks,
-    by measured sizes. No side is marked for broadcast either: AQE switches to that once the
-    aggregate is written and measured as small.
+
+    If ``groups`` is read from files (``sinks.stage``), Spark knows its size before it plans: a small
+    one is broadcast and the detail rows are not shuffled at all. Otherwise null open keys are
+    what keeps a hot group from ending up in one task. They are matched too, and the values blanked
+    afterwards; for such a null-safe key Spark shuffles *both* sides anew, where with plain
+    equality it would reuse the partitioning an aggregate already has. A shuffle directly below
+    the join is what AQE needs to split a hot group over many tasks, by measured sizes.
     """
     side = groups.withColumnRenamed(open_key, "_group_key")
     for key in keys:

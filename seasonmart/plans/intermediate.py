@@ -15,6 +15,7 @@ from seasonmart.functions.columns import (
 )
 from seasonmart.operators.joins import join_group_values
 from seasonmart.operators.totals import SEASON_TOTALS, multiplied, season_totals, sums
+from seasonmart.sources.sinks import Materialize, lazy
 
 OUTING_COLUMNS = [
     "innings_pitched", "earned_runs", "hits_allowed", "walks_allowed", "strikeouts_pitched",
@@ -60,12 +61,16 @@ def _pitcher_seasons(outings: DataFrame, pitchers: DataFrame) -> DataFrame:
 
 
 def int_pitcher_performance_trends(
-    games: DataFrame, players: DataFrame, ordered: bool = False
+    games: DataFrame,
+    players: DataFrame,
+    ordered: bool = False,
+    materialize: Materialize = lazy,
 ) -> DataFrame:
     """Every outing of a pitcher with its rates, next to the totals of that pitcher's season.
 
     The game rows take part in one join only: names and totals arrive together, on
-    (player, season). That join is skew-safe, see ``join_group_values``.
+    (player, season), see ``join_group_values``. With ``materialize=stage`` the season rows are
+    written first.
     """
     innings, earned = F.col("innings_pitched"), F.col("earned_runs")
     hits, walks = F.col("hits_allowed"), F.col("walks_allowed")
@@ -80,7 +85,7 @@ def int_pitcher_performance_trends(
     season_columns = [*OUTING_TOTALS, "season_era"]
     trends = join_group_values(
         outings,
-        _pitcher_seasons(outings, pitchers),
+        materialize(_pitcher_seasons(outings, pitchers), "pitcher_seasons"),
         ["player_id"],
         "season",
         season_columns,
@@ -123,17 +128,22 @@ def int_player_value_analysis(
     salaries: DataFrame,
     ordered: bool = False,
     totals: DataFrame | None = None,
+    materialize: Materialize = lazy,
 ) -> DataFrame:
     """Player seasons compared with their position's average, priced by salary.
 
-    ``totals`` takes season totals that are already written (``season_totals``); without it they
-    are computed from ``games``, once for the seasons and once for the averages over them.
+    With ``materialize=stage`` the season totals are written before use, so that the games are
+    read once for both the seasons and the averages over them, and so are the averages.
+    ``totals`` takes season totals (``season_totals``) another model uses too.
     """
     if totals is None:
-        totals = season_totals(games)
+        totals = materialize(season_totals(games), "season_totals")
     seasons = _player_seasons(totals, players)
-    averages = seasons.groupBy("year", "position").agg(
-        *(F.avg(source).alias(name) for name, source in LEAGUE_AVERAGES.items())
+    averages = materialize(
+        seasons.groupBy("year", "position").agg(
+            *(F.avg(source).alias(name) for name, source in LEAGUE_AVERAGES.items())
+        ),
+        "position_averages",
     )
     paid = seasons.join(
         salaries.select("player_id", "year", "salary", "salary_millions"),

@@ -19,6 +19,7 @@ from seasonmart.functions.columns import (
 )
 from seasonmart.operators.joins import join_group_values
 from seasonmart.operators.totals import SEASON_TOTALS, season_totals
+from seasonmart.sources.sinks import Materialize, lazy
 
 ROSTER_TEAM = "TEAM1"
 FIRST_REPORT_YEAR = 2019
@@ -112,12 +113,16 @@ def player_performance_analysis(
 
 
 def pitcher_salary_analysis(
-    salary_facts: DataFrame, first_year: int = FIRST_REPORT_YEAR, ordered: bool = False
+    salary_facts: DataFrame,
+    first_year: int = FIRST_REPORT_YEAR,
+    ordered: bool = False,
+    materialize: Materialize = lazy,
 ) -> DataFrame:
     """Pitcher salaries next to the payroll of all pitchers of the year.
 
     Payroll in millions is summed in whole dollars and divided once, so it does not depend on
-    the order in which rows arrive.
+    the order in which rows arrive. With ``materialize=stage`` the payroll, a row per year, is
+    written before it is joined.
     """
     rows = salary_facts.where(F.col("is_pitcher") & (F.col("year") >= first_year)).select(
         "year", "player_id", "full_name", "salary", "salary_millions"
@@ -130,7 +135,8 @@ def pitcher_salary_analysis(
         F.max("salary").alias("max_salary"),
     )
     values = [c for c in by_year.columns if c != "year"]
-    report = join_group_values(rows, by_year, [], "year", values)
+    payroll = materialize(by_year, "pitcher_payroll")
+    report = join_group_values(rows, payroll, [], "year", values)
     return report.orderBy(F.desc("year"), F.desc("salary")) if ordered else report
 
 

@@ -45,8 +45,9 @@ def build(
 ) -> dict[str, DataFrame]:
     """Views for staging and intermediate models, tables for marts; returns all by name.
 
-    Season totals are written once: both season models start from them, so the game rows are
-    aggregated in one pass. Marts that build on a mart read its table.
+    Aggregates that a model joins back to its rows are written first, see ``stage``, and season
+    totals once for both season models, so views on them show the raw tables as of the build.
+    Marts that build on a mart read its table.
     """
     built: dict[str, DataFrame] = {}
 
@@ -68,12 +69,14 @@ def build(
     publish(
         "intermediate",
         "int_pitcher_performance_trends",
-        intermediate.int_pitcher_performance_trends(games, players),
+        intermediate.int_pitcher_performance_trends(games, players, materialize=stage),
     )
     publish(
         "intermediate",
         "int_player_value_analysis",
-        intermediate.int_player_value_analysis(None, players, salaries, totals=totals),
+        intermediate.int_player_value_analysis(
+            None, players, salaries, totals=totals, materialize=stage
+        ),
     )
     publish(
         "marts",
@@ -91,7 +94,7 @@ def build(
     publish(
         "marts",
         "pitcher_salary_analysis",
-        marts.pitcher_salary_analysis(facts, settings.first_report_year),
+        marts.pitcher_salary_analysis(facts, settings.first_report_year, materialize=stage),
     )
     publish("marts", "time_spine_yearly", time_spine_yearly(spark, settings.spine))
     first = publish("marts", "test", marts.literal_row(spark))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,8 @@ LAYER_SCHEMAS = {"staging": "staging", "intermediate": "intermediate", "marts":
 LAYER_STORAGE = {"staging": "view", "intermediate": "view", "marts": "table"}
 EXPORT_SCHEMA = "mart"
 
+Materialize = Callable[[DataFrame, str], DataFrame]
+
 
 @dataclass(frozen=True)
 class Target:
@@ -91,12 +94,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/seasonmart/{name}-{uuid.uuid4().hex}"
 
 
+def lazy(df: DataFrame, name: str) -> DataFrame:
+    """The alternative to ``stage``: leave the DataFrame part of the plan it is used in."""
+    return df
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a DataFrame that several branches of a plan need, and read it back.
 
     Cuts the lineage with files every executor can reach, so the branches neither recompute the
-    input nor lose it with an executor; unlike ``checkpoint`` the copy is columnar and has a known
-    size, which column pruning and the choice of join strategy use.
+    input nor lose it with an executor. Unlike ``checkpoint`` the copy is columnar, and its size is
+    known before the next plan is made: Spark broadcasts it in a join if that is below its
+    threshold, and only then.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)

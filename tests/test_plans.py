@@ -10,6 +10,7 @@ from seasonmart.operators.totals import season_totals
 from seasonmart.plans import intermediate, marts, staging
 from seasonmart.plans.metrics import metric_query
 from seasonmart.sources.schemas import RAW_SCHEMAS
+from seasonmart.sources.sinks import stage
 
 ROWS = 200_000
 HOT = "id % 3 = 0"
@@ -136,6 +137,32 @@ def test_hot_year_and_position_are_split(spark, files):
         assert report.count() == ROWS
 
 
+def test_written_small_groups_save_the_shuffle_of_detail_rows(files):
+    trends = intermediate.int_pitcher_performance_trends(
+        files["games"], files["players"], materialize=stage
+    )
+    value = intermediate.int_player_value_analysis(
+        files["games"], files["players"], files["salaries"], materialize=stage
+    )
+    facts = stage(
+        marts.fct_player_salaries(files["salaries"], files["players"], files["teams"]), "facts"
+    )
+    report = marts.pitcher_salary_analysis(facts, first_year=0, materialize=stage)
+    for df in (trends, value, report):
+        text = plan(df)
+        assert "BroadcastHashJoin" in text and "Exchange hashpartitioning(coalesce" not in text
+    assert "hashpartitioning" not in plan(trends) + plan(report)
+
+
+def test_written_large_groups_are_split(spark, files):
+    with large_tables(spark):
+        trends = intermediate.int_pitcher_performance_trends(
+            files["games"], files["players"], materialize=stage
+        )
+        text = final_plan(trends)
+        assert "SortMergeJoin(skew=true)" in text and "Broadcast" not in text
+
+
 def test_season_totals_are_summed_before_the_shuffle(files):
     text = plan(season_totals(files["games"]))
     assert text.index("HashAggregate") < text.index("Exchange") < text.index("partial_sum")
@@ -172,21 +199,15 @@ def test_metric_query_over_both_facts_has_one_aggregation_shuffle(spark, files):
         models = {
             "fct_player_salaries": marts.fct_player_salaries(
                 files["salaries"], files["players"], files["teams"]
-            ).transform(_written, "facts"),
+            ).transform(stage, "facts"),
             "player_performance_analysis": marts.player_performance_analysis(
                 files["games"], files["players"], files["salaries"]
-            ).transform(_written, "play"),
+            ).transform(stage, "play"),
         }
         text = plan(metric_query(models, ["salary_per_hit", "contract_count"], ["metric_time"]))
     assert text.count("Exchange") == 1 and "Join" not in text
 
 
-def _written(df, name):
-    from seasonmart.sources.sinks import stage
-
-    return stage(df, name)
-
-
 def test_cumulative_window_runs_on_yearly_totals(files):
     facts = marts.fct_player_salaries(files["salaries"], files["players"], files["teams"])
     text = plan(
