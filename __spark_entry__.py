@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import importlib
 from collections.abc import Callable, Mapping
 from dataclasses import replace
 from functools import partial
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -214,6 +216,16 @@ def entry(spark: SparkSession) -> DataFrame:
     return _saved("salary_by_position_and_season", spark, "/root/testdata/sf0.001")
 
 
+def _training_data(attribute: str) -> dict:
+    """What the operators for training data and the pipeline of them register, if they are here."""
+    found = {}
+    if find_spec("seasonmart.llm"):
+        found |= getattr(importlib.import_module("seasonmart.llm.queries"), attribute)
+    if find_spec("seasonmart.llm") and find_spec("corpus_pipeline"):
+        found |= getattr(importlib.import_module("corpus_pipeline"), attribute)
+    return found
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     time = "metric_time"
     return {
@@ -261,8 +273,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pass_through": _pass_through,
         "table_export": _table_export,
         "csv_scan": _csv_scan,
+        **_training_data("QUERIES"),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    return {**oracle.statements(), **_training_data("SQL")}

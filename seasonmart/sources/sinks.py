@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -72,26 +70,53 @@ def publish_table(
     return spark.table(full_name)
 
 
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="seasonmart-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
+    """The folder for intermediate tables, shared by all executors.
 
-    Only a local session, as in tests, may go without that setting.
+    The cluster names it in ``spark.checkpoint.dir``; without that setting it is the warehouse
+    directory, which executors write tables to as well.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return _local_folder()
-    raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{folder.rstrip('/')}/seasonmart/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/seasonmart/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all that this application has staged; call it once results have been written."""
+    remove(spark, shared_folder(spark))
+
+
+class Scratch:
+    """Staged tables of one computation, deleted when the ``with`` block ends.
+
+    What a result still reads after the block is staged with ``stage`` instead.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder = spark, scratch_path(spark, name)
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, name: str) -> None:
+        remove(self.spark, f"{self.folder}/{name}")
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        remove(self.spark, self.folder)
 
 
 def lazy(df: DataFrame, name: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import os
 import pytest
 
 from seasonmart.plans import quality
@@ -92,13 +93,22 @@ def test_stage_writes_to_the_shared_folder(spark):
     assert rows(df) == [(i, None) for i in range(4)]
 
 
-def test_shared_folder_must_be_named_on_a_cluster():
+def test_without_a_shared_folder_the_warehouse_is_used(spark):
     class Session:
+        sparkContext = spark.sparkContext
+
         class conf:
-            get = staticmethod({"spark.master": "spark://x"}.get)
+            get = staticmethod({"spark.sql.warehouse.dir": "file:/wh"}.get)
+
+    assert sinks.shared_folder(Session).startswith("file:/wh/seasonmart/")
+
 
-    with pytest.raises(RuntimeError):
-        sinks.shared_folder(Session)
+def test_scratch_is_deleted(spark):
+    with sinks.Scratch(spark, "x") as scratch:
+        df = scratch.stage(spark.range(4), "numbers")
+        assert df.count() == 4
+        files = df.inputFiles()
+    assert files and not any(os.path.exists(f.removeprefix("file://")) for f in files)
 
 
 def test_build(spark, csv_folder):
