@@ -4,12 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from seasonmart.llm.bpe import token_digests
 from seasonmart.llm.common import table
 from seasonmart.llm.exact_dedup import exact_dedup
 from seasonmart.llm.line_dedup import MAX_RATIO, MIN_PAGES, line_dedup
+from seasonmart.llm.mixing import OTHERS, Targets, mix, topic
 from seasonmart.llm.sharding import shard
+from seasonmart.llm.token_files import token_index
+from seasonmart.llm.topk_search import exact_top_k
+
+#: Target shares of the mixture: sources alike, languages and topics nearer to their own shares.
+TARGETS: Targets = {
+    "source": {**{f"src{i}": 1.0 for i in range(20)}, OTHERS: 1.0},
+    "lang": {"en": 0.55, "de": 0.17, "fr": 0.16, "es": 0.12},
+    "topic": {"prose": 0.9, "legal": 0.05, "contact": 0.05},
+}
+
+
+def tokenizer_file() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -17,6 +34,18 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup(docs, dropped="n_dropped").select("doc_id", "source", "n_dropped", "text")
 
 
+def op3_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    dimensions = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic("text")}
+    return mix(docs, TARGETS, dimensions).select(
+        "doc_id", *(f"mix_{c}" for c in ("source", "lang", "topic", "tokens", "weight", "probability", "kept"))
+    )
+
+
 def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard(table(spark, folder, "documents"))
 
@@ -25,10 +54,22 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(table(spark, folder, "documents"))
 
 
+def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return token_digests(table(spark, folder, "documents"), tokenizer_file())
+
+
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_index(table(spark, folder, "documents"), tokenizer_file())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_topk_search": op3_topk_search,
+    "op4_mixing": op4_mixing,
     "op5_sharding": op5_sharding,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_bpe": op7_bpe,
+    "op9_token_files": op9_token_files,
 }
 
 SQL: dict[str, str] = {
@@ -52,6 +93,24 @@ cleaned as (
 select doc_id, source, coalesce(len(lines) - len(kept), 0) as n_dropped,
     case when len(kept) = len(lines) then text else coalesce(array_to_string(kept, chr(10)), '') end as text
 from cleaned""",
+    "op3_topk_search": """
+with vectors as (
+    select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+    from embeddings
+    where embedding is not null and vec_id is not null and len(list_filter(embedding, lambda x:
+        x is null or isnan(x) or isinf(x))) = 0
+),
+scored as (
+    select q.vec_id as query_id, c.vec_id as vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+    from vectors q join vectors c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+    where q.vec_id % 50 = 0
+),
+ranked as (
+    select query_id, vec_id, score,
+        cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank
+    from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 5""",
     "op6_exact_dedup": """
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
     doc_id is not distinct from max(doc_id) over same as kept,
