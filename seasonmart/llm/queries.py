@@ -12,10 +12,12 @@ from seasonmart.llm.bpe import token_digests
 from seasonmart.llm.common import table
 from seasonmart.llm.exact_dedup import exact_dedup
 from seasonmart.llm.line_dedup import MAX_RATIO, MIN_PAGES, line_dedup
+from seasonmart.llm.lm_scoring import lm_scores
 from seasonmart.llm.mixing import OTHERS, Targets, mix, topic
 from seasonmart.llm.sharding import shard
 from seasonmart.llm.token_files import token_index
 from seasonmart.llm.topk_search import exact_top_k
+from seasonmart.llm.toxicity import toxicity
 
 #: Target shares of the mixture: sources alike, languages and topics nearer to their own shares.
 TARGETS: Targets = {
@@ -34,6 +36,10 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup(docs, dropped="n_dropped").select("doc_id", "source", "n_dropped", "text")
 
 
+def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scores(table(spark, folder, "documents"))
+
+
 def op3_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     return exact_top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -58,17 +64,23 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(table(spark, folder, "documents"), tokenizer_file())
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_index(table(spark, folder, "documents"), tokenizer_file())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_topk_search": op3_topk_search,
     "op4_mixing": op4_mixing,
     "op5_sharding": op5_sharding,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_bpe": op7_bpe,
+    "op8_toxicity": op8_toxicity,
     "op9_token_files": op9_token_files,
 }
 
