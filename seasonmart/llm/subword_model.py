@@ -182,7 +182,7 @@ def fit(
     from round to round: all windows learn at first, in the end the one that decides. One text in
     ``check_share`` is not learned from; the values of the round with the smallest loss on those
     are kept, and learning ends when that loss keeps rising. N-grams in fewer than ``min_texts``
-    texts (or 1 in 400, for few texts) are left out. The softmax of two classes depends on the difference of their weights only, which is
+    texts (1 in 80, for few texts) are left out. The softmax of two classes depends on the difference of their weights only, which is
     what is learned. With one class, or no texts, the model gives that class's share to all texts.
     """
     labels = np.asarray(labels, float)
@@ -193,7 +193,7 @@ def fit(
     if not len(texts) or len(set(labels[~checked])) < 2 or len(set(labels[checked])) < 2:
         return SubwordModel(np.zeros(BUCKETS), prior)
     learnable = [t for t, c in zip(texts, checked) if not c]
-    bags = Bags(learnable, min(min_texts, max(2, len(learnable) // 400)))
+    bags = Bags(learnable, min(min_texts, max(3, len(learnable) // 80)))
     values = {
         "vectors": rng.normal(0, 0.1, (BUCKETS, WIDTH)),
         "weights": rng.normal(0, 0.5, WIDTH),
