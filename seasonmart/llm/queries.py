@@ -14,6 +14,7 @@ from seasonmart.llm.exact_dedup import exact_dedup
 from seasonmart.llm.line_dedup import MAX_RATIO, MIN_PAGES, line_dedup
 from seasonmart.llm.lm_scoring import lm_scores
 from seasonmart.llm.mixing import OTHERS, Targets, mix, topic
+from seasonmart.llm.near_dedup import near_groups
 from seasonmart.llm.sharding import shard
 from seasonmart.llm.token_files import token_index
 from seasonmart.llm.topk_search import exact_top_k
@@ -72,6 +73,10 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_index(table(spark, folder, "documents"), tokenizer_file())
 
 
+def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_groups(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_lm_scoring": op2_lm_scoring,
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bpe": op7_bpe,
     "op8_toxicity": op8_toxicity,
     "op9_token_files": op9_token_files,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 SQL: dict[str, str] = {
