@@ -14,7 +14,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seasonmart.llm.common import bound_batches, text_or_empty
+from seasonmart.llm.common import bound_batches, fresh, text_or_empty, with_columns
 
 #: Fixed value: the pattern that splits text before merging, as byte-level tokenizer files mean it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -203,17 +203,15 @@ def _add(df: DataFrame, definition: str, steps) -> DataFrame:
     spark = df.sparkSession
     bound_batches(spark)
     shared = spark.sparkContext.broadcast(definition)
-    kinds = {"binary": pa.binary(), "string": pa.string()}
+    arrow = {"binary": pa.binary(), "string": pa.string()}
 
     def run(batches):
         found = vocabulary(shared.value)
         for name, kind, source, method in steps:
-            batches = _mapped(batches, source, getattr(found, method), name, kinds[kind])
+            batches = _mapped(batches, source, getattr(found, method), name, arrow[kind])
         return batches
 
-    extra = [f"`{name}` {kind}" for name, kind, _, _ in steps]
-    kept = [f"`{c}` {t}" for c, t in df.dtypes]
-    return df.mapInArrow(run, ", ".join(kept + extra))
+    return df.mapInArrow(run, with_columns(df, {name: kind for name, kind, _, _ in steps}))
 
 
 def read_definition(path: str) -> str:
@@ -232,19 +230,21 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     ``SHORT_WORD`` bytes take a heap instead, so a text without spaces costs n log n.
 
     Defined results: null gives null; an empty text gives no ids (an empty binary). Repeated rows
-    and extra columns stay as they are, but ``ids`` must be a new name. An empty table stays empty.
+    and other columns stay as they are; where a name is taken, the new column's gets an underscore
+    in front. An empty table stays empty.
     """
-    return _add(docs, read_definition(path), [(ids, "binary", text, "encode")])
+    return _add(docs, read_definition(path), [(fresh(docs.columns, ids), "binary", text, "encode")])
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Add ``text``: what the ids stand for, special tokens by name. Null gives null."""
-    return _add(encoded, read_definition(path), [(text, "string", ids, "decode")])
+    return _add(encoded, read_definition(path), [(fresh(encoded.columns, text), "string", ids, "decode")])
 
 
 def encode_and_decode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``encode`` followed by ``decode``, in one pass over the rows; columns ``ids``, ``decoded``."""
-    steps = [("ids", "binary", text, "encode"), ("decoded", "string", "ids", "decode")]
+    ids, decoded = (fresh(docs.columns, name) for name in ("ids", "decoded"))
+    steps = [(ids, "binary", text, "encode"), (decoded, "string", ids, "decode")]
     return _add(docs, read_definition(path), steps)
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from seasonmart.sources.sinks import Scratch
 
@@ -29,6 +30,12 @@ def fresh(taken: Iterable[str], name: str) -> str:
     return name
 
 
+def with_columns(df: DataFrame, kinds: Mapping[str, str]) -> StructType:
+    """The schema of ``df`` with more columns behind, for functions that add them to Arrow batches."""
+    added = [StructField(name, DataType.fromDDL(kind)) for name, kind in kinds.items()]
+    return StructType([*df.schema.fields, *added])
+
+
 def text_or_empty(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seasonmart.llm.common import bound_batches, text_or_empty
+from seasonmart.llm.common import bound_batches, fresh, text_or_empty, with_columns
 from seasonmart.llm.masked_model import FREQUENT, MaskedModel, Tokens, text_scores, train
 
 #: Rounds of training. Each learns from its share of the documents, then models are averaged.
@@ -118,7 +118,11 @@ def fit_model(docs: DataFrame, words: list[str], text: str = "text", rounds: int
 def with_log_probability(
     docs: DataFrame, words: list[str], model: MaskedModel, text: str = "text"
 ) -> DataFrame:
-    """Add ``n_tokens`` and ``log_prob``, the sum over a text's tokens; null counts as empty."""
+    """Add ``n_tokens`` and ``log_prob``, the sum over a text's tokens; null counts as empty.
+
+    Where a name is taken, the new column's gets an underscore in front.
+    """
+    n_tokens, log_prob = (fresh(docs.columns, name) for name in ("n_tokens", "log_prob"))
     context = docs.sparkSession.sparkContext
     shared_words, values = context.broadcast(tuple(words)), context.broadcast(model.flat())
 
@@ -127,12 +131,11 @@ def with_log_probability(
         for batch in batches:
             texts = [tokens.of("" if t is None else t) for t in batch.column(text).to_pylist()]
             scores = text_scores(found, texts) if texts else np.zeros(0)
-            yield batch.append_column("n_tokens", pa.array([len(t) for t in texts], pa.int64())).append_column(
-                "log_prob", pa.array(scores, pa.float64())
+            yield batch.append_column(n_tokens, pa.array([len(t) for t in texts], pa.int64())).append_column(
+                log_prob, pa.array(scores, pa.float64())
             )
 
-    kept = [f"`{c}` {t}" for c, t in docs.dtypes]
-    return docs.mapInArrow(run, ", ".join([*kept, "n_tokens long", "log_prob double"]))
+    return docs.mapInArrow(run, with_columns(docs, {n_tokens: "long", log_prob: "double"}))
 
 
 def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seasonmart.llm.bpe import token_digests
@@ -20,18 +20,24 @@ from seasonmart.llm.token_files import token_index
 from seasonmart.llm.topk_search import exact_top_k
 from seasonmart.llm.toxicity import toxicity
 
-#: Target shares of the mixture: sources alike, languages and topics nearer to their own shares.
+#: Target shares of the mixture: sources alike, languages and topics near their own shares.
 TARGETS: Targets = {
     "source": {**{f"src{i}": 1.0 for i in range(20)}, OTHERS: 1.0},
-    "lang": {"en": 0.55, "de": 0.17, "fr": 0.16, "es": 0.12},
-    "topic": {"prose": 0.9, "legal": 0.05, "contact": 0.05},
+    "lang": {"en": 0.55, "de": 0.16, "fr": 0.16, "es": 0.13},
+    "topic": {"prose": 0.94, "legal": 0.045, "contact": 0.015},
 }
+#: Words of a shingle in the query for near copies.
+NEAR_SHINGLE = 4
 
 
 def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def mixing_dimensions() -> dict[str, Column]:
+    return {"source": F.col("source"), "lang": F.col("lang"), "topic": topic("text")}
+
+
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return line_dedup(docs, dropped="n_dropped").select("doc_id", "source", "n_dropped", "text")
@@ -47,8 +53,7 @@ def op3_topk_search(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    dimensions = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic("text")}
-    return mix(docs, TARGETS, dimensions).select(
+    return mix(docs, TARGETS, mixing_dimensions()).select(
         "doc_id", *(f"mix_{c}" for c in ("source", "lang", "topic", "tokens", "weight", "probability", "kept"))
     )
 
@@ -74,7 +79,7 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return near_groups(table(spark, folder, "documents"))
+    return near_groups(table(spark, folder, "documents"), size=NEAR_SHINGLE)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

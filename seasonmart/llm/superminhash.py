@@ -10,7 +10,7 @@ import xxhash
 SLOTS, BANDS = 128, 32
 ROWS = SLOTS // BANDS
 #: Words of a shingle.
-SHINGLE = 4
+SHINGLE = 5
 #: Elements whose permutations are held at once.
 CHUNK = 1 << 15
 #: Words kept with their hash; beyond that the table starts anew.

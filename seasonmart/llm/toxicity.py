@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seasonmart.llm.common import bound_batches, fresh, text_or_empty
+from seasonmart.llm.common import bound_batches, fresh, text_or_empty, with_columns
 from seasonmart.llm.subword_model import SubwordModel, fit, scorer
 
 #: The classifier is fitted on at most this many labelled texts, of at most this many bytes each.
@@ -59,8 +59,7 @@ def with_score(docs: DataFrame, model: SubwordModel, text: str = "text", score:
             found = found_words.probabilities(texts) if texts else np.zeros(0)
             yield batch.append_column(score, pa.array(found, pa.float64()))
 
-    kept = [f"`{c}` {t}" for c, t in docs.dtypes]
-    return docs.mapInArrow(run, ", ".join([*kept, f"`{score}` double"]))
+    return docs.mapInArrow(run, with_columns(docs, {score: "double"}))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,0 +1,82 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from seasonmart.llm.mixing import OTHERS, mix, n_tokens, probabilities, rake, sample, topic
+from tests.llm.conftest import ODD_ROWS
+
+TARGETS = {"source": {"a": 1, "b": 1}, "lang": {"en": 3, "de": 1}, "topic": {"prose": 1, "legal": 1, OTHERS: 1}}
+
+
+def dimensions():
+    return {"source": F.col("source"), "lang": F.col("lang"), "topic": topic("text")}
+
+
+def test_raking_reaches_all_margins():
+    rng = np.random.default_rng(4)
+    observed = rng.gamma(0.5, 100, (5, 4, 3))
+    targets = [rng.random(n) + 0.1 for n in observed.shape]
+    fitted = observed * rake(observed, targets)
+    for axis, target in enumerate(targets):
+        share = fitted.sum(axis=tuple(a for a in range(3) if a != axis)) / fitted.sum()
+        assert np.allclose(share, target / target.sum(), atol=1e-8)
+    # Raking keeps the interactions of the table: cross ratios do not change.
+    ratio = lambda t: t[0, 0, 0] * t[1, 1, 0] / (t[0, 1, 0] * t[1, 0, 0])
+    assert np.isclose(ratio(fitted), ratio(observed))
+
+
+def test_empty_classes_leave_the_targets():
+    observed = np.array([[10.0, 0.0], [30.0, 0.0]])
+    fitted = observed * rake(observed, [np.array([1.0, 1.0]), np.array([1.0, 5.0])])
+    assert np.allclose(fitted, [[20, 0], [20, 0]])
+    assert not rake(np.zeros((2, 2)), [np.ones(2), np.ones(2)]).any()
+
+
+def test_probabilities():
+    observed, factors = np.array([100.0, 100.0, 0.0]), np.array([0.5, 1.5, 0.0])
+    assert np.allclose(probabilities(observed, factors, None), [1 / 3, 1, 0])
+    kept = probabilities(observed, factors, 0.75)
+    assert np.isclose((observed * kept).sum(), 150) and kept.max() <= 1
+
+
+def test_sampled_shares(spark, prose):
+    rows = []
+    for i in range(6000):
+        source, lang = ("a" if i % 5 else "b"), ("en" if i % 3 else "de")
+        rows.append((i, "w " * (i % 13) + ("a license" if i % 4 == 0 else "prose"), source, lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    kept = mix(docs, TARGETS, dimensions()).where("mix_kept").toPandas()
+    total = kept.mix_tokens.sum()
+    assert abs(kept[kept.source == "a"].mix_tokens.sum() / total - 0.5) < 0.04
+    assert abs(kept[kept.lang == "en"].mix_tokens.sum() / total - 0.75) < 0.04
+    assert abs(kept[kept.mix_topic == "legal"].mix_tokens.sum() / total - 0.5) < 0.04
+    again = sample(docs.repartition(5), TARGETS, dimensions())
+    assert again.columns == docs.columns
+    assert sorted(r.doc_id for r in again.collect()) == sorted(kept.doc_id)
+
+
+def test_odd_rows(documents):
+    docs = documents(ODD_ROWS).withColumn("lang", F.when(F.col("doc_id") > 4, "en"))
+    found = mix(docs, {**TARGETS, "lang": {"en": 1, OTHERS: 1}, "source": {"s": 1}}, dimensions(), keep_share=1.0)
+    assert found.count() == len(ODD_ROWS)
+    assert found.columns[: len(docs.columns)] == docs.columns and "_mix_kept" in found.columns
+    by_id = {r.doc_id: r for r in found.collect()}
+    assert by_id[1].mix_lang == OTHERS and by_id[1].mix_tokens == 0 and by_id[1].mix_topic == "empty"
+    assert by_id[5].mix_tokens == 6
+    empty = documents([])
+    assert sample(empty, TARGETS, dimensions()).collect() == []
+
+
+def test_arguments(documents):
+    with pytest.raises(ValueError):
+        mix(documents([]), TARGETS, {"source": F.col("source")})
+    with pytest.raises(ValueError):
+        mix(documents([]), {"source": {str(i): 1 for i in range(100_001)}}, {"source": F.col("source")})
+
+
+def test_features(documents):
+    rows = [(1, "a b\nc"), (2, "me@x.org"), (3, "MIT License"), (4, None), (5, "plain")]
+    found = documents(rows).select("doc_id", n_tokens("text").alias("n"), topic("text").alias("t")).collect()
+    assert [(r.n, r.t) for r in sorted(found)] == [
+        (3, "prose"), (1, "contact"), (2, "legal"), (0, "empty"), (1, "prose"),
+    ]
