@@ -21,6 +21,8 @@ CACHE_ENTRIES = 500_000
 CHUNK = 20_000
 #: Rounds between two looks at the loss on texts not learned from, and how often it may not fall.
 LOOK, PATIENCE = 4, 3
+#: Texts added to both counts of an n-gram, and what its log-odds are multiplied by, at the start.
+SMOOTH, HEAD_START = 5.0, 6.0
 #: Fixed value: what is stripped from the ends of a word.
 PUNCTUATION = ".,;:!?\"'()[]{}<>*#%&$/\\|-_=+~`"
 
@@ -129,6 +131,7 @@ class Bags:
         self.words = max(1, len(ids))
         sizes = np.array([len(t) for t in of_text])
         self.word = np.concatenate([np.array(t, np.int64) for t in of_text])
+        self.sizes = sizes
         first = np.cumsum(sizes) - sizes
         starts = [window_starts(n) for n in sizes]
         self.first_window = np.cumsum([0, *(len(s) for s in starts[:-1])])
@@ -153,6 +156,15 @@ class Bags:
         none = (np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.float32))
         self.gram, self.word_of_gram, self.share = map(np.concatenate, zip(none, *kept))
 
+    def log_odds(self, labels: np.ndarray) -> np.ndarray:
+        """How much more often an n-gram stands in texts of label 1, as a smoothed logarithm."""
+        ones = np.bincount(self.word, np.repeat(labels, self.sizes), self.words)
+        both = np.bincount(self.word, minlength=self.words)
+        share = ones.sum() / max(1, both.sum())
+        one = np.bincount(self.gram, ones[self.word_of_gram], BUCKETS)
+        other = np.bincount(self.gram, (both - ones)[self.word_of_gram], BUCKETS)
+        return np.log((one / share + SMOOTH) / (other / (1 - share) + SMOOTH)) * self.known
+
     def window_scores(self, gram_scores: np.ndarray) -> np.ndarray:
         of_word = np.bincount(self.word_of_gram, gram_scores[self.gram] * self.share, self.words)
         sums = np.concatenate([[0.0], np.cumsum(of_word[self.word])])
@@ -173,13 +185,14 @@ def _loss(probability: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> fl
 
 
 def fit(
-    texts: list[str], labels: list[int], rounds: int = 72, rate: float = 0.1, min_texts: int = 30,
+    texts: list[str], labels: list[int], rounds: int = 72, rate: float = 0.03, min_texts: int = 30,
     check_share: int = 5, seed: int = 1, log=None,
 ) -> SubwordModel:
     """Learn subword vectors and the softmax's weights together, by full-batch gradient steps.
 
-    A text's logit is that of its windows, weighted by a softmax over them that grows sharper
-    from round to round: all windows learn at first, in the end the one that decides. One text in
+    Vectors start along the weights, by the log-odds of their n-grams. A text's logit is that of
+    its windows, weighted by a softmax over them that grows sharper from round to round: several
+    windows learn at first, in the end the one that decides. One text in
     ``check_share`` is not learned from; the values of the round with the smallest loss on those
     are kept, and learning ends when that loss keeps rising. N-grams in fewer than ``min_texts``
     texts (1 in 80, for few texts) are left out. The softmax of two classes depends on the difference of their weights only, which is
@@ -194,26 +207,28 @@ def fit(
         return SubwordModel(np.zeros(BUCKETS), prior)
     learnable = [t for t, c in zip(texts, checked) if not c]
     bags = Bags(learnable, min(min_texts, max(3, len(learnable) // 80)))
+    weights = rng.normal(0, 0.5, WIDTH)
+    start = HEAD_START * bags.log_odds(labels[~checked])[:, None] * weights / (weights @ weights)
     values = {
-        "vectors": rng.normal(0, 0.1, (BUCKETS, WIDTH)),
-        "weights": rng.normal(0, 0.5, WIDTH),
+        "vectors": start + rng.normal(0, 0.02, (BUCKETS, WIDTH)),
+        "weights": weights,
         "bias": np.array(prior),
     }
     first = {k: np.zeros_like(v) for k, v in values.items()}
     second = {k: np.zeros_like(v) for k, v in values.items()}
     # Rare positives weigh more, half-way to equal classes.
     weight = np.where(labels > 0, 0.5 / share + 0.5, 0.5 / (1 - share) + 0.5)
-    learned, weights = labels[~checked], weight[~checked] / (~checked).sum()
+    learned, counted = labels[~checked], weight[~checked] / (~checked).sum()
     control = [t for t, c in zip(texts, checked) if c]
     best, best_loss, worse = SubwordModel(np.zeros(BUCKETS), prior), math.inf, 0
     for step in range(1, rounds + 1):
         score = bags.window_scores(values["vectors"] @ values["weights"])
-        sharp = 0.5 + 4.5 * step / rounds
+        sharp = 4 + 3 * step / rounds
         top = np.maximum.reduceat(score, bags.first_window)
         chosen = np.exp(sharp * (score - top[bags.window_text]))
         chosen /= np.add.reduceat(chosen, bags.first_window)[bags.window_text]
         logit = np.add.reduceat(chosen * score, bags.first_window) + values["bias"]
-        error = (_sigmoid(logit) - learned) * weights
+        error = (_sigmoid(logit) - learned) * counted
         by_gram = bags.to_grams(chosen * error[bags.window_text])
         slopes = {
             "vectors": by_gram[:, None] * values["weights"],
@@ -234,7 +249,7 @@ def fit(
             if loss < best_loss:
                 best, best_loss = model, loss
             if log:
-                log(step, round(loss, 4), round(_loss(_sigmoid(logit), learned, weights), 4))
+                log(step, round(loss, 4), round(_loss(_sigmoid(logit), learned, counted), 4))
             if worse > PATIENCE:
                 break
     return best
