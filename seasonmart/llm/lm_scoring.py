@@ -147,7 +147,7 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     pseudo-likelihood of a text is the sum of its tokens' conditional log-probabilities.
 
     Defined results: null and empty texts have 0 tokens, log_prob 0 and a null mean. Repeated rows
-    score alike. Words of equal frequency enter the vocabulary in the order of their letters. An
+    score alike, up to the rounding of single precision. Words of equal frequency enter the vocabulary in the order of their letters. An
     empty table gives an empty result. Other columns are left out.
     """
     bound_batches(docs.sparkSession)

@@ -56,8 +56,8 @@ def test_empty(spark):
 
 
 def test_large_components(spark):
-    df = spark.createDataFrame([(0, [3e7, 1.0], "", ""), (1, [3e7, -1.0], "", "")], SCHEMA)
-    assert exact_top_k(df, F.col("vec_id") == 0).first().score == (256 * 30_000_000) ** 2 - 256**2
+    df = spark.createDataFrame([(0, [3e6, 1.0], "", ""), (1, [3e6, -1.0], "", "")], SCHEMA)
+    assert exact_top_k(df, F.col("vec_id") == 0).first().score == (256 * 3_000_000) ** 2 - 256**2
     with pytest.raises(Exception, match="may not fit"):
         wide = spark.createDataFrame([(0, [3e14], "", ""), (1, [3e14], "", "")], SCHEMA)
         exact_top_k(wide, F.col("vec_id") == 0).collect()
