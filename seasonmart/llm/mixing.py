@@ -21,17 +21,25 @@ Targets = Mapping[str, Mapping[str, float]]
 
 
 def n_tokens(text: str) -> Column:
-    """Words of a text, as a measure of its tokens; 0 for null."""
-    return F.regexp_count(text_or_empty(text), F.lit(r"\S+")).cast("long")
+    """Words of a text, as a measure of its tokens: spaces and line feeds plus one, 0 if empty."""
+    value = text_or_empty(text)
+    breaks = F.lit(0)
+    for mark in (" ", "\n"):
+        breaks += F.octet_length(value) - F.octet_length(F.replace(value, F.lit(mark), F.lit("")))
+    return F.when(value == "", 0).otherwise(breaks + 1).cast("long")
 
 
 def topic(text: str) -> Column:
     """A coarse topic by marks in the text: 'legal', 'contact', 'empty' or 'prose'."""
     value = text_or_empty(text)
+
+    def has(*marks: str) -> Column:
+        return reduce(lambda a, b: a | b, (value.contains(mark) for mark in marks))
+
     return (
         F.when(F.trim(value) == "", "empty")
-        .when(value.rlike("(?i:licen[cs]e|copyright|rights reserved)"), "legal")
-        .when(value.rlike(r"\w@\w|https?://|\+?\d[\d -]{7,}\d"), "contact")
+        .when(has("icense", "icence", "opyright", "ights reserved"), "legal")
+        .when(has("@", "http://", "https://"), "contact")
         .otherwise("prose")
     )
 
@@ -115,15 +123,15 @@ def mix(
     if set(targets) != set(dimensions):
         raise ValueError("targets and dimensions must have the same names")
     names = list(dimensions)
+    classes = {d: [*(c for c in targets[d] if c != OTHERS), OTHERS] for d in names}
+    shape = [len(classes[d]) for d in names]
+    if np.prod(shape) > MAX_CELLS:
+        raise ValueError(f"targets have over {MAX_CELLS} combinations")
     column = {c: fresh(docs.columns, f"mix_{c}") for c in ["tokens", *names, "weight", "probability", "kept"]}
     marked = docs.withColumns(
         {column["tokens"]: n_tokens(text)}
         | {column[d]: _classed(dimensions[d].cast("string"), targets[d]) for d in names}
     )
-    classes = {d: [*(c for c in targets[d] if c != OTHERS), OTHERS] for d in names}
-    shape = [len(classes[d]) for d in names]
-    if np.prod(shape) > MAX_CELLS:
-        raise ValueError(f"targets have over {MAX_CELLS} combinations")
 
     observed = np.zeros(shape)
     sums = marked.groupBy(*(column[d] for d in names)).agg(F.sum(column["tokens"]).alias("n"))
