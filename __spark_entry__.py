@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import importlib
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import replace
 from functools import partial
@@ -12,12 +13,12 @@ from importlib.util import find_spec
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasonmart import oracle
-from seasonmart.operators import checks
+import season_oracle as oracle
+from seasonmart.operators import checks, spine
 from seasonmart.plans import intermediate, marts, quality, staging
 from seasonmart.plans.metrics import metric_query
 from seasonmart.plans.project import Settings, build
-from seasonmart.plans.saved_queries import SAVED_QUERIES, saved_query
+from seasonmart.plans.saved_queries import SAVED_QUERIES, export_saved_query, saved_query
 from seasonmart.sources import retail, sinks, tables
 
 # The models' defaults are set for seasons around the present; the test tables cover 1995 to 2001.
@@ -148,9 +149,7 @@ def _entity_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 def _time_spine(spark: SparkSession, folder: str) -> DataFrame:
     """The axis up to the last season that has games."""
-    games = retail.game_stats(spark, folder)
-    last = games.agg(F.max("game_date").alias("last_game"))
-    return last.select(F.explode(SETTINGS.spine.dates(F.col("last_game"))).alias("date_year"))
+    return spine.time_spine_yearly(spark, SETTINGS.spine, retail.last_game(spark, folder))
 
 
 def _check_unique(spark: SparkSession, folder: str) -> DataFrame:
@@ -176,11 +175,35 @@ def _check_relationships(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _check_summary(spark: SparkSession, folder: str) -> DataFrame:
-    """All models built in order, marts as tables, then every declared check run on them."""
-    raw = retail.raw_tables(spark, folder)
-    raw = replace(raw, game_stats=sinks.stage(raw.game_stats, "raw_game_stats"))
-    target = sinks.Target(folder=sinks.scratch_path(spark, "marts"))
-    return quality.run_checks(build(spark, raw, target, SETTINGS))
+    """All models built in order as tables, then every declared check run on them."""
+    with sinks.own_target(spark, "check_summary") as target:
+        models = build(spark, retail.raw_tables(spark, folder), target, SETTINGS)
+        return sinks.stage(quality.run_checks(models), "check_summary")
+
+
+# Checks that find something by the nature of the tables, and two that do not.
+FAILING_CHECKS = tuple(
+    checks.Check(model, column, kind, () if isinstance(more, str) else more,
+                 (more, "player_id") if isinstance(more, str) else None)
+    for kind, model, column, more in oracle.FAILING_CHECKS
+)
+
+
+def _check_failures(spark: SparkSession, folder: str) -> DataFrame:
+    return checks.check_failures(Models(spark, folder), FAILING_CHECKS)
+
+
+def _check_summary_with_failures(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.run_checks(Models(spark, folder), FAILING_CHECKS)
+
+
+def _check_failing_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored rows of a check that fails."""
+    check = FAILING_CHECKS[0]
+    with sinks.own_target(spark, "failing_rows") as target:
+        quality.run_and_store_checks(Models(spark, folder), target, [check])
+        stored = spark.table(target.table_name(quality.FAILURE_SCHEMA, check.name))
+        return sinks.stage(stored.select("player_id", "year", "salary"), "failing_rows")
 
 
 def _source_freshness(spark: SparkSession, folder: str) -> DataFrame:
@@ -189,8 +212,9 @@ def _source_freshness(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _view_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    sinks.publish_view(Models(spark, folder)["stg_players"], "stg_players")
-    return spark.table("stg_players")
+    name = f"stg_players_{uuid.uuid4().hex}"
+    sinks.publish_view(Models(spark, folder)["stg_players"], name)
+    return spark.table(name)
 
 
 def _pass_through(spark: SparkSession, folder: str) -> DataFrame:
@@ -198,17 +222,18 @@ def _pass_through(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _table_export(spark: SparkSession, folder: str) -> DataFrame:
-    """A saved query written as a table and read back."""
-    result = saved_query(Models(spark, folder), PAYROLL_EXPORT, SETTINGS.spine)
-    target = sinks.Target(folder=sinks.scratch_path(spark, "export"))
-    return sinks.publish_table(result, PAYROLL_EXPORT, target, sinks.EXPORT_SCHEMA)
+    """A saved query exported as a table and read back."""
+    with sinks.own_target(spark, "table_export") as target:
+        exported = export_saved_query(Models(spark, folder), PAYROLL_EXPORT, target, SETTINGS.spine)
+        return sinks.stage(exported, "table_export")
 
 
-def _csv_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw salaries written as CSV with a header and read with the fixed types."""
-    path = sinks.scratch_path(spark, "raw_salaries")
-    retail.salaries(spark, folder).write.option("header", True).csv(path)
-    return tables.read_csv(spark, path, "raw_salaries")
+def _csv_scan(table: str, spark: SparkSession, folder: str) -> DataFrame:
+    """A raw table written as CSV with a header and read with the fixed types."""
+    path = sinks.scratch_path(spark, table)
+    derived = getattr(retail.raw_tables(spark, folder), table.removeprefix("raw_"))
+    derived.write.option("header", True).csv(path)
+    return portable(tables.read_csv(spark, path, table))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -249,6 +274,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "performance_metrics_by_roster_league": partial(
             _metrics, PERFORMANCE_METRICS, ("player__league", "player__is_pitcher")
         ),
+        "performance_metrics_by_roster_team": partial(
+            _metrics, PERFORMANCE_METRICS, ("player__team_name", "player__division")
+        ),
         "cumulative_salary": partial(_metrics, ("cumulative_salary",), (time,)),
         "cumulative_salary_by_team": partial(
             _metrics, ("cumulative_salary",), ("player_salary__team_name", time)
@@ -268,11 +296,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_accepted_values": _check_accepted_values,
         "check_relationships": _check_relationships,
         "check_summary": _check_summary,
+        "check_summary_with_failures": _check_summary_with_failures,
+        "check_failures": _check_failures,
+        "check_failing_rows": _check_failing_rows,
         "source_freshness": _source_freshness,
         "view_roundtrip": _view_roundtrip,
         "pass_through": _pass_through,
         "table_export": _table_export,
-        "csv_scan": _csv_scan,
+        "csv_scan": partial(_csv_scan, "raw_salaries"),
+        "csv_scan_games": partial(_csv_scan, "raw_game_stats"),
         **_training_data("QUERIES"),
     }
 

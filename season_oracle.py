@@ -8,11 +8,59 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from seasonmart.functions.columns import LEAGUE_CODES, POSITION_CODES
-
-AS_OF, FLAG_YEAR, FIRST_YEAR = "2001-12-31", 1998, 1995
+AS_OF, FLAG_YEAR, FIRST_YEAR = "2001-12-31", 1998, 1998
 SPINE_FIRST, SPINE_END = 1990, 2030
 
+# Fixed values, spelled out here so that a wrong code in the models does not go unnoticed.
+POSITION_CODES = {
+    "Pitcher": "P", "Catcher": "C", "First Base": "1B", "Second Base": "2B", "Third Base": "3B",
+    "Shortstop": "SS", "Left Field": "LF", "Center Field": "CF", "Right Field": "RF",
+}
+LEAGUE_CODES = {"National": "NL", "American": "AL"}
+
+# The declared checks as kind, model, columns, and the values or parent model.
+DECLARED_CHECKS = (
+    ("unique", "stg_players", "player_id", ()),
+    ("unique", "stg_teams", "team_id", ()),
+    ("unique", "dim_roster", "player_id", ()),
+    ("not_null", "stg_players", "player_id full_name position position_abbreviation", ()),
+    ("not_null", "stg_salaries", "player_id year salary salary_millions", ()),
+    ("not_null", "stg_teams", "team_id team_name league division", ()),
+    ("not_null", "stg_game_stats", "game_id player_id game_date", ()),
+    ("not_null", "int_pitcher_performance_trends", "player_id game_date", ()),
+    ("not_null", "int_player_value_analysis", "player_id year", ()),
+    ("not_null", "dim_roster", "player_id full_name position", ()),
+    ("not_null", "fct_player_salaries", "player_id year salary salary_millions", ()),
+    ("not_null", "player_performance_analysis", "player_id year", ()),
+    ("not_null", "pitcher_salary_analysis", "player_id year salary", ()),
+    ("accepted_values", "stg_players", "position", (
+        "Pitcher", "Catcher", "First Base", "Second Base", "Third Base", "Shortstop", "Left Field",
+        "Center Field", "Right Field")),
+    ("accepted_values", "stg_players", "position_abbreviation", (
+        "P", "C", "1B", "2B", "3B", "SS", "LF", "CF", "RF")),
+    ("accepted_values", "stg_teams", "league", ("National", "American")),
+    ("accepted_values", "int_pitcher_performance_trends", "quality_start", (0, 1)),
+    ("accepted_values", "dim_roster", "is_pitcher", (True, False)),
+    ("accepted_values", "fct_player_salaries", "is_pitcher", (True, False)),
+    ("relationships", "stg_salaries", "player_id", "stg_players"),
+    ("relationships", "stg_game_stats", "player_id", "stg_players"),
+    ("relationships", "int_pitcher_performance_trends", "player_id", "stg_players"),
+    ("relationships", "int_player_value_analysis", "player_id", "stg_players"),
+    ("relationships", "fct_player_salaries", "player_id", "dim_roster"),
+    ("relationships", "player_performance_analysis", "player_id", "dim_roster"),
+    ("relationships", "pitcher_salary_analysis", "player_id", "dim_roster"),
+)
+# Checks that find something on the test tables, and two that do not.
+FAILING_CHECKS = (
+    ("unique", "stg_salaries", "player_id", ()),
+    ("not_null", "int_player_value_analysis", "era", ()),
+    ("accepted_values", "stg_players", "position", ("Pitcher", "Catcher")),
+    ("relationships", "player_performance_analysis", "player_id", "stg_salaries"),
+    ("relationships", "stg_salaries", "player_id", "player_performance_analysis"),
+    ("unique", "stg_players", "player_id", ()),
+    ("not_null", "stg_players", "position", ()),
+)
+
 
 def _case(column: str, codes: dict[str, str]) -> str:
     branches = " ".join(f"when '{k}' then '{v}'" for k, v in codes.items())
@@ -337,8 +385,8 @@ def _per(count: str) -> str:
     return f"coalesce(pay, 0)::double / nullif(coalesce({count}, 0), 0)"
 
 
-def _check(model: str, column: str, kind: str, values=(), parent: str = "") -> str:
-    """The number of failures of one declared check."""
+def _check(kind: str, model: str, column: str, more=()) -> str:
+    """The number of failures of one check."""
     match kind:
         case "unique":
             failing = f"(select {column} from {model} where {column} is not null " \
@@ -346,11 +394,10 @@ def _check(model: str, column: str, kind: str, values=(), parent: str = "") -> s
         case "not_null":
             failing = f"{model} where {column} is null"
         case "accepted_values":
-            allowed = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
-            failing = f"(select distinct {column} from {model} where {column} not in ({allowed}))"
+            failing = f"(select distinct {column} from {model} where {column} not in ({_list(more)}))"
         case _:
             failing = f"{model} where {column} not in " \
-                      f"(select player_id from {parent} where player_id is not null)"
+                      f"(select player_id from {more} where player_id is not null)"
     return (
         f"select '{kind}_{model}_{column}' as check_name, '{model}' as model, "
         f"'{column}' as column_name, '{kind}' as kind, count(*)::bigint as failures, "
@@ -358,13 +405,33 @@ def _check(model: str, column: str, kind: str, values=(), parent: str = "") -> s
     )
 
 
-def _declared() -> list[str]:
-    from seasonmart.plans.quality import DECLARED_CHECKS
+def _list(values) -> str:
+    return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+
+
+def _summary(checks) -> str:
+    return "\nunion all ".join(
+        _check(kind, model, column, more)
+        for kind, model, columns, more in checks for column in columns.split()
+    )
+
 
-    return [
-        _check(c.model, c.column, c.kind, c.values, c.parent[0] if c.parent else "")
-        for c in DECLARED_CHECKS
-    ]
+def _failing_values(kind: str, model: str, column: str, more) -> str:
+    """The values that violate one check, with their rows."""
+    having = ""
+    match kind:
+        case "unique":
+            where, having = f"{column} is not null", "having count(*) > 1"
+        case "not_null":
+            where = f"{column} is null"
+        case "accepted_values":
+            where = f"{column} not in ({_list(more)})"
+        case _:
+            where = f"{column} not in (select player_id from {more} where player_id is not null)"
+    return (
+        f"select '{kind}_{model}_{column}' as check_name, {column}::varchar as value, "
+        f"count(*) as n_records from {model} where {where} group by {column} {having}"
+    )
 
 
 def statements() -> dict[str, str]:
@@ -408,6 +475,11 @@ def statements() -> dict[str, str]:
             _ON_ROSTER.format("player_performance_analysis", "league as lg, is_pitcher as ip"),
             "dim_roster",
         ),
+        "performance_metrics_by_roster_team": _play(
+            {"player__team_name": "d.tn", "player__division": "d.dv"}, _PLAY_ALL,
+            _ON_ROSTER.format("player_performance_analysis", "team_name as tn, division as dv"),
+            "dim_roster",
+        ),
         "cumulative_salary": _cumulative(
             "fct_player_salaries", "cumulative_salary", "salary", None),
         "cumulative_salary_by_team": _cumulative(
@@ -457,7 +529,13 @@ def statements() -> dict[str, str]:
             "where s.player_id = p.player_id and s.year = p.year) group by 1",
             "player_performance_analysis", "raw_salaries",
         ),
-        "check_summary": _with("\nunion all ".join(_declared()), *MODELS),
+        "check_summary": _with(_summary(DECLARED_CHECKS), *MODELS),
+        "check_summary_with_failures": _with(_summary(FAILING_CHECKS), *MODELS),
+        "check_failures": _with(
+            "\nunion all ".join(_failing_values(*check) for check in FAILING_CHECKS), *MODELS),
+        "check_failing_rows": _with(
+            "select player_id, year, salary from stg_salaries where player_id in "
+            "(select player_id from stg_salaries group by 1 having count(*) > 1)", "stg_salaries"),
         "source_freshness":
             "select max(ts) as max_loaded_at, "
             "(epoch_us(timestamp '2024-02-01') - epoch_us(max(ts))) / 3600000000 as age_hours, "
@@ -469,5 +547,8 @@ def statements() -> dict[str, str]:
         "pass_through": _model("stg_teams"),
         "table_export": _pay({"player_salary__league": "league", **pay_year}, payroll),
         "csv_scan": _with("select * from raw_salaries", "raw_salaries"),
+        "csv_scan_games": _with(
+            "select * replace (innings_pitched::double as innings_pitched) from raw_game_stats",
+            "raw_game_stats"),
     }
     return sql

@@ -61,6 +61,21 @@ def orphans(
     return _value_counts(known, column).join(keys, "value", "left_anti")
 
 
+def failing_rows(models: Mapping[str, DataFrame], check: Check) -> DataFrame:
+    """The rows of a model that violate a check, with all their columns."""
+    df, column = models[check.model], F.col(check.column)
+    if check.kind == NOT_NULL:
+        return null_rows(df, check.column)
+    if check.kind == ACCEPTED_VALUES:
+        return df.where(~column.isin(list(check.values)))
+    if check.kind == UNIQUE:
+        values = repeated_values(df, check.column)
+    else:
+        model, parent_column = check.parent
+        values = orphans(df, check.column, models[model], parent_column)
+    return df.join(values.select(F.col("value").alias(check.column)), check.column, "left_semi")
+
+
 def _observation(check: Check) -> Column:
     """What a row has to say about a check, or null if nothing."""
     column = F.col(check.column)

@@ -42,8 +42,13 @@ class Spine:
         return F.when(low <= high, years)
 
 
-def time_spine_yearly(spark: SparkSession, spine: Spine = Spine()) -> DataFrame:
-    return spark.range(1).select(F.explode(spine.dates()).alias("date_year"))
+def time_spine_yearly(
+    spark: SparkSession, spine: Spine = Spine(), last: DataFrame | None = None
+) -> DataFrame:
+    """The axis as a table, up to now or to the date in the only row and column of ``last``."""
+    if last is None:
+        return spark.range(1).select(F.explode(spine.dates()).alias("date_year"))
+    return last.select(F.explode(spine.dates(F.col(last.columns[0]))).alias("date_year"))
 
 
 def running_totals(

@@ -58,13 +58,14 @@ def fct_player_salaries(
     """Salaries with player and team attributes.
 
     Both joins keep the salary side and are left to Spark: it broadcasts a dimension it has
-    measured as small, and splits a hot team or player of a large one.
+    measured as small, and splits a hot team or player of a large one. Players come second, so
+    that a later join by player finds the rows partitioned for it.
     """
     named = players.select("player_id", "full_name", "position", "position_abbreviation")
     placed = teams.select("team_id", "team_name", "league", "division")
     return (
-        salaries.join(named, "player_id", "left")
-        .join(placed, "team_id", "left")
+        salaries.join(placed, "team_id", "left")
+        .join(named, "player_id", "left")
         .select(
             "player_id", "full_name", "position", "position_abbreviation", "year", "salary",
             "salary_millions", "team_name", "league", "division",

@@ -10,14 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from seasonmart.operators.spine import Spine, time_spine_yearly
 from seasonmart.operators.totals import season_totals
 from seasonmart.plans import intermediate, marts, staging
-from seasonmart.sources.sinks import (
-    LAYER_SCHEMAS,
-    LAYER_STORAGE,
-    Target,
-    publish_table,
-    publish_view,
-    stage,
-)
+from seasonmart.sources.sinks import LAYER_SCHEMAS, Scratch, Target, publish_table
 from seasonmart.sources.tables import RawTables
 
 
@@ -43,19 +36,17 @@ def build(
     target: Target = Target(),
     settings: Settings = Settings(),
 ) -> dict[str, DataFrame]:
-    """Views for staging and intermediate models, tables for marts; returns all by name.
+    """Publish all models as tables in the schemas of their layers, and return them by name.
 
-    Aggregates that a model joins back to its rows are written first, see ``stage``, and season
-    totals once for both season models, so views on them show the raw tables as of the build.
-    Marts that build on a mart read its table.
+    Each model is built on the tables published before it, so all of them show the raw tables as
+    of this build, and nothing is computed twice. Staging and intermediate models are tables
+    too: Spark keeps a view beyond the session only if it is SQL text, and a view over tables
+    that were frozen earlier would mix two states of the raw tables.
     """
     built: dict[str, DataFrame] = {}
 
     def publish(layer: str, name: str, df: DataFrame) -> DataFrame:
-        if LAYER_STORAGE[layer] == "view":
-            built[name] = publish_view(df, name)
-        else:
-            built[name] = publish_table(df, name, target, LAYER_SCHEMAS[layer])
+        built[name] = publish_table(df, name, target, LAYER_SCHEMAS[layer])
         return built[name]
 
     players = publish("staging", "stg_players", staging.stg_players(raw.players))
@@ -64,38 +55,40 @@ def build(
         "staging", "stg_salaries", staging.stg_salaries(raw.salaries, settings.flag_year)
     )
     games = publish("staging", "stg_game_stats", staging.stg_game_stats(raw.game_stats))
-    totals = stage(season_totals(games), "season_totals")
-
-    publish(
-        "intermediate",
-        "int_pitcher_performance_trends",
-        intermediate.int_pitcher_performance_trends(games, players, materialize=stage),
-    )
-    publish(
-        "intermediate",
-        "int_player_value_analysis",
-        intermediate.int_player_value_analysis(
-            None, players, salaries, totals=totals, materialize=stage
-        ),
-    )
-    publish(
-        "marts",
-        "dim_roster",
-        marts.dim_roster(players, teams, settings.as_of, settings.roster_team),
-    )
-    facts = publish(
-        "marts", "fct_player_salaries", marts.fct_player_salaries(salaries, players, teams)
-    )
-    publish(
-        "marts",
-        "player_performance_analysis",
-        marts.player_performance_analysis(None, players, salaries, totals=totals),
-    )
-    publish(
-        "marts",
-        "pitcher_salary_analysis",
-        marts.pitcher_salary_analysis(facts, settings.first_report_year, materialize=stage),
-    )
+    with Scratch(spark, "build") as scratch:
+        totals = scratch.stage(season_totals(games), "season_totals")
+        publish(
+            "intermediate",
+            "int_pitcher_performance_trends",
+            intermediate.int_pitcher_performance_trends(games, players, materialize=scratch.stage),
+        )
+        publish(
+            "intermediate",
+            "int_player_value_analysis",
+            intermediate.int_player_value_analysis(
+                None, players, salaries, totals=totals, materialize=scratch.stage
+            ),
+        )
+        publish(
+            "marts",
+            "dim_roster",
+            marts.dim_roster(players, teams, settings.as_of, settings.roster_team),
+        )
+        facts = publish(
+            "marts", "fct_player_salaries", marts.fct_player_salaries(salaries, players, teams)
+        )
+        publish(
+            "marts",
+            "player_performance_analysis",
+            marts.player_performance_analysis(None, players, salaries, totals=totals),
+        )
+        publish(
+            "marts",
+            "pitcher_salary_analysis",
+            marts.pitcher_salary_analysis(
+                facts, settings.first_report_year, materialize=scratch.stage
+            ),
+        )
     publish("marts", "time_spine_yearly", time_spine_yearly(spark, settings.spine))
     first = publish("marts", "test", marts.literal_row(spark))
     publish("marts", "test_2", marts.pass_through(first))

@@ -15,6 +15,7 @@ from seasonmart.operators.checks import (
     Check,
     check_failures,
     check_summary,
+    failing_rows,
 )
 from seasonmart.sources.sinks import Target, publish_table
 
@@ -75,13 +76,19 @@ def run_and_store_checks(
     target: Target = Target(),
     checks: Sequence[Check] = DECLARED_CHECKS,
 ) -> DataFrame:
-    """Run checks, store failing values and the summary as tables, and return the summary.
+    """Run checks, store failing values, failing rows and the summary, and return the summary.
 
-    Violations are warnings: the run goes on whatever the checks find.
+    Each check that finds something gets a table of its own with the rows concerned, named like
+    the check. Violations are warnings: the run goes on whatever the checks find.
     """
     failures = publish_table(
         check_failures(models, checks), "check_failures", target, FAILURE_SCHEMA
     )
-    return publish_table(
+    summary = publish_table(
         check_summary(failures, checks), "check_summary", target, FAILURE_SCHEMA
     )
+    warned = {r.check_name for r in summary.where("status = 'warn'").collect()}  # a row per check
+    for check in checks:
+        if check.name in warned:
+            publish_table(failing_rows(models, check), check.name, target, FAILURE_SCHEMA)
+    return summary

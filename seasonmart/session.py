@@ -52,8 +52,7 @@ def local_session(cores: int, app: str = "seasonmart", memory: str = "8g", **con
         .config("spark.sql.shuffle.partitions", str(cores))
         # Recording the Python call site of every column costs several calls into the JVM each.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC")
     )
-    for key, value in conf.items():
+    for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

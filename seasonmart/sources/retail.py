@@ -152,3 +152,9 @@ def raw_tables(spark: SparkSession, folder: str) -> RawTables:
         salaries(spark, folder),
         game_stats(spark, folder),
     )
+
+
+def last_game(spark: SparkSession, folder: str) -> DataFrame:
+    """The date of the last game, in one row; every order line is a game, so no join is needed."""
+    lines = _table(spark, folder, "lineitem")
+    return lines.agg(F.max("l_shipdate").cast("date").alias("last_game"))

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The schema and the storage form of each model layer.
+# The schema of each model layer.
 LAYER_SCHEMAS = {"staging": "staging", "intermediate": "intermediate", "marts": "mart"}
-LAYER_STORAGE = {"staging": "view", "intermediate": "view", "marts": "table"}
 EXPORT_SCHEMA = "mart"
 
 Materialize = Callable[[DataFrame, str], DataFrame]
@@ -39,6 +41,7 @@ class Target:
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:
+    """A view of this session: Spark can keep a view beyond it for SQL text only, not a DataFrame."""
     df.createOrReplaceTempView(name)
     return df
 
@@ -70,6 +73,28 @@ def publish_table(
     return spark.table(full_name)
 
 
+@contextmanager
+def own_target(spark: SparkSession, name: str) -> Iterator[Target]:
+    """A schema and folder that nobody else uses, both dropped when the ``with`` block ends."""
+    schema, folder = f"{name}_{uuid.uuid4().hex}", scratch_path(spark, name)
+    try:
+        yield Target(schema=schema, folder=folder)
+    finally:
+        spark.sql(f"drop database if exists `{schema}` cascade")
+        remove(spark, folder)
+
+
+@functools.cache
+def _release_at_exit(application: str) -> None:
+    atexit.register(_release_active)
+
+
+def _release_active() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark and spark.sparkContext._jsc:
+        release(spark)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables, shared by all executors.
 
@@ -77,7 +102,9 @@ def shared_folder(spark: SparkSession) -> str:
     directory, which executors write tables to as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{folder.rstrip('/')}/seasonmart/{spark.sparkContext.applicationId}"
+    application = spark.sparkContext.applicationId
+    _release_at_exit(application)
+    return f"{folder.rstrip('/')}/seasonmart/{application}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -91,7 +118,10 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Delete all that this application has staged; call it once results have been written."""
+    """Delete all that this application has staged; call it once results have been written.
+
+    It also happens when the driver's Python ends.
+    """
     remove(spark, shared_folder(spark))
 
 

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from seasonmart import oracle
+import season_oracle as oracle
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem", "events")

@@ -12,7 +12,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from seasonmart import oracle
+import season_oracle as oracle
 from seasonmart.functions.columns import POSITION_CODES
 from seasonmart.plans import intermediate, marts, staging
 from seasonmart.sources.schemas import COUNTS, PITCHING_COUNTS, RAW_SCHEMAS

@@ -10,10 +10,10 @@ from seasonmart.sources.sinks import Target, publish_table, publish_view, stage
 from tests.conftest import rows
 
 CSV = {
-    "raw_players": "P1,Ann,Lee,Pitcher,1990-05-15,75,210,Right,Left\n",
+    "raw_players": "P1,Ann,Lee,Pitcher,1999-12-31,80,190,Left,Left\n",
     "raw_teams": "TEAM1,Owls,Rome,NY,National,East\n",
-    "raw_salaries": "P1,2023,4500000,TEAM1\nP1,2022,,TEAM1\n",
-    "raw_game_stats": "G1,P1,2023-04-01,TEAM2,0,0,0,0,0,0,0,0,6.2,2,5,2,8,1,0,0\n",
+    "raw_salaries": "P1,2023,3000000,TEAM1\nP1,2022,,TEAM1\n",
+    "raw_game_stats": "G1,P1,2023-09-09,TEAM3,0,0,0,0,0,0,0,0,4.5,1,7,3,9,1,0,0\n",
 }
 
 
@@ -28,8 +28,8 @@ def csv_folder(tmp_path):
 def test_csv_tables(spark, csv_folder):
     raw = tables.csv_tables(spark, str(csv_folder))
     assert raw.game_stats.schema == RAW_SCHEMAS["raw_game_stats"]
-    assert rows(raw.salaries, "year", "salary") == [(2022, None), (2023, 4_500_000)]
-    assert str(raw.game_stats.first().innings_pitched) == "6.2"
+    assert rows(raw.salaries, "year", "salary") == [(2022, None), (2023, 3_000_000)]
+    assert str(raw.game_stats.first().innings_pitched) == "4.5"
 
 
 def test_csv_with_another_header_or_a_bad_value_is_refused(spark, csv_folder):
@@ -115,18 +115,18 @@ def test_build(spark, csv_folder):
     raw = tables.csv_tables(spark, str(csv_folder))
     built = build(spark, raw, Target("prod"), Settings())
     assert len(built) == 13
-    assert rows(spark.table("stg_teams"), "full_team_name") == [("Rome Owls",)]
+    assert rows(spark.table("staging.stg_teams"), "full_team_name") == [("Rome Owls",)]
     assert rows(spark.table("mart.player_performance_analysis"), "season_era", "cost_per_win") == [
-        (2, 4_500_000)
+        (2, 3_000_000)
     ]
-    assert rows(spark.table("int_player_value_analysis"), "value_score", "value_efficiency") == [
-        (0, 0)
+    assert rows(spark.table("intermediate.int_player_value_analysis"), "value_score", "value_efficiency") == [
+        (1, 0)
     ]
     assert spark.table("mart.pitcher_salary_analysis").count() == 2
     assert spark.table("mart.time_spine_yearly").count() == 11
     assert rows(spark.table("mart.test_2")) == [(1,)]
     assert rows(metric_query(built, ["salary_per_win"], ["player__full_name"])) == [
-        ("Ann Lee", 4_500_000.0)
+        ("Ann Lee", 3_000_000.0)
     ]
     warned = quality.run_checks(built).where("status = 'warn'")
     assert rows(warned, "check_name", "failures") == [
