@@ -278,6 +278,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _metrics, PERFORMANCE_METRICS, ("player__team_name", "player__division")
         ),
         "cumulative_salary": partial(_metrics, ("cumulative_salary",), (time,)),
+        "salary_with_running_total": partial(_metrics, ("total_salary", "cumulative_salary"), (time,)),
         "cumulative_salary_by_team": partial(
             _metrics, ("cumulative_salary",), ("player_salary__team_name", time)
         ),

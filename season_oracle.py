@@ -482,6 +482,13 @@ def statements() -> dict[str, str]:
         ),
         "cumulative_salary": _cumulative(
             "fct_player_salaries", "cumulative_salary", "salary", None),
+        "salary_with_running_total": _with(
+            "select coalesce(d, yr) as metric_time__year, coalesce(pay, 0)::bigint as total_salary, "
+            "running as cumulative_salary "
+            "from (select season_date as d, sum(salary) as pay from fct_player_salaries group by 1) "
+            "full join (select s.date_year as yr, sum(f.salary)::bigint as running from spine s "
+            "join fct_player_salaries f on f.season_date <= s.date_year group by 1) on d = yr",
+            "fct_player_salaries", "spine"),
         "cumulative_salary_by_team": _cumulative(
             "fct_player_salaries", "cumulative_salary", "salary", "team_name"),
         "cumulative_home_runs": _cumulative(

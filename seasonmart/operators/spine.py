@@ -66,13 +66,16 @@ def running_totals(
     low, high = spine.bounds()
     by_year = Window.partitionBy(*groups).orderBy("at_year")
     so_far = by_year.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    known = totals.where(F.col(year).isNotNull()).withColumn("at_year", F.year(year))
+    # Rows without a year are left out after the window, not before it: a filter here would reach
+    # the scans, and a query that also needs the totals themselves could not share their shuffle.
+    dated = totals.withColumn("at_year", F.year(year))
+    known = F.col("at_year").isNotNull()
     return (
-        known.select(
+        dated.select(
             *groups,
-            F.greatest("at_year", low).alias("from_year"),
+            F.when(known, F.greatest("at_year", low)).alias("from_year"),
             F.least(F.lead("at_year").over(by_year) - 1, high).alias("to_year"),
-            *(F.sum(value).over(so_far).alias(name) for name, value in values.items()),
+            *(F.sum(F.when(known, F.col(value))).over(so_far).alias(name) for name, value in values.items()),
         )
         .where(F.col("from_year") <= F.col("to_year"))
         .select(

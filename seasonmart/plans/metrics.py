@@ -48,6 +48,7 @@ class Metric:
 
 
 def _registry() -> dict[str, Metric]:
+    # The metrics with their labels, which columns of a result carry as metadata.
     # Amounts in millions are aggregated as whole dollars and scaled once: exact, and independent
     # of row order, where a sum of fractions is neither.
     pay, play = SALARIES, PERFORMANCE
@@ -218,7 +219,9 @@ def metric_query(
         others = [k for k in keys if k not in times]
         cumulative = running_totals(totals, times[0], others, running, spine)
         if len(running) == len(wanted):
-            return cumulative.select(*keys, *metrics)
+            return cumulative.select(
+                *keys, *(F.col(m.name).alias(m.name, metadata={"label": m.label}) for m in wanted)
+            )
         totals = (
             totals.unionByName(cumulative, allowMissingColumns=True)
             .groupBy(*keys)
@@ -229,4 +232,6 @@ def metric_query(
                 )
             )
         )
-    return totals.select(*keys, *(_value(m).alias(m.name) for m in wanted))
+    return totals.select(
+        *keys, *(_value(m).alias(m.name, metadata={"label": m.label}) for m in wanted)
+    )

@@ -41,7 +41,11 @@ def tune(spark: SparkSession, shuffled_bytes: int | None = None) -> SparkSession
 
 
 def local_session(cores: int, app: str = "seasonmart", memory: str = "8g", **conf: str) -> SparkSession:
-    """A session on one machine, for tests and timings."""
+    """A session on one machine, for tests and timings.
+
+    It has the settings of ``tune``, but small shuffles are read by all cores instead of being
+    merged to the size that suits a cluster.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -53,6 +57,7 @@ def local_session(cores: int, app: str = "seasonmart", memory: str = "8g", **con
         # Recording the Python call site of every column costs several calls into the JVM each.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
-    for key, value in {**SETTINGS, **conf}.items():
+    local = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "true"}
+    for key, value in {**SETTINGS, **local, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

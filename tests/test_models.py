@@ -192,6 +192,22 @@ def test_league_average_is_over_seasons_of_a_position(raw):
     ]
 
 
+def test_distance_from_the_league_where_one_season_stands_out(raw):
+    """Rates are whole numbers, so only a season far from a low average has a distance at all."""
+    batters = [{**PLAYED, "player_id": f"B{i}", "at_bats": 1, "hits": 90 * (i == 0)} for i in range(200)]
+    pitchers = [
+        {**PLAYED, "player_id": f"P{i}", "innings_pitched": 1, "earned_runs": 10 * (i == 0)}
+        for i in range(200)
+    ]
+    listed = [{"player_id": g["player_id"]} for g in batters]
+    listed += [{"player_id": g["player_id"], "position": "Pitcher"} for g in pitchers]
+    df = value(raw, batters + pitchers, listed, [])
+    found = {r[0]: r[1:] for r in rows(df, "player_id", "batting_avg_vs_league_pct", "era_vs_league_pct")}
+    # (90 - 0.45) / (45 + 1) = 1.9 and (0.45 - 90) / (45 + 1) = -1.9, cut to whole numbers.
+    assert found["B0"] == (1, None) and found["B1"] == (0, None)
+    assert found["P0"] == (None, -1) and found["P1"] == (None, 0)
+
+
 def test_value_groups_repeated_listings(raw):
     df = value(raw, [{**PLAYED, "home_runs": 2}], [{}, {}, {"position": "Shortstop"}], [])
     assert rows(df, "position", "total_home_runs") == [("Catcher", 4), ("Shortstop", 2)]

@@ -1,6 +1,8 @@
 import os
+
 import pytest
 
+from seasonmart.operators.checks import Check
 from seasonmart.plans import quality
 from seasonmart.plans.metrics import metric_query
 from seasonmart.plans.project import Settings, build
@@ -136,3 +138,53 @@ def test_build(spark, csv_folder):
         ("not_null_stg_salaries_salary", 1),
         ("not_null_stg_salaries_salary_millions", 1),
     ]
+
+
+def test_build_again_after_new_games(spark, csv_folder):
+    """Published tables show one build, in any session; the next build shows what came since."""
+    folder = csv_folder / "raw_game_stats.csv"
+    build(spark, tables.csv_tables(spark, str(csv_folder)), Target("prod"))
+    with folder.open("a") as file:
+        file.write("G2,P1,2023-09-10,TEAM3,0,0,0,0,0,0,0,0,6.0,2,5,1,4,1,0,0\n")
+        file.write("G3,P1,2024-04-01,TEAM3,0,0,0,0,0,0,0,0,3.0,0,2,1,4,0,0,0\n")
+    other = spark.newSession()
+    for games, seasons, innings in ((1, 1, [4.5]), (3, 2, [3.0, 10.5, 10.5])):
+        assert other.table("staging.stg_game_stats").count() == games
+        trends = other.table("intermediate.int_pitcher_performance_trends")
+        assert sorted(r.season_innings for r in trends.collect()) == innings
+        assert other.table("intermediate.int_player_value_analysis").count() == seasons
+        assert other.table("mart.player_performance_analysis").count() == seasons
+        build(spark, tables.csv_tables(spark, str(csv_folder)), Target("prod"))
+        other = spark.newSession()
+
+
+def test_failing_rows_are_stored(spark):
+    salaries = spark.createDataFrame(
+        [("A", 2020, 1), ("A", 2021, 2), ("B", 2020, None), (None, 2020, 3)],
+        "player_id string, year int, salary bigint",
+    )
+    players = spark.createDataFrame([("A", "Pitcher")], "player_id string, position string")
+    declared = [
+        Check("s", "player_id", "unique"), Check("s", "salary", "not_null"),
+        Check("s", "year", "accepted_values", values=(2020,)),
+        Check("s", "player_id", "relationships", parent=("p", "player_id")),
+        Check("p", "position", "not_null"),
+    ]
+    target = Target("prod")
+    quality.run_and_store_checks({"s": salaries, "p": players}, target, declared)
+
+    def stored(check):
+        return rows(spark.table(f"checks.{check.name}"), "player_id", "year", "salary")
+
+    assert stored(declared[0]) == [("A", 2020, 1), ("A", 2021, 2)]
+    assert stored(declared[1]) == stored(declared[3]) == [("B", 2020, None)]
+    assert stored(declared[2]) == [("A", 2021, 2)]
+    assert not spark.catalog.tableExists(f"checks.{declared[4].name}")
+
+
+def test_own_target_leaves_nothing(spark):
+    with sinks.own_target(spark, "trial") as target:
+        df = publish_table(spark.range(3), "t", target)
+        assert df.count() == 3
+    assert not spark.catalog.databaseExists(target.schema)
+    assert not os.path.exists(target.folder.removeprefix("file://"))
