@@ -140,4 +140,37 @@ select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_siz
     sha256(coalesce(text, '')) as text_sha256
 from documents
 window same as (partition by coalesce(text, ''))""",
+    "op10_near_dedup": rf"""
+with recursive split as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') as words
+    from documents
+),
+sets as (
+    select doc_id, list_distinct(case
+        when len(words) = 0 then cast([] as varchar[])
+        when len(words) < {NEAR_SHINGLE} then [array_to_string(words, ' ')]
+        else list_transform(range(1, len(words) - {NEAR_SHINGLE} + 2),
+            lambda i: array_to_string(words[i:i + {NEAR_SHINGLE - 1}], ' ')) end) as shingles
+    from split
+),
+single as (select doc_id, unnest(shingles) as shingle from sets),
+common as (
+    select a.doc_id as x, b.doc_id as y, count(*) as n
+    from single a join single b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all
+),
+links as (
+    select x, y from common c join sets a on a.doc_id = c.x join sets b on b.doc_id = c.y
+    where 100 * n >= 80 * (len(a.shingles) + len(b.shingles) - n)
+),
+edges as (select x, y from links union all select y, x from links),
+reach as (
+    select doc_id, doc_id as other from sets
+    union
+    select r.doc_id, b.y from reach r join edges b on b.x = r.other
+),
+components as (select doc_id, min(other) as component_id from reach group by doc_id)
+select doc_id, cast(len(shingles) as bigint) as n_shingles, component_id, doc_id = component_id as kept
+from sets join components using (doc_id)""",
 }
