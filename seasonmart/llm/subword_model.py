@@ -166,7 +166,9 @@ class Bags:
         return np.log((one / share + SMOOTH) / (other / (1 - share) + SMOOTH)) * self.known
 
     def window_scores(self, gram_scores: np.ndarray) -> np.ndarray:
-        of_word = np.bincount(self.word_of_gram, gram_scores[self.gram] * self.share, self.words)
+        # Single precision halves the largest arrays of the training.
+        each = gram_scores.astype(np.float32)[self.gram] * self.share
+        of_word = np.bincount(self.word_of_gram, each, self.words)
         sums = np.concatenate([[0.0], np.cumsum(of_word[self.word])])
         return (sums[self.end] - sums[self.start]) / self.size
 
@@ -176,7 +178,7 @@ class Bags:
         each = by_window / self.size
         steps = np.bincount(self.start, each, n) - np.bincount(self.end, each, n)
         of_word = np.bincount(self.word, np.cumsum(steps)[:-1], self.words)
-        return np.bincount(self.gram, of_word[self.word_of_gram] * self.share, BUCKETS)
+        return np.bincount(self.gram, of_word.astype(np.float32)[self.word_of_gram] * self.share, BUCKETS)
 
 
 def _loss(probability: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> float:
@@ -185,7 +187,7 @@ def _loss(probability: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> fl
 
 
 def fit(
-    texts: list[str], labels: list[int], rounds: int = 72, rate: float = 0.03, min_texts: int = 30,
+    texts: list[str], labels: list[int], rounds: int = 48, rate: float = 0.03, min_texts: int = 30,
     check_share: int = 5, seed: int = 1, log=None,
 ) -> SubwordModel:
     """Learn subword vectors and the softmax's weights together, by full-batch gradient steps.

@@ -11,7 +11,7 @@ from seasonmart.llm.common import bound_batches, fresh, text_or_empty, with_colu
 from seasonmart.llm.subword_model import SubwordModel, fit, scorer
 
 #: The classifier is fitted on at most this many labelled texts, of at most this many bytes each.
-FIT_ROWS, FIT_BYTES = 12_000, 16_384
+FIT_ROWS, FIT_BYTES = 8_000, 16_384
 #: Scores from here on count as toxic.
 THRESHOLD = 0.3
 
