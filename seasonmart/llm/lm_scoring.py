@@ -61,35 +61,32 @@ def _groups(batches, tokens: Tokens):
             yield [tokens.of(text) for text in batch.column(0).to_pylist()]
 
 
+def _model_rows(tokens: int, numbers: np.ndarray, slices: list[int]) -> pa.RecordBatch:
+    parts = [numbers[i * SLICE : (i + 1) * SLICE].tobytes() for i in range(len(slices))]
+    columns = [pa.array(slices, pa.int32()), pa.array([tokens] * len(slices), pa.int64()), pa.array(parts, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["slice", "tokens", "numbers"])
+
+
 def _train_local(words, values):
     def run(batches):
         trained, tokens = train(MaskedModel.from_flat(values.value), _groups(batches, _tokens(words.value)))
         if tokens:
-            weighted = trained.flat().astype(np.float64) * tokens
-            parts = range(0, len(weighted), SLICE)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([at // SLICE for at in parts], pa.int32()),
-                    pa.array([tokens] * len(parts), pa.int64()),
-                    pa.array([weighted[at : at + SLICE].tobytes() for at in parts], pa.binary()),
-                ],
-                ["slice", "tokens", "weighted"],
-            )
+            numbers = trained.flat().astype(np.float32)
+            yield _model_rows(tokens, numbers, list(range(-(-len(numbers) // SLICE))))
 
     return run
 
 
-LOCAL_MODEL = "slice int, tokens long, weighted binary"
+LOCAL_MODEL = "slice int, tokens long, numbers binary"
 
 
-def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sum of one slice of all tasks' models, one after the other."""
+def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The average of one slice of all tasks' models by their tokens, one after the other."""
     at, tokens, total = 0, 0, np.zeros(1)
     for batch in batches:
         for at, n, part in zip(*(column.to_pylist() for column in batch.columns)):
-            tokens, total = tokens + n, total + np.frombuffer(part, np.float64)
-    columns = [pa.array([at], pa.int32()), pa.array([tokens], pa.int64()), pa.array([total.tobytes()], pa.binary())]
-    yield pa.RecordBatch.from_arrays(columns, ["slice", "tokens", "weighted"])
+            tokens, total = tokens + n, total + n * np.frombuffer(part, np.float32).astype(np.float64)
+    yield _model_rows(tokens, (total / tokens).astype(np.float32), [at])
 
 
 def fit_model(docs: DataFrame, words: list[str], text: str = "text", rounds: int = ROUNDS) -> MaskedModel:
@@ -108,10 +105,10 @@ def fit_model(docs: DataFrame, words: list[str], text: str = "text", rounds: int
         values = context.broadcast(model.flat())
         share = texts.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn)
         local = share.mapInArrow(_train_local(shared_words, values), LOCAL_MODEL)
-        found = local.groupBy("slice").applyInArrow(_add_up, LOCAL_MODEL).collect()
+        found = local.groupBy("slice").applyInArrow(_average, LOCAL_MODEL).collect()
         if found:
-            parts = sorted((r.slice, np.frombuffer(bytes(r.weighted)) / r.tokens) for r in found)
-            model = MaskedModel.from_flat(np.concatenate([part for _, part in parts]))
+            parts = {r.slice: np.frombuffer(bytes(r.numbers), np.float32) for r in found}
+            model = MaskedModel.from_flat(np.concatenate([parts[i] for i in sorted(parts)]))
     return model
 
 
