@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seasonmart.llm.common import bound_batches, fresh, text_or_empty
-from seasonmart.llm.components import components
+from seasonmart.llm.components import EDGES, UnionFind, components
 from seasonmart.llm.superminhash import (
     BANDS,
     SHINGLE,
@@ -29,8 +29,8 @@ PERCENT = 80
 #: Equal slots of a pair that is worth checking in full. Of 128, a pair of similarity 0.8 has 102
 #: on average, with a deviation of 4.5 at most: fewer than 78 happen once in 10 million pairs.
 MIN_EQUAL_SLOTS = 78
-#: Members of a bucket that are compared with each other in one step.
-CHUNK = 512
+#: Members of a bucket that are compared with each other in one step, and their shingles in all.
+CHUNK, CHUNK_SHINGLES = 512, 100_000
 
 
 @lru_cache(maxsize=1)
@@ -117,100 +117,106 @@ def _similar(a: bytes, b: bytes, percent: int) -> bool:
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
-def _verified(
-    scratch: Scratch, pairs: DataFrame, texts: DataFrame, nodes: DataFrame, name: str, percent: int, size: int
-) -> DataFrame:
-    """Those of the pairs (a, b) of nodes that are similar on their full sets.
-
-    Sets are made again from the texts of the nodes that occur in pairs, one document for each.
-    """
-    pairs = scratch.stage(pairs, f"{name}_pairs")
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = scratch.stage(nodes.join(needed, "node").select("first_id"), f"{name}_wanted")
-    chosen = texts.join(wanted, texts.doc_id.eqNullSafe(wanted.first_id), "left_semi")
+def _sets(scratch: Scratch, wanted: DataFrame, texts: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """The full sets of the wanted nodes, made again from the text of one document of each."""
+    ids = scratch.stage(nodes.join(wanted, "node").select("first_id"), "wanted")
+    chosen = texts.join(ids, texts.doc_id.eqNullSafe(ids.first_id), "left_semi")
     sets = chosen.select(F.col("text").cast("binary").alias("text")).mapInArrow(
         _full_sets(size), "node binary, shingles binary"
     )
-    # A doc_id can occur with several texts; what is not in a pair falls out in the joins.
-    sets = scratch.stage(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), f"{name}_sets")
-    with_b = pairs.join(sets.toDF("b", "set_b"), "b")
-    both = with_b.join(sets.toDF("a", "set_a"), "a").select("a", "b", "set_a", "set_b")
-    return scratch.stage(both.mapInArrow(_linked(percent), "a binary, b binary"), f"{name}_links")
+    # A doc_id can occur with several texts; what nobody wants falls out in later joins.
+    return scratch.stage(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
 
 
-def _cross_pairs(percent: int):
-    """Pairs of a bucket's members worth checking: in different components, sizes and slots alike.
+def _cross_links(percent: int):
+    """Links between a bucket's members that are still in different components.
 
-    A row holds a chunk of members and a chunk to compare it with (none: with itself). A pair that
-    shares several buckets is given in the first of their bands only.
+    A row holds a chunk of members and a chunk to compare it with (none: with itself). Signatures
+    tell which pairs are worth a look at their full sets. A pair that shares several buckets is
+    looked at in the first of their bands only, and not at all if links found in the same row
+    already connect it.
     """
 
-    def columns(members):
-        kinds = ("node", "root", "center", "n_shingles", "signature", "bands")
-        return {k: [m[k] for m in members] for k in kinds}
-
     def run(batches):
         for batch in batches:
             found = ([], [])
             for row in batch.to_pylist():
-                left = columns(row["members"])
-                alone = row["others"] is None
-                right = left if alone else columns(row["others"])
-                for i, j in _close(left, right, row["band_key"], alone, percent):
-                    found[0].append(left["node"][i])
-                    found[1].append(right["node"][j])
+                for a, b in _links(row["members"], row["others"], row["band_key"], percent):
+                    found[0].append(a)
+                    found[1].append(b)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in found], ["a", "b"])
 
     return run
 
 
-def _close(left: dict, right: dict, key: int, alone: bool, percent: int):
-    marks = [np.frombuffer(b"".join(side["signature"]), "<u2").reshape(-1, SLOTS) for side in (left, right)]
-    sizes = [np.array(side["n_shingles"]) for side in (left, right)]
-    bands = [np.array(side["bands"], np.int64) for side in (left, right)]
-    roots = {r: i for i, r in enumerate({*left["root"], *right["root"]})}
-    root = [np.array([roots[r] for r in side["root"]]) for side in (left, right)]
-    center = [np.array(side["center"]) for side in (left, right)]
-    for i in range(len(sizes[0])):
-        low, high = np.minimum(sizes[0][i], sizes[1]), np.maximum(sizes[0][i], sizes[1])
-        use = (100 * low >= percent * high) & (root[1] != root[0][i])
-        use &= ~(center[1] | center[0][i])  # compared with all of the bucket before
-        if alone:
+def _links(members: list[dict], others: list[dict] | None, key: int, percent: int):
+    left, right = members, members if others is None else others
+    marks = np.frombuffer(b"".join(m["signature"] for m in right), "<u2").reshape(-1, SLOTS)
+    sizes = np.array([m["n_shingles"] for m in right])
+    bands = np.array([m["bands"] for m in right], np.int64)
+    # The center has been compared with all of its bucket before.
+    usable = np.array([not m["center"] for m in right])
+    number = {root: i for i, root in enumerate({m["root"] for m in (*left, *right)})}
+    root = np.array([number[m["root"]] for m in right])
+    united = UnionFind()
+    for i, member in enumerate(left):
+        if member["center"]:
+            continue
+        n, own = member["n_shingles"], number[member["root"]]
+        alike = 100 * np.minimum(n, sizes) >= percent * np.maximum(n, sizes)
+        use = alike & usable & (root != own)
+        if others is None:
             use[: i + 1] = False
         at = np.flatnonzero(use)
-        at = at[(marks[1][at] == marks[0][i]).sum(axis=1) >= MIN_EQUAL_SLOTS]
-        if len(at):
-            first = (bands[1][at] == bands[0][i]).argmax(axis=1)
-            at = at[bands[0][i][first] == key]
-        yield from ((i, j) for j in at)
+        mark = np.frombuffer(member["signature"], "<u2")
+        at = at[(marks[at] == mark).sum(axis=1) >= MIN_EQUAL_SLOTS]
+        if not len(at):
+            continue
+        band = np.array(member["bands"], np.int64)
+        at = at[band[(bands[at] == band).argmax(axis=1)] == key]
+        for j in at:
+            if united.find(own) == united.find(int(root[j])):
+                continue
+            if _similar(member["shingles"], right[j]["shingles"], percent):
+                united.join(own, int(root[j]))
+                yield member["node"], right[j]["node"]
 
 
-def _unsettled(scratch: Scratch, members: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
+def _unsettled(
+    scratch: Scratch, members: DataFrame, roots: DataFrame, nodes: DataFrame, sets: DataFrame
+) -> DataFrame:
     """Chunks of bucket members that are still in different components, paired for comparison.
 
     Each member outside its bucket's largest component is compared with all members; members of
-    the largest component are not compared with each other. Chunks hold about ``CHUNK`` members,
-    so no task holds a whole bucket.
+    the largest component are not compared with each other. A chunk holds about ``CHUNK`` members
+    and ``CHUNK_SHINGLES`` shingles at most, so no task holds a whole bucket.
     """
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = scratch.stage(placed, "placed")
-    by_root = placed.groupBy("band_key", "root").agg(F.count("*").alias("n"))
+    by_root = placed.groupBy("band_key", "root").agg(
+        F.count("*").alias("n"), F.sum("n_shingles").alias("shingles")
+    )
     buckets = by_root.groupBy("band_key").agg(
-        F.max_by("root", F.struct("n", "root")).alias("largest"), F.max("n").alias("major"),
-        F.sum("n").alias("total"), F.count("*").alias("roots"),
+        F.max(F.struct("n", "root", "shingles")).alias("largest"), F.sum("n").alias("n"),
+        F.sum("shingles").alias("shingles"), F.count("*").alias("roots"),
     )
-    # Two members have been compared already, as one is the center.
-    mixed = buckets.where("roots > 1 and total > 2").select(
-        "band_key", "largest",
-        F.ceil((F.col("total") - F.col("major")) / CHUNK).cast("int").alias("minor_chunks"),
-        F.ceil(F.col("major") / CHUNK).cast("int").alias("major_chunks"),
+
+    def chunks_for(n, shingles):
+        return F.greatest(F.ceil(n / CHUNK), F.ceil(shingles / CHUNK_SHINGLES)).cast("int")
+
+    n, shingles = F.col("largest.n"), F.col("largest.shingles")
+    # Of two members one is the center, so they have been compared already.
+    mixed = buckets.where("roots > 1 and n > 2").select(
+        "band_key", F.col("largest.root").alias("largest"),
+        chunks_for(F.col("n") - n, F.col("shingles") - shingles).alias("minor_chunks"),
+        chunks_for(n, shingles).alias("major_chunks"),
     )
     mixed = scratch.stage(mixed, "mixed")
-    detail = nodes.select("node", "n_shingles", "signature", "bands")
+    detail = nodes.select("node", "signature", "bands").join(sets, "node")
     open_members = placed.join(mixed, "band_key").join(detail, "node")
     minor = F.col("root") != F.col("largest")
     chunks = F.when(minor, F.col("minor_chunks")).otherwise(F.col("major_chunks"))
-    member = F.struct("node", "root", "center", "n_shingles", "signature", "bands")
+    member = F.struct("node", "root", "center", "n_shingles", "signature", "bands", "shingles")
     packed = (
         open_members.withColumn("minor", minor)
         .withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
@@ -243,8 +249,9 @@ def near_groups(
     * Each member is compared with the bucket's smallest node on the full sets, and the links are
       united to components.
     * Where a bucket still has several components, each member outside the largest is compared
-      with all others there by signature, chunk by chunk; what may be similar is compared on the
-      full sets. So every pair that shares a band is either in one component or compared.
+      with all others there, chunk by chunk: by signature, and on the full sets if they may be
+      similar. So every pair that shares a band is either in one component or compared, and only
+      links that connect components are handed on.
 
     Defined results: null and empty texts, and texts of white space, have no shingles, and are a
     component of their own; a text with fewer words than a shingle has its words as one shingle.
@@ -280,13 +287,17 @@ def near_groups(
             members.where("node <> center_node").where(like)
             .select(F.col("center_node").alias("a"), F.col("node").alias("b")).distinct()
         )
-        links = _verified(scratch, stars, texts, nodes, "stars", percent, size)
+        sets = _sets(scratch, members.select("node").distinct(), texts, nodes, size)
+        with_b = stars.join(sets.toDF("b", "set_b"), "b")
+        pairs = with_b.join(sets.toDF("a", "set_a"), "a").select("a", "b", "set_a", "set_b")
+        links = scratch.stage(pairs.mapInArrow(_linked(percent), EDGES), "star_links")
         roots = components(scratch, links, "stars")
 
-        flagged = members.select("band_key", "node", (F.col("node") == F.col("center_node")).alias("center"))
-        chunks = _unsettled(scratch, flagged, roots, nodes)
-        rest = chunks.mapInArrow(_cross_pairs(percent), "a binary, b binary").distinct()
-        more = _verified(scratch, rest, texts, nodes, "rest", percent, size)
+        flagged = members.select(
+            "band_key", "node", "n_shingles", (F.col("node") == F.col("center_node")).alias("center")
+        )
+        chunks = _unsettled(scratch, flagged, roots, nodes, sets)
+        more = scratch.stage(chunks.mapInArrow(_cross_links(percent), EDGES), "cross_links")
         roots = components(scratch, links.union(more), "all")
 
         grouped = nodes.select("node", "first_id").join(roots, "node", "left").withColumn(

@@ -66,6 +66,7 @@ def test_groups_equal_all_pairs(documents, prose):
 
 def test_small_chunks_lose_no_link(documents, prose, monkeypatch):
     monkeypatch.setattr(near_dedup, "CHUNK", 4)
+    monkeypatch.setattr(near_dedup, "CHUNK_SHINGLES", 700)
     rows = near_copies(prose, 60)
     check(documents(rows), rows, 4)
 
