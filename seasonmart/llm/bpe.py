@@ -7,21 +7,21 @@ import json
 import re
 import sys
 from array import array
-from functools import cached_property, lru_cache
+from functools import cached_property
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seasonmart.llm.common import bound_batches, fresh, text_or_empty, with_columns
+from seasonmart.llm.common import bound_batches, fresh, held, text_or_empty, with_columns
 
 #: Fixed value: the pattern that splits text before merging, as byte-level tokenizer files mean it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words up to this many bytes are merged by repeated scans, longer ones with a heap.
 SHORT_WORD = 96
 #: Entries of the table of pieces already encoded; beyond that it starts anew.
-CACHE_ENTRIES, CACHE_CHARS = 400_000, 48
+CACHE_ENTRIES, CACHE_CHARS = 300_000, 48
 #: No merge: larger than any rank.
 NEVER = 1 << 60
 
@@ -70,20 +70,23 @@ class Pieces(dict):
         return found
 
 
-class SpacedText:
-    """Encodes a text piece by piece, where a piece ends before a single space.
+def spaced_pieces(text: str) -> list[str]:
+    """The text cut at single spaces between other characters; a space belongs to the piece behind.
 
-    No token of a byte-level pattern spans such a place: a space between two other characters
-    always starts a new word. Most pieces are words that were met before.
+    No token of a byte-level pattern spans such a place: a space there always starts a new word.
     """
+    return _between_words.split(text) if _two_spaces.search(text) else text.split(" ")
+
+
+class SpacedText:
+    """Encodes a text piece by piece. Most pieces are words that were met before."""
 
     def __init__(self, encode_piece):
         self.first = Pieces(encode_piece)
         self.later = Pieces(lambda piece: encode_piece(" " + piece))
 
     def encode(self, text: str) -> bytes:
-        pieces = _between_words.split(text) if _two_spaces.search(text) else text.split(" ")
-        later = self.later
+        pieces, later = spaced_pieces(text), self.later
         return self.first[pieces[0]] + b"".join([later[piece] for piece in pieces[1:]])
 
 
@@ -186,10 +189,9 @@ class Vocabulary:
         return b"".join([table[i] for i in ids_of(packed)]).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
 def vocabulary(definition: str) -> Vocabulary:
-    """One per worker and definition, so that tables outlive a task."""
-    return Vocabulary(definition)
+    """One per worker, so that its tables outlive a task."""
+    return held(("bpe", definition), lambda: Vocabulary(definition))
 
 
 def _mapped(batches, column: str, value, name: str, kind: pa.DataType):

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import os
+from collections.abc import Callable, Iterable, Mapping
+from pathlib import Path
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,12 +13,38 @@ from pyspark.sql.types import DataType, StructField, StructType
 
 from seasonmart.sources.sinks import Scratch
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+
+T = TypeVar("T")
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Keep an Arrow batch small, also where rows hold very long texts."""
+    """Prepare a session for functions on Arrow batches.
+
+    Batches stay small, also where rows hold very long texts, and workers on this machine find the
+    package where the driver found it. On a cluster it has to be installed or sent along.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    environment, here = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if here not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([here, *paths])
+
+
+_held: tuple[object, object] = (None, None)
+
+
+def held(key: object, make: Callable[[], T]) -> T:
+    """What ``make`` gives, kept in this worker until another key is asked for.
+
+    Workers live on from task to task and from operator to operator. Tables of known words are
+    worth keeping as long as one operator runs, but there must not be one for each.
+    """
+    global _held
+    if _held[0] != key:
+        _held = (None, None)
+        _held = (key, make())
+    return _held[1]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import json
+import os
 import struct
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,13 +14,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from seasonmart.llm.bpe import SpacedText, packed_ids, read_definition
-from seasonmart.llm.common import bound_batches, text_or_empty
+from seasonmart.llm.bpe import packed_ids, read_definition, spaced_pieces
+from seasonmart.llm.common import bound_batches, held, text_or_empty
 from seasonmart.sources.sinks import Scratch, stage
 
 #: Tokens after which a shard is closed; a document is never divided.
 SHARD_TOKENS = 1 << 20
 END_ID = 0
+#: Pieces kept with their ids in each of two tables, and the longest piece kept.
+CACHE_ENTRIES, CACHE_CHARS = 400_000, 48
 #: Bits per entry of the rank directory, and the file's first bytes.
 RANK_BITS, MAGIC = 4096, b"WMX1"
 
@@ -54,7 +56,7 @@ class WaveletMatrix:
             packed = np.packbits(bit)
             plane[: len(packed)] = packed
             planes.append(plane)
-            rest = np.concatenate([rest[~bit], rest[bit]])
+            rest = np.concatenate([np.compress(~bit, rest), np.compress(bit, rest)])
         return cls(len(numbers), planes)
 
     def _rank(self, level: int, at: int) -> int:
@@ -123,7 +125,8 @@ class WaveletMatrix:
             bit = np.unpackbits(plane, count=self.length).astype(bool)
             above = np.empty_like(found)
             zeros = self.length - int(np.count_nonzero(bit))
-            above[~bit], above[bit] = found[:zeros], found[zeros:]
+            above[np.flatnonzero(~bit)] = found[:zeros]
+            above[np.flatnonzero(bit)] = found[zeros:]
             found = above | bit.astype(found.dtype) << shift
         return found
 
@@ -141,10 +144,34 @@ class WaveletMatrix:
         return cls(length, list(np.frombuffer(body, np.uint8).reshape(levels, -1)))
 
 
+class RecentPieces(dict):
+    """Encoded pieces by piece. When full the table becomes the old one, behind an empty new one.
+
+    What is met again moves up, so frequent pieces stay, and there are never more than two tables.
+    """
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.old = encode, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.old.get(piece)
+        if found is None:
+            found = self.encode(" " + piece)
+        if len(piece) <= CACHE_CHARS:
+            if len(self) >= CACHE_ENTRIES:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = found
+        return found
+
+
 class LibraryEncoder:
     """Encodes texts with the tokenizers library; pieces met before are looked up."""
 
     def __init__(self, definition: str):
+        # Spark runs a task per core, so the library's own threads would only get in the way.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -153,20 +180,21 @@ class LibraryEncoder:
         kind = (found["pre_tokenizer"] or {}).get("type")
         self.cut = found["normalizer"] is None and kind == "ByteLevel" and not found["pre_tokenizer"]["add_prefix_space"]
         self.special = [t["content"] for t in found["added_tokens"]]
-        self.spaced = SpacedText(self._library)
+        self.later = RecentPieces(self._library)
 
     def _library(self, text: str) -> bytes:
-        return packed_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return packed_ids(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
 
     def encode(self, text: str) -> bytes:
+        """The text's ids, packed as little-endian unsigned 32-bit integers."""
         if not self.cut or any(name in text for name in self.special):
             return self._library(text)
-        return self.spaced.encode(text)
+        pieces, later = spaced_pieces(text), self.later
+        return self._library(pieces[0]) + b"".join([later[piece] for piece in pieces[1:]])
 
 
-@lru_cache(maxsize=2)
 def _encoder(definition: str) -> LibraryEncoder:
-    return LibraryEncoder(definition)
+    return held(("library", definition), lambda: LibraryEncoder(definition))
 
 
 SHARDS = "part int, shard int, start_in_part long, n_tokens long, doc_ids array<long>, lengths array<long>, matrix binary"
