@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seasonmart.llm.common import bound_batches, fresh, text_or_empty, with_columns
+from seasonmart.llm.common import bound_batches, fresh, held, text_or_empty, with_columns
 from seasonmart.llm.masked_model import FREQUENT, MaskedModel, Tokens, text_scores, train
 
 #: Rounds of training. Each learns from its share of the documents, then models are averaged.
@@ -50,9 +49,8 @@ def vocabulary(docs: DataFrame, text: str = "text") -> list[str]:
     return [row.word for row in top.collect()]
 
 
-@lru_cache(maxsize=1)
 def _tokens(words: tuple[str, ...]) -> Tokens:
-    return Tokens(list(words))
+    return held(("tokens", words), lambda: Tokens(list(words)))
 
 
 def _groups(batches, tokens: Tokens):

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seasonmart.llm.common import bound_batches, fresh, text_or_empty
+from seasonmart.llm.common import bound_batches, fresh, held, text_or_empty
 from seasonmart.llm.components import EDGES, UnionFind, components
 from seasonmart.llm.superminhash import (
     BANDS,
@@ -33,10 +32,9 @@ MIN_EQUAL_SLOTS = 78
 CHUNK, CHUNK_SHINGLES = 512, 100_000
 
 
-@lru_cache(maxsize=1)
 def _hashes() -> WordHashes:
     """One per worker, so that known words outlive a task."""
-    return WordHashes()
+    return held("word hashes", WordHashes)
 
 
 def _fingerprint(shingles: np.ndarray) -> bytes:
@@ -187,9 +185,10 @@ def _unsettled(
 ) -> DataFrame:
     """Chunks of bucket members that are still in different components, paired for comparison.
 
-    Each member outside its bucket's largest component is compared with all members; members of
-    the largest component are not compared with each other. A chunk holds about ``CHUNK`` members
-    and ``CHUNK_SHINGLES`` shingles at most, so no task holds a whole bucket.
+    A small bucket is one chunk. In a larger one each member outside the largest component is
+    compared with all members; members of the largest component are not compared with each other.
+    A chunk holds about ``CHUNK`` members and ``CHUNK_SHINGLES`` shingles at most, so no task holds
+    a whole large bucket.
     """
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = scratch.stage(placed, "placed")
@@ -205,16 +204,19 @@ def _unsettled(
         return F.greatest(F.ceil(n / CHUNK), F.ceil(shingles / CHUNK_SHINGLES)).cast("int")
 
     n, shingles = F.col("largest.n"), F.col("largest.shingles")
+    small = (F.col("n") <= CHUNK) & (F.col("shingles") <= CHUNK_SHINGLES)
+    minor_chunks = chunks_for(F.col("n") - n, F.col("shingles") - shingles)
     # Of two members one is the center, so they have been compared already.
     mixed = buckets.where("roots > 1 and n > 2").select(
-        "band_key", F.col("largest.root").alias("largest"),
-        chunks_for(F.col("n") - n, F.col("shingles") - shingles).alias("minor_chunks"),
+        "band_key",
+        F.when(~small, F.col("largest.root")).alias("largest"),
+        F.when(small, 1).otherwise(minor_chunks).alias("minor_chunks"),
         chunks_for(n, shingles).alias("major_chunks"),
     )
     mixed = scratch.stage(mixed, "mixed")
     detail = nodes.select("node", "signature", "bands").join(sets, "node")
     open_members = placed.join(mixed, "band_key").join(detail, "node")
-    minor = F.col("root") != F.col("largest")
+    minor = F.col("largest").isNull() | (F.col("root") != F.col("largest"))
     chunks = F.when(minor, F.col("minor_chunks")).otherwise(F.col("major_chunks"))
     member = F.struct("node", "root", "center", "n_shingles", "signature", "bands", "shingles")
     packed = (
@@ -224,13 +226,13 @@ def _unsettled(
         .agg(F.collect_list(member).alias("members"))
     )
     packed = scratch.stage(packed, "packed")
-    small = packed.where("minor")
-    itself = small.select("band_key", "members", F.lit(None).cast(dict(packed.dtypes)["members"]).alias("others"))
+    minors = packed.where("minor")
+    itself = minors.select("band_key", "members", F.lit(None).cast(dict(packed.dtypes)["members"]).alias("others"))
     # Every other chunk goes to each of the minor chunks it is compared with: later ones, if minor.
     target = F.sequence(F.lit(0), F.col("minor_chunks") - 1)
     target = F.when(F.col("minor"), F.filter(target, lambda t: t > F.col("chunk"))).otherwise(target)
     sent = packed.select("band_key", F.explode(target).alias("chunk"), F.col("members").alias("others"))
-    crossed = small.select("band_key", "chunk", "members").join(sent, ["band_key", "chunk"])
+    crossed = minors.select("band_key", "chunk", "members").join(sent, ["band_key", "chunk"])
     return itself.union(crossed.select("band_key", "members", "others"))
 
 
@@ -271,6 +273,8 @@ def near_groups(
             F.first("signature").alias("signature"), F.first("bands").alias("bands"),
         )
         nodes = scratch.stage(nodes, "nodes")
+        owners = scratch.stage(signed.select("doc_id", "n_shingles", "node"), "owners")
+        scratch.drop("signed")
 
         banded = nodes.select("node", "n_shingles", F.explode("bands").alias("band_key"))
         buckets = banded.groupBy("band_key").agg(
@@ -298,6 +302,8 @@ def near_groups(
         )
         chunks = _unsettled(scratch, flagged, roots, nodes, sets)
         more = scratch.stage(chunks.mapInArrow(_cross_links(percent), EDGES), "cross_links")
+        for done in ("packed", "placed", "members", "sets"):
+            scratch.drop(done)
         roots = components(scratch, links.union(more), "all")
 
         grouped = nodes.select("node", "first_id").join(roots, "node", "left").withColumn(
@@ -306,7 +312,7 @@ def near_groups(
         grouped = scratch.stage(grouped, "grouped")
         smallest = scratch.stage(grouped.groupBy("root").agg(F.min("first_id").alias("component_id")), "smallest")
         ids = scratch.stage(grouped.join(smallest, "root").select("node", "component_id"), "ids")
-        result = signed.select("doc_id", "n_shingles", "node").join(ids, "node", "left")
+        result = owners.join(ids, "node", "left")
         component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         return stage(
             result.select(

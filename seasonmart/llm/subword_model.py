@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -16,7 +15,7 @@ SHORTEST, LONGEST = 3, 5
 #: Words whose vectors are averaged, and the distance between the starts of two windows.
 WINDOW, STEP = 8, 4
 #: Word scores kept by a scorer; beyond that the table starts anew.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 300_000
 #: Words whose subwords are made at once in training.
 CHUNK = 20_000
 #: Rounds between two looks at the loss on texts not learned from, and how often it may not fall.
@@ -82,6 +81,11 @@ class SubwordModel:
     gram_scores: np.ndarray
     bias: float
 
+    @property
+    def key(self) -> tuple[int, float]:
+        """Tells models apart that were read separately from the same broadcast."""
+        return crc32(np.ascontiguousarray(self.gram_scores).tobytes()), self.bias
+
     def word_scores(self, words: list[str]) -> np.ndarray:
         buckets, owner = subwords(words)
         sums = np.bincount(owner, self.gram_scores[buckets], len(words))
@@ -110,12 +114,6 @@ class Scorer:
         return _sigmoid(self.logits(texts))
 
 
-@lru_cache(maxsize=1)
-def scorer(model: SubwordModel) -> Scorer:
-    """One per worker and model, so that known words outlive a task."""
-    return Scorer(model)
-
-
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
@@ -148,27 +146,38 @@ class Bags:
             gram, owner = subwords(spelled[at : at + CHUNK])
             seen += np.bincount(gram, texts_of_word[owner + at], BUCKETS)
         self.known = seen >= min_texts
-        kept = []
+        self.chunks, self.grams = [], np.ones(self.words)
         for at in chunks:
             gram, owner = subwords(spelled[at : at + CHUNK])
-            share, use = 1.0 / np.bincount(owner)[owner], self.known[gram]
-            kept.append((gram[use].astype(np.int32), (owner[use] + at).astype(np.int32), share[use].astype(np.float32)))
-        none = (np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.float32))
-        self.gram, self.word_of_gram, self.share = map(np.concatenate, zip(none, *kept))
+            self.grams[at : at + CHUNK] = np.bincount(owner)
+            use = self.known[gram]
+            self.chunks.append((at, gram[use].astype(np.int32), owner[use].astype(np.int32)))
+
+    def by_word(self, of_gram: np.ndarray) -> np.ndarray:
+        """For each word the sum over its subwords."""
+        found = np.zeros(self.words)
+        for at, gram, owner in self.chunks:
+            part = np.bincount(owner, of_gram[gram])
+            found[at : at + len(part)] = part
+        return found
+
+    def by_gram(self, of_word: np.ndarray) -> np.ndarray:
+        """For each subword the sum over the words it stands in."""
+        found = np.zeros(BUCKETS)
+        for at, gram, owner in self.chunks:
+            found += np.bincount(gram, of_word[at : at + CHUNK][owner], BUCKETS)
+        return found
 
     def log_odds(self, labels: np.ndarray) -> np.ndarray:
         """How much more often an n-gram stands in texts of label 1, as a smoothed logarithm."""
         ones = np.bincount(self.word, np.repeat(labels, self.sizes), self.words)
         both = np.bincount(self.word, minlength=self.words)
         share = ones.sum() / max(1, both.sum())
-        one = np.bincount(self.gram, ones[self.word_of_gram], BUCKETS)
-        other = np.bincount(self.gram, (both - ones)[self.word_of_gram], BUCKETS)
+        one, other = self.by_gram(ones), self.by_gram(both - ones)
         return np.log((one / share + SMOOTH) / (other / (1 - share) + SMOOTH)) * self.known
 
     def window_scores(self, gram_scores: np.ndarray) -> np.ndarray:
-        # Single precision halves the largest arrays of the training.
-        each = gram_scores.astype(np.float32)[self.gram] * self.share
-        of_word = np.bincount(self.word_of_gram, each, self.words)
+        of_word = self.by_word(gram_scores) / self.grams
         sums = np.concatenate([[0.0], np.cumsum(of_word[self.word])])
         return (sums[self.end] - sums[self.start]) / self.size
 
@@ -178,7 +187,7 @@ class Bags:
         each = by_window / self.size
         steps = np.bincount(self.start, each, n) - np.bincount(self.end, each, n)
         of_word = np.bincount(self.word, np.cumsum(steps)[:-1], self.words)
-        return np.bincount(self.gram, of_word.astype(np.float32)[self.word_of_gram] * self.share, BUCKETS)
+        return self.by_gram(of_word / self.grams)
 
 
 def _loss(probability: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> float:

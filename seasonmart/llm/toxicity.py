@@ -7,8 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seasonmart.llm.common import bound_batches, fresh, text_or_empty, with_columns
-from seasonmart.llm.subword_model import SubwordModel, fit, scorer
+from seasonmart.llm.common import bound_batches, fresh, held, text_or_empty, with_columns
+from seasonmart.llm.subword_model import Scorer, SubwordModel, fit
 
 #: The classifier is fitted on at most this many labelled texts, of at most this many bytes each.
 FIT_ROWS, FIT_BYTES = 8_000, 16_384
@@ -42,8 +42,8 @@ def training_rows(
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, **options) -> SubwordModel:
     """Fit the classifier on the driver, on the bounded sample of ``training_rows``."""
-    found = training_rows(docs, labels, **options).collect()
-    return fit([r.text for r in found], [r.label for r in found])
+    found = [(r.text, r.label) for r in training_rows(docs, labels, **options).toLocalIterator()]
+    return fit([text for text, _ in found], [label for _, label in found])
 
 
 def with_score(docs: DataFrame, model: SubwordModel, text: str = "text", score: str = "score") -> DataFrame:
@@ -53,10 +53,11 @@ def with_score(docs: DataFrame, model: SubwordModel, text: str = "text", score:
     shared = spark.sparkContext.broadcast(model)  # one number per bucket: 0.5 MB
 
     def run(batches):
-        found_words = scorer(shared.value)
+        model = shared.value
+        scorer = held(("scorer", model.key), lambda: Scorer(model))
         for batch in batches:
             texts = ["" if t is None else t for t in batch.column(text).to_pylist()]
-            found = found_words.probabilities(texts) if texts else np.zeros(0)
+            found = scorer.probabilities(texts) if texts else np.zeros(0)
             yield batch.append_column(score, pa.array(found, pa.float64()))
 
     return docs.mapInArrow(run, with_columns(docs, {score: "double"}))
