@@ -21,7 +21,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Words up to this many bytes are merged by repeated scans, longer ones with a heap.
 SHORT_WORD = 96
 #: Entries of the table of pieces already encoded; beyond that it starts anew.
-CACHE_ENTRIES, CACHE_CHARS = 300_000, 48
+CACHE_ENTRIES, CACHE_CHARS = 150_000, 48
 #: No merge: larger than any rank.
 NEVER = 1 << 60
 

@@ -17,7 +17,7 @@ PAD = CLASSES - 1
 #: Tokens of a training step, and of a scoring step.
 BATCH = 4096
 #: Words kept with their class; beyond that the table starts anew.
-CACHE_ENTRIES, CACHE_CHARS = 400_000, 48
+CACHE_ENTRIES, CACHE_CHARS = 200_000, 48
 
 OFFSETS = [o for o in range(-RADIUS, RADIUS + 1) if o]
 

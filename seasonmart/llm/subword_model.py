@@ -15,7 +15,7 @@ SHORTEST, LONGEST = 3, 5
 #: Words whose vectors are averaged, and the distance between the starts of two windows.
 WINDOW, STEP = 8, 4
 #: Word scores kept by a scorer; beyond that the table starts anew.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 #: Words whose subwords are made at once in training.
 CHUNK = 20_000
 #: Rounds between two looks at the loss on texts not learned from, and how often it may not fall.

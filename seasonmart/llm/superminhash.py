@@ -14,7 +14,7 @@ SHINGLE = 5
 #: Elements whose permutations are held at once.
 CHUNK = 1 << 15
 #: Words kept with their hash; beyond that the table starts anew.
-CACHE_ENTRIES, CACHE_BYTES = 300_000, 48
+CACHE_ENTRIES, CACHE_BYTES = 150_000, 48
 
 _U = np.uint64
 def mixed(x: np.ndarray) -> np.ndarray:
