@@ -11,7 +11,7 @@ from seasonmart.llm.common import table
 from seasonmart.llm.line_dedup import line_dedup
 from seasonmart.llm.mixing import sample
 from seasonmart.llm.near_dedup import without_near_copies
-from seasonmart.llm.queries import TARGETS, mixing_dimensions, tokenizer_file
+from seasonmart.llm.queries import KEEP_SHARE, TARGETS, mixing_dimensions, tokenizer_file
 from seasonmart.llm.toxicity import without_toxic
 from seasonmart.sources.sinks import Scratch, stage
 
@@ -32,8 +32,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose sources, languages and topics have the target shares of tokens."""
-    return sample(docs, TARGETS, mixing_dimensions())
+    """A sample of ``KEEP_SHARE`` of all tokens, its sources, languages and topics near their target shares."""
+    return sample(docs, TARGETS, mixing_dimensions(), keep_share=KEEP_SHARE)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,11 +13,13 @@ from seasonmart.llm.common import fresh, text_or_empty
 
 #: Stands for all values of a dimension that no target names, null included.
 OTHERS = "*"
+#: As a target: the class keeps its share of all tokens, however little that is.
+OBSERVED = None
 MAX_ROUNDS, TOLERANCE = 2000, 1e-10
 #: The targets' classes may not give more combinations than this.
 MAX_CELLS = 100_000
 
-Targets = Mapping[str, Mapping[str, float]]
+Targets = Mapping[str, Mapping[str, float | None]]
 
 
 def n_tokens(text: str) -> Column:
@@ -70,6 +72,13 @@ def rake(observed: np.ndarray, targets: list[np.ndarray]) -> np.ndarray:
     return np.divide(fitted * total, observed, out=np.zeros_like(fitted), where=observed > 0)
 
 
+def wanted_shares(tokens: np.ndarray, target: list[float | None]) -> np.ndarray:
+    """Shares of a dimension's classes: ``OBSERVED`` ones have their part of ``tokens``, others divide the rest."""
+    named = np.array([0.0 if t is OBSERVED or n <= 0 else float(t) for t, n in zip(target, tokens)])
+    own = np.array([n if t is OBSERVED else 0.0 for t, n in zip(target, tokens)]) / max(tokens.sum(), 1e-300)
+    return own + (1 - own.sum()) * named / max(named.sum(), 1e-300)
+
+
 def probabilities(observed: np.ndarray, factors: np.ndarray, keep_share: float | None) -> np.ndarray:
     """Each cell's sampling probability, proportional to its factor.
 
@@ -91,7 +100,7 @@ def probabilities(observed: np.ndarray, factors: np.ndarray, keep_share: float |
     return np.minimum(1, factors * high)
 
 
-def _classed(value: Column, target: Mapping[str, float]) -> Column:
+def _classed(value: Column, target: Mapping[str, float | None]) -> Column:
     named = [name for name in target if name != OTHERS]
     return F.when(value.isin(named), value).otherwise(F.lit(OTHERS))
 
@@ -108,7 +117,9 @@ def mix(
     """The documents with columns ``mix_*``: tokens, class per dimension, weight, probability, kept.
 
     ``targets`` has shares per dimension and class (any positive numbers; ``OTHERS`` is what no
-    target names, 0 if left out), ``dimensions`` the columns to compare them with. Tokens are
+    target names, 0 if left out), ``dimensions`` the columns to compare them with. A class whose
+    target is ``OBSERVED`` keeps its share of all tokens; the numbers divide what is left. Without
+    ``keep_share``, the class furthest below its target limits the whole sample. Tokens are
     summed per combination of classes over all documents; the table has as many cells as the
     targets' sizes multiplied (at most ``MAX_CELLS``), whatever the documents hold, and is fitted
     on the driver. A document is kept if a number drawn from its id and text lies below its
@@ -137,7 +148,13 @@ def mix(
     sums = marked.groupBy(*(column[d] for d in names)).agg(F.sum(column["tokens"]).alias("n"))
     for row in sums.collect():
         observed[tuple(classes[d].index(row[i]) for i, d in enumerate(names))] += row.n or 0
-    shares = [np.array([float(targets[d].get(c, 0)) for c in classes[d]]) for d in names]
+    shares = [
+        wanted_shares(
+            observed.sum(axis=tuple(a for a in range(len(names)) if a != axis)),
+            [targets[d].get(c, 0.0) for c in classes[d]],
+        )
+        for axis, d in enumerate(names)
+    ]
     factors = rake(observed, shares)
     chances = probabilities(observed, factors, keep_share)
 

@@ -13,7 +13,7 @@ from seasonmart.llm.common import table
 from seasonmart.llm.exact_dedup import exact_dedup
 from seasonmart.llm.line_dedup import MAX_RATIO, MIN_PAGES, line_dedup
 from seasonmart.llm.lm_scoring import lm_scores
-from seasonmart.llm.mixing import OTHERS, Targets, mix, topic
+from seasonmart.llm.mixing import OBSERVED, OTHERS, Targets, mix, topic
 from seasonmart.llm.near_dedup import near_groups
 from seasonmart.llm.sharding import shard
 from seasonmart.llm.token_files import token_index
@@ -22,10 +22,13 @@ from seasonmart.llm.toxicity import toxicity
 
 #: Target shares of the mixture: sources alike, languages and topics near their own shares.
 TARGETS: Targets = {
-    "source": {**{f"src{i}": 1.0 for i in range(20)}, OTHERS: 1.0},
+    "source": {**{f"src{i}": 1.0 for i in range(20)}, OTHERS: OBSERVED},
     "lang": {"en": 0.55, "de": 0.16, "fr": 0.16, "es": 0.13},
     "topic": {"prose": 0.94, "legal": 0.045, "contact": 0.015},
 }
+#: Share of all tokens that the mixture keeps. Cells that would need more than all their documents
+#: keep all of them; the shares then miss their targets a little.
+KEEP_SHARE = 0.6
 #: Words of a shingle in the query for near copies.
 NEAR_SHINGLE = 4
 
@@ -53,7 +56,7 @@ def op3_topk_search(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    return mix(docs, TARGETS, mixing_dimensions()).select(
+    return mix(docs, TARGETS, mixing_dimensions(), keep_share=KEEP_SHARE).select(
         "doc_id", *(f"mix_{c}" for c in ("source", "lang", "topic", "tokens", "weight", "probability", "kept"))
     )
 

@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seasonmart.llm.mixing import OTHERS, mix, n_tokens, probabilities, rake, sample, topic
+from seasonmart.llm.mixing import OBSERVED, OTHERS, mix, n_tokens, probabilities, rake, sample, topic, wanted_shares
+from seasonmart.llm.queries import KEEP_SHARE, op4_mixing
 from tests.llm.conftest import ODD_ROWS
 
 TARGETS = {"source": {"a": 1, "b": 1}, "lang": {"en": 3, "de": 1}, "topic": {"prose": 1, "legal": 1, OTHERS: 1}}
@@ -80,3 +81,22 @@ def test_features(documents):
     assert [(r.n, r.t) for r in sorted(found)] == [
         (3, "prose"), (1, "contact"), (2, "legal"), (0, "empty"), (1, "prose"),
     ]
+
+
+def test_observed_shares():
+    shares = wanted_shares(np.array([60.0, 30.0, 0.0, 10.0]), [1.0, 2.0, 5.0, OBSERVED])
+    assert np.allclose(shares, [0.3, 0.6, 0, 0.1])
+    assert np.allclose(wanted_shares(np.array([0.0, 7.0]), [1.0, OBSERVED]), [0, 1])
+    assert not wanted_shares(np.zeros(2), [1.0, OBSERVED]).any()
+
+
+def test_a_stray_row_does_not_shrink_the_sample(spark, tmp_path):
+    rows = [(i, "word " * 39 + "word", "en", f"src{i % 20}") for i in range(4000)] + [(4000, "one two", "en", "stray")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    found = op4_mixing(spark, str(tmp_path)).toPandas()
+    expected = (found.mix_tokens * found.mix_probability).sum() / found.mix_tokens.sum()
+    assert abs(expected - KEEP_SHARE) < 1e-6
+    assert abs(found[found.mix_kept].mix_tokens.sum() / found.mix_tokens.sum() - KEEP_SHARE) < 0.05
+    assert abs(found[found.mix_source == OTHERS].mix_probability.iloc[0] - KEEP_SHARE) < 1e-6
