@@ -20,10 +20,11 @@ from seasonmart.llm.token_files import token_index
 from seasonmart.llm.topk_search import exact_top_k
 from seasonmart.llm.toxicity import toxicity
 
-#: Target shares of the mixture: sources alike, languages and topics near their own shares.
+#: Target shares of the mixture: sources alike, languages and topics near their own shares. Sources
+#: and languages not named, null included, keep theirs; only the topic 'empty' has no place in it.
 TARGETS: Targets = {
     "source": {**{f"src{i}": 1.0 for i in range(20)}, OTHERS: OBSERVED},
-    "lang": {"en": 0.55, "de": 0.16, "fr": 0.16, "es": 0.13},
+    "lang": {"en": 0.55, "de": 0.16, "fr": 0.16, "es": 0.13, OTHERS: OBSERVED},
     "topic": {"prose": 0.94, "legal": 0.045, "contact": 0.015},
 }
 #: Share of all tokens that the mixture keeps. Cells that would need more than all their documents

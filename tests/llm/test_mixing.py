@@ -100,3 +100,16 @@ def test_a_stray_row_does_not_shrink_the_sample(spark, tmp_path):
     assert abs(expected - KEEP_SHARE) < 1e-6
     assert abs(found[found.mix_kept].mix_tokens.sum() / found.mix_tokens.sum() - KEEP_SHARE) < 0.05
     assert abs(found[found.mix_source == OTHERS].mix_probability.iloc[0] - KEEP_SHARE) < 1e-6
+
+
+def test_other_languages_stay(spark, tmp_path):
+    langs = ["en", "de", "fr", "es", None, "it"]
+    rows = [(i, "word " * 39 + "word", langs[i % 6], f"src{i % 20}") for i in range(3000)]
+    rows += [(3000, None, "en", "src1"), (3001, "   ", None, "src1")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    found = op4_mixing(spark, str(tmp_path)).toPandas().set_index("doc_id")
+    others = found[(found.mix_lang == OTHERS) & (found.mix_topic == "prose")]
+    assert len(others) == 1000 and others.mix_kept.sum() > 400
+    assert not found.mix_kept[3000] and not found.mix_kept[3001]
