@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 
 from seasonmart.llm import lm_scoring
-from seasonmart.llm.lm_scoring import fit_model, lm_scores, vocabulary, with_log_probability, word_counts
+from seasonmart.llm.lm_scoring import fit_model, lm_scores, token_scores, vocabulary, with_log_probability, word_counts
 from seasonmart.llm.masked_model import (
     CLASSES,
     FREQUENT,
@@ -89,3 +89,35 @@ def test_odd_rows(documents):
     assert by_id[3].n_tokens == 0 and by_id[7].n_tokens == 1 and by_id[8].n_tokens == 20_000
     assert np.allclose([r.log_prob for r in found if r.doc_id == 6], by_id[5].log_prob) and by_id[5].log_prob < 0
     assert lm_scores(documents([])).collect() == []
+
+
+def test_words_count_within_their_classes(documents, prose, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "CHUNK_WORDS", 30)
+    texts = [(i, prose(40 + i) + " ä 日本") for i in range(20)] + [(20, None), (21, "")]
+    docs = documents(texts).repartition(3)
+    counts, model = word_counts(docs), MaskedModel.start(3)
+    seen = {r.word: r.n for r in counts.collect()}
+    words = sorted(seen, key=lambda w: (-seen[w], w))[:10]
+    tokens, sums = Tokens(words), Counter()
+    for word, n in seen.items():
+        sums[tokens[word]] += n
+    more = docs.union(documents([(22, "zzz unseenka " + texts[0][1])]))
+
+    def within(text):
+        return sum(math.log(seen.get(w, 1) / (sums[tokens[w]] + 1)) for w in text.split() if w not in words)
+
+    classes = {r.doc_id: r.log_prob for r in with_log_probability(more.select("doc_id", "text"), words, model).collect()}
+    found = token_scores(more, words, model, counts).collect()
+    assert sorted(r.doc_id for r in found) == list(range(23))
+    text = {**dict(texts), 22: "zzz unseenka " + texts[0][1]}
+    for r in found:
+        assert np.isclose(r.log_prob, classes[r.doc_id] + within(text[r.doc_id] or ""), rtol=1e-6, atol=1e-6)
+        assert r.n_tokens == len((text[r.doc_id] or "").split())
+
+
+def test_rare_words_with_the_same_ending_differ(documents):
+    # 191 common words, then a word of 60 documents and one of a single document in the same class.
+    common = " ".join(f"w{i}" for i in range(FREQUENT)) + " "
+    rows = [(i, common * 70 + "planetka") for i in range(60)] + [(60, common * 70 + "qxqxka")]
+    found = {r.doc_id: r.log_prob for r in lm_scores(documents(rows)).collect()}
+    assert abs(found[0] - found[60] - math.log(60)) < 0.1
