@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seasonmart.llm import conversations
 from seasonmart.llm.bpe import token_digests
 from seasonmart.llm.common import table
 from seasonmart.llm.exact_dedup import exact_dedup
@@ -97,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_token_files": op9_token_files,
     "op10_near_dedup": op10_near_dedup,
+    **conversations.QUERIES,
 }
 
 SQL: dict[str, str] = {
@@ -177,4 +179,5 @@ reach as (
 components as (select doc_id, min(other) as component_id from reach group by doc_id)
 select doc_id, cast(len(shingles) as bigint) as n_shingles, component_id, doc_id = component_id as kept
 from sets join components using (doc_id)""",
+    **conversations.SQL,
 }

@@ -10,7 +10,7 @@ import corpus_pipeline
 from seasonmart.llm import queries
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-TABLES = ("documents", "embeddings")
+TABLES = ("documents", "embeddings", "conversations")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
@@ -20,7 +20,7 @@ def ordered(rows):
 
 
 def test_registered():
-    names = {f"op{n}" for n in range(1, 11)}
+    names = {f"op{n}" for n in range(1, 14)}
     assert {q.split("_")[0] for q in queries.QUERIES} == names
     assert entry.queries().keys() >= {*queries.QUERIES, "pipeline"}
     assert entry.oracle_sql().keys() >= queries.SQL.keys()
