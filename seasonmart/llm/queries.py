@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasonmart.llm import conversations
+from seasonmart.llm import conversations, license_scan
 from seasonmart.llm.bpe import token_digests
 from seasonmart.llm.common import table
 from seasonmart.llm.exact_dedup import exact_dedup
@@ -87,6 +87,10 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_groups(table(spark, folder, "documents"), size=NEAR_SHINGLE)
 
 
+def op12_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, folder, "documents")).drop("places")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_lm_scoring": op2_lm_scoring,
@@ -98,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_token_files": op9_token_files,
     "op10_near_dedup": op10_near_dedup,
+    "op12_license_scan": op12_license_scan,
     **conversations.QUERIES,
 }
 
@@ -179,5 +184,6 @@ reach as (
 components as (select doc_id, min(other) as component_id from reach group by doc_id)
 select doc_id, cast(len(shingles) as bigint) as n_shingles, component_id, doc_id = component_id as kept
 from sets join components using (doc_id)""",
+    "op12_license_scan": license_scan.SQL,
     **conversations.SQL,
 }

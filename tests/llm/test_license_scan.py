@@ -1,0 +1,101 @@
+"""The licence scan against plain loops over all places."""
+
+import random
+import re
+
+import pytest
+
+from seasonmart.llm import license_scan as ls
+from tests.llm.conftest import ODD_ROWS
+
+
+def plain(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({ord(a): a.lower() for a in ls.UPPER}))
+    found = []
+    for number, x in enumerate((*ls.BASE, *ls.NOTICES)):
+        for start in range(-len(x.words), len(words)):
+            agree = [p for p in range(len(x.words)) if 0 <= start + p < len(words) and words[start + p] == x.words[p]]
+            if set(x.key_places) <= set(agree):
+                found.append((number, x.label, start + x.key_places[0], len(agree) / len(x.words)))
+    base = [f for f in found if f[0] < len(ls.BASE)]
+    firsts = {}
+    for number, _, start, share in found:
+        if number >= len(ls.BASE):
+            firsts.setdefault(number, share)
+    return (
+        len(words), len(base), min((f[2] for f in base), default=None), max((f[2] for f in base), default=None),
+        ",".join(sorted({f[1] for f in base})), ",".join(sorted({f[1] for f in found})),
+        0.5 + 0.5 * max(firsts.values(), default=0) if found else 0.0,
+    )
+
+
+
+def check(spark, documents, texts):
+    docs = documents(list(enumerate(texts)))
+    found = {r.doc_id: r for r in ls.license_scan(docs).collect()}
+    assert len(found) == len(texts)
+    for i, text in enumerate(texts):
+        r = found[i]
+        got = (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score)
+        assert got == pytest.approx(plain(text)), (text, got)
+    return found
+
+
+def test_planted_and_broken_licences(spark, documents, prose):
+    rng, texts = random.Random(4), []
+    pool = [x.text for x in (*ls.BASE, *ls.NOTICES)]
+    words = sorted({w for t in pool for w in t.split()})
+    for _ in range(120):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            notice = rng.choice(pool).split()
+            cut = rng.randrange(len(notice)) if rng.random() < 0.4 else 0
+            if rng.random() < 0.3:
+                notice.insert(rng.randrange(len(notice)), "copyright")
+            parts.append(rng.choice([" ", "-", ". ", "\n"]).join(w.upper() if rng.random() < 0.2 else w for w in notice[cut:]))
+            parts.append(prose(rng.randint(0, 20)))
+        texts.append(" ".join(parts))
+    texts += [" ".join(rng.choices(words, k=rng.randint(0, 60))) for _ in range(60)]
+    texts += [" ".join(rng.choices(["mit", "license", "general", "public", "apache"], k=40)) for _ in range(60)]
+    assert sum(r.n_base for r in check(spark, documents, texts).values()) > 100
+
+
+def test_known_texts(spark, documents):
+    found = check(spark, documents, [
+        "Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", "Licensed under CC BY-NC 4.0.",
+        "This work is licensed under the GNU General Public License, version 3.", "mit-license mit\nlicense MITLICENSE",
+        "mit licenses", "the licence of mit", "Kit mit lıcense", "general public license general public license",
+    ])
+    assert [found[i].labels for i in range(6)] == ["mit", "apache,apache-2.0", "cc-by-nc", "gpl,gpl-3.0", "mit", ""]
+    assert found[4].n_base == 2 and [tuple(p) for p in found[4].places] == [("mit", 0, 2), ("mit", 2, 2)]
+
+
+def test_odd_rows(spark, documents):
+    found = ls.license_scan(documents(ODD_ROWS)).select("doc_id", "n_words", "n_base", "labels", "score").collect()
+    wanted = [(i, plain(t)[0], 0, "", 0.0) for i, t in ODD_ROWS]
+    assert sorted(map(tuple, found), key=str) == sorted(wanted, key=str)
+    assert ls.license_scan(documents([])).collect() == []
+
+
+def test_long_text_full_of_names(spark, documents):
+    check(spark, documents, ["mit license " * 20_000 + "Apache License"])
+
+
+def test_native(spark, documents, monkeypatch):
+    plans = []
+    real = ls.Scratch.stage
+
+    def recorded(scratch, df, name):
+        plans.append(df._jdf.queryExecution().toString())
+        return real(scratch, df, name)
+
+    monkeypatch.setattr(ls.Scratch, "stage", recorded)
+    result = ls.license_scan(documents([(1, "mit license")]))
+    plans.append(result._jdf.queryExecution().toString())
+    assert not any(word in plan for plan in plans for word in ("Python", "Arrow", "Pandas", "ExternalRDD"))
+
+
+def test_rarest_key_word_is_looked_up_first(spark, documents):
+    docs = documents([(i, "license public") for i in range(5)] + [(9, "general license")])
+    hits = ls.licence_words(docs, ls.BASE, "doc_id", "text")
+    assert ls.rarity(hits) == {"license": 6, "public": 5, "general": 1}
