@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 import season_oracle as oracle
 from seasonmart.operators import checks, spine
 from seasonmart.plans import intermediate, marts, quality, staging
-from seasonmart.plans.metrics import metric_query
+from seasonmart.plans.aggregates import kept_aggregates
+from seasonmart.plans.metrics import StoredAggregate, metric_query
 from seasonmart.plans.project import Settings, build
 from seasonmart.plans.saved_queries import SAVED_QUERIES, export_saved_query, saved_query
 from seasonmart.sources import retail, sinks, tables
@@ -122,14 +123,22 @@ def _model(name: str, spark: SparkSession, folder: str) -> DataFrame:
     return portable(Models(spark, folder)[name])
 
 
+def _aggregates(spark: SparkSession, folder: str) -> list[StoredAggregate]:
+    """The stored aggregates of the folder's tables as they are now, written by the first query that asks."""
+    state = tables.fingerprint(spark, retail.paths(folder))
+    return kept_aggregates(spark, state, Models(spark, folder))
+
+
 def _metrics(
     metrics: tuple[str, ...], group_by: tuple[str, ...], spark: SparkSession, folder: str
 ) -> DataFrame:
-    return portable(metric_query(Models(spark, folder), metrics, group_by, SETTINGS.spine))
+    aggregates = _aggregates(spark, folder)
+    return portable(metric_query(Models(spark, folder), metrics, group_by, SETTINGS.spine, aggregates))
 
 
 def _saved(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    return portable(saved_query(Models(spark, folder), name, SETTINGS.spine))
+    aggregates = _aggregates(spark, folder)
+    return portable(saved_query(Models(spark, folder), name, SETTINGS.spine, aggregates))
 
 
 def _entity_keys(spark: SparkSession, folder: str) -> DataFrame:

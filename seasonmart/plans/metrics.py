@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seasonmart.functions.columns import millions
 from seasonmart.operators.spine import Spine, running_totals
@@ -32,19 +33,36 @@ class Metric:
     in_millions: bool = False
     inputs: tuple[str, ...] = ()
 
-    def aggregate(self, column: Column) -> Column:
+    @property
+    def states(self) -> tuple[str, ...]:
+        """What has to be known of a group of rows, in parts that can be added up."""
         match self.kind:
             case "sum":
-                value = F.sum(column)
+                return (f"sum__{self.column}",)
             case "average":
-                value = F.avg(column)
+                return f"sum__{self.column}", f"n__{self.column}"
             case "max":
-                value = F.max(column)
+                return (f"max__{self.column}",)
             case "count":
-                value = F.count(column)
-            case _:
-                raise ValueError(f"{self.name} is computed from other metrics")
-        return millions(value) if self.in_millions else value
+                return (ROWS,)
+        raise ValueError(f"{self.name} is computed from other metrics")
+
+
+#: The state that counts rows.
+ROWS = "n__rows"
+
+
+def state_of_row(state: str) -> Column:
+    """A state of a single row."""
+    kind, _, column = state.partition("__")
+    if state == ROWS:
+        return F.lit(1).cast("long")
+    return F.col(column).isNotNull().cast("long") if kind == "n" else F.col(column)
+
+
+def merged(states: Iterable[str]) -> list[Column]:
+    """States of a group from those of its rows or parts."""
+    return [(F.max(s) if s.startswith("max__") else F.sum(s)).alias(s) for s in states]
 
 
 def _registry() -> dict[str, Metric]:
@@ -92,6 +110,17 @@ def _registry() -> dict[str, Metric]:
 
 METRICS = _registry()
 
+
+@dataclass(frozen=True)
+class StoredAggregate:
+    """States of one fact's measures by some dimensions, written as a table of ``rows`` rows."""
+
+    name: str
+    source: str
+    dimensions: tuple[str, ...]
+    table: DataFrame
+    rows: int
+
 # The model behind each source, each fact's entity with the columns declared as its
 # dimensions, and the roster's.
 FACT_MODELS = {SALARIES: "fct_player_salaries", PERFORMANCE: "player_performance_analysis"}
@@ -144,23 +173,79 @@ def _output_name(dimension: str) -> str:
     return f"{dimension}__year" if dimension in TIME_DIMENSIONS else dimension
 
 
-def _measure_rows(
-    models: Mapping[str, DataFrame], source: str, measures: list[Metric], group_by: Sequence[str]
+def canonical(dimension: str) -> str:
+    """One name for each dimension: all names of the yearly time mean the same."""
+    return TIME_DIMENSIONS[0] if dimension in TIME_DIMENSIONS else dimension
+
+
+def state_rows(
+    models: Mapping[str, DataFrame], source: str, states: Sequence[str], group_by: Sequence[str]
 ) -> DataFrame:
-    """One fact's rows, reduced to the group-by dimensions and the inputs of its measures."""
+    """Rows of one fact as states, next to the group-by dimensions under their canonical names.
+
+    If a dimension needs the roster, states are first added up per player and own dimensions:
+    one row of each meets the roster, however many rows the fact has. A player who is listed twice
+    still counts twice, as the states are joined to each listing.
+    """
     rows = models[FACT_MODELS[source]]
+    columns = {d: _fact_column(d, source).alias(canonical(d)) for d in group_by}
     roster = [c for c in map(_roster_column, group_by) if c]
-    dimensions = [_fact_column(d, source).alias(_output_name(d)) for d in group_by]
-    if roster:
-        attributes = models[ROSTER_MODEL].select(
-            "player_id", *(F.col(c).alias(f"roster_{c}") for c in roster)
-        )
-        rows = rows.join(attributes, "player_id", "left")
-    inputs = [
-        (F.col(m.column) if m.column else F.lit(1)).alias(m.name)
-        for m in measures if m.source == source
-    ]
-    return rows.select(*dimensions, *inputs)
+    own = {canonical(d): column for d, column in columns.items() if not _roster_column(d)}
+    values = [state_of_row(s).alias(s) for s in states]
+    if not roster:
+        return rows.select(*own.values(), *values)
+    by_player = rows.select("player_id", *own.values(), *values)
+    by_player = by_player.groupBy("player_id", *own).agg(*merged(states))
+    attributes = models[ROSTER_MODEL].select(
+        "player_id", *(F.col(c).alias(f"roster_{c}") for c in roster)
+    )
+    dimensions = [column if _roster_column(d) else F.col(canonical(d)) for d, column in columns.items()]
+    return by_player.join(attributes, "player_id", "left").select(*dimensions, *states)
+
+
+def covers(aggregate: StoredAggregate, source: str, group_by: Sequence[str]) -> bool:
+    """Whether a request on a fact can be answered from an aggregate.
+
+    It needs all dimensions, and the roster joined or not: a player who is listed twice counts
+    twice only where the roster is asked for.
+    """
+    wanted = {canonical(d) for d in group_by}
+    needs_roster = any(_roster_column(d) for d in wanted)
+    has_roster = any(_roster_column(d) for d in aggregate.dimensions)
+    return aggregate.source == source and needs_roster == has_roster and wanted <= {*aggregate.dimensions}
+
+
+def source_rows(
+    models: Mapping[str, DataFrame],
+    source: str,
+    states: Sequence[str],
+    group_by: Sequence[str],
+    aggregates: Sequence[StoredAggregate] = (),
+) -> DataFrame:
+    """States by dimension from the smallest stored aggregate that covers them, or from the models."""
+    covering = [a for a in aggregates if covers(a, source, group_by) and {*states} <= {*a.table.columns}]
+    if covering:
+        smallest = min(covering, key=lambda a: (a.rows, a.name))
+        return smallest.table.select(*map(canonical, group_by), *states)
+    return state_rows(models, source, states, group_by)
+
+
+def _of_source(state: str, source: str) -> str:
+    return f"{state}__{source}"
+
+
+def _from_states(metric: Metric) -> Column:
+    """A plain metric from the states of its fact."""
+    first, *rest = (F.col(_of_source(s, metric.source)) for s in metric.states)
+    value = first.cast("double") / F.nullif(rest[0], F.lit(0)) if rest else first
+    return millions(value) if metric.in_millions else value
+
+
+def _widest(df: DataFrame, states: Sequence[str]) -> DataFrame:
+    """Decimal sums in Spark's widest type: each adding up widens them, and there may be one or several."""
+    kinds = {s: df.schema[s].dataType for s in states}
+    wide = {s: T.DecimalType(38, kind.scale) for s, kind in kinds.items() if isinstance(kind, T.DecimalType)}
+    return df.withColumns({s: F.col(s).cast(kind) for s, kind in wide.items()}) if wide else df
 
 
 def _value(metric: Metric) -> Column:
@@ -181,12 +266,15 @@ def metric_query(
     metrics: Sequence[str],
     group_by: Sequence[str] = (),
     spine: Spine = Spine(),
+    aggregates: Sequence[StoredAggregate] = (),
 ) -> DataFrame:
     """Metrics by dimensions, one row per combination found in any of the facts involved.
 
     ``models`` holds the two facts and the roster by model name, as ``build`` returns them.
     Dimensions are named ``entity__column``; the yearly time is ``metric_time`` or the
-    ``season_date`` of either fact and comes out as ``<name>__year``.
+    ``season_date`` of either fact and comes out as ``<name>__year``. ``aggregates`` are stored
+    parts of answers, see ``seasonmart.plans.aggregates``: each fact is read from the smallest
+    one that covers the request, and from its model only if none does.
 
     Rows of both facts go into a single aggregation, each with nulls for the other's measures.
     That equals aggregating the facts apart and joining the results in full on null-safe keys, but
@@ -200,17 +288,20 @@ def metric_query(
         raise ValueError("metrics must be given, each once")
     if len({*keys}) < len(keys) or len(times) > 1:
         raise ValueError("a dimension is grouped by twice")
-    rows = reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        (
-            _measure_rows(models, source, measures, group_by)
-            for source in FACT_ENTITIES
-            if any(m.source == source for m in measures)
-        ),
-    )
-    totals = rows.groupBy(*keys).agg(
-        *(m.aggregate(F.col(m.name)).alias(m.name) for m in measures)
-    )
+    parts, states = [], []
+    for source in FACT_ENTITIES:
+        own = list(dict.fromkeys(s for m in measures if m.source == source for s in m.states))
+        if own:
+            # Both facts have rows to count and a salary: their states keep apart by the fact's name.
+            part = source_rows(models, source, own, group_by, aggregates)
+            parts.append(part.select(
+                *(F.col(canonical(d)).alias(k) for d, k in zip(group_by, keys)),
+                *(F.col(s).alias(_of_source(s, source)) for s in own),
+            ))
+            states += [_of_source(s, source) for s in own]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    added = _widest(rows.groupBy(*keys).agg(*merged(states)), states)
+    totals = added.select(*keys, *(_from_states(m).alias(m.name) for m in measures))
     running = {m.name: m.inputs[0] for m in wanted if m.kind == "cumulative"}
     if running and not times:
         # The running total over all time, asked for without a time, is the total.

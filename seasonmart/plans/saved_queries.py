@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from seasonmart.operators.spine import Spine
-from seasonmart.plans.metrics import metric_query
+from seasonmart.plans.metrics import StoredAggregate, metric_query
 from seasonmart.sources.sinks import EXPORT_SCHEMA, Target, publish_table
 
 
@@ -45,10 +45,13 @@ SAVED_QUERIES = {
 
 
 def saved_query(
-    models: Mapping[str, DataFrame], name: str, spine: Spine = Spine()
+    models: Mapping[str, DataFrame],
+    name: str,
+    spine: Spine = Spine(),
+    aggregates: Sequence[StoredAggregate] = (),
 ) -> DataFrame:
     query = SAVED_QUERIES[name]
-    return metric_query(models, query.metrics, query.group_by, spine)
+    return metric_query(models, query.metrics, query.group_by, spine, aggregates)
 
 
 def export_saved_query(
@@ -56,6 +59,7 @@ def export_saved_query(
     name: str,
     target: Target = Target(),
     spine: Spine = Spine(),
+    aggregates: Sequence[StoredAggregate] = (),
 ) -> DataFrame:
     """Run a saved query and rebuild its export table, named like the query."""
-    return publish_table(saved_query(models, name, spine), name, target, EXPORT_SCHEMA)
+    return publish_table(saved_query(models, name, spine, aggregates), name, target, EXPORT_SCHEMA)

@@ -28,8 +28,17 @@ _COLUMNS = {
 }
 
 
+def _path(folder: str, name: str) -> str:
+    return f"{folder}/{name}.parquet"
+
+
+def paths(folder: str) -> list[str]:
+    """Where the tables lie that the raw tables are derived from."""
+    return [_path(folder, name) for name in _COLUMNS]
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.schema(_COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(_COLUMNS[name]).parquet(_path(folder, name))
 
 
 def _label(prefix: str, number: Column) -> Column:

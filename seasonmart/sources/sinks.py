@@ -5,7 +5,7 @@ from __future__ import annotations
 import atexit
 import functools
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -93,6 +93,7 @@ def _release_active() -> None:
     spark = SparkSession.getActiveSession()
     if spark and spark.sparkContext._jsc:
         release(spark)
+        remove(spark, _kept_folder(spark))
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -107,14 +108,53 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/seasonmart/{application}"
 
 
+def _kept_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}-kept"
+
+
+def keep(df: DataFrame, group: str, name: str) -> DataFrame:
+    """Write a table that later queries of this application find again with ``kept``."""
+    path = f"{_kept_folder(df.sparkSession)}/{group}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def kept(spark: SparkSession, group: str, names: Sequence[str]) -> dict[str, DataFrame] | None:
+    """The tables of a group that were written with ``keep``, or None unless all of them are there."""
+    folder = f"{_kept_folder(spark)}/{group}"
+    if not all(exists(spark, f"{folder}/{name}/_SUCCESS") for name in names):
+        return None
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _located(spark: SparkSession, path: str):
+    """A path and the store that it lies in."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever store it lies."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    store, target = _located(spark, path)
+    store.delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, target = _located(spark, path)
+    return store.exists(target)
+
+
+def files(spark: SparkSession, path: str) -> Iterator[tuple[str, int, int]]:
+    """Path, size and time of change (milliseconds) of each file under a path."""
+    store, target = _located(spark, path)
+    found = store.listFiles(target, True)
+    while found.hasNext():
+        file = found.next()
+        yield file.getPath().toString(), file.getLen(), file.getModificationTime()
 
 
 def release(spark: SparkSession) -> None:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from seasonmart.sources.schemas import RAW_SCHEMAS
+from seasonmart.sources.sinks import files
 
 
 @dataclass(frozen=True)
@@ -47,3 +50,12 @@ def parquet_tables(spark: SparkSession, folder: str) -> RawTables:
 
 def catalog_tables(spark: SparkSession, schema: str = "raw") -> RawTables:
     return RawTables(*(spark.table(f"{schema}.{name}") for name in RAW_SCHEMAS))
+
+
+def fingerprint(spark: SparkSession, paths: Iterable[str]) -> str:
+    """A name for the state of some tables, from their files' names, sizes and times; no data is read."""
+    state = hashlib.sha256()
+    for path in paths:
+        for file in sorted(files(spark, path)):
+            state.update(repr(file).encode())
+    return state.hexdigest()
