@@ -7,8 +7,7 @@ import importlib
 import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import replace
-from functools import partial
-from importlib.util import find_spec
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -186,7 +185,8 @@ def _check_relationships(spark: SparkSession, folder: str) -> DataFrame:
 def _check_summary(spark: SparkSession, folder: str) -> DataFrame:
     """All models built in order as tables, then every declared check run on them."""
     with sinks.own_target(spark, "check_summary") as target:
-        models = build(spark, retail.raw_tables(spark, folder), target, SETTINGS)
+        raw = retail.raw_tables(spark, folder)
+        models = build(spark, raw, target, SETTINGS, quality.DECLARED_CHECKS)
         return sinks.stage(quality.run_checks(models), "check_summary")
 
 
@@ -207,12 +207,17 @@ def _check_summary_with_failures(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _check_failing_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """The stored rows of a check that fails."""
-    check = FAILING_CHECKS[0]
+    """The stored rows of two checks of one model that fail, each from its own table."""
+    failing = [c for c in FAILING_CHECKS if c.model == oracle.FAILING_ROWS_MODEL]
     with sinks.own_target(spark, "failing_rows") as target:
-        quality.run_and_store_checks(Models(spark, folder), target, [check])
-        stored = spark.table(target.table_name(quality.FAILURE_SCHEMA, check.name))
-        return sinks.stage(stored.select("player_id", "year", "salary"), "failing_rows")
+        quality.run_and_store_checks(Models(spark, folder), target, failing)
+        stored = [
+            spark.table(target.table_name(quality.FAILURE_SCHEMA, check.name)).select(
+                F.lit(check.name).alias("check_name"), "player_id", "year", "salary"
+            )
+            for check in failing
+        ]
+        return sinks.stage(reduce(DataFrame.union, stored), "failing_rows")
 
 
 def _source_freshness(spark: SparkSession, folder: str) -> DataFrame:
@@ -237,6 +242,27 @@ def _table_export(spark: SparkSession, folder: str) -> DataFrame:
         return sinks.stage(exported, "table_export")
 
 
+def _table_exports(spark: SparkSession, folder: str) -> DataFrame:
+    """All saved queries exported as tables and read back, one row per figure."""
+    models, aggregates = Models(spark, folder), _aggregates(spark, folder)
+    with sinks.own_target(spark, "table_exports") as target:
+        figures = []
+        for name, query in SAVED_QUERIES.items():
+            export_saved_query(models, name, target, SETTINGS.spine, aggregates)
+            table = spark.table(target.table_name(sinks.EXPORT_SCHEMA, name))
+            group = [c for c in table.columns if c not in query.metrics and not c.endswith("__year")]
+            (year,) = (c for c in table.columns if c.endswith("__year"))
+            figures.append(
+                table.select(
+                    F.lit(name).alias("export"),
+                    (F.col(group[0]) if group else F.lit(None).cast("string")).alias("dimension"),
+                    F.col(year).alias("season"),
+                    *(F.col(m).cast("double").alias(m) for m in query.metrics),
+                ).unpivot(["export", "dimension", "season"], list(query.metrics), "metric", "value")
+            )
+        return sinks.stage(reduce(DataFrame.union, figures), "table_exports")
+
+
 def _csv_scan(table: str, spark: SparkSession, folder: str) -> DataFrame:
     """A raw table written as CSV with a header and read with the fixed types."""
     path = sinks.scratch_path(spark, table)
@@ -251,12 +277,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _training_data(attribute: str) -> dict:
-    """What the operators for training data and the pipeline of them register, if they are here."""
+    """What the operators for training data and the pipeline of them register, if they can be imported."""
     found = {}
-    if find_spec("seasonmart.llm"):
-        found |= getattr(importlib.import_module("seasonmart.llm.queries"), attribute)
-    if find_spec("seasonmart.llm") and find_spec("corpus_pipeline"):
-        found |= getattr(importlib.import_module("corpus_pipeline"), attribute)
+    for module in ("seasonmart.llm.queries", "corpus_pipeline"):
+        try:
+            found |= getattr(importlib.import_module(module), attribute)
+        except ImportError:
+            break
     return found
 
 
@@ -313,6 +340,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "view_roundtrip": _view_roundtrip,
         "pass_through": _pass_through,
         "table_export": _table_export,
+        "table_exports": _table_exports,
         "csv_scan": partial(_csv_scan, "raw_salaries"),
         "csv_scan_games": partial(_csv_scan, "raw_game_stats"),
         **_training_data("QUERIES"),

@@ -62,6 +62,25 @@ FAILING_CHECKS = (
 )
 
 
+#: The exports: dimension, season and metrics of each.
+_MONEY = ("total_salary_millions", "average_salary_millions", "contract_count")
+_EXPORTS = {
+    "salary_by_position_and_season": ("player_salary__position", "player_salary__season_date__year", _MONEY),
+    "salary_by_league_and_season": ("player_salary__league", "player_salary__season_date__year", _MONEY),
+    "pitcher_performance_by_season": (
+        "cast(null as varchar)", "player_season__season_date__year",
+        ("total_wins", "total_saves", "total_strikeouts_pitched", "average_era", "win_loss_ratio")),
+    "home_run_leaders_by_season": (
+        "player__full_name", "player_season__season_date__year",
+        ("total_home_runs", "total_rbi", "salary_per_home_run")),
+    "pitcher_cost_efficiency": (
+        "player__full_name", "player_season__season_date__year",
+        ("total_wins", "average_era", "total_salary_millions", "salary_per_win")),
+}
+#: The model whose failing checks are stored row by row.
+FAILING_ROWS_MODEL = "stg_salaries"
+
+
 def _case(column: str, codes: dict[str, str]) -> str:
     branches = " ".join(f"when '{k}' then '{v}'" for k, v in codes.items())
     return f"case {column} {branches} else {column} end"
@@ -541,8 +560,13 @@ def statements() -> dict[str, str]:
         "check_failures": _with(
             "\nunion all ".join(_failing_values(*check) for check in FAILING_CHECKS), *MODELS),
         "check_failing_rows": _with(
-            "select player_id, year, salary from stg_salaries where player_id in "
-            "(select player_id from stg_salaries group by 1 having count(*) > 1)", "stg_salaries"),
+            "select 'unique_stg_salaries_player_id' as check_name, player_id, year, salary "
+            "from stg_salaries where player_id in "
+            "(select player_id from stg_salaries group by 1 having count(*) > 1) union all "
+            "select 'relationships_stg_salaries_player_id', player_id, year, salary "
+            "from stg_salaries s where player_id is not null and not exists "
+            "(select * from player_performance_analysis p where p.player_id = s.player_id)",
+            "stg_salaries", "player_performance_analysis"),
         "source_freshness":
             "select max(ts) as max_loaded_at, "
             "(epoch_us(timestamp '2024-02-01') - epoch_us(max(ts))) / 3600000000 as age_hours, "
@@ -558,4 +582,9 @@ def statements() -> dict[str, str]:
             "select * replace (innings_pitched::double as innings_pitched) from raw_game_stats",
             "raw_game_stats"),
     }
+    sql["table_exports"] = "\nunion all ".join(
+        f"select '{name}' as export, {dimension} as dimension, {season} as season, "
+        f"'{metric}' as metric, {metric}::double as value from ({sql[f'saved_{name}']})"
+        for name, (dimension, season, metrics) in _EXPORTS.items() for metric in metrics
+    )
     return sql

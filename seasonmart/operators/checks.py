@@ -28,6 +28,21 @@ class Check:
     def name(self) -> str:
         return f"{self.kind}_{self.model}_{self.column}"
 
+    @property
+    def by_row(self) -> bool:
+        """Whether a row fails or passes by itself, whatever other rows hold."""
+        return self.kind in (NOT_NULL, ACCEPTED_VALUES)
+
+
+def row_fails(check: Check) -> Column:
+    """For checks by row: whether a row violates one; null where it has no say."""
+    column = F.col(check.column)
+    return column.isNull() if check.kind == NOT_NULL else ~column.isin(list(check.values))
+
+
+def failing_row_count(check: Check) -> Column:
+    return F.count(F.when(row_fails(check), 1))
+
 
 def null_rows(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
@@ -63,11 +78,9 @@ def orphans(
 
 def failing_rows(models: Mapping[str, DataFrame], check: Check) -> DataFrame:
     """The rows of a model that violate a check, with all their columns."""
-    df, column = models[check.model], F.col(check.column)
-    if check.kind == NOT_NULL:
-        return null_rows(df, check.column)
-    if check.kind == ACCEPTED_VALUES:
-        return df.where(~column.isin(list(check.values)))
+    df = models[check.model]
+    if check.by_row:
+        return df.where(row_fails(check))
     if check.kind == UNIQUE:
         values = repeated_values(df, check.column)
     else:
@@ -76,16 +89,32 @@ def failing_rows(models: Mapping[str, DataFrame], check: Check) -> DataFrame:
     return df.join(values.select(F.col("value").alias(check.column)), check.column, "left_semi")
 
 
+def tagged_rows(df: DataFrame, checks: Sequence[Check], failures: DataFrame) -> DataFrame:
+    """The rows of one model that violate checks, once for each, with the check's name as ``check_name``.
+
+    The model is read once, whatever the number of checks. Rows that fail for the sake of others
+    (repeated values, missing parents) are known by their value from ``failures``, the outcome of
+    ``check_failures``.
+    """
+    mark = "failing_value_of_"
+    found = []
+    for i, check in enumerate(checks):
+        if check.by_row:
+            fails = row_fails(check)
+        else:
+            values = failures.where(F.col("check_name") == check.name).select(F.col("value").alias(f"{mark}{i}"))
+            df = df.join(values, F.col(check.column).cast("string") == F.col(f"{mark}{i}"), "left")
+            fails = F.col(f"{mark}{i}").isNotNull()
+        found.append(F.when(fails, check.name))
+    columns = [c for c in df.columns if not c.startswith(mark)]
+    # A row without a failing check unnests to nothing.
+    return df.select(*columns, F.explode(F.array_compact(F.array(*found))).alias("check_name"))
+
+
 def _observation(check: Check) -> Column:
     """What a row has to say about a check, or null if nothing."""
     column = F.col(check.column)
-    match check.kind:
-        case "not_null":
-            concerned = column.isNull()
-        case "accepted_values":
-            concerned = ~column.isin(list(check.values))
-        case _:
-            concerned = column.isNotNull()
+    concerned = row_fails(check) if check.by_row else column.isNotNull()
     entry = F.struct(
         F.lit(check.name).alias("check_name"), column.cast("string").alias("value")
     )
@@ -121,12 +150,31 @@ def _parent_keys(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> Da
     )
 
 
-def check_failures(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+def check_failures(
+    models: Mapping[str, DataFrame], checks: Sequence[Check], observed: Mapping[str, int] | None = None
+) -> DataFrame:
     """Failing values of many checks with their row counts: (check_name, value, n_records).
 
     Every model is read once, however many checks it has, and its rows are counted per check and
-    value before anything is shuffled.
+    value before anything is shuffled. ``observed`` has the failing rows of checks that were
+    counted while the models were written: those without any are not looked into again, nor are
+    nulls, all of one value; only which values are not accepted takes another look.
     """
+    observed = observed or {}
+    known = [c for c in checks if c.name in observed and (not observed[c.name] or c.kind == NOT_NULL)]
+    nulls = [(c.name, None, observed[c.name]) for c in known if observed[c.name]]
+    checks = [c for c in checks if c not in known]
+    counted = None
+    if known:
+        spark = models[known[0].model].sparkSession
+        counted = spark.createDataFrame(nulls, "check_name string, value string, n_records long")
+    if not checks:
+        return counted
+    failures = _failures_from_models(models, checks)
+    return failures if counted is None else failures.union(counted)
+
+
+def _failures_from_models(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     by_model: dict[str, list[Check]] = {}
     for check in checks:
         by_model.setdefault(check.model, []).append(check)

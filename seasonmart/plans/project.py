@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, SparkSession
 
+from seasonmart.operators.checks import Check, failing_row_count
 from seasonmart.operators.spine import Spine, time_spine_yearly
 from seasonmart.operators.totals import season_totals
 from seasonmart.plans import intermediate, marts, staging
-from seasonmart.sources.sinks import LAYER_SCHEMAS, Scratch, Target, publish_table
+from seasonmart.sources.sinks import LAYER_SCHEMAS, Materialize, Scratch, Target, publish_table
 from seasonmart.sources.tables import RawTables
 
 
@@ -30,66 +34,140 @@ class Settings:
         return Spine(self.as_of, self.spine_first, self.spine_end)
 
 
+class BuildError(Exception):
+    """Some models could not be built. ``failures`` has the errors by model, ``skipped`` the models
+    that need them, ``built`` all others, which are published."""
+
+    def __init__(self, failures: dict[str, Exception], skipped: list[str], built: Built):
+        super().__init__(f"failed: {', '.join(failures)}; not tried: {', '.join(skipped) or 'none'}")
+        self.failures, self.skipped, self.built = failures, skipped, built
+
+
+class Built(dict[str, DataFrame]):
+    """Published models by name. ``observed`` has, by check, the rows found failing while they were written."""
+
+    def __init__(self):
+        super().__init__()
+        self.observed: dict[str, int] = {}
+
+
+@dataclass(frozen=True)
+class Step:
+    """One table of a build: what it is made from, and how. Without a layer it is for the build only."""
+
+    layer: str | None
+    needs: tuple[str, ...]
+    make: Callable[..., DataFrame]
+
+
+def project_steps(
+    spark: SparkSession, raw: RawTables, settings: Settings, materialize: Materialize
+) -> dict[str, Step]:
+    """All models and the season totals that two of them share, with what each needs."""
+
+    def trends(games: DataFrame, players: DataFrame) -> DataFrame:
+        return intermediate.int_pitcher_performance_trends(games, players, materialize=materialize)
+
+    def values(totals: DataFrame, players: DataFrame, salaries: DataFrame) -> DataFrame:
+        return intermediate.int_player_value_analysis(
+            None, players, salaries, totals=totals, materialize=materialize
+        )
+
+    def roster(players: DataFrame, teams: DataFrame) -> DataFrame:
+        return marts.dim_roster(players, teams, settings.as_of, settings.roster_team)
+
+    def performance(totals: DataFrame, players: DataFrame, salaries: DataFrame) -> DataFrame:
+        return marts.player_performance_analysis(None, players, salaries, totals=totals)
+
+    def payroll(facts: DataFrame) -> DataFrame:
+        return marts.pitcher_salary_analysis(facts, settings.first_report_year, materialize=materialize)
+
+    players, salaries, totals = "stg_players", "stg_salaries", "season_totals"
+    return {
+        "stg_players": Step("staging", (), lambda: staging.stg_players(raw.players)),
+        "stg_teams": Step("staging", (), lambda: staging.stg_teams(raw.teams)),
+        "stg_salaries": Step("staging", (), lambda: staging.stg_salaries(raw.salaries, settings.flag_year)),
+        "stg_game_stats": Step("staging", (), lambda: staging.stg_game_stats(raw.game_stats)),
+        "season_totals": Step(None, ("stg_game_stats",), season_totals),
+        "int_pitcher_performance_trends": Step("intermediate", ("stg_game_stats", players), trends),
+        "int_player_value_analysis": Step("intermediate", (totals, players, salaries), values),
+        "dim_roster": Step("marts", (players, "stg_teams"), roster),
+        "fct_player_salaries": Step("marts", (salaries, players, "stg_teams"), marts.fct_player_salaries),
+        "player_performance_analysis": Step("marts", (totals, players, salaries), performance),
+        "pitcher_salary_analysis": Step("marts", ("fct_player_salaries",), payroll),
+        "time_spine_yearly": Step("marts", (), lambda: time_spine_yearly(spark, settings.spine)),
+        "test": Step("marts", (), lambda: marts.literal_row(spark)),
+        "test_2": Step("marts", ("test",), marts.pass_through),
+    }
+
+
+def run_steps(
+    steps: Mapping[str, Step], run: Callable[[str, Step], None], workers: int
+) -> tuple[dict[str, Exception], list[str]]:
+    """Run each step once all that it needs has run, several at a time; the errors, and what they kept from running.
+
+    Each step is a thread of its own that starts Spark jobs; which of their tasks run when is
+    Spark's business. An error stops only the steps that need the one that failed.
+    """
+    waiting, running, done = dict(steps), {}, set()
+    failures: dict[str, Exception] = {}
+    with ThreadPoolExecutor(workers) as pool:
+        while True:
+            for name in [n for n, step in waiting.items() if done.issuperset(step.needs)]:
+                running[pool.submit(run, name, waiting.pop(name))] = name
+            if not running:
+                return failures, list(waiting)
+            finished, _ = wait(running, return_when=FIRST_COMPLETED)
+            for future in finished:
+                name, error = running.pop(future), future.exception()
+                if error is None:
+                    done.add(name)
+                elif isinstance(error, Exception):
+                    failures[name] = error
+                else:
+                    raise error
+
+
 def build(
     spark: SparkSession,
     raw: RawTables,
     target: Target = Target(),
     settings: Settings = Settings(),
-) -> dict[str, DataFrame]:
+    checks: Sequence[Check] = (),
+    workers: int = 4,
+) -> Built:
     """Publish all models as tables in the schemas of their layers, and return them by name.
 
     Each model is built on the tables published before it, so all of them show the raw tables as
-    of this build, and nothing is computed twice. Staging and intermediate models are tables
-    too: Spark keeps a view beyond the session only if it is SQL text, and a view over tables
-    that were frozen earlier would mix two states of the raw tables.
+    of this build, and nothing is computed twice. Models that do not need each other are written
+    at the same time, as jobs of ``workers`` threads, each in a scheduler pool named like the
+    model (pools share the cluster evenly under ``spark.scheduler.mode=FAIR``). A model that fails
+    takes with it only what is built on it: the others are published before ``BuildError`` is raised.
+
+    What ``checks`` of single rows find is counted while the rows are written. Staging and
+    intermediate models are tables too: Spark keeps a view beyond the session only if it is SQL
+    text, and a view over tables that were frozen earlier would mix two states of the raw tables.
     """
-    built: dict[str, DataFrame] = {}
-
-    def publish(layer: str, name: str, df: DataFrame) -> DataFrame:
-        built[name] = publish_table(df, name, target, LAYER_SCHEMAS[layer])
-        return built[name]
-
-    players = publish("staging", "stg_players", staging.stg_players(raw.players))
-    teams = publish("staging", "stg_teams", staging.stg_teams(raw.teams))
-    salaries = publish(
-        "staging", "stg_salaries", staging.stg_salaries(raw.salaries, settings.flag_year)
-    )
-    games = publish("staging", "stg_game_stats", staging.stg_game_stats(raw.game_stats))
+    built, tables = Built(), {}
     with Scratch(spark, "build") as scratch:
-        totals = scratch.stage(season_totals(games), "season_totals")
-        publish(
-            "intermediate",
-            "int_pitcher_performance_trends",
-            intermediate.int_pitcher_performance_trends(games, players, materialize=scratch.stage),
-        )
-        publish(
-            "intermediate",
-            "int_player_value_analysis",
-            intermediate.int_player_value_analysis(
-                None, players, salaries, totals=totals, materialize=scratch.stage
-            ),
-        )
-        publish(
-            "marts",
-            "dim_roster",
-            marts.dim_roster(players, teams, settings.as_of, settings.roster_team),
-        )
-        facts = publish(
-            "marts", "fct_player_salaries", marts.fct_player_salaries(salaries, players, teams)
-        )
-        publish(
-            "marts",
-            "player_performance_analysis",
-            marts.player_performance_analysis(None, players, salaries, totals=totals),
-        )
-        publish(
-            "marts",
-            "pitcher_salary_analysis",
-            marts.pitcher_salary_analysis(
-                facts, settings.first_report_year, materialize=scratch.stage
-            ),
-        )
-    publish("marts", "time_spine_yearly", time_spine_yearly(spark, settings.spine))
-    first = publish("marts", "test", marts.literal_row(spark))
-    publish("marts", "test_2", marts.pass_through(first))
+
+        def run(name: str, step: Step) -> None:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+            df = step.make(*(tables[n] for n in step.needs))
+            if step.layer is None:
+                tables[name] = scratch.stage(df, name)
+                return
+            counters = {c.name: failing_row_count(c) for c in checks if c.model == name and c.by_row}
+            observation = Observation()
+            if counters:
+                df = df.observe(observation, *(count.alias(check) for check, count in counters.items()))
+            tables[name] = publish_table(df, name, target, LAYER_SCHEMAS[step.layer])
+            if counters:
+                built.observed.update(observation.get)
+
+        steps = project_steps(spark, raw, settings, scratch.stage)
+        failures, skipped = run_steps(steps, inheritable_thread_target(spark)(run), workers)
+    built.update({name: tables[name] for name, step in steps.items() if step.layer and name in tables})
+    if failures:
+        raise BuildError(failures, skipped, built)
     return built

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from seasonmart.functions.columns import LEAGUE_CODES, POSITION_CODES
 from seasonmart.operators.checks import (
@@ -15,9 +16,9 @@ from seasonmart.operators.checks import (
     Check,
     check_failures,
     check_summary,
-    failing_rows,
+    tagged_rows,
 )
-from seasonmart.sources.sinks import Target, publish_table
+from seasonmart.sources.sinks import Target, publish_table, switch_table, table_location
 
 FAILURE_SCHEMA = "checks"
 
@@ -65,10 +66,16 @@ DECLARED_CHECKS = (
 )
 
 
+def _observed(models: Mapping[str, DataFrame]) -> Mapping[str, int]:
+    """What was counted while the models were written, if they come from ``build``."""
+    return getattr(models, "observed", {})
+
+
 def run_checks(
     models: Mapping[str, DataFrame], checks: Sequence[Check] = DECLARED_CHECKS
 ) -> DataFrame:
-    return check_summary(check_failures(models, checks), checks)
+    """One row per check. Models that ``build`` wrote with the same checks are read for the others only."""
+    return check_summary(check_failures(models, checks, _observed(models)), checks)
 
 
 def run_and_store_checks(
@@ -79,16 +86,38 @@ def run_and_store_checks(
     """Run checks, store failing values, failing rows and the summary, and return the summary.
 
     Each check that finds something gets a table of its own with the rows concerned, named like
-    the check. Violations are warnings: the run goes on whatever the checks find.
+    the check; one that finds nothing any more loses it. A model's failing rows are found in one
+    pass and written at once, a folder per check, whatever the number of checks that fail; those
+    folders are the checks' tables. Violations are warnings: the run goes on whatever is found.
     """
     failures = publish_table(
-        check_failures(models, checks), "check_failures", target, FAILURE_SCHEMA
+        check_failures(models, checks, _observed(models)), "check_failures", target, FAILURE_SCHEMA
     )
     summary = publish_table(
         check_summary(failures, checks), "check_summary", target, FAILURE_SCHEMA
     )
+    spark = summary.sparkSession
     warned = {r.check_name for r in summary.where("status = 'warn'").collect()}  # a row per check
+    by_model: dict[str, list[Check]] = {}
     for check in checks:
         if check.name in warned:
-            publish_table(failing_rows(models, check), check.name, target, FAILURE_SCHEMA)
+            by_model.setdefault(check.model, []).append(check)
+        else:
+            spark.sql(f"drop table if exists {target.table_name(FAILURE_SCHEMA, check.name)}")
+    for model, failing in by_model.items():
+        rows = tagged_rows(models[model], failing, failures)
+        name = f"failing_rows_{model}"
+        publish_table(rows, name, target, FAILURE_SCHEMA, partition_by=["check_name"])
+        for check in failing:
+            _table_of_check(spark, target, name, check)
     return summary
+
+
+def _table_of_check(spark: SparkSession, target: Target, name: str, check: Check) -> None:
+    """Make one check's folder of a model's failing rows a table."""
+    table = target.table_name(FAILURE_SCHEMA, check.name)
+    folder = f"{table_location(spark, target.table_name(FAILURE_SCHEMA, name))}/check_name={check.name}"
+    new = f"{table}__{uuid.uuid4().hex}"
+    columns = spark.table(target.table_name(FAILURE_SCHEMA, name)).drop("check_name").schema
+    spark.catalog.createTable(new, folder, "parquet", columns)
+    switch_table(spark, table, new)

@@ -53,9 +53,16 @@ def publish_table(
     custom_schema: str | None = None,
     bucket_by: str | None = None,
     buckets: int = 0,
+    partition_by: Sequence[str] = (),
 ) -> DataFrame:
     """Rebuild a table in full and return it as read back.
 
+    Rows are written to a folder of their own, a version of the table, and the catalog is switched
+    to it when all of them are there: whoever reads the table meanwhile gets the rows before or
+    after, and a write that fails changes nothing. The version before is kept for readers that
+    have begun, older ones are deleted. A table whose columns, buckets or partitions change, and
+    any table with partitions, is switched by dropping the old entry and renaming the new one.
+
     Files follow the partitions of the last shuffle, which AQE merges to its advisory size and, in
     a skewed join, splits. A later join on ``bucket_by`` between tables with the same number of
     buckets needs no shuffle.
@@ -64,15 +71,57 @@ def publish_table(
     schema, full_name = target.schema_for(custom_schema), target.table_name(custom_schema, name)
     if schema != "default":
         spark.sql(f"create database if not exists `{schema}`")
-    writer = df.write.mode("overwrite").format("parquet")
+    folder = f"{target.folder}/{schema}" if target.folder else spark.catalog.getDatabase(schema).locationUri
+    version = f"v-{uuid.uuid4().hex}"
+    path, new_name = f"{folder}/{name}/{version}", f"{full_name}__{version[2:]}"
+    writer = df.write.format("parquet").option("path", path)
     if buckets:
         writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
-    if target.folder:
-        writer = writer.option("path", f"{target.folder}/{schema}/{name}")
-    writer.saveAsTable(full_name)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    try:
+        writer.saveAsTable(new_name)
+    except BaseException:
+        spark.sql(f"drop table if exists {new_name}")
+        remove(spark, path)
+        raise
+    before = switch_table(spark, full_name, new_name)
+    for old in folders(spark, f"{folder}/{name}"):
+        if old.startswith("v-") and old != version and not (before or "").endswith(old):
+            remove(spark, f"{folder}/{name}/{old}")
     return spark.table(full_name)
 
 
+def _definition(spark: SparkSession, name: str) -> tuple[list, str | None]:
+    """What has to be equal for a table to change its place only, and that place."""
+    rows = spark.sql(f"describe extended {name}").collect()  # a row per column and property
+    properties = {r.col_name: r.data_type for r in rows}
+    same = [properties.get(p) for p in ("Num Buckets", "Bucket Columns", "Sort Columns")]
+    columns = [(c.name, c.dataType, c.isPartition) for c in spark.catalog.listColumns(name)]
+    return [columns, same], properties.get("Location")
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    """Where the files of a table lie now."""
+    return _definition(spark, name)[1]
+
+
+def switch_table(spark: SparkSession, name: str, new_name: str) -> str | None:
+    """Let ``name`` stand for the files of the table ``new_name``, whose entry goes; the place before, if any."""
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"alter table {new_name} rename to {name}")
+        return None
+    (before, old_place), (after, new_place) = _definition(spark, name), _definition(spark, new_name)
+    if before == after and not any(is_partition for *_, is_partition in after[0]):
+        spark.sql(f"alter table {name} set location '{new_place}'")
+        spark.sql(f"drop table {new_name}")
+    else:
+        spark.sql(f"drop table {name}")
+        spark.sql(f"alter table {new_name} rename to {name}")
+    spark.catalog.refreshTable(name)
+    return old_place
+
+
 @contextmanager
 def own_target(spark: SparkSession, name: str) -> Iterator[Target]:
     """A schema and folder that nobody else uses, both dropped when the ``with`` block ends."""
@@ -148,6 +197,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(target)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder."""
+    store, target = _located(spark, path)
+    return [entry.getPath().getName() for entry in store.listStatus(target)] if store.exists(target) else []
+
+
 def files(spark: SparkSession, path: str) -> Iterator[tuple[str, int, int]]:
     """Path, size and time of change (milliseconds) of each file under a path."""
     store, target = _located(spark, path)
