@@ -191,11 +191,12 @@ def _check_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # Checks that find something by the nature of the tables, and two that do not.
-FAILING_CHECKS = tuple(
-    checks.Check(model, column, kind, () if isinstance(more, str) else more,
-                 (more, "player_id") if isinstance(more, str) else None)
-    for kind, model, column, more in oracle.FAILING_CHECKS
-)
+def _declared(kind: str, model: str, column: str, more: tuple | str) -> checks.Check:
+    parent = (more, "player_id") if isinstance(more, str) else None
+    return checks.Check(model, column, kind, () if parent else more, parent)
+
+
+FAILING_CHECKS = tuple(_declared(*check) for check in oracle.FAILING_CHECKS)
 
 
 def _check_failures(spark: SparkSession, folder: str) -> DataFrame:
@@ -208,7 +209,7 @@ def _check_summary_with_failures(spark: SparkSession, folder: str) -> DataFrame:
 
 def _check_failing_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The stored rows of two checks of one model that fail, each from its own table."""
-    failing = [c for c in FAILING_CHECKS if c.model == oracle.FAILING_ROWS_MODEL]
+    failing = [_declared(*check) for check in oracle.STORED_CHECKS]
     with sinks.own_target(spark, "failing_rows") as target:
         quality.run_and_store_checks(Models(spark, folder), target, failing)
         stored = [
