@@ -13,13 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import season_oracle as oracle
-from seasonmart.operators import checks, spine
+from seasonmart.operators import bitmaps, checks, spine
 from seasonmart.plans import intermediate, marts, quality, staging
 from seasonmart.plans.aggregates import kept_aggregates
 from seasonmart.plans.metrics import StoredAggregate, metric_query
-from seasonmart.plans.project import Settings, build
+from seasonmart.plans.project import Settings, build, rebuild_seasons
 from seasonmart.plans.saved_queries import SAVED_QUERIES, export_saved_query, saved_query
+from seasonmart.plans.views import publish_views
 from seasonmart.sources import retail, sinks, tables
+from seasonmart.sources.declared import sources_freshness
 
 # The models' defaults are set for seasons around the present; the test tables cover 1995 to 2001.
 SETTINGS = Settings(
@@ -226,6 +228,76 @@ def _source_freshness(spark: SparkSession, folder: str) -> DataFrame:
     return checks.source_freshness(events, "ts", dt.datetime(2024, 2, 1))
 
 
+def _sources_freshness(spark: SparkSession, folder: str) -> DataFrame:
+    """The declared sources: two with a column that dates their rows, two by the time of their files."""
+    found = sources_freshness(
+        retail.sources(spark, folder), retail.DECLARED_SOURCES, dt.datetime.fromisoformat(oracle.LOADS_AS_OF)
+    )
+    dated = F.col("loaded_by") == "column"
+    return found.select(
+        "source", "loaded_by", F.when(dated, F.col("age_hours")).alias("age_hours"), "status"
+    )
+
+
+def _season_rebuild(spark: SparkSession, folder: str) -> DataFrame:
+    """The salary facts after one season's salaries were doubled and that season was rebuilt."""
+    raw = retail.raw_tables(spark, folder)
+    doubled = F.when(F.col("year") == oracle.REBUILT_SEASON, F.col("salary") * 2).otherwise(F.col("salary"))
+    changed = replace(raw, salaries=raw.salaries.withColumn("salary", doubled))
+    with sinks.own_target(spark, "season_rebuild") as target:
+        build(spark, raw, target, SETTINGS)
+        rebuilt = rebuild_seasons(spark, changed, [oracle.REBUILT_SEASON], target, SETTINGS)
+        facts = rebuilt["fct_player_salaries"].select("player_id", "year", "salary", "full_name", "team_name")
+        return sinks.stage(facts, "season_rebuild")
+
+
+def _distinct_pitchers(spark: SparkSession, folder: str) -> DataFrame:
+    """Paid pitchers by year, by team and in all, from one stored table of bitmaps by year and team."""
+    facts = sinks.stage(Models(spark, folder)["fct_player_salaries"], "facts")
+    pitchers = facts.where("is_pitcher").select("player_id", "year", "team_name")
+    numbers = bitmaps.numbered_values(pitchers, "player_id", sinks.stage)
+    stored = sinks.stage(bitmaps.value_bitmaps(pitchers.join(numbers, "player_id"), ["year", "team_name"]), "bitmaps")
+    groups = (["year", "team_name"], ["year"], ["team_name"], [])
+    counts = [
+        bitmaps.distinct_counts(stored, keys, "total_pitchers").select(
+            *(F.col(c) if c in keys else F.lit(None).cast(kind).alias(c)
+              for c, kind in (("year", "int"), ("team_name", "string"))),
+            F.lit("+".join(keys) or "all").alias("level"), "total_pitchers",
+        )
+        for keys in groups
+    ]
+    return reduce(DataFrame.union, counts)
+
+
+def _csv_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Salaries loaded from a CSV in which some lines are broken: those that fit, and those set apart."""
+    path = sinks.scratch_path(spark, "broken_csv")
+    salaries = retail.salaries(spark, folder)
+    salaries.write.option("header", True).csv(path)
+    broken = salaries.where(F.col("salary") % 50 == 0).select(
+        "player_id", F.lit("n/a").alias("year"), F.col("salary").cast("string").alias("salary"), "team_id"
+    )
+    broken.write.option("header", True).mode("append").csv(path)
+    loaded = tables.load_csv(spark, path, "raw_salaries", max_bad_share=0.2)
+    columns = ["player_id", "year", "salary", "team_id"]
+    nothing = [F.lit(None).cast(loaded.rows.schema[c].dataType).alias(c) for c in columns]
+    return loaded.rows.select(*columns, F.lit(None).cast("string").alias("bad_line")).union(
+        loaded.quarantine.select(*nothing, "line")
+    )
+
+
+def _permanent_view(spark: SparkSession, folder: str) -> DataFrame:
+    """Staged players through a view of the catalog, read by another session after more raw rows came in."""
+    players = retail.players(spark, folder)
+    early = F.col("player_id").endswith("1")
+    with sinks.own_target(spark, "permanent_view") as target:
+        sinks.publish_table(players.where(early), "raw_players", target)
+        (view,) = publish_views(spark, target.schema, target, SETTINGS.flag_year, ["stg_players"])
+        other = spark.newSession()
+        players.where(~early).write.insertInto(f"{target.schema}.raw_players")
+        return sinks.stage(other.table(view), "permanent_view")
+
+
 def _view_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     name = f"stg_players_{uuid.uuid4().hex}"
     sinks.publish_view(Models(spark, folder)["stg_players"], name)
@@ -338,7 +410,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_failures": _check_failures,
         "check_failing_rows": _check_failing_rows,
         "source_freshness": _source_freshness,
+        "sources_freshness": _sources_freshness,
         "view_roundtrip": _view_roundtrip,
+        "permanent_view": _permanent_view,
+        "season_rebuild": _season_rebuild,
+        "distinct_pitchers": _distinct_pitchers,
+        "csv_quarantine": _csv_quarantine,
         "pass_through": _pass_through,
         "table_export": _table_export,
         "table_exports": _table_exports,

@@ -78,6 +78,9 @@ _EXPORTS = {
         "player__full_name", "player_season__season_date__year",
         ("total_wins", "average_era", "total_salary_millions", "salary_per_win")),
 }
+#: When the sources' ages are taken, and the season that is rebuilt with other salaries.
+LOADS_AS_OF = "2001-11-05T12:00:00"
+REBUILT_SEASON = 1998
 #: Two of them, of one model, whose failing rows are stored.
 STORED_CHECKS = (FAILING_CHECKS[0], FAILING_CHECKS[-1])
 
@@ -573,7 +576,28 @@ def statements() -> dict[str, str]:
             "then 'error' "
             "when epoch_us(timestamp '2024-02-01') - epoch_us(max(ts)) > 86400000000 then 'warn' "
             "else 'pass' end as status from events",
+        "sources_freshness":
+            "select source, loaded_by, age_hours, case when age_hours > 48 then 'error' "
+            "when age_hours > 24 then 'warn' else 'pass' end as status from ("
+            "select 'raw_players' as source, 'file' as loaded_by, null::double as age_hours union all "
+            "select 'raw_teams', 'file', null union all "
+            f"select 'raw_salaries', 'column', epoch(timestamp '{LOADS_AS_OF}' - max(o_orderdate)) / 3600 from orders "
+            f"union all select 'raw_game_stats', 'column', epoch(timestamp '{LOADS_AS_OF}' - max(l_shipdate)) / 3600 "
+            "from lineitem)",
         "view_roundtrip": _model("stg_players"),
+        "permanent_view": _model("stg_players"),
+        "season_rebuild": _with(
+            f"select player_id, year, case when year = {REBUILT_SEASON} then salary * 2 else salary end as salary, "
+            "full_name, team_name from fct_player_salaries", "fct_player_salaries"),
+        "distinct_pitchers": _with(
+            "select year, team_name, case when grouping(year, team_name) = 0 then 'year+team_name' "
+            "when grouping(year) = 0 then 'year' when grouping(team_name) = 0 then 'team_name' else 'all' end as level, "
+            "count(distinct player_id) as total_pitchers from fct_player_salaries where is_pitcher "
+            "group by grouping sets ((year, team_name), (year), (team_name), ())", "fct_player_salaries"),
+        "csv_quarantine": _with(
+            "select player_id, year, salary, team_id, null::varchar as bad_line from raw_salaries union all "
+            "select null, null, null, null, concat_ws(',', player_id, 'n/a', salary::varchar, team_id) "
+            "from raw_salaries where salary % 50 = 0", "raw_salaries"),
         "pass_through": _model("stg_teams"),
         "table_export": _pay({"player_salary__league": "league", **pay_year}, payroll),
         "csv_scan": _with("select * from raw_salaries", "raw_salaries"),

@@ -6,15 +6,19 @@ import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from seasonmart.operators.checks import Check, failing_row_count
 from seasonmart.operators.spine import Spine, time_spine_yearly
 from seasonmart.operators.totals import season_totals
 from seasonmart.plans import intermediate, marts, staging
-from seasonmart.sources.sinks import LAYER_SCHEMAS, Materialize, Scratch, Target, publish_table
+from seasonmart.sources.declared import DECLARED_SOURCES, Source, sources_freshness
+from seasonmart.sources.sinks import CHECK_SCHEMA, LAYER_SCHEMAS, Materialize, Scratch, Target, publish_seasons, publish_table
 from seasonmart.sources.tables import RawTables
 
 
@@ -44,20 +48,27 @@ class BuildError(Exception):
 
 
 class Built(dict[str, DataFrame]):
-    """Published models by name. ``observed`` has, by check, the rows found failing while they were written."""
+    """Published models by name. ``observed`` has, by check, the rows found failing while they were
+    written, ``freshness`` a row per declared source, if the build was given the sources."""
 
     def __init__(self):
         super().__init__()
         self.observed: dict[str, int] = {}
+        self.freshness: DataFrame | None = None
 
 
 @dataclass(frozen=True)
 class Step:
-    """One table of a build: what it is made from, and how. Without a layer it is for the build only."""
+    """One table of a build: what it is made from, and how. Without a layer it is for the build only.
+
+    ``by_season`` makes the table's seasons partitions, so that readers of some seasons list no
+    other files, and single seasons can be rebuilt.
+    """
 
     layer: str | None
     needs: tuple[str, ...]
     make: Callable[..., DataFrame]
+    by_season: bool = False
 
 
 def project_steps(
@@ -92,9 +103,9 @@ def project_steps(
         "int_pitcher_performance_trends": Step("intermediate", ("stg_game_stats", players), trends),
         "int_player_value_analysis": Step("intermediate", (totals, players, salaries), values),
         "dim_roster": Step("marts", (players, "stg_teams"), roster),
-        "fct_player_salaries": Step("marts", (salaries, players, "stg_teams"), marts.fct_player_salaries),
-        "player_performance_analysis": Step("marts", (totals, players, salaries), performance),
-        "pitcher_salary_analysis": Step("marts", ("fct_player_salaries",), payroll),
+        "fct_player_salaries": Step("marts", (salaries, players, "stg_teams"), marts.fct_player_salaries, True),
+        "player_performance_analysis": Step("marts", (totals, players, salaries), performance, True),
+        "pitcher_salary_analysis": Step("marts", ("fct_player_salaries",), payroll, True),
         "time_spine_yearly": Step("marts", (), lambda: time_spine_yearly(spark, settings.spine)),
         "test": Step("marts", (), lambda: marts.literal_row(spark)),
         "test_2": Step("marts", ("test",), marts.pass_through),
@@ -128,12 +139,55 @@ def run_steps(
                     raise error
 
 
+def _dealt_by_season(df: DataFrame) -> DataFrame:
+    """Rows of a season in few files: tasks hold few seasons each, a large season gets several tasks."""
+    return df.hint("rebalance", "year")
+
+
+def rebuild_seasons(
+    spark: SparkSession,
+    raw: RawTables,
+    seasons: Sequence[int],
+    target: Target = Target(),
+    settings: Settings = Settings(),
+) -> dict[str, DataFrame]:
+    """Rebuild some seasons of the marts that are partitioned by season, after ``build``; others are not touched.
+
+    Seasons do not depend on each other there: salaries, totals and payroll are by season. Only
+    the raw rows of these seasons are read, and players and teams as they were last published.
+    """
+    staged = {n: spark.table(target.table_name(LAYER_SCHEMAS["staging"], n)) for n in ("stg_players", "stg_teams")}
+    days = [
+        (F.col("game_date") >= F.lit(dt.date(y, 1, 1))) & (F.col("game_date") < F.lit(dt.date(y + 1, 1, 1)))
+        for y in seasons
+    ]
+    salaries = raw.salaries.where(F.col("year").isin(list(seasons)))
+    games = raw.game_stats.where(reduce(or_, days, F.lit(False)))
+    tables = staged | {
+        "stg_salaries": staging.stg_salaries(salaries, settings.flag_year),
+        "season_totals": season_totals(staging.stg_game_stats(games)),
+    }
+    rebuilt = {}
+    with Scratch(spark, "rebuild_seasons") as scratch:
+        for name, step in project_steps(spark, raw, settings, scratch.stage).items():
+            if step.by_season:
+                rows = step.make(*(tables[n] for n in step.needs))
+                tables[name] = publish_seasons(
+                    _dealt_by_season(rows), name, seasons, target, LAYER_SCHEMAS[step.layer]
+                )
+                tables[name] = tables[name].where(F.col("year").isin(list(seasons)))
+                rebuilt[name] = spark.table(target.table_name(LAYER_SCHEMAS[step.layer], name))
+    return rebuilt
+
+
 def build(
     spark: SparkSession,
     raw: RawTables,
     target: Target = Target(),
     settings: Settings = Settings(),
     checks: Sequence[Check] = (),
+    sources: Mapping[str, DataFrame] | None = None,
+    declared: tuple[Source, ...] = DECLARED_SOURCES,
     workers: int = 4,
 ) -> Built:
     """Publish all models as tables in the schemas of their layers, and return them by name.
@@ -144,11 +198,15 @@ def build(
     model (pools share the cluster evenly under ``spark.scheduler.mode=FAIR``). A model that fails
     takes with it only what is built on it: the others are published before ``BuildError`` is raised.
 
-    What ``checks`` of single rows find is counted while the rows are written. Staging and
+    What ``checks`` of single rows find is counted while the rows are written. With ``sources``, the
+    raw tables as they are read, the age of each one ``declared`` is published too. Staging and
     intermediate models are tables too: Spark keeps a view beyond the session only if it is SQL
     text, and a view over tables that were frozen earlier would mix two states of the raw tables.
     """
     built, tables = Built(), {}
+    if sources:
+        ages = sources_freshness(sources, declared)
+        built.freshness = publish_table(ages, "source_freshness", target, CHECK_SCHEMA)
     with Scratch(spark, "build") as scratch:
 
         def run(name: str, step: Step) -> None:
@@ -161,7 +219,10 @@ def build(
             observation = Observation()
             if counters:
                 df = df.observe(observation, *(count.alias(check) for check, count in counters.items()))
-            tables[name] = publish_table(df, name, target, LAYER_SCHEMAS[step.layer])
+            partitions = ["year"] if step.by_season else []
+            if partitions:
+                df = _dealt_by_season(df)
+            tables[name] = publish_table(df, name, target, LAYER_SCHEMAS[step.layer], partition_by=partitions)
             if counters:
                 built.observed.update(observation.get)
 

@@ -18,9 +18,9 @@ from seasonmart.operators.checks import (
     check_summary,
     tagged_rows,
 )
-from seasonmart.sources.sinks import Target, publish_table, switch_table, table_location
+from seasonmart.sources.sinks import CHECK_SCHEMA, Target, publish_table, switch_table, table_location
 
-FAILURE_SCHEMA = "checks"
+FAILURE_SCHEMA = CHECK_SCHEMA
 
 # Which columns of which model are unique, never null, limited to a list of
 # values, or refer to a player.

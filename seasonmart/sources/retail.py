@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seasonmart.functions.columns import POSITION_CODES
+from seasonmart.sources.declared import Source
 from seasonmart.sources.tables import RawTables
 
 
@@ -154,6 +155,21 @@ def game_stats(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Of the retail tables only orders and their lines are dated; the others go by their files.
+DECLARED_SOURCES = (
+    Source("raw_players"),
+    Source("raw_teams"),
+    Source("raw_salaries", "o_orderdate"),
+    Source("raw_game_stats", "l_shipdate"),
+)
+
+
+def sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The table that each raw source is loaded from."""
+    origins = {"raw_players": "customer", "raw_teams": "supplier", "raw_salaries": "orders", "raw_game_stats": "lineitem"}
+    return {name: _table(spark, folder, origin) for name, origin in origins.items()}
+
+
 def raw_tables(spark: SparkSession, folder: str) -> RawTables:
     return RawTables(
         players(spark, folder),

@@ -10,10 +10,12 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # The schema of each model layer.
 LAYER_SCHEMAS = {"staging": "staging", "intermediate": "intermediate", "marts": "mart"}
 EXPORT_SCHEMA = "mart"
+CHECK_SCHEMA = "checks"
 
 Materialize = Callable[[DataFrame, str], DataFrame]
 
@@ -41,7 +43,10 @@ class Target:
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:
-    """A view of this session: Spark can keep a view beyond it for SQL text only, not a DataFrame."""
+    """A view of this session: Spark can keep a view beyond it for SQL text only, not a DataFrame.
+
+    ``seasonmart.plans.views`` has the staging models as text.
+    """
     df.createOrReplaceTempView(name)
     return df
 
@@ -92,6 +97,32 @@ def publish_table(
     return spark.table(full_name)
 
 
+def publish_seasons(
+    df: DataFrame,
+    name: str,
+    seasons: Sequence[int],
+    target: Target = Target(),
+    custom_schema: str | None = None,
+    season: str = "year",
+) -> DataFrame:
+    """Replace some seasons of a table that is partitioned by season; files of other seasons stay as they are.
+
+    ``df`` has the rows of those seasons. One that has no rows any more loses its partition. A
+    season changes as a whole, but seasons change one after the other.
+    """
+    spark, table = df.sparkSession, target.table_name(custom_schema, name)
+    place = table_location(spark, table)
+    rows = stage(df.where(F.col(season).isin(list(seasons))).select(*spark.table(table).columns), f"{name}_seasons")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(season).parquet(place)
+    found = {r[season] for r in rows.select(season).distinct().collect()}  # at most the seasons asked for
+    for gone in {*seasons} - found:
+        spark.sql(f"alter table {table} drop if exists partition ({season} = {int(gone)})")
+        remove(spark, f"{place}/{season}={int(gone)}")
+    spark.sql(f"alter table {table} recover partitions")
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def _definition(spark: SparkSession, name: str) -> tuple[list, str | None]:
     """What has to be equal for a table to change its place only, and that place."""
     rows = spark.sql(f"describe extended {name}").collect()  # a row per column and property
