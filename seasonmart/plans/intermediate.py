@@ -17,6 +17,7 @@ from seasonmart.operators.joins import join_group_values
 from seasonmart.operators.totals import SEASON_TOTALS, multiplied, season_totals, sums
 from seasonmart.sources.sinks import Materialize, lazy
 
+# The columns of an outing, its season's totals, and which averages a league has.
 OUTING_COLUMNS = [
     "innings_pitched", "earned_runs", "hits_allowed", "walks_allowed", "strikeouts_pitched",
     "win", "loss", "save",

@@ -36,10 +36,10 @@ def test_csv_tables(spark, csv_folder):
 
 def test_csv_with_another_header_or_a_bad_value_is_refused(spark, csv_folder):
     bad = csv_folder / "raw_salaries.csv"
-    bad.write_text("player_id,salary,year,team_id\nP1,2023,4500000,TEAM1\n")
+    bad.write_text("player_id,salary,year,team_id\nP1,2023,1357000,TEAM1\n")
     with pytest.raises(Exception, match="(?i)header"):
         tables.read_csv(spark, str(bad), "raw_salaries").collect()
-    bad.write_text("player_id,year,salary,team_id\nP1,soon,4500000,TEAM1\n")
+    bad.write_text("player_id,year,salary,team_id\nP1,soon,1357000,TEAM1\n")
     with pytest.raises(Exception, match="(?i)malformed"):
         tables.read_csv(spark, str(bad), "raw_salaries").collect()
 
