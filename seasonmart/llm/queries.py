@@ -12,7 +12,7 @@ from seasonmart.llm import conversations, license_scan
 from seasonmart.llm.bpe import token_digests
 from seasonmart.llm.common import table
 from seasonmart.llm.exact_dedup import exact_dedup
-from seasonmart.llm.line_dedup import MAX_RATIO, MIN_PAGES, line_dedup
+from seasonmart.llm.line_dedup import MAX_RATIO, MIN_SEEN, line_dedup
 from seasonmart.llm.lm_scoring import lm_scores
 from seasonmart.llm.mixing import OBSERVED, OTHERS, Targets, mix, topic
 from seasonmart.llm.near_dedup import near_groups
@@ -109,15 +109,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op1_line_dedup": f"""
 with pages as (select doc_id, source, text, string_split(text, chr(10)) as lines from documents),
+texts as (select distinct source, text, lines from pages where source is not null and text is not null),
 counts as (
     select source, line, count(*) as seen
-    from (select source, unnest(list_distinct(lines)) as line from pages where source is not null)
+    from (select source, unnest(list_distinct(lines)) as line from texts)
     where trim(line, ' ') <> '' group by source, line
 ),
-sites as (select source, count(*) as n from pages where source is not null and text is not null group by source),
+sites as (select source, count(*) as n from texts group by source),
 rules as (
     select source, list(line) as drops
-    from counts join sites using (source) where n >= {MIN_PAGES} and seen > {MAX_RATIO} * n group by source
+    from counts join sites using (source) where seen >= {MIN_SEEN} and seen > {MAX_RATIO}::double * n group by source
 ),
 cleaned as (
     select doc_id, source, text, lines,
