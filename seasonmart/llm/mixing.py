@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import warnings
 from collections.abc import Mapping
 from functools import reduce
 
@@ -16,6 +18,8 @@ OTHERS = "*"
 #: As a target: the class keeps its share of all tokens, however little that is.
 OBSERVED = None
 MAX_ROUNDS, TOLERANCE = 2000, 1e-10
+#: Rounds of raking with probabilities bounded by 1, and the share by which a margin may be off.
+MAX_BOUNDED_ROUNDS, BOUNDED_TOLERANCE = 300, 1e-9
 #: The targets' classes may not give more combinations than this.
 MAX_CELLS = 100_000
 
@@ -79,12 +83,44 @@ def wanted_shares(tokens: np.ndarray, target: list[float | None]) -> np.ndarray:
     return own + (1 - own.sum()) * named / max(named.sum(), 1e-300)
 
 
-def probabilities(observed: np.ndarray, factors: np.ndarray, keep_share: float | None) -> np.ndarray:
-    """Each cell's sampling probability, proportional to its factor.
+def _margin(table: np.ndarray, axis: int) -> np.ndarray:
+    return table.sum(axis=tuple(a for a in range(table.ndim) if a != axis))
+
+
+def reachable(capacity: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Targets that classes can hold: what exceeds a class's capacity goes to the others, by their targets."""
+    found, free = np.minimum(wanted, capacity), wanted.copy()
+    for _ in range(len(wanted)):
+        missing = wanted.sum() - found.sum()
+        free = np.where(found < capacity, wanted, 0.0)
+        if missing <= 0 or free.sum() <= 0:
+            break
+        found = np.minimum(found + missing * free / free.sum(), capacity)
+    return found
+
+
+def _scales(observed: np.ndarray, factors: np.ndarray, axis: int, target: np.ndarray) -> np.ndarray:
+    """For each class of a dimension, what its factors are multiplied by to expect the target's tokens."""
+    shape = [-1 if a == axis else 1 for a in range(observed.ndim)]
+    low, high = np.full(len(target), -60.0), np.full(len(target), 60.0)
+    for _ in range(60):
+        middle = (low + high) / 2
+        enough = _margin(observed * np.minimum(1, factors * np.exp(middle).reshape(shape)), axis) >= target
+        low, high = np.where(enough, low, middle), np.where(enough, middle, high)
+    return np.exp(high)
+
+
+def probabilities(
+    observed: np.ndarray, factors: np.ndarray, keep_share: float | None, shares: list[np.ndarray] | None = None
+) -> np.ndarray:
+    """Each cell's sampling probability, from its raking factor.
 
     Without ``keep_share`` the scale is the largest that keeps all of them at 1 or below, so that
-    expected shares equal the targets. With it, the scale is such that this share of all tokens
-    is expected; where it would exceed 1 a probability stays at 1.
+    expected shares equal the targets. With it, this share of all tokens is expected, and a
+    probability that would exceed 1 stays at 1. The cells below 1 are then raked again with those
+    at 1 as they are, dimension after dimension, until the margins in ``shares`` are met. Where a
+    class has too few tokens, or the cells left cannot balance each other, the margins are as near
+    as they get and a warning names the largest miss.
     """
     most = factors.max(initial=0)
     if most <= 0:
@@ -92,12 +128,33 @@ def probabilities(observed: np.ndarray, factors: np.ndarray, keep_share: float |
     if keep_share is None:
         return np.minimum(1, factors / most)
     budget = keep_share * observed.sum()
-    low, high = 0.0, 1.0 / factors[factors > 0].min()
+    fitted = factors / most
+    targets = [
+        reachable(_margin(np.where(factors > 0, observed, 0), axis), budget * share / max(share.sum(), 1e-300))
+        for axis, share in enumerate(shares or [])
+    ]
+    miss, before = 0.0, math.inf
+    for turn in range(MAX_BOUNDED_ROUNDS if targets else 0):
+        for axis, target in enumerate(targets):
+            step = _scales(observed, fitted, axis, target)
+            fitted = np.minimum(fitted * step.reshape([-1 if a == axis else 1 for a in range(observed.ndim)]), 1e6)
+        kept = observed * np.minimum(1, fitted)
+        miss = max(float(np.abs(_margin(kept, axis) - t).max()) for axis, t in enumerate(targets)) / max(budget, 1e-300)
+        # Where margins contradict each other, rounds soon change nothing any more.
+        stuck = turn % 20 == 19 and miss > 0.99 * before
+        if miss < BOUNDED_TOLERANCE or stuck:
+            break
+        before = miss if turn % 20 == 19 else before
+    wanted = [budget * share / max(share.sum(), 1e-300) for share in shares or []]
+    short = max((float(np.abs(t - w).max()) / max(budget, 1e-300) for t, w in zip(targets, wanted)), default=0.0)
+    if max(miss, short) > 1e-3:
+        warnings.warn(f"target shares are missed by up to {max(miss, short):.4f}: some classes have too few tokens", stacklevel=3)
+    low, high = 0.0, 1.0 / fitted[fitted > 0].min()
     for _ in range(200):
         middle = (low + high) / 2
-        enough = (observed * np.minimum(1, factors * middle)).sum() >= budget
+        enough = (observed * np.minimum(1, fitted * middle)).sum() >= budget
         low, high = (low, middle) if enough else (middle, high)
-    return np.minimum(1, factors * high)
+    return np.minimum(1, fitted * high)
 
 
 def _classed(value: Column, target: Mapping[str, float | None]) -> Column:
@@ -128,7 +185,8 @@ def mix(
     Defined results: a null text has 0 tokens and is sampled like others of its classes; null
     classes belong to ``OTHERS``. Targets of classes without tokens are spread over the others of
     the dimension. A cell without tokens gets probability 0, unless nothing has tokens at all.
-    Repeated rows share one draw. An empty table stays empty. Columns of the input keep their
+    Repeated rows share one draw. A text of any length is one document with all its tokens. An empty
+    table stays empty. Columns of the input keep their
     names; ``mix_*`` columns get underscores in front where a name is taken.
     """
     if set(targets) != set(dimensions):
@@ -156,7 +214,7 @@ def mix(
         for axis, d in enumerate(names)
     ]
     factors = rake(observed, shares)
-    chances = probabilities(observed, factors, keep_share)
+    chances = probabilities(observed, factors, keep_share, shares)
 
     # A cell's weight and probability, looked up by its place in the flattened table.
     place = reduce(

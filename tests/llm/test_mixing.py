@@ -1,9 +1,11 @@
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from seasonmart.llm.mixing import OBSERVED, OTHERS, mix, n_tokens, probabilities, rake, sample, topic, wanted_shares
 from seasonmart.llm.queries import KEEP_SHARE, op4_mixing
+from seasonmart.llm.queries import TARGETS as QUERY_TARGETS
 from tests.llm.conftest import ODD_ROWS
 
 TARGETS = {"source": {"a": 1, "b": 1}, "lang": {"en": 3, "de": 1}, "topic": {"prose": 1, "legal": 1, OTHERS: 1}}
@@ -40,6 +42,113 @@ def test_probabilities():
     assert np.isclose((observed * kept).sum(), 150) and kept.max() <= 1
 
 
+def test_bounded_raking_meets_the_margins():
+    """Cells that keep all their documents do not move the shares, as clipping alone would."""
+    rng = np.random.default_rng(6)
+    observed = rng.gamma(0.4, 100, (6, 4, 3))
+    shares = [s / s.sum() for s in ((observed.sum(axis=tuple(a for a in range(3) if a != i)) + 200) for i in range(3))]
+    factors = rake(observed, shares)
+    for keep in (0.3, 0.8):
+        found = probabilities(observed, factors, keep, shares)
+        kept = observed * found
+        assert (found <= 1).all() and (found == 1).any() == (keep == 0.8) and np.isclose(kept.sum(), keep * observed.sum())
+        for axis, share in enumerate(shares):
+            assert np.allclose(kept.sum(axis=tuple(a for a in range(3) if a != axis)) / kept.sum(), share, atol=1e-6)
+    clipped = observed * probabilities(observed, factors, 0.8)
+    assert any(
+        not np.allclose(clipped.sum(axis=tuple(a for a in range(3) if a != i)) / clipped.sum(), s, atol=1e-3)
+        for i, s in enumerate(shares)
+    )
+
+
+def test_unreachable_shares_are_reported():
+    observed = np.array([[10.0, 10.0], [500.0, 480.0]])
+    shares = [np.array([0.5, 0.5]), np.array([0.5, 0.5])]
+    with pytest.warns(UserWarning, match="missed by up to 0.46"):
+        found = probabilities(observed, rake(observed, shares), 0.5, shares)
+    assert np.allclose(found[0], 1) and np.isclose((observed * found).sum(), 500)
+
+
+def plain_hash(*values):
+    """Spark's xxhash64 of an int and strings; nulls are passed over."""
+    seed = 42
+    for value in values:
+        if value is not None:
+            seed = xxhash.xxh64_intdigest(value if isinstance(value, bytes) else value.encode(), seed)
+    return seed
+
+
+def test_query_by_plain_loops(spark, prose, tmp_path):
+    """Classes, tokens, raked probabilities and draws of the registered query, recomputed one by one."""
+    rng = np.random.default_rng(12)
+    langs, marks = ["en"] * 9 + ["de", "de", "fr", "fr", "es", "es", "it", None], ["", " license", " me@here", "\nmore"]
+    rows = [
+        (i, prose(int(rng.integers(1, 40))) + marks[max(0, int(rng.integers(-30, 4)))], langs[int(rng.integers(0, 17))],
+         None if i % 50 == 0 else f"src{int(rng.integers(0, 24))}")
+        for i in range(1500)
+    ]
+    rows += [(2000, None, "en", "src1"), (2001, " ", "de", "src2"), (2002, "", None, None), (3, "again", "en", "src3")]
+    schema = "doc_id long, text string, lang string, source string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    found = sorted(map(tuple, op4_mixing(spark, str(tmp_path)).collect()), key=str)
+
+    def classes(text, lang, source):
+        value = text or ""
+        kind = (
+            "empty" if not value.strip(" ") else "legal" if "icense" in value else "contact" if "@" in value else "prose"
+        )
+        given = {"source": source, "lang": lang, "topic": kind}
+        return tuple(v if v in QUERY_TARGETS[d] else OTHERS for d, v in given.items())
+
+    cells = {}
+    for _, text, lang, source in rows:
+        tokens = (text.count(" ") + text.count("\n") + 1) if text else 0
+        cells[classes(text, lang, source)] = cells.get(classes(text, lang, source), 0) + tokens
+    total = sum(cells.values())
+    shares = []
+    for axis, d in enumerate(("source", "lang", "topic")):
+        held = {}
+        for cell, n in cells.items():
+            held[cell[axis]] = held.get(cell[axis], 0) + n
+        own = {c: n / total for c, n in held.items() if QUERY_TARGETS[d].get(c, 0.0) is OBSERVED}
+        named = {c: QUERY_TARGETS[d].get(c, 0.0) for c, n in held.items() if c not in own and n > 0}
+        rest = (1 - sum(own.values())) / sum(named.values())
+        shares.append({**own, **{c: t * rest for c, t in named.items()}})
+    chance = {cell: 1.0 for cell, n in cells.items() if n and all(s.get(c, 0) for c, s in zip(cell, shares))}
+
+    def kept(chance):
+        return {cell: cells[cell] * min(1, p) for cell, p in chance.items()}
+
+    for _ in range(400):
+        for axis, share in enumerate(shares):
+            for c, wanted in share.items():
+                inside = [cell for cell in chance if cell[axis] == c]
+                low, high = 1e-9, 1e9
+                for _ in range(60):
+                    middle = (low * high) ** 0.5
+                    enough = sum(cells[x] * min(1, chance[x] * middle) for x in inside) >= wanted * KEEP_SHARE * total
+                    low, high = (low, middle) if enough else (middle, high)
+                for x in inside:
+                    chance[x] *= high
+        if all(abs(sum(n for x, n in kept(chance).items() if x[a] == c) - w * KEEP_SHARE * total) < 1e-6 * total
+               for a, share in enumerate(shares) for c, w in share.items()):
+            break
+    by_id = {}
+    for doc_id, text, lang, source in rows:
+        cell = classes(text, lang, source)
+        draw = (plain_hash((1).to_bytes(4, "little"), str(doc_id), text) >> 11) / (1 << 53)
+        by_id.setdefault(doc_id, []).append((cell, min(1, chance.get(cell, 0.0)), draw))
+    assert len(found) == len(rows)
+    checked = 0
+    for doc_id, source, lang, kind, _, _, probability, keeps in found:
+        matching = [x for x in by_id[doc_id] if x[0] == (source, lang, kind)]
+        assert matching and any(abs(p - probability) < 1e-4 for _, p, _ in matching), (doc_id, probability, matching)
+        if len(by_id[doc_id]) == 1 and abs(matching[0][2] - probability) > 1e-4:
+            assert keeps == (matching[0][2] < probability)
+            checked += 1
+    assert checked > 1400
+
+
 def test_sampled_shares(spark, prose):
     rows = []
     for i in range(6000):
