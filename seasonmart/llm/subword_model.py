@@ -20,6 +20,8 @@ CACHE_ENTRIES = 150_000
 CHUNK = 20_000
 #: Rounds between two looks at the loss on texts not learned from, and how often it may not fall.
 LOOK, PATIENCE = 4, 3
+#: Texts that the prior share counts as in the calibration, and the bounds of its scale.
+PSEUDO_TEXTS, SCALES = 4.0, (0.2, 3.0)
 #: Texts added to both counts of an n-gram, and what its log-odds are multiplied by, at the start.
 SMOOTH, HEAD_START = 5.0, 6.0
 #: Fixed value: what is stripped from the ends of a word.
@@ -263,4 +265,35 @@ def fit(
                 log(step, round(loss, 4), round(_loss(_sigmoid(logit), learned, counted), 4))
             if worse > PATIENCE:
                 break
-    return best
+    logits = Scorer(best).logits(control)
+    scale, shift = calibration(logits, labels[checked], share)
+    return SubwordModel(best.gram_scores * scale, best.bias * scale + shift)
+
+
+def calibration(logits: np.ndarray, labels: np.ndarray, share: float) -> tuple[float, float]:
+    """Scale and shift that make logits those of probabilities, where label 1 has the given share.
+
+    Learning weighs rare positives up and the most suspicious of many windows scores high, so the
+    logits as they are promise too much. A logistic regression on texts not learned from mends
+    both. It is shrunk as if ``PSEUDO_TEXTS`` more texts had been seen with the prior share, and
+    the scale is held between ``SCALES``: few texts, or perfectly separated ones, do not decide.
+    """
+    n = len(logits)
+    x = np.concatenate([logits, logits])
+    # Each text counts as itself and, a little, as one of the other label.
+    lean = PSEUDO_TEXTS / (n + PSEUDO_TEXTS)
+    target = np.concatenate([np.ones(n), np.zeros(n)])
+    weight = np.concatenate([(1 - lean) * labels + lean * share, (1 - lean) * (1 - labels) + lean * (1 - share)])
+    scale, shift = 1.0, 0.0
+    for _ in range(100):
+        p = _sigmoid(scale * x + shift)
+        slope = weight * (p - target)
+        curve = weight * np.maximum(p * (1 - p), 1e-6)
+        gradient = np.array([(slope * x).sum(), slope.sum()])
+        hessian = np.array([[(curve * x * x).sum(), (curve * x).sum()], [(curve * x).sum(), curve.sum()]])
+        step = np.linalg.solve(hessian + 1e-6 * np.eye(2), gradient)
+        step = np.clip(step, -1, 1)
+        scale, shift = float(np.clip(scale - step[0], *SCALES)), shift - float(step[1])
+        if np.abs(step).max() < 1e-6:
+            break
+    return scale, shift
