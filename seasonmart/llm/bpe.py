@@ -9,24 +9,23 @@ import sys
 from array import array
 from functools import cached_property
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seasonmart.llm.common import bound_batches, fresh, held, text_or_empty, with_columns
+from seasonmart.llm.common import bound_batches, fresh, frugal, held, text_or_empty, with_columns
+from seasonmart.llm.pieces import BatchEncoder, slices
 
 #: Fixed value: the pattern that splits text before merging, as byte-level tokenizer files mean it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words up to this many bytes are merged by repeated scans, longer ones with a heap.
 SHORT_WORD = 96
-#: Entries of the table of pieces already encoded; beyond that it starts anew.
-CACHE_ENTRIES, CACHE_CHARS = 150_000, 48
+#: Words whose parts lie side by side at once.
+WORDS_AT_ONCE = 4_096
 #: No merge: larger than any rank.
-NEVER = 1 << 60
-
-_two_spaces = re.compile(r"\s\s")
-_between_words = re.compile(r"(?<=\S) (?=\S)")
+NEVER = 1 << 30
 
 
 def byte_characters() -> list[str]:
@@ -54,42 +53,6 @@ def packed_ids(ids: list[int]) -> bytes:
     return found.tobytes()
 
 
-class Pieces(dict):
-    """Encoded pieces of text by piece, filled as they are asked for and bounded in size."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, piece):
-        found = self.encode(piece)
-        if len(piece) <= CACHE_CHARS:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[piece] = found
-        return found
-
-
-def spaced_pieces(text: str) -> list[str]:
-    """The text cut at single spaces between other characters; a space belongs to the piece behind.
-
-    No token of a byte-level pattern spans such a place: a space there always starts a new word.
-    """
-    return _between_words.split(text) if _two_spaces.search(text) else text.split(" ")
-
-
-class SpacedText:
-    """Encodes a text piece by piece. Most pieces are words that were met before."""
-
-    def __init__(self, encode_piece):
-        self.first = Pieces(encode_piece)
-        self.later = Pieces(lambda piece: encode_piece(" " + piece))
-
-    def encode(self, text: str) -> bytes:
-        pieces, later = spaced_pieces(text), self.later
-        return self.first[pieces[0]] + b"".join([later[piece] for piece in pieces[1:]])
-
-
 class Vocabulary:
     """Tokens and merges of a byte-level BPE file, as its JSON text."""
 
@@ -110,34 +73,79 @@ class Vocabulary:
         names = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.special_pattern = re.compile("(" + "|".join(names) + ")") if names else None
         self.pattern = regex.compile(PATTERN)
-        self.words = Pieces(lambda word: packed_ids(self.word(word.encode())))
-        self.spaced = SpacedText(self._piece)
-
-    def _rank(self, ids: list[int], at: int) -> int:
-        found = self.merges.get((ids[at], ids[at + 1])) if at + 1 < len(ids) else None
-        return found[0] if found else NEVER
-
-    def word(self, word: bytes) -> list[int]:
-        """Token ids of one word: the adjacent parts of lowest rank are joined, leftmost first."""
-        return self._scan(word) if len(word) <= SHORT_WORD else self._heap(word)
+        self.spaced = BatchEncoder(self.pieces, self._with_special, self.special)
+        # The same merges as sorted pairs, to look up many at once.
+        pairs = np.array([a << 32 | b for a, b in self.merges], np.int64)
+        order = np.argsort(pairs)
+        self._pairs = np.append(pairs[order], np.int64(1) << 62)
+        merged = np.array([*self.merges.values()], np.int64).reshape(-1, 2)
+        self._pair_ranks = np.append(merged[order, 0], NEVER)
+        self._merged_at = np.zeros(int(merged[:, 0].max(initial=-1)) + 1, np.int64)
+        self._merged_at[merged[:, 0]] = merged[:, 1]
+        self._byte_ids = np.array(self.byte_ids, np.int64)
+        # Ranks of all pairs of single bytes, where each word begins.
+        self._byte_ranks = self._ranks(np.repeat(self._byte_ids, 256), np.tile(self._byte_ids, 256))
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The ranks of many pairs; NEVER where two parts do not merge."""
+        pairs = left << 32 | right
+        at = np.searchsorted(self._pairs, pairs)
+        return np.where(self._pairs[at] == pairs, self._pair_ranks[at], NEVER)
+
+    def word_ids(self, words: list[bytes]) -> list[bytes]:
+        """Packed token ids of words: the adjacent parts of lowest rank are joined, leftmost first."""
+        found: list[bytes] = [b""] * len(words)
+        sizes = np.array([len(w) for w in words], np.int64)
+        short = np.flatnonzero(sizes <= SHORT_WORD)
+        # Words of like lengths together, so that rows of parts are about as long as their words.
+        for chunk in np.array_split(short[np.argsort(sizes[short], kind="stable")], len(short) // WORDS_AT_ONCE + 1):
+            for i, ids in zip(chunk.tolist(), self._scan([words[i] for i in chunk], sizes[chunk])):
+                found[i] = ids
+        for i in np.flatnonzero(sizes > SHORT_WORD).tolist():
+            found[i] = packed_ids(self._heap(words[i]))
+        return found
 
-    def _scan(self, word: bytes) -> list[int]:
-        """Parts and the ranks of their borders side by side; joining deletes one border."""
-        ids = [self.byte_ids[b] for b in word]
-        merges = self.merges
-        ranks = [merges.get(pair, (NEVER,))[0] for pair in zip(ids, ids[1:])]
-        while ranks:
-            lowest = min(ranks)
-            if lowest == NEVER:
+    def _scan(self, words: list[bytes], sizes: np.ndarray) -> list[bytes]:
+        """Each word is a row of parts, and a row of the ranks of the borders between them.
+
+        In each round every row that still has a border to delete finds its smallest rank, joins
+        the parts on both sides, closes the gap, and looks up the ranks left and right of it anew.
+        """
+        width = int(sizes.max(initial=0))
+        if not width:
+            return [b""] * len(words)
+        places = np.arange(width)
+        data = np.zeros((len(words), width), np.uint8)
+        data[places < sizes[:, None]] = np.frombuffer(b"".join(words), np.uint8)
+        ids = self._byte_ids[data]
+        ranks = np.full((len(words), width), NEVER)
+        pairs = (data[:, :-1].astype(np.int64) << 8) + data[:, 1:]
+        ranks[:, :-1] = np.where(places[1:] < sizes[:, None], self._byte_ranks[pairs], NEVER)
+        done, left = np.zeros_like(ids), sizes.copy()
+        rows = np.arange(len(words))
+        while True:
+            at = ranks.argmin(axis=1)
+            lowest = ranks[np.arange(len(rows)), at]
+            going = lowest < NEVER
+            if not going.all():
+                done[rows[~going]] = ids[~going]
+                rows, ids, ranks, at, lowest = rows[going], ids[going], ranks[going], at[going], lowest[going]
+            if not len(rows):
                 break
-            at = ranks.index(lowest)
-            ids[at] = merges[ids[at], ids[at + 1]][1]
-            del ids[at + 1], ranks[at]
-            if at:
-                ranks[at - 1] = self._rank(ids, at - 1)
-            if at < len(ranks):
-                ranks[at] = self._rank(ids, at)
-        return ids
+            each = np.arange(len(rows))
+            ids[each, at] = self._merged_at[lowest]
+            beyond = np.minimum(places + (places > at[:, None]), width - 1)
+            ids = np.take_along_axis(ids, beyond, axis=1)
+            ranks = np.take_along_axis(ranks, np.minimum(places + (places >= at[:, None]), width - 1), axis=1)
+            left[rows] -= 1
+            ranks[:, -1] = NEVER
+            has_left, has_right = np.flatnonzero(at > 0), np.flatnonzero(at + 1 < left[rows])
+            border = at[has_left]
+            ranks[has_left, border - 1] = self._ranks(ids[has_left, border - 1], ids[has_left, border])
+            border = at[has_right]
+            ranks[has_right, border] = self._ranks(ids[has_right, border], ids[has_right, border + 1])
+        packed, step = done.astype("<u4").tobytes(), 4 * width
+        return [packed[i * step : i * step + 4 * n] for i, n in enumerate(left.tolist())]
 
     def _heap(self, word: bytes) -> list[int]:
         """The same for a long word: borders wait in a heap, by rank and place."""
@@ -167,26 +175,42 @@ class Vocabulary:
                 offer(before[left], left)
         return [i for i in ids if i >= 0]
 
-    def _piece(self, piece: str) -> bytes:
-        return b"".join([self.words[word] for word in self.pattern.findall(piece)])
-
-    def encode(self, text: str) -> bytes:
-        """A text's token ids, packed; the names of special tokens become their ids."""
-        if self.special_pattern is None or not self.special_pattern.search(text):
-            return self.spaced.encode(text)
+    def _words(self, piece: str) -> list[str]:
+        """A piece cut by the pattern; most are a space, letters, and perhaps a mark, which is plain to see."""
+        if piece[:1] == " ":
+            if piece[1:].isalpha():
+                return [piece]
+            if piece[-1] in ".,;:!?" and piece[1:-1].isalpha():
+                return [piece[:-1], piece[-1]]
+        return self.pattern.findall(piece)
+
+    def pieces(self, pieces: list[str]) -> list[bytes]:
+        """Packed ids of pieces without special tokens, each cut into words by the pattern."""
+        cut = [self._words(piece) for piece in pieces]
+        words = list(dict.fromkeys(word for found in cut for word in found))
+        ids = dict(zip(words, self.word_ids([word.encode() for word in words])))
+        return [ids[found[0]] if len(found) == 1 else b"".join([ids[word] for word in found]) for found in cut]
+
+    def _with_special(self, text: str) -> bytes:
         return b"".join(
-            packed_ids([self.special[part]]) if part in self.special else self.spaced.encode(part)
+            packed_ids([self.special[part]]) if part in self.special else self.spaced.encode([part])[0]
             for part in self.special_pattern.split(text) if part
         )
 
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Each text's token ids, packed; the names of special tokens become their ids."""
+        return self.spaced.encode(texts)
+
     @cached_property
-    def _table(self) -> list[bytes]:
-        return [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
+    def _table(self) -> pa.LargeBinaryArray:
+        return pa.array([self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)], pa.large_binary())
 
-    def decode(self, packed: bytes) -> str:
-        """The text of packed ids; bytes that are no UTF-8 become U+FFFD."""
-        table = self._table
-        return b"".join([table[i] for i in ids_of(packed)]).decode("utf-8", "replace")
+    def decode(self, packed: list[bytes]) -> list[str]:
+        """The texts of packed ids; bytes that are no UTF-8 become U+FFFD."""
+        ends = np.cumsum([len(p) // 4 for p in packed], dtype=np.int64)
+        starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+        ids = np.frombuffer(b"".join(packed), "<u4").astype(np.int64)
+        return [text.decode("utf-8", "replace") for text in slices(self._table.take(pa.array(ids)), starts, ends)]
 
 
 def vocabulary(definition: str) -> Vocabulary:
@@ -194,10 +218,14 @@ def vocabulary(definition: str) -> Vocabulary:
     return held(("bpe", definition), lambda: Vocabulary(definition))
 
 
-def _mapped(batches, column: str, value, name: str, kind: pa.DataType):
+def _mapped(batches, column: str, values, name: str, kind: pa.DataType):
     for batch in batches:
-        values = [None if x is None else value(x) for x in batch.column(column).to_pylist()]
-        yield batch.append_column(name, pa.array(values, kind))
+        given = batch.column(column).to_pylist()
+        known = [i for i, x in enumerate(given) if x is not None]
+        found: list = [None] * len(given)
+        for i, value in zip(known, values([given[i] for i in known]) if known else ()):
+            found[i] = value
+        yield batch.append_column(name, pa.array(found, kind))
 
 
 def _add(df: DataFrame, definition: str, steps) -> DataFrame:
@@ -213,7 +241,7 @@ def _add(df: DataFrame, definition: str, steps) -> DataFrame:
             batches = _mapped(batches, source, getattr(found, method), name, arrow[kind])
         return batches
 
-    return df.mapInArrow(run, with_columns(df, {name: kind for name, kind, _, _ in steps}))
+    return df.mapInArrow(frugal(run), with_columns(df, {name: kind for name, kind, _, _ in steps}))
 
 
 def read_definition(path: str) -> str:
@@ -225,11 +253,12 @@ def read_definition(path: str) -> str:
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add ``ids``: each text's token ids as little-endian unsigned 32-bit integers.
 
-    Ids are those of the tokenizers library without post-processing. A text is cut before single
-    spaces, pieces met before are looked up, new ones are split by the pattern into words. A short
-    word keeps its parts and the ranks of the borders between them in two lists: the smallest rank
-    is searched, its border deleted, and the ranks next to it looked up again. Words over
-    ``SHORT_WORD`` bytes take a heap instead, so a text without spaces costs n log n.
+    Ids are those of the tokenizers library without post-processing. A batch of texts is cut before
+    single spaces; of its different pieces those met before are looked up, new ones are split by
+    the pattern into words. A short word keeps its parts and the ranks of the borders between them
+    in two rows, with the other new words of the batch below it: the smallest rank is searched, its
+    border deleted, and the ranks next to it looked up again. Words over ``SHORT_WORD`` bytes take
+    a heap instead, so a text without spaces costs n log n.
 
     Defined results: null gives null; an empty text gives no ids (an empty binary). Repeated rows
     and other columns stay as they are; where a name is taken, the new column's gets an underscore

@@ -14,69 +14,130 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from seasonmart.llm.bpe import packed_ids, read_definition, spaced_pieces
-from seasonmart.llm.common import bound_batches, held, text_or_empty
+from seasonmart.llm.bpe import packed_ids, read_definition
+from seasonmart.llm.common import bound_batches, frugal, held, text_or_empty
+from seasonmart.llm.pieces import BatchEncoder
 from seasonmart.sources.sinks import Scratch, stage
 
 #: Tokens after which a shard is closed; a document is never divided.
 SHARD_TOKENS = 1 << 20
 END_ID = 0
-#: Pieces kept with their ids in each of two tables, and the longest piece kept.
-CACHE_ENTRIES, CACHE_CHARS = 400_000, 48
-#: Bits per entry of the rank directory, and the file's first bytes.
-RANK_BITS, MAGIC = 4096, b"WMX1"
+#: Bytes of each of the two generations of known pieces: the library takes long over a new one.
+TABLE_BYTES = 72 << 20
+#: Bits per entry of the rank directory, bits of a plane compressed together, the file's first bytes.
+RANK_BITS, BLOCK_BITS, MAGIC = 4096, 1 << 18, b"WMX2"
 
 _ones = np.array([bin(i).count("1") for i in range(256)], np.uint8)
+_head = struct.Struct("<4sQB")
+_unpacker = zstandard.ZstdDecompressor()
+
+
+class Plane:
+    """One bit of all numbers, in compressed blocks that are unpacked when they are asked for.
+
+    ``before`` is the rank directory: 1 bits before each stretch of ``RANK_BITS``, and in all.
+    """
+
+    def __init__(self, before: np.ndarray, ends: np.ndarray, packed: memoryview):
+        self.before, self.ends, self.packed = before, ends, packed
+        self.unpacked: dict[int, np.ndarray] = {}
+
+    def block(self, number: int) -> np.ndarray:
+        found = self.unpacked.get(number)
+        if found is None:
+            start = int(self.ends[number - 1]) if number else 0
+            data = _unpacker.decompress(self.packed[start : int(self.ends[number])], max_output_size=BLOCK_BITS // 8)
+            found = self.unpacked[number] = np.frombuffer(data, np.uint8)
+        return found
+
+    def bits(self, stretch: int) -> np.ndarray:
+        """The bytes of one stretch of the directory."""
+        block, at = divmod(stretch * RANK_BITS, BLOCK_BITS)
+        return self.block(block)[at // 8 : at // 8 + RANK_BITS // 8]
+
+    def whole(self) -> np.ndarray:
+        return np.concatenate([self.block(i) for i in range(len(self.ends))])
+
+    def bit(self, at: int) -> int:
+        return int(self.bits(at // RANK_BITS)[at % RANK_BITS // 8]) >> (7 - at % 8) & 1
+
+    def rank(self, at: int) -> int:
+        """1 bits before place ``at``."""
+        stretch, inside = divmod(at, RANK_BITS)
+        found = int(self.before[stretch])
+        if inside:
+            bits = self.bits(stretch)
+            found += int(_ones[bits[: inside // 8]].sum())
+            if inside % 8:
+                found += (int(bits[inside // 8]) >> (8 - inside % 8)).bit_count()
+        return found
+
+    def select(self, one: int, nth: int) -> int:
+        """The place of 1 bit (or 0 bit) ``nth``."""
+        before = self.before if one else np.arange(len(self.before)) * RANK_BITS - self.before
+        stretch = int(np.searchsorted(before, nth, "right")) - 1
+        bits = np.unpackbits(self.bits(stretch))
+        return stretch * RANK_BITS + int(np.flatnonzero(bits == one)[nth - int(before[stretch])])
 
 
 class WaveletMatrix:
-    """A sequence of numbers as bit planes, highest bit first.
+    """A sequence of numbers as bit planes, highest bit first, read from one compressed file.
 
     Each plane holds one bit of all numbers, and orders them for the next plane: those with a 0
     bit first, both halves in the order they had. A number's place in the next plane follows from
-    the count of 1 bits before it (rank), which a directory of counts and one popcount give.
+    the count of 1 bits before it (rank), which the file's directory of counts and one popcount
+    give. Looking something up unpacks one block or two of each plane, never a whole plane.
     """
 
-    def __init__(self, length: int, planes: list[np.ndarray]):
-        self.length, self.planes = length, planes
-        self.ones_before = []
-        for plane in planes:
-            counts = _ones[plane].reshape(-1, RANK_BITS // 8).sum(axis=1, dtype=np.int64)
-            self.ones_before.append(np.concatenate([[0], np.cumsum(counts)]))
-        self.zeros = [length - int(counts[-1]) for counts in self.ones_before]
-
-    @classmethod
-    def of(cls, numbers: np.ndarray) -> WaveletMatrix:
+    def __init__(self, data: bytes):
+        magic, self.length, levels = _head.unpack_from(data) if len(data) >= _head.size else (b"", 0, 0)
+        if magic != MAGIC:
+            raise ValueError("not a wavelet matrix file")
+        stretches, blocks = _sizes(self.length)
+        before = np.frombuffer(data, "<u4", levels * (stretches + 1), _head.size).reshape(levels, -1)
+        at = _head.size + before.nbytes
+        ends = np.frombuffer(data, "<u4", levels * blocks, at).reshape(levels, -1)
+        at += ends.nbytes
+        view = memoryview(data)
+        self.planes = []
+        for counts, stops in zip(before, ends):
+            self.planes.append(Plane(counts.astype(np.int64), stops, view[at : at + int(stops[-1])]))
+            at += int(stops[-1])
+        self.zeros = [self.length - int(plane.before[-1]) for plane in self.planes]
+
+    @staticmethod
+    def pack(numbers: np.ndarray) -> bytes:
+        """The file of a sequence: head, rank directory of all planes, ends of all blocks, blocks.
+
+        Counts and ends are 32-bit numbers: a sequence has at most 2^32 - 1 numbers.
+        """
         levels = max(1, int(numbers.max(initial=0)).bit_length())
-        size = -(-max(1, len(numbers)) // RANK_BITS) * (RANK_BITS // 8)
-        planes, rest = [], numbers
+        stretches, blocks = _sizes(len(numbers))
+        compressor, rest = zstandard.ZstdCompressor(level=1), numbers
+        directory, ends, packed = [], [], []
         for level in reversed(range(levels)):
             bit = (rest >> level & 1).astype(bool)
-            plane = np.zeros(size, np.uint8)
-            packed = np.packbits(bit)
-            plane[: len(packed)] = packed
-            planes.append(plane)
+            plane = np.zeros(stretches * RANK_BITS // 8, np.uint8)
+            bits = np.packbits(bit)
+            plane[: len(bits)] = bits
+            counts = _ones[plane].reshape(-1, RANK_BITS // 8).sum(axis=1, dtype=np.int64)
+            directory.append(np.concatenate([[0], np.cumsum(counts)]))
+            width = BLOCK_BITS // 8
+            parts = [compressor.compress(plane[i * width : (i + 1) * width].tobytes()) for i in range(blocks)]
+            ends.append(np.cumsum([len(p) for p in parts]))
+            packed += parts
             rest = np.concatenate([np.compress(~bit, rest), np.compress(bit, rest)])
-        return cls(len(numbers), planes)
-
-    def _rank(self, level: int, at: int) -> int:
-        """1 bits before place ``at`` of a plane."""
-        block, byte = at // RANK_BITS, at // 8
-        plane = self.planes[level]
-        found = int(self.ones_before[level][block]) + int(_ones[plane[block * (RANK_BITS // 8) : byte]].sum())
-        return found + (int(plane[byte]) >> (8 - at % 8)).bit_count() if at % 8 else found
-
-    def _bit(self, level: int, at: int) -> int:
-        return int(self.planes[level][at // 8]) >> (7 - at % 8) & 1
+        head = _head.pack(MAGIC, len(numbers), levels)
+        return head + np.stack(directory).astype("<u4").tobytes() + np.stack(ends).astype("<u4").tobytes() + b"".join(packed)
 
     def access(self, at: int) -> int:
         """The number at a place."""
         if not 0 <= at < self.length:
             raise IndexError(at)
         found = 0
-        for level in range(len(self.planes)):
-            bit, ones = self._bit(level, at), self._rank(level, at)
-            at = self.zeros[level] + ones if bit else at - ones
+        for plane, zeros in zip(self.planes, self.zeros):
+            bit, ones = plane.bit(at), plane.rank(at)
+            at = zeros + ones if bit else at - ones
             found = found << 1 | bit
         return found
 
@@ -85,10 +146,10 @@ class WaveletMatrix:
         if number < 0 or number >> len(self.planes):
             return 0, 0
         start, shift = 0, len(self.planes) - 1
-        for level in range(len(self.planes)):
-            first, last = self._rank(level, start), self._rank(level, end)
+        for level, (plane, zeros) in enumerate(zip(self.planes, self.zeros)):
+            first, last = plane.rank(start), plane.rank(end)
             if number >> (shift - level) & 1:
-                start, end = self.zeros[level] + first, self.zeros[level] + last
+                start, end = zeros + first, zeros + last
             else:
                 start, end = start - first, end - last
         return start, end
@@ -104,25 +165,16 @@ class WaveletMatrix:
         if not 0 <= nth < end - start:
             raise IndexError(nth)
         at = start + nth
-        for level in reversed(range(len(self.planes))):
-            one = number >> (len(self.planes) - 1 - level) & 1
-            at = self._select(level, one, at - self.zeros[level] if one else at)
+        for shift, (plane, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros))):
+            one = number >> shift & 1
+            at = plane.select(one, at - zeros if one else at)
         return at
 
-    def _select(self, level: int, one: int, nth: int) -> int:
-        """The place of 1 bit (or 0 bit) ``nth`` of a plane."""
-        ones = self.ones_before[level]
-        before = ones if one else np.arange(len(ones)) * RANK_BITS - ones
-        block = int(np.searchsorted(before, nth, "right")) - 1
-        width = RANK_BITS // 8
-        bits = np.unpackbits(self.planes[level][block * width : (block + 1) * width])
-        return block * RANK_BITS + int(np.flatnonzero(bits == one)[nth - int(before[block])])
-
     def numbers(self) -> np.ndarray:
         """The whole sequence, put together from the last plane up."""
         found = np.zeros(self.length, np.uint32 if len(self.planes) > 16 else np.uint16)
         for shift, plane in enumerate(reversed(self.planes)):
-            bit = np.unpackbits(plane, count=self.length).astype(bool)
+            bit = np.unpackbits(plane.whole(), count=self.length).astype(bool)
             above = np.empty_like(found)
             zeros = self.length - int(np.count_nonzero(bit))
             above[np.flatnonzero(~bit)] = found[:zeros]
@@ -130,44 +182,15 @@ class WaveletMatrix:
             found = above | bit.astype(found.dtype) << shift
         return found
 
-    def to_bytes(self) -> bytes:
-        """The file: magic bytes, length and number of planes, then the planes, compressed."""
-        head = struct.pack("<4sQB", MAGIC, self.length, len(self.planes))
-        return head + zstandard.ZstdCompressor(level=1).compress(b"".join(p.tobytes() for p in self.planes))
-
-    @classmethod
-    def from_bytes(cls, data: bytes) -> WaveletMatrix:
-        magic, length, levels = struct.unpack_from("<4sQB", data)
-        if magic != MAGIC:
-            raise ValueError("not a wavelet matrix file")
-        body = zstandard.ZstdDecompressor().decompress(data[struct.calcsize("<4sQB") :])
-        return cls(length, list(np.frombuffer(body, np.uint8).reshape(levels, -1)))
-
-
-class RecentPieces(dict):
-    """Encoded pieces by piece. When full the table becomes the old one, behind an empty new one.
-
-    What is met again moves up, so frequent pieces stay, and there are never more than two tables.
-    """
 
-    def __init__(self, encode):
-        super().__init__()
-        self.encode, self.old = encode, {}
-
-    def __missing__(self, piece: str) -> bytes:
-        found = self.old.get(piece)
-        if found is None:
-            found = self.encode(" " + piece)
-        if len(piece) <= CACHE_CHARS:
-            if len(self) >= CACHE_ENTRIES:
-                self.old = dict(self)
-                self.clear()
-            self[piece] = found
-        return found
+def _sizes(length: int) -> tuple[int, int]:
+    """Stretches of the directory and blocks of a plane."""
+    stretches = -(-max(1, length) // RANK_BITS)
+    return stretches, -(-stretches * RANK_BITS // BLOCK_BITS)
 
 
 class LibraryEncoder:
-    """Encodes texts with the tokenizers library; pieces met before are looked up."""
+    """Encodes texts with the tokenizers library; pieces met before are looked up, new ones go to it together."""
 
     def __init__(self, definition: str):
         # Spark runs a task per core, so the library's own threads would only get in the way.
@@ -180,17 +203,15 @@ class LibraryEncoder:
         kind = (found["pre_tokenizer"] or {}).get("type")
         self.cut = found["normalizer"] is None and kind == "ByteLevel" and not found["pre_tokenizer"]["add_prefix_space"]
         self.special = [t["content"] for t in found["added_tokens"]]
-        self.later = RecentPieces(self._library)
+        self.spaced = BatchEncoder(self._library, lambda text: self._library([text])[0], self.special, TABLE_BYTES)
 
-    def _library(self, text: str) -> bytes:
-        return packed_ids(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+    def _library(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [packed_ids(encoding.ids) for encoding in found]
 
-    def encode(self, text: str) -> bytes:
-        """The text's ids, packed as little-endian unsigned 32-bit integers."""
-        if not self.cut or any(name in text for name in self.special):
-            return self._library(text)
-        pieces, later = spaced_pieces(text), self.later
-        return self._library(pieces[0]) + b"".join([later[piece] for piece in pieces[1:]])
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids, packed as little-endian unsigned 32-bit integers."""
+        return self.spaced.encode(texts) if self.cut else self._library(texts)
 
 
 def _encoder(definition: str) -> LibraryEncoder:
@@ -211,14 +232,15 @@ def _write_shards(definition, shard_tokens: int):
             numbers = np.frombuffer(b"".join(ids), "<u4")
             if numbers.max(initial=0) < 1 << 16:
                 numbers = numbers.astype(np.uint16)
-            row = [part, shard, start, len(numbers), doc_ids, lengths, WaveletMatrix.of(numbers).to_bytes()]
+            row = [part, shard, start, len(numbers), doc_ids, lengths, WaveletMatrix.pack(numbers)]
             types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
             names = ["part", "shard", "start_in_part", "n_tokens", "doc_ids", "lengths", "matrix"]
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names)
 
         for batch in batches:
-            for doc_id, text in zip(*(column.to_pylist() for column in batch.columns)):
-                found = encoder.encode(text) + end
+            given, texts = (column.to_pylist() for column in batch.columns)
+            for doc_id, found in zip(given, encoder.encode(texts)):
+                found += end
                 doc_ids.append(doc_id)
                 lengths.append(len(found) // 4)
                 ids.append(found)
@@ -239,20 +261,22 @@ def write_tokens(
 ) -> None:
     """Write the texts' token ids, with ``END_ID`` after each, as shards in ascending doc_id order.
 
-    Documents are divided by ranges of doc_id; each range is sorted, encoded and cut into shards
-    as it streams by. A shard is one row with its documents and its wavelet matrix as one
+    Documents are divided by ranges of doc_id and a hash of the text, so that many rows of one id,
+    or without one, are several ranges; each is sorted, encoded and cut into shards as it streams by. A shard is one row with its documents and its wavelet matrix as one
     compressed value, written by Spark, so that a repeated task leaves no half-written files and
     any store that Spark writes to will do.
 
     Defined results: null texts are empty and have the end id only. Null ids come first. Rows that
-    repeat an id follow each other in the order of their texts. An empty table gives no shards.
+    repeat an id follow each other in the order of that hash. Texts of any length are encoded
+    whole, a document is never divided. An empty table gives no shards. Other columns are left out.
     """
     spark = docs.sparkSession
     bound_batches(spark)
     definition = spark.sparkContext.broadcast(read_definition(path))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    ordered = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(_write_shards(definition, shard_tokens), SHARDS).write.parquet(folder)
+    by = ["doc_id", F.xxhash64("text")]
+    ordered = texts.repartitionByRange(*by).sortWithinPartitions(*by, "text")
+    ordered.mapInArrow(frugal(_write_shards(definition, shard_tokens)), SHARDS).write.parquet(folder)
 
 
 def _read_shards(batches):
@@ -260,7 +284,7 @@ def _read_shards(batches):
     types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     for batch in batches:
         for row in batch.to_pylist():
-            ids = WaveletMatrix.from_bytes(row["matrix"]).numbers().astype("<u4")
+            ids = WaveletMatrix(row["matrix"]).numbers().astype("<u4")
             ends = np.cumsum(row["lengths"])
             starts = ends - row["lengths"]
             columns = [

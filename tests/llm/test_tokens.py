@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from seasonmart.llm import bpe, token_files
+from seasonmart.llm import bpe, pieces, token_files
 from seasonmart.llm.token_files import LibraryEncoder, WaveletMatrix, read_tokens, token_index, write_tokens
 from tests.llm.conftest import ODD_ROWS
 
@@ -35,32 +35,67 @@ def library_ids(text):
 def test_ids_and_decoded_text_equal_the_library(text):
     text = text.encode("utf-8", "ignore").decode()
     ids = library_ids(text)
-    packed = OWN.encode(text)
+    (packed,) = OWN.encode([text])
     assert bpe.ids_of(packed) == ids
-    assert OWN.decode(packed) == LIBRARY.decode(ids, skip_special_tokens=False)
-    assert bpe.ids_of(PIECEWISE.encode(text)) == ids
+    assert OWN.decode([packed]) == [LIBRARY.decode(ids, skip_special_tokens=False)]
+    assert bpe.ids_of(PIECEWISE.encode([text])[0]) == ids
 
 
-def test_long_words_take_the_heap_with_equal_ids():
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.one_of(st.sampled_from(PIECES), st.text(max_size=4)), max_size=12).map("".join), max_size=9))
+def test_batches_equal_single_texts(texts):
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts]
+    assert [bpe.ids_of(p) for p in OWN.encode(texts)] == [library_ids(t) for t in texts]
+    assert OWN.decode(OWN.encode(texts)) == [LIBRARY.decode(library_ids(t), skip_special_tokens=False) for t in texts]
+
+
+def test_rows_of_parts_and_the_heap_give_equal_ids(monkeypatch):
     rng = random.Random(1)
-    for _ in range(200):
-        word = "".join(rng.choice("abeinorst") for _ in range(rng.randint(1, 400))).encode()
-        assert OWN._scan(word) == OWN._heap(word)
-    assert OWN.decode(OWN.encode("ab" * 50_000)) == "ab" * 50_000
+    words = ["".join(rng.choice("abeinorst") for _ in range(rng.randint(0, 96))).encode() for _ in range(400)]
+    words += ["日本語".encode(), b"\xff\x00", "é".encode() * 40, b"a" * 96]
+    monkeypatch.setattr(bpe, "WORDS_AT_ONCE", 50)
+    assert [bpe.ids_of(p) for p in OWN.word_ids(words)] == [OWN._heap(w) for w in words]
+    long = b"ab" * 60
+    assert bpe.ids_of(OWN.word_ids([b"a", long, b""])[1]) == OWN._heap(long)
+    assert OWN.decode(OWN.encode(["ab" * 50_000])) == ["ab" * 50_000]
 
 
 def test_decoding_broken_bytes():
     half = OWN.byte_ids[0xE6]
-    assert OWN.decode(bpe.packed_ids([half, OWN.byte_ids[65]])) == LIBRARY.decode(
-        [half, OWN.byte_ids[65]], skip_special_tokens=False
-    )
-
-
-def test_caches_are_bounded(monkeypatch):
-    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 3)
-    pieces = bpe.Pieces(str.upper)
-    assert [pieces[x] for x in "abcdabcdx"] == list("ABCDABCDX") and len(pieces) <= 3
-    assert pieces["y" * 100] == "Y" * 100 and "y" * 100 not in pieces
+    packed = bpe.packed_ids([half, OWN.byte_ids[65]])
+    assert OWN.decode([packed, b"", packed]) == [
+        LIBRARY.decode([half, OWN.byte_ids[65]], skip_special_tokens=False), "",
+        LIBRARY.decode([half, OWN.byte_ids[65]], skip_special_tokens=False),
+    ]
+
+
+def test_known_pieces_are_bounded_by_bytes_and_keep_frequent_ones():
+    asked = []
+
+    def upper(pieces):
+        asked.extend(pieces)
+        return [p.upper().encode() for p in pieces]
+
+    known = pieces.KnownPieces(upper, table_bytes=10 * (pieces.ENTRY_BYTES + 10))
+    for n in range(100):
+        found = known.all_of(["often", f"word{n}", f"word{n}"])
+        assert found["often"] == b"OFTEN" and found[f"word{n}"] == f"WORD{n}".encode()
+        assert len(known.young) + len(known.old) <= 24
+    assert asked.count("often") == 1 and asked.count("word5") == 1
+    assert known.all_of(["y" * 100])["y" * 100] == b"Y" * 100
+    known.drop_long(["y" * 100])
+    assert "y" * 100 not in known.young
+
+
+def test_many_rows_without_an_id_are_several_ranges(documents, spark, tmp_path):
+    docs = documents([(None, f"text {i} " * 20) for i in range(3000)] + [(7, f"other {i}") for i in range(3000)])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write_tokens(docs, PATH, str(tmp_path / "hot"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [len(r.doc_ids) for r in spark.read.parquet(str(tmp_path / "hot")).collect()]
+    assert sum(sizes) == 6000 and max(sizes) < 2500
 
 
 def test_digests(documents):
@@ -88,7 +123,7 @@ def test_columns_stay(documents):
 def test_wavelet_matrix(length):
     rng = np.random.default_rng(length)
     numbers = np.minimum(rng.zipf(1.3, length), 50_256).astype(np.uint16)
-    found = WaveletMatrix.from_bytes(WaveletMatrix.of(numbers).to_bytes())
+    found = WaveletMatrix(WaveletMatrix.pack(numbers))
     assert (found.numbers() == numbers).all() and len(found.numbers()) == length
     for at in map(int, rng.integers(0, length, 40) if length else []):
         number = int(numbers[at])
@@ -103,12 +138,36 @@ def test_wavelet_matrix(length):
     with pytest.raises(IndexError):
         found.find(1, length + 1)
     with pytest.raises(ValueError):
-        WaveletMatrix.from_bytes(b"nothing of the kind")
+        WaveletMatrix(b"nothing of the kind")
+
+
+def test_lookups_unpack_their_blocks_only(monkeypatch):
+    """Of a file of several blocks a plane, an access needs one block of each plane, other lookups two."""
+    monkeypatch.setattr(token_files, "BLOCK_BITS", 1 << 13)
+    rng = np.random.default_rng(3)
+    numbers = np.minimum(rng.zipf(1.2, 200_000), 50_256).astype(np.uint16)
+    data = WaveletMatrix.pack(numbers)
+    planes = 16
+
+    def unpacked(matrix):
+        return [len(p.unpacked) for p in matrix.planes]
+
+    for at in map(int, rng.integers(0, len(numbers), 5)):
+        matrix = WaveletMatrix(data)
+        assert matrix.access(at) == numbers[at] and unpacked(matrix) == [1] * planes
+        number = int(numbers[at])
+        matrix = WaveletMatrix(data)
+        assert matrix.count(number, at) == (numbers[:at] == number).sum() and max(unpacked(matrix)) <= 2
+        matrix = WaveletMatrix(data)
+        nth = int((numbers[:at] == number).sum())
+        assert matrix.find(number, nth) == at and max(unpacked(matrix)) <= 3
+    matrix = WaveletMatrix(data)
+    assert (matrix.numbers() == numbers).all() and min(unpacked(matrix)) == 25
 
 
 def test_wide_numbers():
     numbers = np.array([70_000, 3, 70_000, 1 << 20], np.uint32)
-    assert (WaveletMatrix.from_bytes(WaveletMatrix.of(numbers).to_bytes()).numbers() == numbers).all()
+    assert (WaveletMatrix(WaveletMatrix.pack(numbers)).numbers() == numbers).all()
 
 
 def test_files_in_order_of_ids(documents, prose, spark, tmp_path):
