@@ -282,7 +282,9 @@ def encode_and_decode(docs: DataFrame, path: str, text: str = "text") -> DataFra
 def token_digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: doc_id, n_tokens, and digests of its ids and of the decoded text.
 
-    A null text counts as empty.
+    Defined results: a null text counts as empty and has 0 tokens. Texts of any length are encoded
+    whole. Repeated rows stay, each with its digests, and a null doc_id stays null. An empty table
+    gives an empty result. Other columns are left out.
     """
     texts = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
     return encode_and_decode(texts, path).select(

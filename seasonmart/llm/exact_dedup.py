@@ -128,7 +128,8 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     Defined results: a null text counts as empty. Rows that repeat doc_id and text are one
     document listed several times: all of them count, and all are marked alike. A null doc_id is
     smaller than any number; if a group has nothing else, keep_id is null and its rows are kept.
-    An empty table gives an empty result. Other columns are left out.
+    Texts of any length are compared whole, by their SHA-256. An empty table gives an empty result.
+    Other columns are left out.
     """
     spark = docs.sparkSession
     bound_batches(spark)

@@ -269,8 +269,11 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     pseudo-likelihood of a text is the sum of log P(class | both sides) + log P(word | class).
 
     Defined results: null and empty texts have 0 tokens, log_prob 0 and a null mean. Repeated rows
-    score alike, up to the rounding of single precision. Words of equal frequency enter the vocabulary in the order of their letters. An
-    empty table gives an empty result. Other columns are left out.
+    score alike, up to the rounding of single precision. Words of equal frequency enter the
+    vocabulary in the order of their letters. Texts of any length are scored whole, and are learned
+    from whole. An empty table gives an empty result. Other columns are left out.
+
+    Tasks learn apart and are averaged, so scores depend a little on how the table is partitioned.
     """
     bound_batches(docs.sparkSession)
     counts = stage(word_counts(docs, text), "word_counts")

@@ -92,8 +92,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", text: s
 
     Defined results: a null text counts as empty, also as a copy of empty texts. Repeated rows
     are copies, each with a slot of its own. A null doc_id stays null. With fewer groups than
-    shards the last shards stay empty. An empty table gives an empty result. Other columns are
-    left out.
+    shards the last shards stay empty. A text of any length is one row of its size, and may fill a
+    shard alone. An empty table gives an empty result. Other columns are left out.
     """
     spark = docs.sparkSession
     with Scratch(spark, "sharding") as scratch:

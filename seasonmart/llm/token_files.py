@@ -311,7 +311,12 @@ def read_tokens(shards: DataFrame) -> DataFrame:
 
 
 def token_index(docs: DataFrame, path: str, folder: str | None = None, **options) -> DataFrame:
-    """Per document, read back from the files: doc_id, start, n_tokens, ids_crc32."""
+    """Per document, read back from the files: doc_id, start, n_tokens, ids_crc32.
+
+    Defined results: as ``write_tokens`` and ``read_tokens`` have them. A null text has the end id
+    only, a null doc_id stays null and comes first, repeated rows follow each other, an empty table
+    gives an empty result, and other columns are left out.
+    """
     spark = docs.sparkSession
     with Scratch(spark, "token_files") as scratch:
         place = folder or f"{scratch.folder}/shards"

@@ -158,7 +158,8 @@ def exact_top_k(
     Defined results: rows with a null id, and vectors that are null or hold null, NaN or infinite
     components take no part. Rows that repeat id and vector count once; a query never finds rows
     with its own id. Vectors are compared with those of the same length only. A score that could
-    exceed a long raises. A query without candidates, or an empty table, gives no rows.
+    exceed a long raises. A query without candidates, or an empty table, gives no rows. Other columns
+    are left out, whatever their names. Texts play no part.
     """
     spark = vectors.sparkSession
     bound_batches(spark)

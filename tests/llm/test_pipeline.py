@@ -65,3 +65,42 @@ def test_pipeline(spark, prose, tmp_path):
 
     whole = {r.doc_id: r.ids for r in corpus_pipeline.run(spark, folder).collect()}
     assert whole == {i: r.ids for i, r in seen["bpe"].items()}
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, score string, ids string, _site string, node string"
+
+
+def odd_folder(spark, folder, rows):
+    values = [(i, t, "en", s, None, "a", "b", "c", "d") for i, t, s in rows]
+    spark.createDataFrame(values, ODD).write.parquet(f"{folder}/documents.parquet")
+    labels = [(i, 0, 0) for i, *_ in rows if i is not None]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+
+
+def test_pipeline_on_odd_rows(spark, prose, tmp_path):
+    """Nulls in all columns, repeated rows, a very long text and names that stages use inside."""
+    long = prose(20_000)
+    rows = [(i, prose(30), "src1") for i in range(40)]
+    rows += [(100, long, "src2"), (101, None, "src1"), (102, "", None), (103, "  ", "src1"), (None, prose(20), None), (None, None, None)]
+    rows += [rows[3], rows[3], (200, rows[4][1], "src9")]
+    odd_folder(spark, tmp_path, rows)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == [c.split(" ")[0] for c in ODD.split(", ")], name
+        docs.write.parquet(f"{tmp_path}/out/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/out/{name}")
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert out and sorted(str(r.doc_id) for r in out) == sorted(str(r.doc_id) for r in docs.collect())
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = {t for _, t, _ in rows}
+    for r in out:
+        assert r.text in texts and r.decoded == r.text
+        assert bpe.ids_of(r._ids) == library.encode(r.text, add_special_tokens=False).ids
+    near = {r.doc_id for r in spark.read.parquet(f"{tmp_path}/out/near_dedup").collect()}
+    assert 200 not in near and {3, 4, 100} <= near
+
+
+def test_pipeline_on_an_empty_table(spark, tmp_path):
+    odd_folder(spark, tmp_path, [])
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
