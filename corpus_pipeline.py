@@ -17,27 +17,41 @@ from seasonmart.sources.sinks import Scratch, stage
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go; it learns from the labels that are not held out."""
+    """Documents that the classifier rejects go; it learns from the labels that are not held out.
+
+    Null and empty texts score as texts without words; without labels nothing can be learned, and
+    nothing goes unless label 1 is common.
+    """
     return without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that more than a tenth of a source's documents share are taken out of their texts."""
+    """Lines that more than ``MAX_RATIO`` of a source's documents share are taken out of their texts.
+
+    Every document stays, with an empty text if all of it was boilerplate; null texts and sources
+    are left as they are.
+    """
     return line_dedup(docs)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word shingles, similarity 0.8."""
+    """One document of each group of near copies stays: five-word shingles, similarity 0.8.
+
+    Documents without words, or without an id, are nobody's copy and stay.
+    """
     return without_near_copies(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample of ``KEEP_SHARE`` of all tokens, its sources, languages and topics near their target shares."""
+    """A sample of ``KEEP_SHARE`` of all tokens, its sources, languages and topics near their target shares.
+
+    Texts without words have no place in it.
+    """
     return sample(docs, TARGETS, mixing_dimensions(), keep_share=KEEP_SHARE)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text, and the text they decode to."""
+    """Token ids of each text, and the text they decode to; null texts have none."""
     return encode_and_decode(docs, tokenizer_file())
 
 
@@ -55,7 +69,12 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents of a folder, each written as Parquet for the next to read."""
+    """All stages on the documents of a folder, each written as Parquet for the next to read.
+
+    Texts of any length go through whole. Repeated rows are documents like others until the near
+    copies go. Columns keep their names, whatever they are; the last stage adds ``ids`` and
+    ``decoded``, with underscores in front where a name is taken. An empty table gives an empty result.
+    """
     docs = table(spark, sf_dir, "documents")
     with Scratch(spark, "pipeline") as scratch:
         for number, (name, apply) in enumerate(STAGES[:-1]):
