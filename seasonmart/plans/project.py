@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +44,8 @@ class BuildError(Exception):
     that need them, ``built`` all others, which are published."""
 
     def __init__(self, failures: dict[str, Exception], skipped: list[str], built: Built):
-        super().__init__(f"failed: {', '.join(failures)}; not tried: {', '.join(skipped) or 'none'}")
+        errors = "; ".join(f"{name} ({error!s:.300})" for name, error in failures.items())
+        super().__init__(f"failed: {errors}; not tried: {', '.join(skipped) or 'none'}")
         self.failures, self.skipped, self.built = failures, skipped, built
 
 
@@ -139,6 +141,18 @@ def run_steps(
                     raise error
 
 
+def _counted(observation: Observation) -> dict[str, int]:
+    """What was counted while a table was written.
+
+    Nothing if Spark found on the way that there is nothing to write and dropped the counting with
+    the rest of the plan; the checks then read the empty table.
+    """
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
 def _dealt_by_season(df: DataFrame) -> DataFrame:
     """Rows of a season in few files: tasks hold few seasons each, a large season gets several tasks."""
     return df.hint("rebalance", "year")
@@ -224,11 +238,11 @@ def build(
                 df = _dealt_by_season(df)
             tables[name] = publish_table(df, name, target, LAYER_SCHEMAS[step.layer], partition_by=partitions)
             if counters:
-                built.observed.update(observation.get)
+                built.observed.update(_counted(observation))
 
         steps = project_steps(spark, raw, settings, scratch.stage)
         failures, skipped = run_steps(steps, inheritable_thread_target(spark)(run), workers)
     built.update({name: tables[name] for name, step in steps.items() if step.layer and name in tables})
     if failures:
-        raise BuildError(failures, skipped, built)
+        raise BuildError(failures, skipped, built) from next(iter(failures.values()))
     return built
