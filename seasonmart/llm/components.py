@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seasonmart.llm.common import frugal
 from seasonmart.sources.sinks import Scratch
 
 EDGES = "a binary, b binary"
@@ -57,7 +58,7 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     edges = edges.select("a", "b").where("a <> b")
     while True:
         turn = len(labels)
-        stars = scratch.stage(edges.mapInArrow(_contract, EDGES).where("a <> b"), f"{name}_edges_{turn}")
+        stars = scratch.stage(edges.mapInArrow(frugal(_contract), EDGES).where("a <> b"), f"{name}_edges_{turn}")
         if turn and stars.isEmpty():
             break
         both = stars.union(stars.select("b", "a"))

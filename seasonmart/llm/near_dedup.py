@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seasonmart.llm.common import bound_batches, fresh, held, text_or_empty
+from seasonmart.llm.common import bound_batches, fresh, frugal, held, text_or_empty
 from seasonmart.llm.components import EDGES, UnionFind, components
 from seasonmart.llm.superminhash import (
     BANDS,
@@ -259,14 +259,18 @@ def near_groups(
     component of their own; a text with fewer words than a shingle has its words as one shingle.
     Rows that repeat a text are linked. A null doc_id counts as no id: it is never the smallest,
     and a component without ids has component_id null and keeps all its rows. A doc_id that occurs
-    with several texts stands for each of them separately. An empty table gives an empty result.
-    Other columns are left out.
+    with several texts stands for each of them separately. Texts of any length are taken whole. An
+    empty table gives an empty result. Other columns are left out.
+
+    Two steps rest on chance, with bounds for a pair of similarity 0.8 (more similar pairs fare
+    better): it shares no band with probability 5e-8, and of 128 slots fewer than ``MIN_EQUAL_SLOTS``
+    agree, so that the full sets are not looked at, with probability 1e-7.
     """
     spark = docs.sparkSession
     bound_batches(spark)
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     with Scratch(spark, "near_dedup") as scratch:
-        signed = texts.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(_sign(size), SIGNED)
+        signed = texts.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(frugal(_sign(size)), SIGNED)
         signed = scratch.stage(signed, "signed")
         nodes = signed.where("node is not null").groupBy("node").agg(
             F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"),
@@ -294,14 +298,14 @@ def near_groups(
         sets = _sets(scratch, members.select("node").distinct(), texts, nodes, size)
         with_b = stars.join(sets.toDF("b", "set_b"), "b")
         pairs = with_b.join(sets.toDF("a", "set_a"), "a").select("a", "b", "set_a", "set_b")
-        links = scratch.stage(pairs.mapInArrow(_linked(percent), EDGES), "star_links")
+        links = scratch.stage(pairs.mapInArrow(frugal(_linked(percent)), EDGES), "star_links")
         roots = components(scratch, links, "stars")
 
         flagged = members.select(
             "band_key", "node", "n_shingles", (F.col("node") == F.col("center_node")).alias("center")
         )
         chunks = _unsettled(scratch, flagged, roots, nodes, sets)
-        more = scratch.stage(chunks.mapInArrow(_cross_links(percent), EDGES), "cross_links")
+        more = scratch.stage(chunks.mapInArrow(frugal(_cross_links(percent)), EDGES), "cross_links")
         for done in ("packed", "placed", "members", "sets"):
             scratch.drop(done)
         roots = components(scratch, links.union(more), "all")

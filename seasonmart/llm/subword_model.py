@@ -16,7 +16,7 @@ SHORTEST, LONGEST = 3, 5
 WINDOW, STEP = 8, 4
 #: Word scores kept by a scorer; beyond that the table starts anew.
 CACHE_ENTRIES = 150_000
-#: Words whose subwords are made at once in training.
+#: Words whose subwords are made at once.
 CHUNK = 20_000
 #: Rounds between two looks at the loss on texts not learned from, and how often it may not fall.
 LOOK, PATIENCE = 4, 3
@@ -89,9 +89,13 @@ class SubwordModel:
         return crc32(np.ascontiguousarray(self.gram_scores).tobytes()), self.bias
 
     def word_scores(self, words: list[str]) -> np.ndarray:
-        buckets, owner = subwords(words)
-        sums = np.bincount(owner, self.gram_scores[buckets], len(words))
-        return sums / np.bincount(owner, minlength=len(words))
+        found = np.zeros(len(words))
+        for at in range(0, len(words), CHUNK):
+            part = words[at : at + CHUNK]
+            buckets, owner = subwords(part)
+            sums = np.bincount(owner, self.gram_scores[buckets], len(part))
+            found[at : at + CHUNK] = sums / np.bincount(owner, minlength=len(part))
+        return found
 
 
 class Scorer:
@@ -127,22 +131,24 @@ class Bags:
         ids: dict[str, int] = {}
         of_text = []
         for text in texts:
-            of_text.append([ids.setdefault(w, len(ids)) for w in distinct_words(text)])
+            of_text.append(np.array([ids.setdefault(w, len(ids)) for w in distinct_words(text)], np.int32))
         self.words = max(1, len(ids))
         sizes = np.array([len(t) for t in of_text])
-        self.word = np.concatenate([np.array(t, np.int64) for t in of_text])
+        self.word = np.concatenate(of_text)
+        del of_text
         self.sizes = sizes
         first = np.cumsum(sizes) - sizes
         starts = [window_starts(n) for n in sizes]
         self.first_window = np.cumsum([0, *(len(s) for s in starts[:-1])])
-        self.window_text = np.repeat(np.arange(len(texts)), [len(s) for s in starts])
-        self.start = np.concatenate([s + f for s, f in zip(starts, first)])
-        self.end = np.minimum(self.start + WINDOW, (first + sizes)[self.window_text])
-        self.size = np.maximum(1, self.end - self.start)
+        self.window_text = np.repeat(np.arange(len(texts), dtype=np.int32), [len(s) for s in starts])
+        self.start = np.concatenate([(s + f).astype(np.int32) for s, f in zip(starts, first)])
+        self.end = np.minimum(self.start + WINDOW, (first + sizes)[self.window_text]).astype(np.int32)
+        self.size = np.maximum(1, self.end - self.start).astype(np.int8)
 
         # What stands in very few texts can only be learned by heart.
         texts_of_word = np.bincount(self.word, minlength=self.words)
         spelled, chunks = list(ids), range(0, len(ids), CHUNK)
+        del ids
         seen = np.zeros(BUCKETS)
         for at in chunks:
             gram, owner = subwords(spelled[at : at + CHUNK])
@@ -153,7 +159,8 @@ class Bags:
             gram, owner = subwords(spelled[at : at + CHUNK])
             self.grams[at : at + CHUNK] = np.bincount(owner)
             use = self.known[gram]
-            self.chunks.append((at, gram[use].astype(np.int32), owner[use].astype(np.int32)))
+            # Owners are counted within a chunk, so 16 bits hold them.
+            self.chunks.append((at, gram[use].astype(np.int32), owner[use].astype(np.uint16)))
 
     def by_word(self, of_gram: np.ndarray) -> np.ndarray:
         """For each word the sum over its subwords."""
@@ -180,15 +187,18 @@ class Bags:
 
     def window_scores(self, gram_scores: np.ndarray) -> np.ndarray:
         of_word = self.by_word(gram_scores) / self.grams
-        sums = np.concatenate([[0.0], np.cumsum(of_word[self.word])])
+        sums = np.zeros(len(self.word) + 1)
+        np.cumsum(of_word.astype(np.float32)[self.word], dtype=np.float64, out=sums[1:])
         return (sums[self.end] - sums[self.start]) / self.size
 
     def to_grams(self, by_window: np.ndarray) -> np.ndarray:
         """A gradient by window score as a gradient by gram score."""
         n = len(self.word) + 1
         each = by_window / self.size
-        steps = np.bincount(self.start, each, n) - np.bincount(self.end, each, n)
-        of_word = np.bincount(self.word, np.cumsum(steps)[:-1], self.words)
+        steps = np.bincount(self.start, each, n)
+        steps -= np.bincount(self.end, each, n)
+        np.cumsum(steps, out=steps)
+        of_word = np.bincount(self.word, steps[:-1], self.words)
         return self.by_gram(of_word / self.grams)
 
 
@@ -223,7 +233,7 @@ def fit(
     weights = rng.normal(0, 0.5, WIDTH)
     start = HEAD_START * bags.log_odds(labels[~checked])[:, None] * weights / (weights @ weights)
     values = {
-        "vectors": start + rng.normal(0, 0.02, (BUCKETS, WIDTH)),
+        "vectors": (start + rng.normal(0, 0.02, (BUCKETS, WIDTH))).astype(np.float32),
         "weights": weights,
         "bias": np.array(prior),
     }
@@ -244,15 +254,17 @@ def fit(
         error = (_sigmoid(logit) - learned) * counted
         by_gram = bags.to_grams(chosen * error[bags.window_text])
         slopes = {
-            "vectors": by_gram[:, None] * values["weights"],
+            "vectors": by_gram.astype(np.float32)[:, None] * values["weights"].astype(np.float32),
             "weights": values["vectors"].T @ by_gram,
             "bias": np.array(error.sum()),
         }
         for k, slope in slopes.items():  # Adam
-            first[k] = 0.9 * first[k] + 0.1 * slope
-            second[k] = 0.99 * second[k] + 0.01 * slope**2
-            at = first[k] / (1 - 0.9**step)
-            values[k] = values[k] - rate * at / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-6)
+            first[k] *= 0.9
+            first[k] += 0.1 * slope
+            second[k] *= 0.99
+            second[k] += 0.01 * slope**2
+            change = first[k] / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-6)
+            values[k] = values[k] - change * (rate / (1 - 0.9**step))
         if step % LOOK == 0:
             # An n-gram that was not learned says nothing.
             gram_scores = np.where(bags.known, values["vectors"] @ values["weights"], 0.0)

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seasonmart.llm.common import bound_batches, fresh, held, text_or_empty, with_columns
+from seasonmart.llm.common import bound_batches, fresh, frugal, give_back, held, text_or_empty, with_columns
 from seasonmart.llm.subword_model import Scorer, SubwordModel, fit
 
 #: The classifier is fitted on at most this many labelled texts, of this many bytes together.
@@ -48,8 +48,15 @@ def training_rows(
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, **options) -> SubwordModel:
     """Fit the classifier on the driver, on the bounded sample of ``training_rows``."""
-    found = [(r.text, r.label) for r in training_rows(docs, labels, **options).toLocalIterator()]
-    return fit([text for text, _ in found], [label for _, label in found])
+    texts, ones = [], []
+    for row in training_rows(docs, labels, **options).toLocalIterator():
+        texts.append(row.text)
+        ones.append(row.label)
+    try:
+        return fit(texts, ones)
+    finally:
+        del texts
+        give_back()
 
 
 def with_score(docs: DataFrame, model: SubwordModel, text: str = "text", score: str = "score") -> DataFrame:
@@ -66,7 +73,7 @@ def with_score(docs: DataFrame, model: SubwordModel, text: str = "text", score:
             found = scorer.probabilities(texts) if texts else np.zeros(0)
             yield batch.append_column(score, pa.array(found, pa.float64()))
 
-    return docs.mapInArrow(run, with_columns(docs, {score: "double"}))
+    return docs.mapInArrow(frugal(run), with_columns(docs, {score: "double"}))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
