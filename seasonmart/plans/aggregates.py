@@ -26,7 +26,7 @@ from seasonmart.plans.metrics import (
     merged,
     source_rows,
 )
-from seasonmart.sources.sinks import Materialize, Target, keep, kept, publish_table
+from seasonmart.sources.sinks import Materialize, Target, is_kept, keep, kept, publish_table
 
 AGGREGATE_SCHEMA = "aggregate"
 YEAR = TIME_DIMENSIONS[0]
@@ -88,6 +88,10 @@ def publish_aggregates(
     return store_aggregates(models, lambda df, name: publish_table(df, name, target, AGGREGATE_SCHEMA), aggregates)
 
 
+# What this process has found already, by session and state: looking into files costs a job each.
+_found: dict[tuple[SparkSession, str, str], list[StoredAggregate]] = {}
+
+
 def kept_aggregates(
     spark: SparkSession, state: str, models: Mapping[str, DataFrame], aggregates: Iterable[Aggregate] = AGGREGATES
 ) -> list[StoredAggregate]:
@@ -98,11 +102,16 @@ def kept_aggregates(
     """
     aggregates = list(aggregates)
     names = [a.name for a in aggregates]
+    key = (spark, spark.sparkContext.applicationId, f"{state} {' '.join(names)}")
+    if key in _found and is_kept(spark, state, "sizes"):
+        return _found[key]
     found = kept(spark, state, [*names, "sizes"])
     if found is None:
         stored = store_aggregates(models, lambda df, name: keep(df, state, name), aggregates)
         sizes = [(a.name, a.rows) for a in stored]
         keep(spark.createDataFrame(sizes, "name string, n long").coalesce(1), state, "sizes")
-        return stored
-    rows = {r.name: r.n for r in found["sizes"].collect()}  # a row per aggregate
-    return [StoredAggregate(a.name, a.source, a.dimensions, found[a.name], rows[a.name]) for a in aggregates]
+    else:
+        rows = {r.name: r.n for r in found["sizes"].collect()}  # a row per aggregate
+        stored = [StoredAggregate(a.name, a.source, a.dimensions, found[a.name], rows[a.name]) for a in aggregates]
+    _found[key] = stored
+    return stored

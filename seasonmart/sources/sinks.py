@@ -199,10 +199,14 @@ def keep(df: DataFrame, group: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def is_kept(spark: SparkSession, group: str, name: str) -> bool:
+    return exists(spark, f"{_kept_folder(spark)}/{group}/{name}/_SUCCESS")
+
+
 def kept(spark: SparkSession, group: str, names: Sequence[str]) -> dict[str, DataFrame] | None:
     """The tables of a group that were written with ``keep``, or None unless all of them are there."""
     folder = f"{_kept_folder(spark)}/{group}"
-    if not all(exists(spark, f"{folder}/{name}/_SUCCESS") for name in names):
+    if not all(is_kept(spark, group, name) for name in names):
         return None
     return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
 
