@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seasonmart.llm.common import bound_batches, fresh, frugal, held, text_or_empty, with_columns
-from seasonmart.llm.pieces import BatchEncoder, slices
+from seasonmart.llm.pieces import CHARS_AT_ONCE, BatchEncoder, groups, slices
 
 #: Fixed value: the pattern that splits text before merging, as byte-level tokenizer files mean it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -66,22 +66,17 @@ class Vocabulary:
             i: bytes(byte_of[c] for c in token) for token, i in id_of.items() if token not in self.special
         } | {i: content.encode() for content, i in self.special.items()}
         self.byte_ids = [id_of[c] for c in byte_characters()]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, merge in enumerate(model["merges"]):
-            left, right = merge if isinstance(merge, list) else merge.split(" ")
-            self.merges[id_of[left], id_of[right]] = (rank, id_of[left + right])
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        pairs = np.array([id_of[a] << 32 | id_of[b] for a, b in merges], np.int64)
+        # By rank what a merge gives, and by pair its rank: sorted for many look-ups, a table for single ones.
+        self._merged_at = np.array([id_of[a + b] for a, b in merges], np.int64)
+        order = np.argsort(pairs, kind="stable")
+        self._pairs, self._pair_ranks = np.append(pairs[order], np.int64(1) << 62), np.append(order, NEVER)
+        self.ranks: dict[int, int] = {pair: rank for rank, pair in enumerate(pairs.tolist())}
         names = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.special_pattern = re.compile("(" + "|".join(names) + ")") if names else None
         self.pattern = regex.compile(PATTERN)
         self.spaced = BatchEncoder(self.pieces, self._with_special, self.special)
-        # The same merges as sorted pairs, to look up many at once.
-        pairs = np.array([a << 32 | b for a, b in self.merges], np.int64)
-        order = np.argsort(pairs)
-        self._pairs = np.append(pairs[order], np.int64(1) << 62)
-        merged = np.array([*self.merges.values()], np.int64).reshape(-1, 2)
-        self._pair_ranks = np.append(merged[order, 0], NEVER)
-        self._merged_at = np.zeros(int(merged[:, 0].max(initial=-1)) + 1, np.int64)
-        self._merged_at[merged[:, 0]] = merged[:, 1]
         self._byte_ids = np.array(self.byte_ids, np.int64)
         # Ranks of all pairs of single bytes, where each word begins.
         self._byte_ranks = self._ranks(np.repeat(self._byte_ids, 256), np.tile(self._byte_ids, 256))
@@ -153,20 +148,21 @@ class Vocabulary:
         end = len(ids)
         after, before = list(range(1, end + 1)), list(range(-1, end - 1))
         heap: list[tuple[int, int, int, int]] = []
+        merged = self._merged_at.tolist() if end > len(self._merged_at) else self._merged_at
 
         def offer(left: int, right: int) -> None:
-            found = self.merges.get((ids[left], ids[right]))
-            if found:
-                heapq.heappush(heap, (found[0], left, ids[left], ids[right]))
+            rank = self.ranks.get(ids[left] << 32 | ids[right])
+            if rank is not None:
+                heapq.heappush(heap, (rank, left, ids[left], ids[right]))
 
         for left in range(end - 1):
             offer(left, left + 1)
         while heap:
-            _, left, a, b = heapq.heappop(heap)
+            rank, left, a, b = heapq.heappop(heap)
             right = after[left]
             if ids[left] != a or right >= end or ids[right] != b:
                 continue
-            ids[left], ids[right] = self.merges[a, b][1], -1
+            ids[left], ids[right] = merged[rank], -1
             after[left] = after[right]
             if after[left] < end:
                 before[after[left]] = left
@@ -207,10 +203,14 @@ class Vocabulary:
 
     def decode(self, packed: list[bytes]) -> list[str]:
         """The texts of packed ids; bytes that are no UTF-8 become U+FFFD."""
-        ends = np.cumsum([len(p) // 4 for p in packed], dtype=np.int64)
-        starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
-        ids = np.frombuffer(b"".join(packed), "<u4").astype(np.int64)
-        return [text.decode("utf-8", "replace") for text in slices(self._table.take(pa.array(ids)), starts, ends)]
+        found: list[str] = []
+        for part in groups([len(p) for p in packed], CHARS_AT_ONCE):
+            some = [packed[i] for i in part]
+            ends = np.cumsum([len(p) // 4 for p in some], dtype=np.int64)
+            starts = np.concatenate([[0], ends[:-1]])
+            tokens = self._table.take(pa.array(np.frombuffer(b"".join(some), "<u4")))
+            found += [text.decode("utf-8", "replace") for text in slices(tokens, starts, ends)]
+        return found
 
 
 def vocabulary(definition: str) -> Vocabulary:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -11,8 +11,8 @@ import pyarrow as pa
 
 #: Bytes that each of the two generations of known pieces may take, and the longest piece kept.
 TABLE_BYTES, KEPT_CHARS = 24 << 20, 48
-#: Texts whose new pieces are encoded together.
-TEXTS_AT_ONCE = 2_000
+#: Characters of the texts that are handled together; a longer text is handled alone.
+CHARS_AT_ONCE = 1 << 19
 #: What a kept piece takes besides its characters and its ids: two objects and a place in a table.
 ENTRY_BYTES = 170
 
@@ -28,6 +28,18 @@ def spaced_pieces(text: str) -> list[str]:
     return _between_words.split(text) if _two_spaces.search(text) else text.split(" ")
 
 
+def groups(sizes: list[int], most: int) -> Iterator[range]:
+    """Neighbours that are not larger than ``most`` together, or alone."""
+    start, held = 0, 0
+    for i, size in enumerate(sizes):
+        if i > start and held + size > most:
+            yield range(start, i)
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield range(start, len(sizes))
+
+
 class KnownPieces:
     """Encoded pieces by piece, in two generations bounded by bytes.
 
@@ -81,8 +93,7 @@ class BatchEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         found: list[bytes | None] = [None] * len(texts)
-        for start in range(0, len(texts), TEXTS_AT_ONCE):
-            part = range(start, min(start + TEXTS_AT_ONCE, len(texts)))
+        for part in groups([len(text) for text in texts], CHARS_AT_ONCE):
             special = [i for i in part if self.special and self.special.search(texts[i])]
             for i in special:
                 found[i] = self.slow(texts[i])
