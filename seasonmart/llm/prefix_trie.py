@@ -177,8 +177,16 @@ def trie(scratch: Scratch, turns: DataFrame, convs: DataFrame) -> Trie:
         (F.col("parent_alone") & (F.col("depth") > 1)).alias("parent_alone"),
     )
     screened = scratch.stage(screened, "screened")
-    shared = screened.where("not alone")
-    tails = screened.where("alone and not parent_alone").select("conv_id", "depth", "parent")
+    # What follows a proven single is alone too, also where the cells of the sketch happen to be
+    # crowded. So a conversation has one tail at most, from its first proven single to its end.
+    heads = screened.where("alone and not parent_alone").groupBy("conv_id")
+    tails = heads.agg(F.min("depth").alias("depth"), F.min_by("parent", "depth").alias("parent"))
+    tails = scratch.stage(tails, "tails")
+    begun = tails.select(F.col("conv_id").alias("_tail"), F.col("depth").alias("_from"))
+    others = screened.where("not alone").join(begun, F.col("conv_id") == F.col("_tail"), "left")
+    others = scratch.stage(others.drop("_tail"), "others")
+    shared = others.where("_from is null or depth < _from")
+    single = screened.where("alone").unionByName(others.where("depth > _from").drop("_from"))
     grouped = scratch.stage(
         shared.groupBy("node").agg(
             F.min("conv_id").alias("conv_id"), F.max("depth").alias("depth"), F.max("parent").alias("parent"),
@@ -218,7 +226,7 @@ def trie(scratch: Scratch, turns: DataFrame, convs: DataFrame) -> Trie:
         F.lit(False).alias("alone"), F.lit(None).cast("boolean").alias("is_end"),
     )
     # A proven single is a node as it stands: its members, children and leaves are its own conversation.
-    singles = attach(screened.where("alone"), named, "conv_id", "depth")
+    singles = attach(single, named, "conv_id", "depth")
     one = F.lit(1).cast("long")
     singles = singles.select(
         "node", "conv_id", "depth", F.coalesce("parent_conv_id", "conv_id").alias("parent_conv_id"),

@@ -96,6 +96,16 @@ def test_hot_conversations_and_crowded_sketch(spark, tmp_path, monkeypatch, bloc
     assert results(spark, tmp_path, rows) == sorted(plain(rebuilt(rows)), key=str)
 
 
+@pytest.mark.parametrize("cells", [64, 128, 256])
+def test_crowded_cells_after_a_proven_single(spark, tmp_path, monkeypatch, cells):
+    """Some prefixes of a tail meet crowded cells by chance: they are alone all the same."""
+    monkeypatch.setattr(prefix_trie, "MIN_CELLS", cells)
+    monkeypatch.setattr(prefix_trie, "MAX_CELLS", cells)
+    rng = random.Random(7)
+    rows = [(c, i, "user", rng.choice(["yes", "no", f"{c} {i}"])) for c in range(60) for i in range(8)]
+    assert results(spark, tmp_path, rows) == sorted(plain(rebuilt(rows)), key=str)
+
+
 def test_empty_and_long(spark, tmp_path):
     assert results(spark, tmp_path / "none", []) == []
     rows = [(1, 0, "user", "word " * 400_000), (2, 0, "user", "word " * 400_000), (2, 1, "user", "word " * 400_000 + "x")]
