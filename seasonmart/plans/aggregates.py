@@ -15,18 +15,22 @@ from pyspark.sql import DataFrame, SparkSession
 from seasonmart.plans.metrics import (
     FACT_DIMENSIONS,
     FACT_ENTITIES,
+    FACT_MODELS,
     METRICS,
     PERFORMANCE,
     ROSTER_DIMENSIONS,
     ROSTER_ENTITY,
+    ROSTER_MODEL,
+    ROWS,
     SALARIES,
+    SEASON_DATE,
     TIME_DIMENSIONS,
     StoredAggregate,
     canonical,
     merged,
     source_rows,
 )
-from seasonmart.sources.sinks import Materialize, Target, is_kept, keep, kept, publish_table
+from seasonmart.sources.sinks import Materialize, Scratch, Target, is_kept, keep, kept, publish_table
 
 AGGREGATE_SCHEMA = "aggregate"
 YEAR = TIME_DIMENSIONS[0]
@@ -88,6 +92,22 @@ def publish_aggregates(
     return store_aggregates(models, lambda df, name: publish_table(df, name, target, AGGREGATE_SCHEMA), aggregates)
 
 
+def written_facts(
+    models: Mapping[str, DataFrame], write: Materialize, aggregates: Iterable[Aggregate] = AGGREGATES
+) -> dict[str, DataFrame]:
+    """The facts of ``aggregates``, written with ``write`` in the columns that these need, and the roster.
+
+    Several aggregates read a fact: without this each would join and add up the games anew.
+    """
+    found = {}
+    for source in dict.fromkeys(a.source for a in aggregates):
+        name = FACT_MODELS[source]
+        measured = [s.partition("__")[2] for s in states_of(source) if s != ROWS]
+        columns = dict.fromkeys(["player_id", SEASON_DATE, *FACT_DIMENSIONS[source], *measured])
+        found[name] = write(models[name].select(*columns), name)
+    return {**found, ROSTER_MODEL: models[ROSTER_MODEL]}
+
+
 # What this process has found already, by session and state: looking into files costs a job each.
 _found: dict[tuple[SparkSession, str, str], list[StoredAggregate]] = {}
 
@@ -107,7 +127,9 @@ def kept_aggregates(
         return _found[key]
     found = kept(spark, state, [*names, "sizes"])
     if found is None:
-        stored = store_aggregates(models, lambda df, name: keep(df, state, name), aggregates)
+        with Scratch(spark, "facts") as scratch:
+            facts = written_facts(models, scratch.stage, aggregates)
+            stored = store_aggregates(facts, lambda df, name: keep(df, state, name), aggregates)
         sizes = [(a.name, a.rows) for a in stored]
         keep(spark.createDataFrame(sizes, "name string, n long").coalesce(1), state, "sizes")
     else:

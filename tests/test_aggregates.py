@@ -6,6 +6,7 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from seasonmart.operators.spine import Spine
 from seasonmart.plans import aggregates, metrics
@@ -135,6 +136,24 @@ def test_one_row_per_player_and_year_meets_the_roster(models):
     assert plan.count() >= models["player_performance_analysis"].select("player_id", "season_date").distinct().count()
 
 
+def test_facts_are_computed_once(spark, models):
+    """Aggregates that lie next to each other read one written fact: its games are not added up for each."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(value):
+        seen.add(1)
+        return value
+
+    fact = models["player_performance_analysis"]
+    counted = fact.withColumn("total_hits", F.udf(count, "long").asNondeterministic()("total_hits"))
+    kept = aggregates.kept_aggregates(spark, f"once-{seen.aid}", {**models, "player_performance_analysis": counted})
+    assert seen.value == fact.count()
+    plain = {a.name: a for a in aggregates.store_aggregates(models, sinks.stage)}
+    for a in kept:
+        assert (a.rows, a.dimensions) == (plain[a.name].rows, plain[a.name].dimensions)
+        assert sorted(map(str, a.table.collect())) == sorted(map(str, plain[a.name].table.collect()))
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 def test_kept_by_state_and_without_games_in_the_plan(spark):
     from __spark_entry__ import Models, queries
