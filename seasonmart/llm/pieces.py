@@ -53,20 +53,32 @@ class KnownPieces:
         self.old: dict[str, bytes] = {}
         self.held = 0
 
-    def all_of(self, pieces: Iterable[str]) -> dict[str, bytes]:
-        """A table with all of these pieces; those not known are encoded together."""
+    def values_of(self, pieces: list[str]) -> list[bytes]:
+        """What each of these pieces is encoded as; those not known are encoded together, once."""
         if self.held > self.table_bytes:
             self.old, self.young, self.held = self.young, {}, 0
-        young, old = self.young, self.old
-        missing = set(pieces).difference(young)
-        again = missing.intersection(old)
-        new = list(missing.difference(again))
-        added = {piece: old[piece] for piece in again}
+        found = list(map(self.young.get, pieces))
+        missing = [i for i, value in enumerate(found) if value is None]
+        if not missing:
+            return found
+        names = list(dict.fromkeys([pieces[i] for i in missing]))
+        values = list(map(self.old.get, names))
+        new = [i for i, value in enumerate(values) if value is None]
         if new:
-            added.update(zip(new, self.encode_many(new)))
-        self.held += ENTRY_BYTES * len(added) + sum(map(len, added)) + sum(map(len, added.values()))
-        young.update(added)
-        return young
+            for i, value in zip(new, self.encode_many([names[i] for i in new])):
+                values[i] = value
+        self.held += ENTRY_BYTES * len(names) + sum(map(len, names)) + sum(map(len, values))
+        young = self.young
+        young.update(zip(names, values))
+        for i in missing:
+            found[i] = young[pieces[i]]
+        if max(map(len, names)) > KEPT_CHARS:
+            self.drop_long(names)
+        return found
+
+    def all_of(self, pieces: list[str]) -> dict[str, bytes]:
+        """A table with all of these pieces."""
+        return dict(zip(pieces, self.values_of(pieces)))
 
     def drop_long(self, pieces: Iterable[str]) -> None:
         """Forget pieces that are too long to be worth keeping."""
@@ -99,18 +111,16 @@ class BatchEncoder:
                 found[i] = self.slow(texts[i])
             plain = [i for i in part if i not in special] if special else list(part)
             cut = [spaced_pieces(texts[i]) for i in plain]
+            if not cut:
+                continue
             firsts = self.encode_many([pieces[0] for pieces in cut])
-            later = [pieces[1:] for pieces in cut]
-            ids = self.known.all_of(chain.from_iterable(later))
-            for i, first, pieces in zip(plain, firsts, later):
-                found[i] = first + b"".join([ids[piece] for piece in pieces])
-            self.known.drop_long(chain.from_iterable(later) if self._any_long(later) else ())
+            ids = self.known.values_of(list(chain.from_iterable([pieces[1:] for pieces in cut])))
+            at = 0
+            for i, first, pieces in zip(plain, firsts, cut):
+                found[i] = first + b"".join(ids[at : at + len(pieces) - 1])
+                at += len(pieces) - 1
         return found
 
-    @staticmethod
-    def _any_long(later: list[list[str]]) -> bool:
-        return any(pieces and max(map(len, pieces)) > KEPT_CHARS for pieces in later)
-
 
 def slices(values: pa.LargeBinaryArray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
     """The values of each span of places, joined: they lie one behind the other."""

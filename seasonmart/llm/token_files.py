@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +26,15 @@ SHARD_TOKENS = 1 << 20
 END_ID = 0
 #: Bytes of each of the two generations of known pieces: the library takes long over a new one.
 TABLE_BYTES = 72 << 20
+#: New pieces joined to one text for the library, and such texts handed to it at once.
+LINE_PIECES, LINES = 64, 256
 #: Bits per entry of the rank directory, bits of a plane compressed together, the file's first bytes.
 RANK_BITS, BLOCK_BITS, MAGIC = 4096, 1 << 18, b"WMX2"
 
 _ones = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 _head = struct.Struct("<4sQB")
+#: A single space and what does not begin or end with white space.
+_joins = re.compile(r" \S(?:.*\S)?", re.DOTALL).fullmatch
 _unpacker = zstandard.ZstdDecompressor()
 
 
@@ -116,7 +122,7 @@ class WaveletMatrix:
         compressor, rest = zstandard.ZstdCompressor(level=1), numbers
         directory, ends, packed = [], [], []
         for level in reversed(range(levels)):
-            bit = (rest >> level & 1).astype(bool)
+            bit = (rest & (1 << level)) != 0
             plane = np.zeros(stretches * RANK_BITS // 8, np.uint8)
             bits = np.packbits(bit)
             plane[: len(bits)] = bits
@@ -190,7 +196,12 @@ def _sizes(length: int) -> tuple[int, int]:
 
 
 class LibraryEncoder:
-    """Encodes texts with the tokenizers library; pieces met before are looked up, new ones go to it together."""
+    """Encodes texts with the tokenizers library; pieces met before are looked up, new ones go to it together.
+
+    New pieces are given to the library joined to lines, as it takes long over each text. A piece
+    begins with a space between other characters, so no token spans two of them, and the bytes of
+    the tokens tell whose they are.
+    """
 
     def __init__(self, definition: str):
         # Spark runs a task per core, so the library's own threads would only get in the way.
@@ -203,7 +214,38 @@ class LibraryEncoder:
         kind = (found["pre_tokenizer"] or {}).get("type")
         self.cut = found["normalizer"] is None and kind == "ByteLevel" and not found["pre_tokenizer"]["add_prefix_space"]
         self.special = [t["content"] for t in found["added_tokens"]]
-        self.spaced = BatchEncoder(self._library, lambda text: self._library([text])[0], self.special, TABLE_BYTES)
+        sizes = {i: len(token) for token, i in self.tokenizer.get_vocab().items()}
+        self.sizes = np.array([sizes.get(i, 0) for i in range(max(sizes, default=-1) + 1)], np.int64)
+        self.spaced = BatchEncoder(self._pieces, lambda text: self._library([text])[0], self.special, TABLE_BYTES)
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Packed ids of pieces; those that begin with a single space and end with none go to the library joined."""
+        found: list[bytes | None] = [None] * len(pieces)
+        apart = []
+        for part in (range(at, min(at + LINE_PIECES * LINES, len(pieces))) for at in range(0, len(pieces), LINE_PIECES * LINES)):
+            some = [i for i in part if _joins(pieces[i])]
+            packed = self._joined([pieces[i] for i in some])
+            for i, ids in zip(some, packed or ()):
+                found[i] = ids
+            apart += [i for i in part if found[i] is None]
+        for i, ids in zip(apart, self._library([pieces[i] for i in apart])):
+            found[i] = ids
+        return found
+
+    def _joined(self, pieces: list[str]) -> list[bytes] | None:
+        """Packed ids of pieces that were joined; None if tokens do not end where pieces end."""
+        lines = ["".join(pieces[at : at + LINE_PIECES]) for at in range(0, len(pieces), LINE_PIECES)]
+        if any(name in line for name in self.special for line in lines):
+            return None
+        encoded = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.array(list(chain.from_iterable(line.ids for line in encoded)), "<u4")
+        ends = np.concatenate([[0], np.cumsum(self.sizes[ids])])
+        stops = np.cumsum([len(piece.encode()) for piece in pieces], dtype=np.int64)
+        at = np.searchsorted(ends, stops)
+        if len(pieces) and (ends[-1] != stops[-1] or (ends[at] != stops).any()):
+            return None
+        packed, stops = ids.tobytes(), (4 * at).tolist()
+        return [packed[a:b] for a, b in zip([0, *stops], stops)]
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)

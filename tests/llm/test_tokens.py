@@ -192,3 +192,29 @@ def test_files_of_odd_rows(documents):
     assert [r.doc_id for r in found] == sorted((i for i, _ in ODD_ROWS), key=lambda i: (i is not None, i))
     assert [r.start for r in found] == [sum(x.n_tokens for x in found[:n]) for n in range(len(found))]
     assert token_index(documents([]), PATH).agg(F.count("*")).first()[0] == 0
+
+
+class Counted:
+    """The library, and how many texts it was given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_new_pieces_go_to_the_library_in_lines(monkeypatch):
+    encoder = LibraryEncoder(bpe.read_definition(PATH))
+    encoder.tokenizer = Counted(encoder.tokenizer)
+    odd = [chr(c) for c in range(0x3100) if chr(c).strip() == "" or c % 97 == 0] + ["<|", "endoftext|>", "x" * 300]
+    texts = ["a " + " ".join(f"new{i}{c}{i} {c}b b{c} {c}" for i, c in enumerate(odd)), "other " * 20 + "\n", ""]
+    expected = [library_ids(t) for t in texts]
+    assert [bpe.ids_of(p) for p in encoder.encode(texts)] == expected
+    assert encoder.tokenizer.texts < 60  # one per text and per LINE_PIECES new pieces, and a few that end in white space
+    assert [bpe.ids_of(p) for p in encoder.encode(texts)] == expected
+    # Where the ends of tokens do not tell pieces apart, each goes alone.
+    apart = LibraryEncoder(bpe.read_definition(PATH))
+    monkeypatch.setattr(apart, "sizes", np.zeros_like(apart.sizes))
+    assert [bpe.ids_of(p) for p in apart.encode(texts)] == expected
