@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -161,13 +162,20 @@ class _Places(dict):
         super().__init__()
         self.tokens, self.classes = tokens, bytearray()
 
-    def __missing__(self, word: str) -> int:
-        self[word] = place = len(self)
-        self.classes.append(self.tokens[word])
-        return place
-
-    def of(self, text: str) -> np.ndarray:
-        return np.array([self[word] for word in text.split()], np.int32)
+    def of(self, texts: list[str]) -> list[np.ndarray]:
+        """The places of each text's words."""
+        split = [text.split() for text in texts]
+        words = pa.array(list(chain.from_iterable(split)), pa.large_string()).dictionary_encode()
+        different = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        places = list(map(self.get, different))
+        missing = [i for i, place in enumerate(places) if place is None]
+        new = [different[i] for i in missing]
+        for i, place in zip(missing, range(len(self), len(self) + len(new))):
+            places[i] = place
+        self.update(zip(new, range(len(self), len(self) + len(new))))
+        self.classes += self.tokens.classes(new)
+        of_words = np.array(places, np.int32)[words.indices.to_numpy()]
+        return np.split(of_words, np.cumsum([len(found) for found in split])[:-1])
 
 
 CHUNK_ROWS = "chunk long, place int, word string, n_tokens long, log_prob double, places binary"
@@ -198,7 +206,7 @@ def _chunk_rows(words, values, weights):
             if not seen:
                 # The rows are staged, so that a chunk's number is drawn once.
                 chunk, kind = int.from_bytes(os.urandom(8), "big", signed=True), batch.column("doc_id").type
-            places = [known.of("" if t is None else t) for t in batch.column("text").to_pylist()]
+            places = known.of(["" if t is None else t for t in batch.column("text").to_pylist()])
             classes = np.frombuffer(bytes(known.classes), np.uint8)
             own = [classes[p] for p in places]
             scores = text_scores(model, [c.tobytes() for c in own]) - [weights.value[c].sum() for c in own]

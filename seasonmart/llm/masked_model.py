@@ -16,31 +16,43 @@ FREQUENT = CLASSES - RARE - 1
 PAD = CLASSES - 1
 #: Tokens of a training step, and of a scoring step.
 BATCH = 4096
-#: Words kept with their class; beyond that the table starts anew.
-CACHE_ENTRIES, CACHE_CHARS = 200_000, 48
-
+#: Tokens whose numbers of all classes are handled together: they stay in a CPU's cache.
+BLOCK = 512
+#: Logits up to this size, either way, go into exp as they are; results stay in the range of fast arithmetic.
+SAFE = 30.0
+#: Endings kept with their class.
+CACHE_ENTRIES = 100_000
+
+ONES = np.ones(CLASSES, np.float32)
 OFFSETS = [o for o in range(-RADIUS, RADIUS + 1) if o]
 
 
-class Tokens(dict):
+class Endings(dict):
+    """The class that words outside the vocabulary share, by their last two letters."""
+
+    def __missing__(self, ending: str) -> int:
+        found = FREQUENT + crc32(ending.encode()) % RARE
+        if len(self) < CACHE_ENTRIES:
+            self[ending] = found
+        return found
+
+
+class Tokens:
     """The class of each word: its own if it is in the vocabulary, else one by its ending."""
 
     def __init__(self, vocabulary: list[str]):
-        super().__init__()
         self.own = {word: i for i, word in enumerate(vocabulary[:FREQUENT])}
+        self.endings = Endings()
 
-    def __missing__(self, word: str) -> int:
-        found = self.own.get(word)
-        if found is None:
-            found = FREQUENT + crc32(word[-2:].encode()) % RARE
-        if len(word) <= CACHE_CHARS:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[word] = found
-        return found
+    def __getitem__(self, word: str) -> int:
+        return self.classes([word])[0]
+
+    def classes(self, words: list[str]) -> bytes:
+        own, endings = self.own, self.endings
+        return bytes([own[word] if word in own else endings[word[-2:]] for word in words])
 
     def of(self, text: str) -> bytes:
-        return bytes([self[word] for word in text.split()])
+        return self.classes(text.split())
 
 
 @dataclass(eq=False)
@@ -74,18 +86,43 @@ class MaskedModel:
         )
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
-        state = self.inputs[0][context[:, 0]]
+        state = self.inputs[0].take(context[:, 0], axis=0)
         for i in range(1, len(OFFSETS)):
-            state += self.inputs[i][context[:, i]]
+            state += self.inputs[i].take(context[:, i], axis=0)
         return np.tanh(state, out=state)
 
     def log_probabilities(self, target: np.ndarray, context: np.ndarray) -> np.ndarray:
         """Of each target given its context; the target itself is not seen."""
-        logits = self.hidden(context) @ self.outputs
-        logits += self.bias
-        logits -= logits.max(axis=1, keepdims=True)
-        own = logits[np.arange(len(target)), target].astype(np.float64)
-        return own - np.log(np.exp(logits, out=logits).sum(axis=1, dtype=np.float64))
+        found, weights, safe = np.empty(len(target)), self.with_bias(), self.is_safe()
+        for at in range(0, len(target), BLOCK):
+            own = target[at : at + BLOCK]
+            logits = with_one(self.hidden(context[at : at + BLOCK])) @ weights
+            chosen = logits[np.arange(len(own)), own].astype(np.float64)
+            if not safe:
+                chosen -= shift(logits)
+            found[at : at + BLOCK] = chosen - np.log(np.exp(logits, out=logits) @ ONES, dtype=np.float64)
+        return found
+
+    def with_bias(self) -> np.ndarray:
+        """``outputs`` with the bias below, for states from ``with_one``."""
+        return np.concatenate([self.outputs, self.bias[None]])
+
+    def is_safe(self) -> bool:
+        """Whether no logit can be too large for exp, nor its exp too small: a state's numbers are between -1 and 1."""
+        return bool(np.abs(self.with_bias()).sum(axis=0).max() < SAFE)
+
+
+def shift(logits: np.ndarray) -> np.ndarray:
+    """Take each row's maximum off, in place; what was taken off."""
+    most = logits.max(axis=1, keepdims=True)
+    logits -= most
+    np.maximum(logits, -SAFE, out=logits)
+    return most[:, 0]
+
+
+def with_one(hidden: np.ndarray) -> np.ndarray:
+    """States with a column of ones, which takes the bias."""
+    return np.concatenate([hidden, np.ones((len(hidden), 1), np.float32)], axis=1)
 
 
 class Trainer:
@@ -97,27 +134,42 @@ class Trainer:
         self.squares = [np.full_like(x, 1e-6) for x in (model.inputs, model.outputs, model.bias)]
 
     def step(self, target: np.ndarray, context: np.ndarray) -> None:
-        m, n = self.model, len(target)
-        hidden = m.hidden(context)
-        slope = hidden @ m.outputs
-        slope += m.bias
-        slope -= slope.max(axis=1, keepdims=True)
-        np.maximum(slope, -30, out=slope)  # below, products get too small for fast arithmetic
-        np.exp(slope, out=slope)
-        slope *= 1 / (n * slope.sum(axis=1, keepdims=True))
-        slope[np.arange(n), target] -= np.float32(1 / n)
-        back = (slope @ m.outputs.T) * (1 - hidden * hidden)
-        place, weights = np.arange(HIDDEN), back.ravel()
-        by_input = np.stack([
-            np.bincount((context[:, i, None].astype(np.int64) * HIDDEN + place).ravel(), weights, CLASSES * HIDDEN)
-            for i in range(len(OFFSETS))
-        ]).reshape(m.inputs.shape).astype(np.float32)
-        slopes = (by_input, hidden.T @ slope, slope.sum(axis=0))
+        """One step on all of these tokens; slopes are added up over blocks that fit into a CPU's cache."""
+        m, n, weights, safe = self.model, len(target), self.model.with_bias(), self.model.is_safe()
+        back, by_output = np.empty((n, HIDDEN), np.float32), np.zeros((HIDDEN + 1, CLASSES), np.float32)
+        outputs = np.ascontiguousarray(m.outputs.T)
+        for at in range(0, n, BLOCK):
+            part = slice(at, at + BLOCK)
+            own, hidden = target[part], m.hidden(context[part])
+            state = with_one(hidden)
+            each = state @ weights
+            if not safe:
+                shift(each)
+            np.exp(each, out=each)
+            # The softmax and its slopes without another pass: each row's sum divides what is small.
+            sums = each @ ONES
+            back[part] = ((each @ outputs) / sums[:, None] - outputs[own]) * (1 - hidden * hidden) / n
+            each[np.arange(len(own)), own] -= sums
+            state /= (sums * n)[:, None]
+            by_output += state.T @ each
+        by_input = np.stack([sums_by_class(context[:, i], back) for i in range(len(OFFSETS))])
+        slopes = (by_input, by_output[:HIDDEN], by_output[HIDDEN])
         for value, square, change in zip((m.inputs, m.outputs, m.bias), self.squares, slopes):
             square += change * change
             value -= self.rate * change / np.sqrt(square)
 
 
+def sums_by_class(classes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The sum of the rows of each class."""
+    found = np.zeros((CLASSES, rows.shape[1]), np.float32)
+    if len(classes):
+        order = np.argsort(classes, kind="stable")
+        sizes = np.bincount(classes, minlength=CLASSES)
+        there = np.flatnonzero(sizes)
+        found[there] = np.add.reduceat(rows.take(order, axis=0), (np.cumsum(sizes) - sizes)[there], axis=0)
+    return found
+
+
 def examples(token_texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Targets and contexts of all tokens of some texts; padding keeps texts apart."""
     gap = bytes([PAD]) * RADIUS

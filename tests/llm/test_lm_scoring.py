@@ -3,7 +3,7 @@ from collections import Counter
 
 import numpy as np
 
-from seasonmart.llm import lm_scoring
+from seasonmart.llm import lm_scoring, masked_model
 from seasonmart.llm.lm_scoring import fit_model, lm_scores, token_scores, vocabulary, with_log_probability, word_counts
 from seasonmart.llm.masked_model import (
     CLASSES,
@@ -121,3 +121,30 @@ def test_rare_words_with_the_same_ending_differ(documents):
     rows = [(i, common * 70 + "planetka") for i in range(60)] + [(60, common * 70 + "qxqxka")]
     found = {r.doc_id: r.log_prob for r in lm_scores(documents(rows)).collect()}
     assert abs(found[0] - found[60] - math.log(60)) < 0.1
+
+
+def test_a_step_keeps_its_numbers_in_the_cache(monkeypatch):
+    # The numbers of all classes of a step's 4,096 tokens are 4 MB; a block's are an eighth.
+    rng = np.random.default_rng(4)
+    target, context = examples([bytes(rng.integers(0, PAD, 4_000).astype(np.uint8))])
+    trained, taken = [], []
+    real = np.exp
+    monkeypatch.setattr(np, "exp", lambda x, *a, **k: (taken.append(x.size), real(x, *a, **k))[1])
+    for block in (masked_model.BLOCK, 4_000):
+        monkeypatch.setattr(masked_model, "BLOCK", block)
+        trainer = Trainer(MaskedModel.start(5))
+        trainer.step(target, context)
+        trainer.model.log_probabilities(target, context)
+        trained.append(trainer.model.flat())
+        assert max(taken) == block * CLASSES
+    assert np.allclose(trained[0], trained[1], rtol=1e-4, atol=1e-5)
+
+
+def test_large_logits_neither_overflow_nor_lose_a_token():
+    model = MaskedModel.start(6)
+    model = MaskedModel(model.inputs, model.outputs * 200, model.bias + np.linspace(-60, 60, CLASSES, dtype=np.float32))
+    tokens = bytes(range(0, 250, 5))
+    assert np.isclose(text_scores(model, [tokens])[0], plain_score(model, tokens), rtol=1e-4)
+    trainer = Trainer(model)
+    trainer.step(*examples([tokens]))
+    assert np.isfinite(trainer.model.flat()).all()
