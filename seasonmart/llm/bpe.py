@@ -62,30 +62,36 @@ class Vocabulary:
         byte_of = {c: b for b, c in enumerate(byte_characters())}
         id_of = model["vocab"]
         self.special = {t["content"]: t["id"] for t in found["added_tokens"]}
-        self.bytes_of = {
+        bytes_of = {
             i: bytes(byte_of[c] for c in token) for token, i in id_of.items() if token not in self.special
         } | {i: content.encode() for content, i in self.special.items()}
+        self._table = pa.array([bytes_of.get(i, b"") for i in range(max(bytes_of) + 1)], pa.large_binary())
         self.byte_ids = [id_of[c] for c in byte_characters()]
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         pairs = np.array([id_of[a] << 32 | id_of[b] for a, b in merges], np.int64)
         # By rank what a merge gives, and by pair its rank: sorted for many look-ups, a table for single ones.
-        self._merged_at = np.array([id_of[a + b] for a, b in merges], np.int64)
+        self._merged_at = np.array([id_of[a + b] for a, b in merges], np.int32)
         order = np.argsort(pairs, kind="stable")
-        self._pairs, self._pair_ranks = np.append(pairs[order], np.int64(1) << 62), np.append(order, NEVER)
-        self.ranks: dict[int, int] = {pair: rank for rank, pair in enumerate(pairs.tolist())}
+        self._pairs = np.append(pairs[order], np.int64(1) << 62)
+        self._pair_ranks = np.append(order, NEVER).astype(np.int32)
         names = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.special_pattern = re.compile("(" + "|".join(names) + ")") if names else None
         self.pattern = regex.compile(PATTERN)
         self.spaced = BatchEncoder(self.pieces, self._with_special, self.special)
-        self._byte_ids = np.array(self.byte_ids, np.int64)
+        self._byte_ids = np.array(self.byte_ids, np.int32)
         # Ranks of all pairs of single bytes, where each word begins.
         self._byte_ranks = self._ranks(np.repeat(self._byte_ids, 256), np.tile(self._byte_ids, 256))
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The ranks of many pairs; NEVER where two parts do not merge."""
-        pairs = left << 32 | right
+        pairs = left.astype(np.int64) << 32 | right
         at = np.searchsorted(self._pairs, pairs)
-        return np.where(self._pairs[at] == pairs, self._pair_ranks[at], NEVER)
+        return np.where(self._pairs[at] == pairs, self._pair_ranks[at], np.int32(NEVER))
+
+    @cached_property
+    def ranks(self) -> dict[int, int]:
+        """The rank of a pair, for single look-ups: made when the first long word is met."""
+        return dict(zip(self._pairs[:-1].tolist(), self._pair_ranks[:-1].tolist()))
 
     def word_ids(self, words: list[bytes]) -> list[bytes]:
         """Packed token ids of words: the adjacent parts of lowest rank are joined, leftmost first."""
@@ -113,9 +119,9 @@ class Vocabulary:
         data = np.zeros((len(words), width), np.uint8)
         data[places < sizes[:, None]] = np.frombuffer(b"".join(words), np.uint8)
         ids = self._byte_ids[data]
-        ranks = np.full((len(words), width), NEVER)
-        pairs = (data[:, :-1].astype(np.int64) << 8) + data[:, 1:]
-        ranks[:, :-1] = np.where(places[1:] < sizes[:, None], self._byte_ranks[pairs], NEVER)
+        ranks = np.full((len(words), width), NEVER, np.int32)
+        pairs = (data[:, :-1].astype(np.int32) << 8) + data[:, 1:]
+        ranks[:, :-1] = np.where(places[1:] < sizes[:, None], self._byte_ranks[pairs], np.int32(NEVER))
         done, left = np.zeros_like(ids), sizes.copy()
         rows = np.arange(len(words))
         while True:
@@ -162,7 +168,7 @@ class Vocabulary:
             right = after[left]
             if ids[left] != a or right >= end or ids[right] != b:
                 continue
-            ids[left], ids[right] = merged[rank], -1
+            ids[left], ids[right] = int(merged[rank]), -1
             after[left] = after[right]
             if after[left] < end:
                 before[after[left]] = left
@@ -197,10 +203,6 @@ class Vocabulary:
         """Each text's token ids, packed; the names of special tokens become their ids."""
         return self.spaced.encode(texts)
 
-    @cached_property
-    def _table(self) -> pa.LargeBinaryArray:
-        return pa.array([self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)], pa.large_binary())
-
     def decode(self, packed: list[bytes]) -> list[str]:
         """The texts of packed ids; bytes that are no UTF-8 become U+FFFD."""
         found: list[str] = []
@@ -239,9 +241,12 @@ def _add(df: DataFrame, definition: str, steps) -> DataFrame:
         found = vocabulary(shared.value)
         for name, kind, source, method in steps:
             batches = _mapped(batches, source, getattr(found, method), name, arrow[kind])
-        return batches
+        try:
+            yield from batches
+        finally:
+            found.spaced.known.forget()
 
-    return df.mapInArrow(frugal(run), with_columns(df, {name: kind for name, kind, _, _ in steps}))
+    return df.mapInArrow(frugal(run, keep=True), with_columns(df, {name: kind for name, kind, _, _ in steps}))
 
 
 def read_definition(path: str) -> str:

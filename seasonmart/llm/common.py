@@ -18,6 +18,8 @@ from pyspark.sql.types import DataType, StructField, StructType
 from seasonmart.sources.sinks import Scratch
 
 BATCH_BYTES = 4 << 20
+#: Bytes of batches after which a task gives back what it has freed; small pieces scatter over the heap meanwhile.
+GIVE_BACK_BYTES = 4 * BATCH_BYTES
 
 T = TypeVar("T")
 
@@ -43,13 +45,28 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """A function on Arrow batches that gives memory back at the end of its task."""
+def frugal(run: Callable[[Iterator], Iterator], keep: bool = False) -> Callable[[Iterator], Iterator]:
+    """A function on Arrow batches that gives memory back as it goes on and at the end of its task.
+
+    What is ``held`` goes too, unless ``keep``: workers that are idle in later stages have no use for it.
+    """
+
+    def sparing(batches: Iterator) -> Iterator:
+        seen = 0
+        for batch in batches:
+            seen += batch.nbytes
+            yield batch
+            if seen >= GIVE_BACK_BYTES:
+                del batch
+                give_back()
+                seen = 0
 
     def mapped(batches: Iterator) -> Iterator:
         try:
-            yield from run(batches)
+            yield from run(sparing(batches))
         finally:
+            if not keep:
+                let_go()
             give_back()
 
     return mapped
@@ -58,8 +75,13 @@ def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator
 _held: tuple[object, object] = (None, None)
 
 
+def let_go() -> None:
+    global _held
+    _held = (None, None)
+
+
 def held(key: object, make: Callable[[], T]) -> T:
-    """What ``make`` gives, kept in this worker until another key is asked for.
+    """What ``make`` gives, kept in this worker until another key is asked for or it is let go.
 
     Workers live on from task to task and from operator to operator. Tables of known words are
     worth keeping as long as one operator runs, but there must not be one for each.

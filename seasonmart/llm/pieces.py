@@ -80,6 +80,10 @@ class KnownPieces:
         """A table with all of these pieces."""
         return dict(zip(pieces, self.values_of(pieces)))
 
+    def forget(self) -> None:
+        """Give up both generations: an idle worker has no use for them."""
+        self.young, self.old, self.held = {}, {}, 0
+
     def drop_long(self, pieces: Iterable[str]) -> None:
         """Forget pieces that are too long to be worth keeping."""
         for piece in pieces:

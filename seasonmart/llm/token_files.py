@@ -318,7 +318,7 @@ def write_tokens(
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     by = ["doc_id", F.xxhash64("text")]
     ordered = texts.repartitionByRange(*by).sortWithinPartitions(*by, "text")
-    ordered.mapInArrow(frugal(_write_shards(definition, shard_tokens)), SHARDS).write.parquet(folder)
+    ordered.mapInArrow(frugal(_write_shards(definition, shard_tokens), keep=True), SHARDS).write.parquet(folder)
 
 
 def _read_shards(batches):

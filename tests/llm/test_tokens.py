@@ -6,13 +6,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from seasonmart.llm import bpe, pieces, token_files
+from seasonmart.llm import bpe, common, pieces, token_files
 from seasonmart.llm.token_files import LibraryEncoder, WaveletMatrix, read_tokens, token_index, write_tokens
 from tests.llm.conftest import ODD_ROWS
 
@@ -218,3 +219,26 @@ def test_new_pieces_go_to_the_library_in_lines(monkeypatch):
     apart = LibraryEncoder(bpe.read_definition(PATH))
     monkeypatch.setattr(apart, "sizes", np.zeros_like(apart.sizes))
     assert [bpe.ids_of(p) for p in apart.encode(texts)] == expected
+
+
+def test_a_task_leaves_no_known_pieces_and_no_held_tables():
+    held_before = common._held
+    try:
+        vocabulary = common.held("a vocabulary", lambda: bpe.Vocabulary(bpe.read_definition(PATH)))
+        batch = pa.RecordBatch.from_pydict({"text": ["some new words " * 3]})
+        seen = []
+
+        def run(batches, known=vocabulary.spaced.known):
+            try:
+                for b in batches:
+                    seen.append(vocabulary.encode(b.column("text").to_pylist()))
+                    yield b
+            finally:
+                known.forget()
+
+        assert len(list(common.frugal(run, keep=True)(iter([batch] * 3)))) == 3
+        assert seen and not vocabulary.spaced.known.young and common._held[1] is vocabulary
+        assert len(list(common.frugal(run)(iter([batch])))) == 1
+        assert common._held == (None, None)
+    finally:
+        common._held = held_before
