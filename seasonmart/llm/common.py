@@ -45,6 +45,18 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+@contextlib.contextmanager
+def uncollected() -> Iterator[None]:
+    """Work on many small objects without cycles: the collector would go through them again and again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def frugal(run: Callable[[Iterator], Iterator], keep: bool = False) -> Callable[[Iterator], Iterator]:
     """A function on Arrow batches that gives memory back as it goes on and at the end of its task.
 

@@ -18,6 +18,8 @@ ENTRY_BYTES = 170
 
 _two_spaces = re.compile(r"\s\s")
 _between_words = re.compile(r"(?<=\S) (?=\S)")
+#: White space besides the space itself; all of it lies below this bound.
+_others = [chr(c) for c in range(0x3001) if c != 32 and chr(c).isspace()]
 
 
 def spaced_pieces(text: str) -> list[str]:
@@ -28,6 +30,11 @@ def spaced_pieces(text: str) -> list[str]:
     return _between_words.split(text) if _two_spaces.search(text) else text.split(" ")
 
 
+def spaces_touch(text: str) -> bool:
+    """Whether a space lies beside other white space, so that the text may not be cut at every space."""
+    return "  " in text or any(c in text and (f" {c}" in text or f"{c} " in text) for c in _others)
+
+
 def groups(sizes: list[int], most: int) -> Iterator[range]:
     """Neighbours that are not larger than ``most`` together, or alone."""
     start, held = 0, 0
@@ -53,15 +60,20 @@ class KnownPieces:
         self.old: dict[str, bytes] = {}
         self.held = 0
 
-    def values_of(self, pieces: list[str]) -> list[bytes]:
-        """What each of these pieces is encoded as; those not known are encoded together, once."""
+    def values_of(self, pieces: list[str], different: bool = False) -> list[bytes]:
+        """What each of these pieces is encoded as; those not known are encoded together, once.
+
+        ``different`` tells that no piece is there twice.
+        """
         if self.held > self.table_bytes:
             self.old, self.young, self.held = self.young, {}, 0
         found = list(map(self.young.get, pieces))
         missing = [i for i, value in enumerate(found) if value is None]
         if not missing:
             return found
-        names = list(dict.fromkeys([pieces[i] for i in missing]))
+        names = [pieces[i] for i in missing]
+        if not different:
+            names = list(dict.fromkeys(names))
         values = list(map(self.old.get, names))
         new = [i for i, value in enumerate(values) if value is None]
         if new:
@@ -70,8 +82,8 @@ class KnownPieces:
         self.held += ENTRY_BYTES * len(names) + sum(map(len, names)) + sum(map(len, values))
         young = self.young
         young.update(zip(names, values))
-        for i in missing:
-            found[i] = young[pieces[i]]
+        for i, value in zip(missing, values if different else [young[pieces[i]] for i in missing]):
+            found[i] = value
         if max(map(len, names)) > KEPT_CHARS:
             self.drop_long(names)
         return found
@@ -126,6 +138,11 @@ class BatchEncoder:
         return found
 
 
+def strings(values: pa.Array) -> list[str]:
+    """A column's strings; ``to_pylist`` takes several times as long."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 def slices(values: pa.LargeBinaryArray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
     """The values of each span of places, joined: they lie one behind the other."""
     _, offsets, data = values.buffers()

@@ -10,6 +10,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from seasonmart.llm.bpe import packed_ids, read_definition
-from seasonmart.llm.common import bound_batches, frugal, held, text_or_empty
-from seasonmart.llm.pieces import BatchEncoder
+from seasonmart.llm.common import bound_batches, frugal, held, text_or_empty, uncollected
+from seasonmart.llm.pieces import KnownPieces, groups, slices, spaced_pieces, spaces_touch, strings
 from seasonmart.sources.sinks import Scratch, stage
 
 #: Tokens after which a shard is closed; a document is never divided.
@@ -28,6 +29,8 @@ END_ID = 0
 TABLE_BYTES = 72 << 20
 #: New pieces joined to one text for the library, and such texts handed to it at once.
 LINE_PIECES, LINES = 64, 256
+#: Characters of the texts that are cut and looked up together; a longer text is handled alone.
+CHARS_AT_ONCE = 1 << 22
 #: Bits per entry of the rank directory, bits of a plane compressed together, the file's first bytes.
 RANK_BITS, BLOCK_BITS, MAGIC = 4096, 1 << 18, b"WMX2"
 
@@ -35,6 +38,10 @@ _ones = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 _head = struct.Struct("<4sQB")
 #: A single space and what does not begin or end with white space.
 _joins = re.compile(r" \S(?:.*\S)?", re.DOTALL).fullmatch
+#: Words of Latin letters with ASCII marks behind, on one or more lines: what a byte-level pattern cuts them into is plain.
+_LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-/:-@\[-`{-~"
+_plain = re.compile(f"( ?[{_LETTERS}]+)([{_MARKS}]*)((?:\n[{_LETTERS}]+[{_MARKS}]*)*)").fullmatch
+_words = re.compile(f"[{_LETTERS}]+|[{_MARKS}]+|\n").findall
 _unpacker = zstandard.ZstdDecompressor()
 
 
@@ -180,12 +187,13 @@ class WaveletMatrix:
         """The whole sequence, put together from the last plane up."""
         found = np.zeros(self.length, np.uint32 if len(self.planes) > 16 else np.uint16)
         for shift, plane in enumerate(reversed(self.planes)):
-            bit = np.unpackbits(plane.whole(), count=self.length).astype(bool)
-            above = np.empty_like(found)
-            zeros = self.length - int(np.count_nonzero(bit))
+            bit = np.unpackbits(plane.whole(), count=self.length).view(bool)
+            above, ones = np.empty_like(found), np.flatnonzero(bit)
+            zeros = self.length - len(ones)
+            found[zeros:] |= found.dtype.type(1 << shift)
+            above[ones] = found[zeros:]
             above[np.flatnonzero(~bit)] = found[:zeros]
-            above[np.flatnonzero(bit)] = found[zeros:]
-            found = above | bit.astype(found.dtype) << shift
+            found = above
         return found
 
 
@@ -195,10 +203,23 @@ def _sizes(length: int) -> tuple[int, int]:
     return stretches, -(-stretches * RANK_BITS // BLOCK_BITS)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself, or one from 256 up."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [byte for byte in range(256) if byte not in own]
+    return {**{byte: chr(byte) for byte in own}, **{byte: chr(256 + i) for i, byte in enumerate(others)}}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
 class LibraryEncoder:
     """Encodes texts with the tokenizers library; pieces met before are looked up, new ones go to it together.
 
-    New pieces are given to the library joined to lines, as it takes long over each text. A piece
+    Texts are cut at single spaces and their different pieces numbered as Arrow columns, so that
+    Python handles a piece once in a group of texts. Words with marks behind go to the library's
+    model, which takes what its pattern would cut, each different one once. Other new pieces are
+    given to the library joined to lines, as it takes long over each text. A piece
     begins with a space between other characters, so no token spans two of them, and the bytes of
     the tokens tell whose they are.
     """
@@ -209,16 +230,55 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         found = json.loads(definition)
         # Only byte-level files without a normalizer may be cut before single spaces.
-        kind = (found["pre_tokenizer"] or {}).get("type")
-        self.cut = found["normalizer"] is None and kind == "ByteLevel" and not found["pre_tokenizer"]["add_prefix_space"]
+        rule = found["pre_tokenizer"] or {}
+        self.cut = found["normalizer"] is None and rule.get("type") == "ByteLevel" and not rule["add_prefix_space"]
+        self.by_words = self.cut and rule.get("use_regex", True)
         self.special = [t["content"] for t in found["added_tokens"]]
+        self.has_special = re.compile("|".join(map(re.escape, self.special))).search if self.special else None
         sizes = {i: len(token) for token, i in self.tokenizer.get_vocab().items()}
         self.sizes = np.array([sizes.get(i, 0) for i in range(max(sizes, default=-1) + 1)], np.int64)
-        self.spaced = BatchEncoder(self._pieces, lambda text: self._library([text])[0], self.special, TABLE_BYTES)
+        self.known = KnownPieces(lambda pieces: self._pieces([" " + piece for piece in pieces]), TABLE_BYTES)
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Packed ids of pieces: plain words by the model, others that may be joined in lines, the rest alone."""
+        cut = [found.groups() if found else None for found in map(_plain, pieces)] if self.by_words else [None] * len(pieces)
+        names = {""}
+        for word, marks, lines in filter(None, cut):
+            names.add(word)
+            names.add(marks)
+            if lines:
+                names.update(_words(lines))
+        ids_of = self._model(list(names))
+        found, others = [], []
+        for i, words in enumerate(cut):
+            if words is None:
+                others.append(i)
+                found.append(None)
+            elif words[2]:
+                found.append(b"".join([ids_of[word] for word in (*words[:2], *_words(words[2]))]))
+            else:
+                found.append(ids_of[words[0]] + ids_of[words[1]])
+        for i, ids in zip(others, self._lines([pieces[i] for i in others])):
+            found[i] = ids
+        return found
+
+    def _model(self, words: list[str]) -> dict[str, bytes]:
+        """Packed ids of what the library's pattern would not cut further."""
+        tokenize, found, stops, space = self.model.tokenize, [], [0], BYTE_LETTERS[32]
+        for word in words:
+            if word.isascii() and word != "\n":
+                letters = word.replace(" ", space)
+            else:
+                letters = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+            found += [token.id for token in tokenize(letters)]
+            stops.append(4 * len(found))
+        packed = packed_ids(found)
+        return {word: packed[a:b] for word, a, b in zip(words, stops, stops[1:])}
+
+    def _lines(self, pieces: list[str]) -> list[bytes]:
         """Packed ids of pieces; those that begin with a single space and end with none go to the library joined."""
         found: list[bytes | None] = [None] * len(pieces)
         apart = []
@@ -253,7 +313,40 @@ class LibraryEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids, packed as little-endian unsigned 32-bit integers."""
-        return self.spaced.encode(texts) if self.cut else self._library(texts)
+        with uncollected():
+            return self._cut(texts) if self.cut else self._library(texts)
+
+    def _cut(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of texts of a byte-level file."""
+        found: list[bytes | None] = [None] * len(texts)
+        for part in groups([len(text) for text in texts], CHARS_AT_ONCE):
+            apart = [i for i in part if self.has_special and self.has_special(texts[i])]
+            for i, ids in zip(apart, self._library([texts[i] for i in apart])):
+                found[i] = ids
+            plain = [i for i in part if found[i] is None]
+            for i, ids in zip(plain, self._spaced([texts[i] for i in plain])):
+                found[i] = ids
+        return found
+
+    def _spaced(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of texts without special names, each different piece behind a space looked up once."""
+        if not texts:
+            return []
+        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        wide = [i for i, text in enumerate(texts) if spaces_touch(text)]
+        if wide:  # Spaces beside others stay in their piece.
+            lists, rest = [spaced_pieces(texts[i]) for i in wide], np.setdiff1d(np.arange(len(texts)), wide)
+            order = np.argsort(np.concatenate([rest, wide]), kind="stable")
+            cut = pa.concat_arrays([cut.take(pa.array(rest)), pa.array(lists, cut.type)]).take(pa.array(order))
+        sizes, pieces = pc.list_value_length(cut).to_numpy(), cut.flatten()
+        ends = np.cumsum(sizes)
+        behind = np.ones(len(pieces), bool)
+        behind[ends - sizes] = False
+        firsts = self._pieces(strings(pieces.take(pa.array(ends - sizes))))
+        numbered = pieces.filter(pa.array(behind)).dictionary_encode()
+        ids = pa.array(self.known.values_of(strings(numbered.dictionary), different=True), pa.large_binary()).take(numbered.indices)
+        ends -= np.arange(1, len(texts) + 1)
+        return [a + b for a, b in zip(firsts, slices(ids, ends - sizes + 1, ends))]
 
 
 def _encoder(definition: str) -> LibraryEncoder:

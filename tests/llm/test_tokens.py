@@ -221,6 +221,42 @@ def test_new_pieces_go_to_the_library_in_lines(monkeypatch):
     assert [bpe.ids_of(p) for p in apart.encode(texts)] == expected
 
 
+class Asked:
+    """A model that writes down what it is asked."""
+
+    def __init__(self, model):
+        self.model, self.words = model, []
+
+    def tokenize(self, word):
+        self.words.append(word)
+        return self.model.tokenize(word)
+
+
+def test_different_pieces_are_looked_up_and_different_words_encoded_once(monkeypatch):
+    encoder = LibraryEncoder(bpe.read_definition(PATH))
+    encoder.model = Asked(encoder.model)
+    looked_up, values_of = [], encoder.known.values_of
+    monkeypatch.setattr(encoder.known, "values_of", lambda names, **how: looked_up.append(len(names)) or values_of(names, **how))
+    texts = [f"Straße zulimi zulimi. zulimi!! größer,\nzulimi zulimi's don't {i % 7}" for i in range(500)]
+    assert [bpe.ids_of(p) for p in encoder.encode(texts)] == [library_ids(t) for t in texts]
+    assert sum(looked_up) == 13  # of 4000 behind a space
+    assert len(encoder.model.words) == len(set(encoder.model.words)) + 1 == 10  # the empty one again for first pieces
+
+
+@pytest.mark.parametrize("space", [chr(c) for c in range(0x3001) if chr(c).isspace()])
+def test_spaces_beside_others_are_not_cut(space):
+    texts = [f"one{a}two.{b}\nthree" for a in (f" {space}", f"{space} ", space * 2, space) for b in (" ", "", space)]
+    texts += [f"{space}a", f"a{space}", f" {space} ", "plain words"]
+    assert [bpe.ids_of(p) for p in PIECEWISE.encode(texts)] == [library_ids(t) for t in texts]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["ab", "É", "ɏ", "×", "ª", "'", "'s", "'ll", ".", "!!", "$", "\n", " ", " ", "1", "日", "_"]), max_size=16).map("".join))
+def test_words_with_marks_equal_the_library(text):
+    assert bpe.ids_of(PIECEWISE.encode([text])[0]) == library_ids(text)
+    assert bpe.ids_of(PIECEWISE.encode([f"x {text}"])[0]) == library_ids(f"x {text}")
+
+
 def test_a_task_leaves_no_known_pieces_and_no_held_tables():
     held_before = common._held
     try:
