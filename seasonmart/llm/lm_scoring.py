@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +13,7 @@ from pyspark.sql import functions as F
 
 from seasonmart.llm.common import bound_batches, fresh, held, text_or_empty, with_columns
 from seasonmart.llm.masked_model import CLASSES, FREQUENT, RARE, MaskedModel, Tokens, text_scores, train
+from seasonmart.llm.pieces import strings
 from seasonmart.sources.sinks import stage
 
 #: Rounds of training. Each learns from its share of the documents, then models are averaged.
@@ -25,21 +24,36 @@ COUNTED, SLICE = 300_000, 2048
 CHUNK_WORDS, CHUNK_TOKENS = 200_000, 2_000_000
 
 
-def _count_words(batches):
-    counts: Counter[str] = Counter()
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, as ``str.split`` finds them, and how many each text has; null counts as empty."""
+    cut = pc.utf8_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+    words, sizes = cut.flatten(), pc.list_value_length(cut).to_numpy()
+    blank = pc.equal(words, "").to_numpy(zero_copy_only=False)  # white space at a text's ends
+    if blank.any():
+        sizes = sizes - np.bincount(np.repeat(np.arange(len(sizes)), sizes)[blank], minlength=len(sizes))
+        words = words.filter(pa.array(~blank))
+    return words, sizes
+
 
-    def handed_on():
-        columns = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
-        found = pa.RecordBatch.from_arrays(columns, ["word", "n"])
-        counts.clear()
-        return found
+def _add_up(counts: list[pa.Table]) -> pa.Table:
+    found = pa.concat_tables(counts).group_by("word", use_threads=False).aggregate([("n", "sum")])
+    return found.select(["word", "n_sum"]).rename_columns(["word", "n"])
 
+
+def _count_words(batches):
+    counts, different = [], 0
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            counts.update(text.split())
-        if len(counts) > COUNTED:
-            yield handed_on()
-    yield handed_on()
+        found = split_words(batch.column(0))[0].value_counts()
+        counts.append(pa.table({"word": found.field("values").cast(pa.string()), "n": found.field("counts")}))
+        different += len(found)
+        if different > 2 * COUNTED:
+            counts = [_add_up(counts)]
+            different = counts[0].num_rows
+        if different > COUNTED and len(counts) == 1:
+            yield from counts[0].to_batches()
+            counts, different = [], 0
+    if counts:
+        yield from _add_up(counts).to_batches()
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -76,7 +90,11 @@ def _tokens(words: tuple[str, ...]) -> Tokens:
 def _groups(batches, tokens: Tokens):
     for batch in batches:
         if batch.num_rows:
-            yield [tokens.of(text) for text in batch.column(0).to_pylist()]
+            words, sizes = split_words(batch.column(0))
+            different = words.dictionary_encode()
+            classes = np.frombuffer(tokens.classes(strings(different.dictionary)), np.uint8)
+            line, ends = classes[different.indices.to_numpy()].tobytes(), np.cumsum(sizes).tolist()
+            yield [line[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def _model_rows(tokens: int, numbers: np.ndarray, slices: list[int]) -> pa.RecordBatch:
@@ -162,11 +180,11 @@ class _Places(dict):
         super().__init__()
         self.tokens, self.classes = tokens, bytearray()
 
-    def of(self, texts: list[str]) -> list[np.ndarray]:
+    def of(self, texts: pa.Array) -> list[np.ndarray]:
         """The places of each text's words."""
-        split = [text.split() for text in texts]
-        words = pa.array(list(chain.from_iterable(split)), pa.large_string()).dictionary_encode()
-        different = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        words, sizes = split_words(texts)
+        words = words.dictionary_encode()
+        different = strings(words.dictionary)
         places = list(map(self.get, different))
         missing = [i for i, place in enumerate(places) if place is None]
         new = [different[i] for i in missing]
@@ -175,7 +193,7 @@ class _Places(dict):
         self.update(zip(new, range(len(self), len(self) + len(new))))
         self.classes += self.tokens.classes(new)
         of_words = np.array(places, np.int32)[words.indices.to_numpy()]
-        return np.split(of_words, np.cumsum([len(found) for found in split])[:-1])
+        return np.split(of_words, np.cumsum(sizes)[:-1])
 
 
 CHUNK_ROWS = "chunk long, place int, word string, n_tokens long, log_prob double, places binary"
@@ -206,7 +224,7 @@ def _chunk_rows(words, values, weights):
             if not seen:
                 # The rows are staged, so that a chunk's number is drawn once.
                 chunk, kind = int.from_bytes(os.urandom(8), "big", signed=True), batch.column("doc_id").type
-            places = known.of(["" if t is None else t for t in batch.column("text").to_pylist()])
+            places = known.of(batch.column("text"))
             classes = np.frombuffer(bytes(known.classes), np.uint8)
             own = [classes[p] for p in places]
             scores = text_scores(model, [c.tobytes() for c in own]) - [weights.value[c].sum() for c in own]

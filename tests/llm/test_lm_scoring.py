@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from seasonmart.llm import lm_scoring, masked_model
 from seasonmart.llm.lm_scoring import fit_model, lm_scores, token_scores, vocabulary, with_log_probability, word_counts
@@ -55,6 +56,38 @@ def test_gradient():
         assert np.isclose(slope, (losses[1] - losses[0]) / 2e-2, rtol=0.1, atol=2e-2)
 
 
+def test_words_are_those_of_split():
+    spaces = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    texts = ["", None, " ", "one", "\u200bnot white\ufeff", "ÄÖ 日本 😀  end\r\n", *(f"{c}a{c}{c}b c{c}" for c in spaces)]
+    words, sizes = lm_scoring.split_words(pa.array(texts, pa.string()))
+    expected = [(t or "").split() for t in texts]
+    assert words.to_pylist() == [w for found in expected for w in found] and sizes.tolist() == list(map(len, expected))
+
+
+def test_a_batch_has_the_classes_of_its_texts():
+    tokens = Tokens(["a", "the"])
+    asked, classes = [], tokens.classes
+    tokens.classes = lambda words: asked.append(len(words)) or classes(words)
+    texts = [" a the other ", "", None, "a a a thing", "\n"] * 20
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    found = list(lm_scoring._groups([batch, batch.slice(0, 0)], tokens))
+    assert asked == [4]  # each different word once
+    assert found == [[classes((t or "").split()) for t in texts]]
+
+
+def test_counts_are_handed_on(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "COUNTED", 3)
+    texts = [f"often w{i % 9} w{i} often " for i in range(50)] + [None, ""]
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array([t], pa.string())}) for t in texts]
+    found, rows = Counter(), list(lm_scoring._count_words(iter(batches)))
+    for batch in rows:
+        for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
+            found[word] += n
+    assert found == Counter(" ".join(t or "" for t in texts).split()) and len(rows) > 5
+    assert max(batch.num_rows for batch in rows) < 12
+    assert sum(b.num_rows for b in lm_scoring._count_words(iter([]))) == 0
+
+
 def test_counts_cover_all_documents(documents, monkeypatch):
     monkeypatch.setattr(lm_scoring, "COUNTED", 2)
     found = {r.word: r.n for r in word_counts(documents(ODD_ROWS).repartition(4)).collect()}
