@@ -26,7 +26,7 @@ from seasonmart.sources.sinks import Scratch, stage
 SHARD_TOKENS = 1 << 20
 END_ID = 0
 #: Bytes of each of the two generations of known pieces: the library takes long over a new one.
-TABLE_BYTES = 72 << 20
+TABLE_BYTES = 144 << 20
 #: New pieces joined to one text for the library, and such texts handed to it at once.
 LINE_PIECES, LINES = 64, 256
 #: Characters of the texts that are cut and looked up together; a longer text is handled alone.
