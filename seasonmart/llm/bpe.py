@@ -11,6 +11,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 SHORT_WORD = 96
 #: Words whose parts lie side by side at once.
 WORDS_AT_ONCE = 4_096
+#: Bytes of texts, or of ids, that are handled and sent back together; a longer value is handled alone.
+PART_BYTES = 1 << 19
 #: No merge: larger than any rank.
 NEVER = 1 << 30
 
@@ -220,6 +223,14 @@ def vocabulary(definition: str) -> Vocabulary:
     return held(("bpe", definition), lambda: Vocabulary(definition))
 
 
+def _parts(batches, column: str):
+    """Batches in slices of ``PART_BYTES`` of a column, or of single rows: what is made of one is gone before the next."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        for part in groups(sizes, PART_BYTES):
+            yield batch.slice(part.start, len(part))
+
+
 def _mapped(batches, column: str, values, name: str, kind: pa.DataType):
     for batch in batches:
         given = batch.column(column).to_pylist()
@@ -239,6 +250,7 @@ def _add(df: DataFrame, definition: str, steps) -> DataFrame:
 
     def run(batches):
         found = vocabulary(shared.value)
+        batches = _parts(batches, steps[0][2])
         for name, kind, source, method in steps:
             batches = _mapped(batches, source, getattr(found, method), name, arrow[kind])
         try:

@@ -61,6 +61,23 @@ def test_rows_of_parts_and_the_heap_give_equal_ids(monkeypatch):
     assert OWN.decode(OWN.encode(["ab" * 50_000])) == ["ab" * 50_000]
 
 
+def test_a_large_batch_is_handled_in_parts():
+    """What a worker holds, and sends back at once, depends on a part's bytes, not on the batch's."""
+    texts = ["", None, "x" * 40_000, None, *[f"{i} " * 3_000 for i in range(200)], "y" * (2 * bpe.PART_BYTES), "end"]
+    batch = pa.RecordBatch.from_pydict({"n": range(len(texts)), "text": texts})
+    held, found = [], []
+
+    def encoded(some):
+        held.append(sum(map(len, some)))
+        return OWN.encode(some)
+
+    steps = bpe._mapped(bpe._parts(iter([batch, batch.slice(0, 0)]), "text"), "text", encoded, "ids", pa.binary())
+    for part in bpe._mapped(steps, "ids", OWN.decode, "decoded", pa.string()):
+        found += part.to_pylist()
+    assert [r["n"] for r in found] == [*range(len(texts))] and [r["decoded"] for r in found] == texts
+    assert sorted(held)[-2] <= bpe.PART_BYTES < held[-2] and len(held) > 4
+
+
 def test_decoding_broken_bytes():
     half = OWN.byte_ids[0xE6]
     packed = bpe.packed_ids([half, OWN.byte_ids[65]])
