@@ -6,6 +6,8 @@ import json
 import os
 import re
 import struct
+from array import array
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -15,7 +17,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from seasonmart.llm.bpe import packed_ids, read_definition
 from seasonmart.llm.common import bound_batches, frugal, held, text_or_empty, uncollected
@@ -29,6 +31,8 @@ END_ID = 0
 TABLE_BYTES = 144 << 20
 #: New pieces joined to one text for the library, and such texts handed to it at once.
 LINE_PIECES, LINES = 64, 256
+#: Different words joined to one text; up to this many words the model is asked for each.
+LINE_WORDS, FEW_WORDS = 512, 64
 #: Characters of the texts that are cut and looked up together; a longer text is handled alone.
 CHARS_AT_ONCE = 1 << 22
 #: Bits per entry of the rank directory, bits of a plane compressed together, the file's first bytes.
@@ -38,10 +42,13 @@ _ones = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 _head = struct.Struct("<4sQB")
 #: A single space and what does not begin or end with white space.
 _joins = re.compile(r" \S(?:.*\S)?", re.DOTALL).fullmatch
-#: Words of Latin letters with ASCII marks behind, on one or more lines: what a byte-level pattern cuts them into is plain.
+#: Words of Latin letters with ASCII marks behind, on one or more lines, and the end of a piece: what a byte-level pattern
+#: cuts them into is plain. Its words are runs of one kind of bytes; a space is of its word's kind.
 _LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-/:-@\[-`{-~"
-_plain = re.compile(f"( ?[{_LETTERS}]+)([{_MARKS}]*)((?:\n[{_LETTERS}]+[{_MARKS}]*)*)").fullmatch
-_words = re.compile(f"[{_LETTERS}]+|[{_MARKS}]+|\n").findall
+PLAIN = f"^ ?[{_LETTERS}]+[{_MARKS}]*(?:\\n[{_LETTERS}]+[{_MARKS}]*)*\\x00$"
+_kinds = np.zeros(256, np.uint8)
+_kinds[[i for i in range(33, 127) if not chr(i).isalnum()]] = 1
+_kinds[[10, 0]] = 2, 3
 _unpacker = zstandard.ZstdDecompressor()
 
 
@@ -203,6 +210,19 @@ def _sizes(length: int) -> tuple[int, int]:
     return stretches, -(-stretches * RANK_BITS // BLOCK_BITS)
 
 
+def _spans(kind: pa.DataType, ends: np.ndarray, data: np.ndarray) -> pa.Array:
+    """The column of values that lie one behind the other and end at these bytes."""
+    offsets = np.concatenate([[0], ends]).astype(np.int64)
+    return pa.Array.from_buffers(kind, len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _content(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets from 0 and the bytes of a column of large values without nulls."""
+    _, offsets, data = values.buffers()
+    at = np.frombuffer(offsets, np.int64)[values.offset : values.offset + len(values) + 1]
+    return at - at[0], np.frombuffer(data, np.uint8)[at[0] : at[-1]]
+
+
 def _byte_letters() -> dict[int, str]:
     """The letter that stands for each byte in a byte-level vocabulary: itself, or one from 256 up."""
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -211,15 +231,18 @@ def _byte_letters() -> dict[int, str]:
 
 
 BYTE_LETTERS = _byte_letters()
+#: The same as numbers; the end of a piece is a space, which stands for no byte.
+_letter_codes = np.array([32, *(ord(BYTE_LETTERS[byte]) for byte in range(1, 256))], "<u2")
 
 
 class LibraryEncoder:
     """Encodes texts with the tokenizers library; pieces met before are looked up, new ones go to it together.
 
     Texts are cut at single spaces and their different pieces numbered as Arrow columns, so that
-    Python handles a piece once in a group of texts. Words with marks behind go to the library's
-    model, which takes what its pattern would cut, each different one once. Other new pieces are
-    given to the library joined to lines, as it takes long over each text. A piece
+    Python handles a piece once in a group of texts. New words with marks behind are cut as columns
+    too, and the different ones go to the library's model, which takes what its pattern would cut:
+    one by one where they are few, else joined to lines that the library cuts at spaces only. Other
+    new pieces are given to the library joined to lines, as it takes long over each text. A piece
     begins with a space between other characters, so no token spans two of them, and the bytes of
     the tokens tell whose they are.
     """
@@ -231,6 +254,8 @@ class LibraryEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
+        self.by_spaces = Tokenizer(self.model)
+        self.by_spaces.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         found = json.loads(definition)
         # Only byte-level files without a normalizer may be cut before single spaces.
         rule = found["pre_tokenizer"] or {}
@@ -240,43 +265,63 @@ class LibraryEncoder:
         self.has_special = re.compile("|".join(map(re.escape, self.special))).search if self.special else None
         sizes = {i: len(token) for token, i in self.tokenizer.get_vocab().items()}
         self.sizes = np.array([sizes.get(i, 0) for i in range(max(sizes, default=-1) + 1)], np.int64)
-        self.known = KnownPieces(lambda pieces: self._pieces([" " + piece for piece in pieces]), TABLE_BYTES)
-
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """Packed ids of pieces: plain words by the model, others that may be joined in lines, the rest alone."""
-        cut = [found.groups() if found else None for found in map(_plain, pieces)] if self.by_words else [None] * len(pieces)
-        names = {""}
-        for word, marks, lines in filter(None, cut):
-            names.add(word)
-            names.add(marks)
-            if lines:
-                names.update(_words(lines))
-        ids_of = self._model(list(names))
-        found, others = [], []
-        for i, words in enumerate(cut):
-            if words is None:
-                others.append(i)
-                found.append(None)
-            elif words[2]:
-                found.append(b"".join([ids_of[word] for word in (*words[:2], *_words(words[2]))]))
-            else:
-                found.append(ids_of[words[0]] + ids_of[words[1]])
-        for i, ids in zip(others, self._lines([pieces[i] for i in others])):
+        self.known = KnownPieces(lambda pieces: self._pieces(pieces, " "), TABLE_BYTES)
+
+    def _pieces(self, pieces: list[str], before: str = "") -> list[bytes]:
+        """Packed ids of pieces with ``before`` in front: plain words by the model, others that may be joined in lines, the rest alone."""
+        found: list[bytes | None] = [None] * len(pieces)
+        if self.by_words and pieces:
+            for i, ids in self._plain(pieces, before):
+                found[i] = ids
+        others = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(others, self._lines([before + pieces[i] for i in others])):
             found[i] = ids
         return found
 
-    def _model(self, words: list[str]) -> dict[str, bytes]:
-        """Packed ids of what the library's pattern would not cut further."""
-        tokenize, found, stops, space = self.model.tokenize, [], [0], BYTE_LETTERS[32]
-        for word in words:
-            if word.isascii() and word != "\n":
-                letters = word.replace(" ", space)
-            else:
-                letters = word.encode().decode("latin-1").translate(BYTE_LETTERS)
-            found += [token.id for token in tokenize(letters)]
-            stops.append(4 * len(found))
-        packed = packed_ids(found)
-        return {word: packed[a:b] for word, a, b in zip(words, stops, stops[1:])}
+    def _plain(self, pieces: list[str], before: str) -> Iterator[tuple[int, bytes]]:
+        """Places and packed ids of the pieces that are plain words; each different word is encoded once."""
+        data = np.frombuffer(f"{before}{f'\0{before}'.join(pieces)}\0".encode(), np.uint8)
+        ends = np.flatnonzero(data == 0) + 1
+        at = np.arange(len(pieces))
+        if len(ends) > len(pieces):  # Pieces that hold what ends them here are not plain.
+            at = np.array([i for i, piece in enumerate(pieces) if "\0" not in piece], np.int64)
+            data = np.frombuffer("".join([f"{before}{pieces[i]}\0" for i in at]).encode(), np.uint8)
+            ends = np.flatnonzero(data == 0) + 1
+        ended = _spans(pa.large_string(), ends, data)
+        plain = pc.match_substring_regex(ended, PLAIN)
+        ended = ended.filter(plain)
+        if not len(ended):
+            return iter(())
+        data = _content(ended)[1]
+        kinds = _kinds[data]
+        changes = np.flatnonzero(kinds[1:] != kinds[:-1]) + 1
+        words = _spans(pa.large_binary(), np.append(changes, len(data)), data).dictionary_encode()
+        ids = self._model(words.dictionary).take(words.indices)
+        stops = np.flatnonzero(kinds[np.append(0, changes)] == _kinds[0]) + 1
+        return zip(at[plain.to_numpy(zero_copy_only=False)].tolist(), slices(ids, np.append(0, stops[:-1]), stops))
+
+    def _model(self, words: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
+        """Packed ids of words, which the library's pattern would not cut further; of an end of a piece, none."""
+        offsets, data = _content(words)
+        if len(words) > FEW_WORDS:
+            letters = np.insert(_letter_codes[data], offsets[1:-1], 32)
+            edges = [*(offsets[:-1] + np.arange(len(words)))[::LINE_WORDS].tolist(), len(letters)]
+            ids = array("I")
+            for part in (edges[i : i + LINES + 1] for i in range(0, len(edges) - 1, LINES)):
+                lines = [letters[a:b].tobytes().decode("utf-16-le") for a, b in zip(part, part[1:])]
+                for line in self.by_spaces.encode_batch_fast(lines, add_special_tokens=False):
+                    ids.extend(line.ids)
+            ids = np.array(ids, "<u4")
+            ends = np.concatenate([[0], np.cumsum(self.sizes[ids])])
+            stops = offsets[1:] - np.cumsum(data[offsets[:-1]] == 0)
+            at = np.searchsorted(ends, stops)
+            if ends[-1] == stops[-1] and (ends[np.minimum(at, len(ids))] == stops).all():
+                return _spans(pa.large_binary(), 4 * at, ids)
+        found = [
+            [token.id for token in self.model.tokenize(word.rstrip(b"\0").decode("latin-1").translate(BYTE_LETTERS))]
+            for word in words.to_pylist()
+        ]
+        return pa.array(map(packed_ids, found), pa.large_binary())
 
     def _lines(self, pieces: list[str]) -> list[bytes]:
         """Packed ids of pieces; those that begin with a single space and end with none go to the library joined."""

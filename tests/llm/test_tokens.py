@@ -260,6 +260,22 @@ def test_different_pieces_are_looked_up_and_different_words_encoded_once(monkeyp
     assert len(encoder.model.words) == len(set(encoder.model.words)) + 1 == 10  # the empty one again for first pieces
 
 
+def test_many_new_words_go_to_the_library_together(monkeypatch):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abelnorstuÀéßɏ") for _ in range(rng.randint(1, 12))) for _ in range(3000)]
+    texts = [" ".join(f"{w}{rng.choice(['', '', ',', '.', '!!', '.\n' + w])}" for w in rng.sample(words, 400)) for _ in range(20)]
+    texts += ["one\0two \0 three\0 four", "\0", "Word\0", *words[:5], ""]
+    expected = [library_ids(t) for t in texts]
+    encoder = LibraryEncoder(bpe.read_definition(PATH))
+    encoder.model = Asked(encoder.model)
+    assert [bpe.ids_of(p) for p in encoder.encode(texts)] == expected
+    assert len(encoder.model.words) <= token_files.FEW_WORDS  # those of the first pieces
+    # Where the ends of tokens do not tell words apart, the model is asked for each.
+    apart = LibraryEncoder(bpe.read_definition(PATH))
+    monkeypatch.setattr(apart, "sizes", np.ones_like(apart.sizes))
+    assert [bpe.ids_of(p) for p in apart.encode(texts)] == expected
+
+
 @pytest.mark.parametrize("space", [chr(c) for c in range(0x3001) if chr(c).isspace()])
 def test_spaces_beside_others_are_not_cut(space):
     texts = [f"one{a}two.{b}\nthree" for a in (f" {space}", f"{space} ", space * 2, space) for b in (" ", "", space)]
