@@ -7,7 +7,7 @@ import os
 import re
 import struct
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
@@ -21,20 +21,20 @@ from tokenizers import Tokenizer, pre_tokenizers
 
 from seasonmart.llm.bpe import packed_ids, read_definition
 from seasonmart.llm.common import bound_batches, frugal, held, text_or_empty, uncollected
-from seasonmart.llm.pieces import KnownPieces, groups, slices, spaced_pieces, spaces_touch, strings
+from seasonmart.llm.pieces import KEPT_CHARS, groups, slices, spaced_pieces, spaces_touch, strings
 from seasonmart.sources.sinks import Scratch, stage
 
 #: Tokens after which a shard is closed; a document is never divided.
 SHARD_TOKENS = 1 << 20
 END_ID = 0
 #: Bytes of each of the two generations of known pieces: the library takes long over a new one.
-TABLE_BYTES = 144 << 20
+TABLE_BYTES = 32 << 20
 #: New pieces joined to one text for the library, and such texts handed to it at once.
 LINE_PIECES, LINES = 64, 256
 #: Different words joined to one text; up to this many words the model is asked for each.
 LINE_WORDS, FEW_WORDS = 512, 64
 #: Characters of the texts that are cut and looked up together; a longer text is handled alone.
-CHARS_AT_ONCE = 1 << 22
+CHARS_AT_ONCE = 1 << 24
 #: Bits per entry of the rank directory, bits of a plane compressed together, the file's first bytes.
 RANK_BITS, BLOCK_BITS, MAGIC = 4096, 1 << 18, b"WMX2"
 
@@ -216,6 +216,10 @@ def _spans(kind: pa.DataType, ends: np.ndarray, data: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(kind, len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
+def _text(value: str) -> pa.Scalar:
+    return pa.scalar(value, pa.large_string())
+
+
 def _content(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Offsets from 0 and the bytes of a column of large values without nulls."""
     _, offsets, data = values.buffers()
@@ -235,6 +239,40 @@ BYTE_LETTERS = _byte_letters()
 _letter_codes = np.array([32, *(ord(BYTE_LETTERS[byte]) for byte in range(1, 256))], "<u2")
 
 
+class KnownColumn:
+    """Encoded pieces as columns, in two generations bounded by bytes, as ``KnownPieces`` has them in tables.
+
+    A piece takes its characters, its ids and two offsets, and no Python objects. A generation is
+    searched by a hash table that is made for each list of pieces, so lists should be long.
+    """
+
+    def __init__(self, encode_many: Callable[[pa.LargeStringArray], pa.LargeBinaryArray], table_bytes: int):
+        self.encode_many, self.table_bytes = encode_many, table_bytes
+        self.forget()
+
+    def values_of(self, pieces: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """What each of these different pieces is encoded as; those not known are encoded together."""
+        names, values = (pa.concat_arrays(both) for both in zip(self.young, self.old))
+        at = pc.index_in(pieces, value_set=names)
+        unknown = pc.is_null(at)
+        new = pieces.filter(unknown)
+        values = pa.concat_arrays([values, self.encode_many(new)])
+        at = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        at[at < 0] = np.arange(len(names), len(values))
+        found = values.take(pa.array(at))
+        # A piece of the old generation that is met again moves up; long ones are not worth keeping.
+        kept = pc.and_(pa.array(at >= len(self.young[0])), pc.less_equal(pc.utf8_length(pieces), KEPT_CHARS))
+        added = pieces.filter(kept), found.filter(kept)
+        if sum(column.nbytes for column in (*self.young, *added)) > self.table_bytes:
+            self.old, self.young = self.young, added
+        else:
+            self.young = tuple(pa.concat_arrays(both) for both in zip(self.young, added))
+        return found
+
+    def forget(self) -> None:
+        self.old = self.young = (pa.array([], pa.large_string()), pa.array([], pa.large_binary()))
+
+
 class LibraryEncoder:
     """Encodes texts with the tokenizers library; pieces met before are looked up, new ones go to it together.
 
@@ -265,40 +303,34 @@ class LibraryEncoder:
         self.has_special = re.compile("|".join(map(re.escape, self.special))).search if self.special else None
         sizes = {i: len(token) for token, i in self.tokenizer.get_vocab().items()}
         self.sizes = np.array([sizes.get(i, 0) for i in range(max(sizes, default=-1) + 1)], np.int64)
-        self.known = KnownPieces(lambda pieces: self._pieces(pieces, " "), TABLE_BYTES)
+        # Only pieces behind a space are kept, without it.
+        self.known = KnownColumn(lambda pieces: self._pieces(pieces, " "), TABLE_BYTES)
 
-    def _pieces(self, pieces: list[str], before: str = "") -> list[bytes]:
+    def _pieces(self, pieces: pa.LargeStringArray, before: str = "") -> pa.LargeBinaryArray:
         """Packed ids of pieces with ``before`` in front: plain words by the model, others that may be joined in lines, the rest alone."""
-        found: list[bytes | None] = [None] * len(pieces)
-        if self.by_words and pieces:
-            for i, ids in self._plain(pieces, before):
-                found[i] = ids
-        others = [i for i, ids in enumerate(found) if ids is None]
-        for i, ids in zip(others, self._lines([before + pieces[i] for i in others])):
-            found[i] = ids
-        return found
-
-    def _plain(self, pieces: list[str], before: str) -> Iterator[tuple[int, bytes]]:
-        """Places and packed ids of the pieces that are plain words; each different word is encoded once."""
-        data = np.frombuffer(f"{before}{f'\0{before}'.join(pieces)}\0".encode(), np.uint8)
-        ends = np.flatnonzero(data == 0) + 1
-        at = np.arange(len(pieces))
-        if len(ends) > len(pieces):  # Pieces that hold what ends them here are not plain.
-            at = np.array([i for i, piece in enumerate(pieces) if "\0" not in piece], np.int64)
-            data = np.frombuffer("".join([f"{before}{pieces[i]}\0" for i in at]).encode(), np.uint8)
-            ends = np.flatnonzero(data == 0) + 1
-        ended = _spans(pa.large_string(), ends, data)
+        pieces = pc.binary_join_element_wise(_text(before), pieces, _text("")) if before else pieces
+        if not self.by_words or not len(pieces):
+            return pa.array(self._lines(strings(pieces)), pa.large_binary())
+        ended = pc.binary_join_element_wise(pieces, _text("\0"), _text(""))
         plain = pc.match_substring_regex(ended, PLAIN)
-        ended = ended.filter(plain)
+        others = pa.array(self._lines(strings(pieces.filter(pc.invert(plain)))), pa.large_binary())
+        ids, places = pa.concat_arrays([self._plain(ended.filter(plain)), others]), plain.to_numpy(zero_copy_only=False)
+        order = np.empty(len(pieces), np.int64)
+        order[np.concatenate([np.flatnonzero(places), np.flatnonzero(~places)])] = np.arange(len(pieces))
+        return ids.take(pa.array(order)) if len(others) else ids
+
+    def _plain(self, ended: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """Packed ids of plain words with their ends; each different word is encoded once."""
         if not len(ended):
-            return iter(())
+            return pa.array([], pa.large_binary())
         data = _content(ended)[1]
         kinds = _kinds[data]
         changes = np.flatnonzero(kinds[1:] != kinds[:-1]) + 1
         words = _spans(pa.large_binary(), np.append(changes, len(data)), data).dictionary_encode()
         ids = self._model(words.dictionary).take(words.indices)
         stops = np.flatnonzero(kinds[np.append(0, changes)] == _kinds[0]) + 1
-        return zip(at[plain.to_numpy(zero_copy_only=False)].tolist(), slices(ids, np.append(0, stops[:-1]), stops))
+        offsets, data = _content(ids)
+        return _spans(pa.large_binary(), offsets[stops], data)
 
     def _model(self, words: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
         """Packed ids of words, which the library's pattern would not cut further; of an end of a piece, none."""
@@ -387,11 +419,11 @@ class LibraryEncoder:
         ends = np.cumsum(sizes)
         behind = np.ones(len(pieces), bool)
         behind[ends - sizes] = False
-        firsts = self._pieces(strings(pieces.take(pa.array(ends - sizes))))
+        firsts = self._pieces(pieces.take(pa.array(ends - sizes)))
         numbered = pieces.filter(pa.array(behind)).dictionary_encode()
-        ids = pa.array(self.known.values_of(strings(numbered.dictionary), different=True), pa.large_binary()).take(numbered.indices)
+        ids = self.known.values_of(numbered.dictionary).take(numbered.indices)
         ends -= np.arange(1, len(texts) + 1)
-        return [a + b for a, b in zip(firsts, slices(ids, ends - sizes + 1, ends))]
+        return [a + b for a, b in zip(firsts.to_pylist(), slices(ids, ends - sizes + 1, ends))]
 
 
 def _encoder(definition: str) -> LibraryEncoder:
@@ -401,6 +433,19 @@ def _encoder(definition: str) -> LibraryEncoder:
 SHARDS = "part int, shard int, start_in_part long, n_tokens long, doc_ids array<long>, lengths array<long>, matrix binary"
 
 
+def _gathered(batches):
+    """Ids and texts of batches, about ``CHARS_AT_ONCE`` together."""
+    given, texts, size = [], [], 0
+    for batch in batches:
+        given += batch.column(0).to_pylist()
+        texts += batch.column(1).to_pylist()
+        size += batch.nbytes
+        if size >= CHARS_AT_ONCE:
+            yield given, texts
+            given, texts, size = [], [], 0
+    yield given, texts
+
+
 def _write_shards(definition, shard_tokens: int):
     def run(batches):
         encoder = _encoder(definition.value)
@@ -417,8 +462,7 @@ def _write_shards(definition, shard_tokens: int):
             names = ["part", "shard", "start_in_part", "n_tokens", "doc_ids", "lengths", "matrix"]
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names)
 
-        for batch in batches:
-            given, texts = (column.to_pylist() for column in batch.columns)
+        for given, texts in _gathered(batches):
             for doc_id, found in zip(given, encoder.encode(texts)):
                 found += end
                 doc_ids.append(doc_id)

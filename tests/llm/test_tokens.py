@@ -260,6 +260,34 @@ def test_different_pieces_are_looked_up_and_different_words_encoded_once(monkeyp
     assert len(encoder.model.words) == len(set(encoder.model.words)) + 1 == 10  # the empty one again for first pieces
 
 
+def test_known_columns_are_bounded_by_bytes_and_keep_frequent_pieces():
+    asked = []
+
+    def upper(pieces):
+        asked.extend(pieces.to_pylist())
+        return pa.array([p.upper().encode() for p in pieces.to_pylist()], pa.large_binary())
+
+    known = token_files.KnownColumn(upper, table_bytes=600)
+    for n in range(200):
+        names = ["often", f"word{n}", f"other{n}", f"word{max(n - 1, 0)}x", "y" * 60]
+        found = known.values_of(pa.array(names, pa.large_string()))
+        assert found.to_pylist() == [name.upper().encode() for name in names]
+        assert sum(column.nbytes for column in known.young) <= 600 and len(set(known.young[0].to_pylist())) == len(known.young[0])
+        assert "y" * 60 not in known.young[0].to_pylist()
+    assert asked.count("often") == 1 and asked.count("word5") == 1 and asked.count("y" * 60) == 200
+    known.forget()
+    assert known.values_of(pa.array([], pa.large_string())).to_pylist() == []
+
+
+def test_texts_of_several_batches_are_encoded_together(monkeypatch):
+    """A piece is looked up once in a group of texts, so groups hold more than a batch of Spark's."""
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [i, None], "text": ["x" * 1000, ""]}) for i in range(10)]
+    monkeypatch.setattr(token_files, "CHARS_AT_ONCE", 3 * batches[0].nbytes)
+    found = list(token_files._gathered(iter(batches)))
+    assert [len(texts) for _, texts in found] == [6, 6, 6, 2]
+    assert [i for given, _ in found for i in given] == [x for i in range(10) for x in (i, None)]
+
+
 def test_many_new_words_go_to_the_library_together(monkeypatch):
     rng = random.Random(5)
     words = ["".join(rng.choice("abelnorstuÀéßɏ") for _ in range(rng.randint(1, 12))) for _ in range(3000)]
