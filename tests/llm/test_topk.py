@@ -116,12 +116,9 @@ def test_packing_of_many_widths(monkeypatch):
     rng = np.random.default_rng(7)
     vectors = [[int(x) for x in rng.integers(-(1 << 40), 1 << 40, i % 7)] for i in range(300)]
     keys = [i.to_bytes(32, "big") for i in range(300)]
-    batches = [
-        topk_search.pa.record_batch({"key": keys[a : a + 90], "first_id": list(range(300))[a : a + 90], "vector": vectors[a : a + 90]})
-        for a in range(0, 300, 90)
-    ]
+    table = topk_search.pa.table({"key": keys, "first_id": list(range(300)), "vector": vectors})
     found = {}
-    for block in topk_search._packed(10)(iter(batches)):
+    for block in topk_search._packed(10)(iter(table.to_batches(90))):
         for row in block.to_pylist():
             block_keys, ids, numbers = topk_search._unpacked(row)
             assert len(ids) <= 10 and numbers.shape == (len(ids), row["width"])
